@@ -42,37 +42,55 @@ _LENIENT_OPTIONS = {
 
 @dataclass(frozen=True)
 class ParsedLine:
-    """The expressions derived from one parse of a line."""
+    """Expressions of one parse of a line, in two steps.
 
+    ``first`` holds the expensive parse results, to be projected once per row
+    into the named hidden columns; ``record``, ``is_valid`` and ``table_raw``
+    read only those columns. Keeping the steps in separate projections stops the optimizer
+    from inlining (and so repeating) a parse into each expression that uses it.
+    """
+
+    first: dict[str, Column]
     record: Column       # the object (VARIANT strict, MAP<STRING,STRING> lenient); NULL when bad
     is_valid: Column     # BOOLEAN, never NULL
     table_raw: Column    # JSON text of the ``~table`` value, NULL when absent or JSON null
 
 
+_OBJ = "__snaptally_obj"
+_ARR = "__snaptally_arr"
+
+
 def parse_line(col, lenient: bool = False) -> ParsedLine:
-    """Build the validity test, the record and the raw table field of a line."""
+    """Build the validity test, the record and the raw table field of a line.
+
+    Strict: the array wrapper is checked by ``json_array_length`` (a token
+    scan that builds nothing; exactly one element), the object wrapper by one
+    ``try_parse_json``; an object is recognised by a cast to an empty struct,
+    which inspects no field.
+    """
     v = as_col(col)
     in_array = F.concat(F.lit("["), v, F.lit("]"))
     in_object = F.concat(F.lit('{"w":'), v, F.lit("}"))
+    obj = F.col(_OBJ)
+    arr = F.col(_ARR)
     if not lenient:
-        arr = F.try_parse_json(in_array)
-        obj = F.try_parse_json(in_object)
-        inner = F.try_variant_get(obj, "$.w", "variant")
-        is_obj = F.schema_of_variant(inner).startswith("OBJECT")
-        is_valid = F.coalesce(arr.isNotNull() & is_obj, F.lit(False))
-        record = F.when(is_valid, inner)
-        table_raw = F.when(is_valid, F.try_variant_get(obj, '$.w["~table"]', "string"))
-        return ParsedLine(record, is_valid, table_raw)
-
-    arr = F.from_json(in_array, "array<map<string,string>>", _LENIENT_OPTIONS)
-    obj = F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS)
-    inner = obj.getField("w")
-    is_valid = F.coalesce(
-        (F.size(arr) == 1) & arr.getItem(0).isNotNull() & inner.isNotNull(), F.lit(False)
-    )
-    record = F.when(is_valid, inner)
-    table_raw = F.when(is_valid, inner.getItem(TABLE_FIELD))
-    return ParsedLine(record, is_valid, table_raw)
+        first = {
+            _OBJ: F.try_parse_json(in_object),
+            _ARR: F.json_array_length(in_array),
+        }
+        is_obj = F.try_variant_get(obj, "$.w", "struct<>").isNotNull()
+        is_valid = F.coalesce((arr == 1) & is_obj, F.lit(False))
+        record = F.try_variant_get(obj, "$.w", "variant")
+        table_raw = F.try_variant_get(obj, '$.w["~table"]', "string")
+        return ParsedLine(first, record, is_valid, table_raw)
+
+    first = {
+        _OBJ: F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS).getField("w"),
+        _ARR: F.from_json(in_array, "array<map<string,string>>", _LENIENT_OPTIONS),
+    }
+    arr_ok = (F.size(arr) == 1) & arr.getItem(0).isNotNull()
+    is_valid = F.coalesce(arr_ok & obj.isNotNull(), F.lit(False))
+    return ParsedLine(first, obj, is_valid, obj.getItem(TABLE_FIELD))
 
 
 def table_key(table_raw: Column) -> Column:

@@ -18,6 +18,7 @@ TABLE_NAME = "tableName"
 RECORD = "record"
 IS_VALID = "is_valid"
 ERROR = "error"
+_TABLE_RAW = "__snaptally_table_raw"
 
 
 def parse_records(
@@ -51,18 +52,27 @@ def parse_records(
     """
     v = F.col(value_col)
     p = parse_line(v, lenient=lenient)
-    cols = [F.col(c) for c in lines.columns]
-    if keep_record:
-        cols.append(p.record.alias(RECORD))
-    cols += [
+    keep = [F.col(f"`{c}`") for c in lines.columns]
+    # Three projections: parse once, decide validity once, derive the outputs.
+    parsed = lines.select(*keep, *[e.alias(n) for n, e in p.first.items()])
+    decided = parsed.select(
+        *keep,
+        *([F.when(p.is_valid, p.record).alias(RECORD)] if keep_record else []),
         p.is_valid.alias(IS_VALID),
-        F.when(~p.is_valid, F.lit(ERROR_CODE)).alias(ERROR),
-        table_key(p.table_raw).alias(TABLE_NAME),
-        F.when(p.is_valid, text_length(v, unit)).alias(RECORD_SIZE_FIELD),
+        F.when(p.is_valid, p.table_raw).alias(_TABLE_RAW),
+    )
+    valid = F.col(IS_VALID)
+    out = [
+        *keep,
+        *([F.col(RECORD)] if keep_record else []),
+        valid,
+        F.when(~valid, F.lit(ERROR_CODE)).alias(ERROR),
+        table_key(F.col(_TABLE_RAW)).alias(TABLE_NAME),
+        F.when(valid, text_length(v, unit)).alias(RECORD_SIZE_FIELD),
     ]
     if checksum:
-        cols.append(F.sha2(v, 256).alias(CHECKSUM_FIELD))
-    return lines.select(*cols)
+        out.append(F.sha2(v, 256).alias(CHECKSUM_FIELD))
+    return decided.select(*out)
 
 
 def record_size_or_zero(col: str = RECORD_SIZE_FIELD):

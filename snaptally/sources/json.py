@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,7 +35,12 @@ def read_json(
     if sampling_ratio is not None:
         r = r.option("samplingRatio", sampling_ratio)
     p = [paths] if isinstance(paths, str) else list(paths)
-    df = r.json(p, schema=schema)
+    try:
+        df = r.json(p, schema=schema)
+    except AnalysisException as e:  # Spark itself refuses names equal but for case
+        if "COLUMN_ALREADY_EXISTS" in str(e):
+            raise ValueError(f"colliding column names: {e}") from e
+        raise
     check_column_names(df)
     if drop_corrupt and CORRUPT in df.columns:
         df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

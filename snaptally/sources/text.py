@@ -21,15 +21,15 @@ def _paths(paths) -> list[str]:
     return out
 
 
-def _reader(spark: SparkSession, recursive: bool, line_sep: str | None, whole: bool = False):
-    r = spark.read
-    if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    if line_sep is not None:
-        r = r.option("lineSep", line_sep)
-    if whole:
-        r = r.option("wholetext", "true")
-    return r
+def _read_text(spark: SparkSession, paths: list[str], recursive: bool, line_sep: str | None,
+               whole: bool = False) -> DataFrame:
+    # options go through text()'s own arguments: it sets wholetext explicitly
+    return spark.read.text(
+        paths,
+        wholetext=whole,
+        lineSep=line_sep,
+        recursiveFileLookup=True if recursive else None,
+    )
 
 
 def require_input(df: DataFrame, paths: Sequence[str]) -> DataFrame:
@@ -69,7 +69,7 @@ def scan_lines(
     ``spark.sql.files.maxPartitionBytes``, so a single huge file is read in parallel.
     """
     p = _paths(paths)
-    df = _reader(spark, recursive, line_sep).text(p)
+    df = _read_text(spark, p, recursive, line_sep)
     if require_files:
         require_input(df, p)
     if with_path:
@@ -91,7 +91,7 @@ def scan_lines_raw_path(
     after the aggregation keeps the per-row work to a hash of the path.
     """
     p = _paths(paths)
-    df = _reader(spark, recursive, line_sep).text(p)
+    df = _read_text(spark, p, recursive, line_sep)
     if require_files:
         require_input(df, p)
     return df.select("value", F.col("_metadata.file_path").alias(FILE_PATH))
@@ -111,7 +111,7 @@ def scan_whole(
     yield no row.
     """
     p = _paths(paths)
-    df = _reader(spark, recursive, None, whole=True).text(p)
+    df = _read_text(spark, p, recursive, None, whole=True)
     if require_files:
         require_input(df, p)
     return df.select(decode_path(F.col("_metadata.file_path")).alias(FILE_PATH), "value")
