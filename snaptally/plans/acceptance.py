@@ -69,8 +69,13 @@ def _stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSe
     return path
 
 
+def _parts(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread staged lines over several part files, as in a real dump table."""
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def _docs_text(spark, sf_dir, path):
-    _table(spark, sf_dir, "documents").select("text").write.text(path)
+    _parts(spark, _table(spark, sf_dir, "documents").select("text")).write.text(path)
 
 
 def _docs_by(col):
@@ -119,27 +124,29 @@ def _events_json(spark, sf_dir, path):
         .when(i % 19 == 0, F.concat(F.lit(" "), F.col("base"), F.lit(" ")))
         .otherwise(F.col("base"))
     )
-    ev.select("event_id", base.alias("base")).select(line.alias("value")).write.text(path)
+    _parts(spark, ev.select("event_id", base.alias("base")).select(line.alias("value"))).write.text(path)
 
 
 def _part_json(spark, sf_dir, path):
     part = _table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     name = F.when(k % 2 == 0, F.col("p_name")).otherwise(F.col("p_type"))
-    part.select(
+    lines = part.select(
         F.concat(F.lit('{"~table":"'), name, F.lit('","key":'), k.cast("string"), F.lit("}")).alias("value")
-    ).write.text(path)
+    )
+    _parts(spark, lines).write.text(path)
 
 
 def _events_props_json(spark, sf_dir, path):
     ev = _table(spark, sf_dir, "events")
-    ev.select(
+    lines = ev.select(
         F.concat(
             F.lit('{"event_id":'), F.col("event_id").cast("string"),
             F.lit(',"event_type":"'), F.col("event_type"), F.lit('",'),
             F.expr("substr(props, 2)"),
         ).alias("value")
-    ).write.text(path)
+    )
+    _parts(spark, lines).write.text(path)
 
 
 # --------------------------------------------------------------------------

@@ -37,10 +37,11 @@ def require_input(df: DataFrame, paths: Sequence[str]) -> DataFrame:
 
     Spark reads a directory that holds only sub-directories, or a hidden
     path (``_x``, ``.x``), as zero rows without an error; a statistics job
-    must not report an empty table for a wrong path. The file list comes from
-    the scan's own file index, so no extra listing is done.
+    must not report an empty table for a wrong path. The usual case costs one
+    small job that stops at the first line found; only when there is no line
+    at all is the scan's own file list consulted (then it is short or empty).
     """
-    if not df.inputFiles():
+    if df.isEmpty() and not df.inputFiles():
         raise FileNotFoundError(
             f"no data file under {list(paths)}; a directory holding only sub-directories "
             "needs a deeper glob or recursive=True, and names starting with '_' or '.' are hidden"

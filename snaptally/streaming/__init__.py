@@ -1,0 +1,5 @@
+"""Incremental (Structured Streaming) form of the table statistics."""
+
+from snaptally.streaming.table_stats_stream import start_table_stats, table_stats_stream
+
+__all__ = ["start_table_stats", "table_stats_stream"]
