@@ -23,7 +23,7 @@ from snaptally.functions.text import (
     text_length,
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
-from snaptally.sources.listing import list_tables, resolve_latest
+from snaptally.sources.listing import list_dirs, resolve_latest
 from snaptally.sources.text import FILE_PATH, scan_lines_raw_path, scan_whole
 
 RECORD_COUNT = "recordCount"
@@ -184,28 +184,27 @@ def snapshot_table_counts(
 ) -> DataFrame:
     """Line count per table of a snapshot: ``table, fileURI, recordCount``.
 
-    ``snapshot`` defaults to the latest below ``root`` (one scalar is brought
-    to the driver). ``limit`` restricts the job to the first N tables by name:
-    their paths (at most N strings) are listed first and only they are read.
-    Without a limit every table is read. Either way all tables are counted by
-    ONE scan and one aggregate, not a job per table. A table whose files are
-    all empty has no listing row and no line, so it does not appear.
+    ``snapshot`` defaults to the latest below ``root``. The tables are the
+    snapshot's sub-directories (one name each reaches the driver, no file
+    list); ``limit`` keeps the first N by name and only they are read. All
+    tables are counted by ONE scan and aggregate, not a job per table, and a
+    table without any line is reported with 0.
     """
     snap = snapshot or resolve_latest(spark, root, stamp_pattern=stamp_pattern)
-    snap_path = f"{root.rstrip('/')}/{snap}"
+    tables = list_dirs(spark, f"{root.rstrip('/')}/{snap}")
     if limit is not None:
-        paths = [r["path"] for r in list_tables(spark, snap_path, limit=limit).collect()]
-        if not paths:
-            return spark.createDataFrame([], f"table string, {FILE_URI} string, {RECORD_COUNT} bigint")
-    else:
-        paths = [f"{snap_path}/*/*"]
-    per_file = scan_lines_raw_path(spark, paths).groupBy(FILE_PATH).agg(
-        F.count(F.lit(1)).alias(RECORD_COUNT)
-    )
-    table_dir = parent_dir(decode_path(F.col(FILE_PATH)))
-    return (
-        per_file.groupBy(path_component(table_dir, -1).alias("table"), table_dir.alias(FILE_URI))
-        .agg(F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT))
+        tables = tables[: max(int(limit), 0)]
+    schema = f"table string, {FILE_URI} string"
+    listing = spark.createDataFrame(tables, schema)
+    if not tables:
+        return listing.withColumn(RECORD_COUNT, F.lit(0).cast("bigint"))
+    lines = scan_lines_raw_path(spark, [p for _, p in tables], require_files=False)
+    per_file = lines.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias(RECORD_COUNT))
+    per_table = per_file.groupBy(
+        path_component(parent_dir(decode_path(F.col(FILE_PATH))), -1).alias("table")
+    ).agg(F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT))
+    return listing.join(per_table, "table", "left").select(
+        "table", FILE_URI, F.coalesce(F.col(RECORD_COUNT), F.lit(0).cast("bigint")).alias(RECORD_COUNT)
     )
 
 

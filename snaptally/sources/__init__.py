@@ -1,11 +1,18 @@
 """Readers: line and whole-file scans, file/table listings, JSON and Parquet."""
 
 from snaptally.sources.json import check_column_names, read_json, read_parquet
-from snaptally.sources.listing import latest_snapshot, list_files, list_tables, resolve_latest
+from snaptally.sources.listing import (
+    latest_snapshot,
+    latest_snapshot_by_files,
+    list_dirs,
+    list_files,
+    list_tables,
+    resolve_latest,
+)
 from snaptally.sources.text import FILE_PATH, require_input, scan_lines, scan_lines_raw_path, scan_whole
 
 __all__ = [
-    "FILE_PATH", "check_column_names", "latest_snapshot", "list_files", "list_tables",
+    "FILE_PATH", "check_column_names", "latest_snapshot", "latest_snapshot_by_files", "list_dirs", "list_files", "list_tables",
     "read_json", "read_parquet", "require_input", "resolve_latest", "scan_lines",
     "scan_lines_raw_path", "scan_whole",
 ]

@@ -1,15 +1,23 @@
-"""File and directory listings of a snapshot tree, as DataFrames.
+"""File and directory listings of a snapshot tree.
 
 Layout of a dump::
 
     {root}/{snapshot}/{table}/{part files of JSON lines}
 
-Listings use the ``binaryFile`` source with only ``path``, ``length`` and
-``modificationTime`` selected; the ``content`` column is pruned, so no file
-is opened. Zero-byte files are not returned by that source, so a table made
-only of empty files cannot be seen. Hidden names (``_x``, ``.x``) are skipped
-by every Spark file source, which is why a ``_LATEST`` pointer file cannot be
-read and the latest snapshot is taken as the greatest directory name.
+*Directory* listings (snapshots of a root, tables of a snapshot) ask the file
+system for one level only, through the session's Hadoop ``FileSystem``: the
+cost is one call per level, O(snapshots) or O(tables), never O(files), and the
+driver holds only names. Without a JVM gateway (a remote session) they fall
+back to the ``binaryFile`` listing, which sees only directories that hold a
+non-empty file.
+
+*File* listings use the ``binaryFile`` source with only ``path``, ``length``
+and ``modificationTime`` selected; the ``content`` column is pruned, so no file
+is opened. Zero-byte files are not returned by that source.
+
+Hidden names (``_x``, ``.x``) are skipped everywhere, as Spark's file sources
+skip them; that is why a ``_LATEST`` pointer file is never read and the latest
+snapshot is the greatest directory name instead.
 """
 
 from __future__ import annotations
@@ -39,24 +47,79 @@ def list_files(
     return r.load(p).select("path", "length", "modificationTime")
 
 
+def _hidden(name: str) -> bool:
+    return name.startswith("_") or name.startswith(".")
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) of the session's Hadoop configuration, or None
+    when the session has no JVM gateway."""
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+        conf = sc._jsc.hadoopConfiguration()
+    except Exception:  # remote (Connect) session
+        return None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf), p
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Immediate, non-hidden sub-directories of ``path`` as (name, qualified path),
+    sorted by name. Raises when ``path`` does not exist."""
+    fs_path = _hadoop_fs(spark, path)
+    if fs_path is None:
+        rows = (
+            list_files(spark, f"{path.rstrip('/')}/*/*")
+            .select(path_component(parent_dir("path"), -1).alias("name"), parent_dir("path").alias("dir"))
+            .distinct()
+            .collect()
+        )
+        return sorted((r["name"], r["dir"]) for r in rows if not _hidden(r["name"]))
+    fs, p = fs_path
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    out = []
+    for st in fs.listStatus(p):
+        if st.isDirectory():
+            name = st.getPath().getName()
+            if not _hidden(name):
+                out.append((name, st.getPath().toString()))
+    return sorted(out)
+
+
+def _has_data_file(spark: SparkSession, path: str) -> bool:
+    """True when a non-hidden, non-empty file exists somewhere below ``path``;
+    stops at the first one found."""
+    fs_path = _hadoop_fs(spark, path)
+    if fs_path is None:
+        return not list_files(spark, path, recursive=True).isEmpty()
+    fs, p = fs_path
+    base = fs.makeQualified(p).toString().rstrip("/")
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        rel = st.getPath().toString()[len(base):]
+        if st.getLen() > 0 and not any(_hidden(part) for part in rel.split("/") if part):
+            return True
+    return False
+
+
 def list_tables(
     spark: SparkSession,
     snapshot_path: str,
     *,
     limit: int | None = None,
 ) -> DataFrame:
-    """Tables (sub-directories holding files) of one snapshot: ``table, path``.
+    """Tables (sub-directories) of one snapshot: ``table, path``, sorted by name.
 
-    Sorted by name; ``limit`` keeps the first N (0 keeps none). The table is the
-    directory that directly holds each part file.
+    ``limit`` keeps the first N (0 keeps none). The driver holds one name per
+    table, never a file list.
     """
-    files = list_files(spark, f"{snapshot_path.rstrip('/')}/*/*")
-    tables = files.select(
-        path_component("path", -2).alias("table"), parent_dir("path").alias("path")
-    ).distinct()
+    tables = list_dirs(spark, snapshot_path)
     if limit is not None:
-        return tables.orderBy("table").limit(max(int(limit), 0))
-    return tables
+        tables = tables[: max(int(limit), 0)]
+    return spark.createDataFrame(tables, "table string, path string")
 
 
 def latest_snapshot(
@@ -65,22 +128,36 @@ def latest_snapshot(
     *,
     stamp_pattern: str | None = None,
 ) -> DataFrame:
-    """One row, ``snapshot STRING``: the greatest snapshot directory name below ``root``.
+    """One row, ``snapshot STRING``: the greatest snapshot directory name below
+    ``root`` that holds at least one non-empty file (NULL when none does).
 
     Snapshot stamps (``yyyy-MM-dd-HH-mm-ss``) sort as text. ``stamp_pattern``
-    (a regular expression) ignores other directory names. Only snapshots that
-    hold at least one non-empty table file are seen.
+    (a regular expression) ignores other directory names.
     """
-    files = list_files(spark, f"{root.rstrip('/')}/*/*/*")
-    snaps = files.select(path_component("path", -3).alias("snapshot"))
-    if stamp_pattern:
-        snaps = snaps.where(F.col("snapshot").rlike(stamp_pattern))
-    return snaps.agg(F.max("snapshot").alias("snapshot"))
+    snap = _latest_name(spark, root, stamp_pattern)
+    return spark.createDataFrame([(snap,)], "snapshot string")
+
+
+def _latest_name(spark: SparkSession, root: str, stamp_pattern: str | None) -> str | None:
+    import re
+
+    names = [(n, p) for n, p in list_dirs(spark, root) if not stamp_pattern or re.search(stamp_pattern, n)]
+    for name, path in sorted(names, reverse=True):
+        if _has_data_file(spark, path):
+            return name
+    return None
 
 
 def resolve_latest(spark: SparkSession, root: str, *, stamp_pattern: str | None = None) -> str:
-    """The latest snapshot name as a string (one scalar reaches the driver)."""
-    row = latest_snapshot(spark, root, stamp_pattern=stamp_pattern).first()
-    if row is None or row[0] is None:
+    """The latest snapshot name as a string."""
+    snap = _latest_name(spark, root, stamp_pattern)
+    if snap is None:
         raise FileNotFoundError(f"no snapshot with data below {root}")
-    return row[0]
+    return snap
+
+
+def latest_snapshot_by_files(spark: SparkSession, root: str) -> DataFrame:
+    """The same answer from a distributed listing of every file of every
+    snapshot (``binaryFile``); for sessions without a file-system gateway."""
+    files = list_files(spark, f"{root.rstrip('/')}/*/*/*")
+    return files.agg(F.max(path_component("path", -3)).alias("snapshot"))

@@ -38,6 +38,10 @@ def tree(tmp_path_factory):
     write_file(f"{snaps}/2015-04-29-00-00-00/answer-b/p.json", '{"~table":"answer-b"}\n{"x":1}\n')
     write_file(f"{snaps}/2015-04-29-00-00-00/answer-c/p0.json", "1\n2\n3\n")
     write_file(f"{snaps}/2015-04-29-00-00-00/answer-c/p1.json", "4\n")
+    write_file(f"{snaps}/2015-04-29-00-00-00/answer-d/p.json", b"")  # table without lines
+    write_file(f"{snaps}/2015-04-29-00-00-00/_temporary/x", b"hidden\n")
+    write_file(f"{snaps}/2015-04-30-00-00-00/answer-e/p.json", b"")  # newer, but no data yet
+    write_file(f"{snaps}/_LATEST", b"2015-04-28-00-00-00\n")
     return base
 
 
@@ -125,7 +129,7 @@ def test_latest_and_tables(spark, tree):
     assert latest_snapshot(spark, snaps).first().snapshot == "2015-04-29-00-00-00"
     assert resolve_latest(spark, snaps, stamp_pattern=r"^\d{4}(-\d{2}){5}$") == "2015-04-29-00-00-00"
     t = [r.table for r in list_tables(spark, f"{snaps}/2015-04-29-00-00-00", limit=10).collect()]
-    assert t == ["answer-b", "answer-c"]
+    assert t == ["answer-b", "answer-c", "answer-d"]
     assert list_tables(spark, f"{snaps}/2015-04-29-00-00-00", limit=1).count() == 1
     assert list_tables(spark, f"{snaps}/2015-04-29-00-00-00", limit=0).count() == 0
 
@@ -133,7 +137,7 @@ def test_latest_and_tables(spark, tree):
 def test_snapshot_table_counts(spark, tree):
     snaps = f"{tree}/snaps"
     got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps).collect()}
-    assert got == {"answer-b": 2, "answer-c": 4}
+    assert got == {"answer-b": 2, "answer-c": 4, "answer-d": 0}
     got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps, limit=1).collect()}
     assert got == {"answer-b": 2}
     got = {r.table: r.recordCount
@@ -142,6 +146,12 @@ def test_snapshot_table_counts(spark, tree):
     assert snapshot_table_counts(spark, snaps, limit=0).count() == 0
 
 
+def test_latest_by_files_agrees(spark, tree):
+    from snaptally.sources import latest_snapshot_by_files
+
+    assert latest_snapshot_by_files(spark, f"{tree}/snaps").first().snapshot == "2015-04-29-00-00-00"
+
+
 def test_count_plan_single_exchange_per_level(spark, tree):
     df = snapshot_table_counts(spark, f"{tree}/snaps")
     plan = final_plan(df)
