@@ -95,12 +95,45 @@ def _has_data_file(spark: SparkSession, path: str) -> bool:
     if fs_path is None:
         return not list_files(spark, path, recursive=True).isEmpty()
     fs, p = fs_path
-    base = fs.makeQualified(p).toString().rstrip("/")
-    it = fs.listFiles(p, True)
+    return _has_file_below(fs, p, min_len=1)
+
+
+def has_input_files(spark: SparkSession, paths: Sequence[str], *, recursive: bool = False) -> bool | None:
+    """Whether a scan of ``paths`` (files, directories or globs) would find any
+    non-hidden file, answered with a few metadata calls that stop at the first
+    file found; ``None`` when the session has no file-system gateway.
+
+    A matched directory counts through the files directly inside it (at any
+    depth with ``recursive``), as in Spark's file sources.
+    """
+    for path in paths:
+        fs_path = _hadoop_fs(spark, path)
+        if fs_path is None:
+            return None
+        fs, p = fs_path
+        matches = fs.globStatus(p) or []
+        for st in matches:
+            if _hidden(st.getPath().getName()):
+                continue
+            if not st.isDirectory():
+                return True
+            if recursive:
+                if _has_file_below(fs, st.getPath()):
+                    return True
+            else:
+                for child in fs.listStatus(st.getPath()):
+                    if not child.isDirectory() and not _hidden(child.getPath().getName()):
+                        return True
+    return False
+
+
+def _has_file_below(fs, path, min_len: int = 0) -> bool:
+    base = fs.makeQualified(path).toString().rstrip("/")
+    it = fs.listFiles(path, True)
     while it.hasNext():
         st = it.next()
         rel = st.getPath().toString()[len(base):]
-        if st.getLen() > 0 and not any(_hidden(part) for part in rel.split("/") if part):
+        if st.getLen() >= min_len and not any(_hidden(part) for part in rel.split("/") if part):
             return True
     return False
 

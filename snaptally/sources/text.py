@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptally.functions.text import decode_path
+from snaptally.sources.listing import has_input_files
 
 FILE_PATH = "file_path"
 
@@ -32,16 +33,19 @@ def _read_text(spark: SparkSession, paths: list[str], recursive: bool, line_sep:
     )
 
 
-def require_input(df: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """Raise when a scan matched no file at all.
+def require_input(spark: SparkSession, df: DataFrame, paths: Sequence[str], recursive: bool = False) -> DataFrame:
+    """Raise when a scan matches no file at all.
 
     Spark reads a directory that holds only sub-directories, or a hidden
     path (``_x``, ``.x``), as zero rows without an error; a statistics job
-    must not report an empty table for a wrong path. The usual case costs one
-    small job that stops at the first line found; only when there is no line
-    at all is the scan's own file list consulted (then it is short or empty).
+    must not report an empty table for a wrong path. The check is a few file
+    system metadata calls that stop at the first file (no job, no file list);
+    without a file-system gateway a one-line probe job is used instead.
     """
-    if df.isEmpty() and not df.inputFiles():
+    found = has_input_files(spark, paths, recursive=recursive)
+    if found is None:
+        found = not df.isEmpty() or bool(df.inputFiles())
+    if not found:
         raise FileNotFoundError(
             f"no data file under {list(paths)}; a directory holding only sub-directories "
             "needs a deeper glob or recursive=True, and names starting with '_' or '.' are hidden"
@@ -72,7 +76,7 @@ def scan_lines(
     p = _paths(paths)
     df = _read_text(spark, p, recursive, line_sep)
     if require_files:
-        require_input(df, p)
+        require_input(spark, df, p, recursive)
     if with_path:
         return df.select("value", decode_path(F.col("_metadata.file_path")).alias(FILE_PATH))
     return df.select("value")
@@ -94,7 +98,7 @@ def scan_lines_raw_path(
     p = _paths(paths)
     df = _read_text(spark, p, recursive, line_sep)
     if require_files:
-        require_input(df, p)
+        require_input(spark, df, p, recursive)
     return df.select("value", F.col("_metadata.file_path").alias(FILE_PATH))
 
 
@@ -114,5 +118,5 @@ def scan_whole(
     p = _paths(paths)
     df = _read_text(spark, p, recursive, None, whole=True)
     if require_files:
-        require_input(df, p)
+        require_input(spark, df, p, recursive)
     return df.select(decode_path(F.col("_metadata.file_path")).alias(FILE_PATH), "value")
