@@ -44,13 +44,13 @@ _LENIENT_OPTIONS = {
 class ParsedLine:
     """Expressions of one parse of a line, in two steps.
 
-    ``first`` holds the expensive parse results, to be projected once per row
-    into the named hidden columns; ``record``, ``is_valid`` and ``table_raw``
+    ``first`` holds the expensive parse results as consecutive projections,
+    each adding named hidden columns (a later one may read an earlier one); ``record``, ``is_valid`` and ``table_raw``
     read only those columns. Keeping the steps in separate projections stops the optimizer
     from inlining (and so repeating) a parse into each expression that uses it.
     """
 
-    first: dict[str, Column]
+    first: list[dict[str, Column]]
     record: Column       # the object (VARIANT strict, MAP<STRING,STRING> lenient); NULL when bad
     is_valid: Column     # BOOLEAN, never NULL
     table_raw: Column    # JSON text of the ``~table`` value, NULL when absent or JSON null
@@ -74,20 +74,22 @@ def parse_line(col, lenient: bool = False) -> ParsedLine:
     obj = F.col(_OBJ)
     arr = F.col(_ARR)
     if not lenient:
-        first = {
-            _OBJ: F.try_parse_json(in_object),
-            _ARR: F.json_array_length(in_array),
-        }
+        # the array form is scanned only for lines whose object form parsed
+        # (a bad line then throws once inside the parser, not twice)
+        first = [
+            {_OBJ: F.try_parse_json(in_object)},
+            {_ARR: F.when(obj.isNotNull(), F.json_array_length(in_array))},
+        ]
         is_obj = F.try_variant_get(obj, "$.w", "struct<>").isNotNull()
         is_valid = F.coalesce((arr == 1) & is_obj, F.lit(False))
         record = F.try_variant_get(obj, "$.w", "variant")
         table_raw = F.try_variant_get(obj, '$.w["~table"]', "string")
         return ParsedLine(first, record, is_valid, table_raw)
 
-    first = {
+    first = [{
         _OBJ: F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS).getField("w"),
         _ARR: F.from_json(in_array, "array<map<string,string>>", _LENIENT_OPTIONS),
-    }
+    }]
     arr_ok = (F.size(arr) == 1) & arr.getItem(0).isNotNull()
     is_valid = F.coalesce(arr_ok & obj.isNotNull(), F.lit(False))
     return ParsedLine(first, obj, is_valid, obj.getItem(TABLE_FIELD))

@@ -54,7 +54,10 @@ def parse_records(
     p = parse_line(v, lenient=lenient)
     keep = [F.col(f"`{c}`") for c in lines.columns]
     # Three projections: parse once, decide validity once, derive the outputs.
-    parsed = lines.select(*keep, *[e.alias(n) for n, e in p.first.items()])
+    parsed, hidden = lines, []
+    for stage in p.first:
+        parsed = parsed.select(*keep, *[F.col(h) for h in hidden], *[e.alias(n) for n, e in stage.items()])
+        hidden += list(stage)
     decided = parsed.select(
         *keep,
         *([F.when(p.is_valid, p.record).alias(RECORD)] if keep_record else []),

@@ -36,6 +36,7 @@ from snaptally.operators.stats import (
 from snaptally.operators.words import contains_counts, word_count
 from snaptally.session import scratch_path
 from snaptally.sinks.writers import (
+    dataset_report,
     format_stat,
     read_stats,
     tee,
@@ -86,10 +87,14 @@ def _docs_by(col):
 
 
 def _pages_by_bucket(spark, sf_dir, path):
+    # one file per bucket, pages in page_id order inside it (the writer keeps
+    # an order that already satisfies its partitioning)
     pages = _table(spark, sf_dir, "pages")
     (
-        pages.select((F.col("page_id") % 10).alias("bucket"), "html")
+        pages.select((F.col("page_id") % 10).alias("bucket"), "page_id", "html")
         .repartition("bucket")
+        .sortWithinPartitions("bucket", "page_id")
+        .select("bucket", "html")
         .write.partitionBy("bucket")
         .text(path)
     )
@@ -163,6 +168,12 @@ def q_scan_line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_stats(scan_lines(spark, root))
 
 
+def q_dataset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "docs_text", _docs_text)
+    report = dataset_report(dataset_stats(scan_lines(spark, root)), "documents.text")
+    return spark.read.text(write_report(report, scratch_path(spark, "dataset-report")))
+
+
 def q_scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "docs_by_source", _docs_by("source"))
     st = path_stats(spark, f"{root}/source=src*/*")
@@ -186,6 +197,12 @@ def q_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.select(path_component(F.col(FILE_URI), -2).alias("table"), RECORD_COUNT, "fileSize")
 
 
+def q_file_stats_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "pages_by_bucket", _pages_by_bucket)
+    st = file_stats(spark, f"{root}/*/*", whole=True)
+    return st.select(path_component(F.col(FILE_URI), -2).alias("table"), RECORD_COUNT, "fileSize")
+
+
 def q_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "docs_by_lang", _docs_by("lang"))
     listing = write_parquet(list_files(spark, f"{root}/*/*"), scratch_path(spark, "file-list"))
@@ -299,9 +316,11 @@ def q_record_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_stats": q_table_stats,
     "scan_line_stats": q_scan_line_stats,
+    "dataset_report": q_dataset_report,
     "scan_glob": q_scan_glob,
     "path_stats": q_path_stats,
     "file_stats": q_file_stats,
+    "file_stats_whole": q_file_stats_whole,
     "list_files": q_list_files,
     "list_tables": q_list_tables,
     "latest_snapshot": q_latest_snapshot,
@@ -374,6 +393,12 @@ ORACLE_SQL: dict[str, str] = {
     "scan_line_stats": f"""
 SELECT CAST(count(*) AS BIGINT) AS recordCount, CAST(coalesce(sum({_u16('line')}), 0) AS BIGINT) AS tableSize
 FROM {_DOC_LINES} t""",
+    "dataset_report": f"""
+SELECT 'processing input file : documents.text' AS value
+UNION ALL
+SELECT 'total data set line recordCount : ' || CAST(count(*) AS VARCHAR) FROM {_DOC_LINES} t
+UNION ALL
+SELECT 'total data set byte size : ' || CAST(coalesce(sum({_u16('line')}), 0) AS VARCHAR) FROM {_DOC_LINES} t""",
     "scan_glob": f"""
 SELECT 'source=' || source AS "table", CAST(count(*) AS BIGINT) AS recordCount,
        CAST(sum({_u16('line')}) AS BIGINT) AS tableSize
@@ -387,6 +412,16 @@ SELECT 'bucket=' || CAST(page_id % 10 AS VARCHAR) AS "table",
        CAST(sum(len(string_split(html, chr(10)))) AS BIGINT) AS recordCount,
        CAST(sum({_u16('html')} + 1) AS BIGINT) AS fileSize
 FROM pages GROUP BY page_id % 10""",
+    "file_stats_whole": f"""
+WITH f AS (
+  SELECT page_id % 10 AS b, string_agg(html || chr(10), '' ORDER BY page_id) AS content
+  FROM pages GROUP BY page_id % 10)
+SELECT 'bucket=' || CAST(b AS VARCHAR) AS "table",
+       CAST(CASE WHEN content = '' THEN 1
+                 WHEN rtrim(content, chr(10)) = '' THEN 0
+                 ELSE len(string_split(rtrim(content, chr(10)), chr(10))) END AS BIGINT) AS recordCount,
+       CAST({_u16('content')} AS BIGINT) AS fileSize
+FROM f""",
     "list_files": """
 SELECT 'lang=' || lang AS "table", true AS hasFiles, CAST(sum(strlen(text) + 1) AS BIGINT) AS fileBytes
 FROM documents GROUP BY lang""",

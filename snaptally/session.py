@@ -34,14 +34,27 @@ def shared_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: nothing to register with
+        return _local_fallback()
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="snaptally-ckpt-"))
+    sc.setCheckpointDir(_local_fallback())
     return sc.getCheckpointDir().rstrip("/")
 
 
+_FALLBACK: list[str] = []
+
+
+def _local_fallback() -> str:
+    """One local folder per process, for sessions without a configured one."""
+    if not _FALLBACK:
+        _FALLBACK.append(tempfile.mkdtemp(prefix="snaptally-ckpt-"))
+    return _FALLBACK[0]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below :func:`shared_dir` for one written table."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
