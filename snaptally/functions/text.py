@@ -53,7 +53,7 @@ def java_split(col, sep: str = " ") -> Column:
     if len(sep) != 1:
         raise ValueError("java_split supports a one-character separator")
     c = as_col(col)
-    trimmed = F.rtrim(c, F.lit(sep)) if sep == " " else F.regexp_replace(c, _regex_escape(sep) + "+$", "")
+    trimmed = F.rtrim(c, F.lit(sep))
     return (
         F.when(c == F.lit(""), F.array(F.lit("")))
         .when(trimmed == F.lit(""), F.array().cast("array<string>"))

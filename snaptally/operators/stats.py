@@ -200,9 +200,13 @@ def snapshot_table_counts(
         return listing.withColumn(RECORD_COUNT, F.lit(0).cast("bigint"))
     lines = scan_lines_raw_path(spark, [p for _, p in tables], require_files=False)
     per_file = lines.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias(RECORD_COUNT))
-    per_table = per_file.groupBy(
-        path_component(parent_dir(decode_path(F.col(FILE_PATH))), -1).alias("table")
-    ).agg(F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT))
+    # The key is declared non-null: a nullable key would make the optimizer
+    # infer a not-null filter from the join and push it into the scan, where
+    # it would decode the path of every line instead of once per file.
+    table = F.coalesce(path_component(parent_dir(decode_path(F.col(FILE_PATH))), -1), F.lit(""))
+    per_table = per_file.groupBy(table.alias("table")).agg(
+        F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT)
+    )
     return listing.join(per_table, "table", "left").select(
         "table", FILE_URI, F.coalesce(F.col(RECORD_COUNT), F.lit(0).cast("bigint")).alias(RECORD_COUNT)
     )

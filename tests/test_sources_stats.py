@@ -157,3 +157,6 @@ def test_count_plan_single_exchange_per_level(spark, tree):
     plan = final_plan(df)
     assert plan.count("FileScan text") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    # paths are decoded once per file, after the aggregate, never in a row filter
+    assert "Filter" not in plan.split("FileScan text")[0].split("HashAggregate(keys=[file_path")[-1]
+    assert "UrlCodec" not in plan.split("HashAggregate(keys=[file_path")[-1]
