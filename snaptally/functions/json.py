@@ -60,13 +60,17 @@ _OBJ = "__snaptally_obj"
 _ARR = "__snaptally_arr"
 
 
-def parse_line(col, lenient: bool = False) -> ParsedLine:
+def parse_line(col, lenient: bool = False, trailing_check: bool = True) -> ParsedLine:
     """Build the validity test, the record and the raw table field of a line.
 
     Strict: the array wrapper is checked by ``json_array_length`` (a token
     scan that builds nothing; exactly one element), the object wrapper by one
     ``try_parse_json``; an object is recognised by a cast to an empty struct,
     which inspects no field.
+
+    ``trailing_check=False`` skips the array wrapper (one JSON pass instead of
+    two). It then also accepts an object followed by ``}…`` or by more
+    ``,"name":value`` members; use it only where such lines cannot occur.
     """
     v = as_col(col)
     in_array = F.concat(F.lit("["), v, F.lit("]"))
@@ -76,22 +80,25 @@ def parse_line(col, lenient: bool = False) -> ParsedLine:
     if not lenient:
         # the array form is scanned only for lines whose object form parsed
         # (a bad line then throws once inside the parser, not twice)
-        first = [
-            {_OBJ: F.try_parse_json(in_object)},
-            {_ARR: F.when(obj.isNotNull(), F.json_array_length(in_array))},
-        ]
+        first = [{_OBJ: F.try_parse_json(in_object)}]
         is_obj = F.try_variant_get(obj, "$.w", "struct<>").isNotNull()
-        is_valid = F.coalesce((arr == 1) & is_obj, F.lit(False))
+        if trailing_check:
+            first.append({_ARR: F.when(obj.isNotNull(), F.json_array_length(in_array))})
+            is_valid = F.coalesce((arr == 1) & is_obj, F.lit(False))
+        else:
+            is_valid = F.coalesce(is_obj, F.lit(False))
         record = F.try_variant_get(obj, "$.w", "variant")
         table_raw = F.try_variant_get(obj, '$.w["~table"]', "string")
         return ParsedLine(first, record, is_valid, table_raw)
 
-    first = [{
-        _OBJ: F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS).getField("w"),
-        _ARR: F.from_json(in_array, "array<map<string,string>>", _LENIENT_OPTIONS),
-    }]
-    arr_ok = (F.size(arr) == 1) & arr.getItem(0).isNotNull()
-    is_valid = F.coalesce(arr_ok & obj.isNotNull(), F.lit(False))
+    first = [{_OBJ: F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS).getField("w")}]
+    if trailing_check:
+        parsed_arr = F.from_json(in_array, "array<map<string,string>>", _LENIENT_OPTIONS)
+        first.append({_ARR: F.when(obj.isNotNull(), parsed_arr)})
+        arr_ok = (F.size(arr) == 1) & arr.getItem(0).isNotNull()
+        is_valid = F.coalesce(arr_ok & obj.isNotNull(), F.lit(False))
+    else:
+        is_valid = F.coalesce(obj.isNotNull(), F.lit(False))
     return ParsedLine(first, obj, is_valid, obj.getItem(TABLE_FIELD))
 
 

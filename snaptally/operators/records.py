@@ -29,6 +29,7 @@ def parse_records(
     unit: str = "utf16",
     checksum: bool = False,
     keep_record: bool = True,
+    trailing_check: bool = True,
 ) -> DataFrame:
     """Parse each line as one JSON object and add the record's intrinsics.
 
@@ -49,9 +50,13 @@ def parse_records(
     ``~checksum``     with ``checksum``: SHA-256 (hex) of the line.
 
     A bad line never fails the job; every line yields exactly one row.
+
+    ``trailing_check=False`` trades exactness for one JSON pass instead of
+    two: an object followed by ``}…`` or by extra ``,"name":value`` members is
+    then taken as good (see :func:`snaptally.functions.json.parse_line`).
     """
     v = F.col(value_col)
-    p = parse_line(v, lenient=lenient)
+    p = parse_line(v, lenient=lenient, trailing_check=trailing_check)
     keep = [F.col(f"`{c}`") for c in lines.columns]
     # Three projections: parse once, decide validity once, derive the outputs.
     parsed, hidden = lines, []

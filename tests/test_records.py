@@ -76,3 +76,16 @@ def test_extra_strict_cases(spark):
     df = spark.createDataFrame([(k,) for k in lines], "value string")
     got = {r.value: r.is_valid for r in parse_records(df).collect()}
     assert got == lines
+
+
+def test_fast_mode_differs_only_on_trailing_members(cases):
+    exact = {r.i: r.is_valid for r in parse_records(cases).collect()}
+    fast = {r.i: r.is_valid for r in parse_records(cases, trailing_check=False).collect()}
+    changed = sorted(i for i in exact if exact[i] != fast[i])
+    assert changed == [27, 28]  # '{…}}' and '{…},"z":1'
+    assert all(fast[i] for i in changed)
+
+
+def test_lenient_fast_mode_keeps_good_lines(cases):
+    fast = {r.i: r.is_valid for r in parse_records(cases, lenient=True, trailing_check=False).collect()}
+    assert fast[0] and fast[10] and not fast[2]
