@@ -23,7 +23,7 @@ from snaptally.functions.text import (
     text_length,
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
-from snaptally.sources.listing import list_dirs, resolve_latest
+from snaptally.sources.listing import list_dirs, qualify, resolve_latest
 from snaptally.sources.text import FILE_PATH, scan_lines_raw_path, scan_whole
 
 RECORD_COUNT = "recordCount"
@@ -106,18 +106,34 @@ def path_stats(
     All paths are read by ONE scan (never one job per path); each line is
     attributed to the directory of its file, which for directory inputs is the
     path as given (in the file system's qualified form, e.g. ``file:/…``).
-    Sizes exclude line breaks, as in :func:`dataset_stats`.
+    When every path is a plain directory (no glob, not recursive), each one
+    gets a row, with 0 and 0 when it holds no line. Sizes exclude line breaks,
+    as in :func:`dataset_stats`.
     """
-    per_file = _per_file(spark, paths, unit, recursive, None)
-    return (
-        per_file.groupBy(parent_dir(decode_path(F.col(FILE_PATH))).alias(PATH))
-        .agg(
-            F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT),
-            F.sum("chars").cast("bigint").alias(TABLE_SIZE),
-        )
+    plist = [paths] if isinstance(paths, str) else list(paths)
+    per_file = _per_file(spark, plist, unit, recursive, None)
+    # non-null key: a nullable one would let a join-inferred filter reach the scan
+    directory = F.coalesce(parent_dir(decode_path(F.col(FILE_PATH))), F.lit(""))
+    per_dir = per_file.groupBy(directory.alias(PATH)).agg(
+        F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT),
+        F.sum("chars").cast("bigint").alias(TABLE_SIZE),
+    )
+    given = None if recursive or any(_is_glob(p) for p in plist) else qualify(spark, plist)
+    if not given:
+        return per_dir
+    listing = spark.createDataFrame([(g,) for g in dict.fromkeys(given)], f"{PATH} string")
+    zero = F.lit(0).cast("bigint")
+    return listing.join(per_dir, PATH, "left").select(
+        PATH,
+        F.coalesce(F.col(RECORD_COUNT), zero).alias(RECORD_COUNT),
+        F.coalesce(F.col(TABLE_SIZE), zero).alias(TABLE_SIZE),
     )
 
 
+def _is_glob(path: str) -> bool:
+    return any(ch in path for ch in "*?[{")
+
+
 def table_record_count(records: DataFrame) -> DataFrame:
     """``tableName, recordCount`` from :func:`parse_records` output."""
     return records.groupBy(TABLE_NAME).agg(F.count(F.lit(1)).alias(RECORD_COUNT))

@@ -22,6 +22,7 @@ snapshot is the greatest directory name instead.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 
 from snaptally.functions.text import parent_dir, path_component
 
+_log = logging.getLogger(__name__)
+
 
 def list_files(
     spark: SparkSession,
@@ -79,15 +82,33 @@ def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     fs, p = fs_path
     if not fs.exists(p):
         raise FileNotFoundError(path)
-    out = []
+    out, plain = [], []
     for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if _hidden(name):
+            continue
         if st.isDirectory():
-            name = st.getPath().getName()
-            if not _hidden(name):
-                out.append((name, st.getPath().toString()))
+            out.append((name, st.getPath().toString()))
+        else:
+            plain.append(name)
+    if plain:
+        _log.warning("plain files beside the directories of %s are not tables: %s", path, plain[:10])
     return sorted(out)
 
 
+def qualify(spark: SparkSession, paths: Sequence[str]) -> list[str] | None:
+    """Fully qualified form of plain (non-glob) paths, as Spark reports file
+    paths (``file:/…``, ``s3a://…``); ``None`` without a file-system gateway."""
+    out = []
+    for path in paths:
+        fs_path = _hadoop_fs(spark, path)
+        if fs_path is None:
+            return None
+        fs, p = fs_path
+        out.append(fs.makeQualified(p).toString().rstrip("/"))
+    return out
+
+
 def _has_data_file(spark: SparkSession, path: str) -> bool:
     """True when a non-hidden, non-empty file exists somewhere below ``path``;
     stops at the first one found."""

@@ -105,6 +105,12 @@ def test_path_stats_one_scan(spark, tree):
     df = path_stats(spark, [f"{root}/t1", f"{root}/t2"])
     got = {os.path.basename(r.path): (r.recordCount, r.tableSize) for r in df.collect()}
     assert got == {"t1": (4, 4), "t2": (2, 0)}
+    # a given directory without any line still gets its row
+    os.makedirs(f"{root}/t3", exist_ok=True)
+    write_file(f"{root}/t3/empty", b"")
+    got = {os.path.basename(r.path): r.recordCount
+           for r in path_stats(spark, [f"{root}/t1", f"{root}/t3"]).collect()}
+    assert got == {"t1": 4, "t3": 0}
     # one scan node for all paths
     plan = final_plan(df)
     assert plan.count("FileScan text") == 1
