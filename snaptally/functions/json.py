@@ -2,14 +2,16 @@
 
 A line is a *good record* when the whole line (outer white space aside) is
 exactly one JSON object. Spark's parsers stop after the first complete value
-and ignore what follows, so the line is parsed inside two different wrappers:
+and ignore what follows, so the line is read inside two different wrappers:
 
-* ``[`` line ``]``        must parse (rejects an extra ``}`` or ``,"k":v``);
 * ``{"w":`` line ``}``    must parse and its ``w`` must be an object
-                          (rejects an extra ``]`` or ``,v``).
+                          (rejects an extra ``]`` or ``,v``);
+* ``[`` line ``]``        must be an array of exactly one element
+                          (rejects an extra ``}`` or ``,"k":v``).
 
 Text that closes one wrapper early cannot close the other one, so requiring
-both leaves no gap (see the tests for every case). Strict mode uses
+both leaves no gap (tests cover every case, and a property test compares with
+an independent validator). Strict mode uses
 ``try_parse_json`` (VARIANT: strict grammar, duplicate keys rejected);
 lenient mode uses ``from_json`` with single quotes, ``NaN`` and bare field
 names allowed and duplicate keys kept (last wins).
@@ -28,8 +30,10 @@ from snaptally.functions._cols import as_col
 # records that do not name one.
 TABLE_FIELD = "~table"
 RECORD_SIZE_FIELD = "~recordSize"
-CHECKSUM_FIELD = "~checksum"
 UNKNOWN_TABLE = "unknown"
+
+# Our own names: the checksum intrinsic and the error code of a bad line.
+CHECKSUM_FIELD = "~checksum"
 ERROR_CODE = "MALFORMED_JSON"
 
 _LENIENT_OPTIONS = {
@@ -42,12 +46,13 @@ _LENIENT_OPTIONS = {
 
 @dataclass(frozen=True)
 class ParsedLine:
-    """Expressions of one parse of a line, in two steps.
+    """Expressions of one parse of a line, in steps.
 
     ``first`` holds the expensive parse results as consecutive projections,
-    each adding named hidden columns (a later one may read an earlier one); ``record``, ``is_valid`` and ``table_raw``
-    read only those columns. Keeping the steps in separate projections stops the optimizer
-    from inlining (and so repeating) a parse into each expression that uses it.
+    each adding named hidden columns (a later one may read an earlier one);
+    ``record``, ``is_valid`` and ``table_raw`` read only those columns. Separate
+    projections stop the optimizer from inlining (and so repeating) a parse in
+    every expression that uses it.
     """
 
     first: list[dict[str, Column]]

@@ -38,7 +38,7 @@ def text_length(col, unit: str = "utf16") -> Column:
     # only when bytes exceed chars by 3 per such point can they exist at all.
     utf16 = F.when(
         n_bytes - n_chars < F.lit(3), n_chars
-    ).otherwise(F.floor(F.octet_length(F.encode(c, "UTF-16BE")) / 2))
+    ).otherwise(F.shiftright(F.octet_length(F.encode(c, "UTF-16BE")), 1))
     return utf16.cast("bigint")
 
 

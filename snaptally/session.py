@@ -28,8 +28,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared working folder: ``spark.checkpoint.dir``.
 
-    It is read from the session. Only when none is configured (local tests)
-    a fresh local folder is created and registered as the checkpoint folder.
+    It is read from the session. Only a local session (tests) without one gets
+    a fresh local folder, registered as its checkpoint folder; on a cluster a
+    missing setting is an error, since executors cannot share a local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -41,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     sc.setCheckpointDir(_local_fallback())
     return sc.getCheckpointDir().rstrip("/")
 

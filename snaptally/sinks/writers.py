@@ -49,9 +49,9 @@ def format_stat(stats: DataFrame, key: str = "path") -> DataFrame:
 
 
 def write_report(lines: DataFrame, directory: str, *, single_file: bool = True) -> str:
-    """Write report lines as text. A report is a handful of lines, so it is
-    written as one file to keep the line order; pass ``single_file=False``
-    for a large result."""
+    """Write report lines as text. A report is a handful of lines (one per
+    dataset, path or table, after an aggregate), so it is written as one file
+    to keep the line order; pass ``single_file=False`` for a large result."""
     df = lines.coalesce(1) if single_file else lines
     df.write.mode("errorifexists").text(directory)
     return directory
