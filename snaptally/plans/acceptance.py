@@ -114,6 +114,14 @@ def _events_snapshots(spark, sf_dir, path):
 
 
 def _events_json(spark, sf_dir, path):
+    _write_event_lines(spark, sf_dir, path, single_quoted=False)
+
+
+def _events_json_quoted(spark, sf_dir, path):
+    _write_event_lines(spark, sf_dir, path, single_quoted=True)
+
+
+def _write_event_lines(spark, sf_dir, path, single_quoted: bool):
     ev = _table(spark, sf_dir, "events")
     i = F.col("event_id")
     base = F.when(
@@ -126,9 +134,10 @@ def _events_json(spark, sf_dir, path):
         .when(i % 7 == 0, F.expr("substr(base, 1, length(base) - 3)"))
         .when(i % 13 == 0, F.concat(F.col("base"), F.lit(" x")))
         .when(i % 17 == 0, F.concat(F.lit("["), F.col("base"), F.lit("]")))
-        .when(i % 19 == 0, F.concat(F.lit(" "), F.col("base"), F.lit(" ")))
-        .otherwise(F.col("base"))
     )
+    if single_quoted:  # good only for a lenient reader
+        line = line.when(i % 23 == 0, F.translate(F.col("base"), '"', "'"))
+    line = line.when(i % 19 == 0, F.concat(F.lit(" "), F.col("base"), F.lit(" "))).otherwise(F.col("base"))
     _parts(spark, ev.select("event_id", base.alias("base")).select(line.alias("value"))).write.text(path)
 
 
@@ -256,6 +265,11 @@ def q_table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_stats(_event_records(spark, sf_dir, keep_record=False))
 
 
+def q_table_stats_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "events_json_quoted", _events_json_quoted)
+    return table_stats(parse_records(scan_lines(spark, root), lenient=True, keep_record=False))
+
+
 def q_table_stats_by_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "part_json", _part_json)
     stats = table_stats(parse_records(scan_lines(spark, root), keep_record=False))
@@ -329,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "record_size": q_record_size,
     "table_record_count": q_table_record_count,
     "table_size": q_table_size,
+    "table_stats_lenient": q_table_stats_lenient,
     "table_stats_by_initial": q_table_stats_by_initial,
     "merge_stats": q_merge_stats,
     "stats_json_roundtrip": q_stats_json_roundtrip,
@@ -388,6 +403,28 @@ _TABLE_STATS_SQL = _EVENT_RECORDS + """
 SELECT tableName, CAST(count(*) AS BIGINT) AS recordCount, CAST(sum(size) AS BIGINT) AS tableSize
 FROM r GROUP BY tableName"""
 
+_LENIENT_STATS_SQL = """
+WITH b AS (
+  SELECT event_id AS id, event_type,
+    CASE WHEN event_id % 5 = 0 THEN '{"id":' || CAST(event_id AS VARCHAR) || '}'
+         ELSE '{"~table":"' || event_type || '","id":' || CAST(event_id AS VARCHAR) || '}' END AS base
+  FROM events),
+l AS (
+  SELECT id, event_type,
+    CASE WHEN id % 11 = 0 THEN ''
+         WHEN id % 7 = 0 THEN substr(base, 1, length(base) - 3)
+         WHEN id % 13 = 0 THEN base || ' x'
+         WHEN id % 17 = 0 THEN '[' || base || ']'
+         WHEN id % 23 = 0 THEN replace(base, '"', chr(39))
+         WHEN id % 19 = 0 THEN ' ' || base || ' '
+         ELSE base END AS line,
+    NOT (id % 11 = 0 OR id % 7 = 0 OR id % 13 = 0 OR id % 17 = 0) AS is_valid
+  FROM b)
+SELECT CASE WHEN is_valid AND id % 5 <> 0 THEN event_type ELSE 'unknown' END AS tableName,
+       CAST(count(*) AS BIGINT) AS recordCount,
+       CAST(sum(CASE WHEN is_valid THEN LEN16 ELSE 0 END) AS BIGINT) AS tableSize
+FROM l GROUP BY 1""".replace("LEN16", _u16("line"))
+
 ORACLE_SQL: dict[str, str] = {
     "table_stats": _TABLE_STATS_SQL,
     "scan_line_stats": f"""
@@ -440,6 +477,7 @@ SELECT tableName, size AS recordSize, CAST(count(*) AS BIGINT) AS recordCount FR
 SELECT tableName, CAST(count(*) AS BIGINT) AS recordCount FROM r GROUP BY tableName""",
     "table_size": _EVENT_RECORDS + """
 SELECT tableName, CAST(sum(size) AS BIGINT) AS tableSize FROM r GROUP BY tableName""",
+    "table_stats_lenient": _LENIENT_STATS_SQL,
     "table_stats_by_initial": """
 WITH l AS (
   SELECT CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type END AS t,
