@@ -96,15 +96,18 @@ def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     return sorted(out)
 
 
-def qualify(spark: SparkSession, paths: Sequence[str]) -> list[str] | None:
-    """Fully qualified form of plain (non-glob) paths, as Spark reports file
-    paths (``file:/…``, ``s3a://…``); ``None`` without a file-system gateway."""
+def qualify_dirs(spark: SparkSession, paths: Sequence[str]) -> list[str] | None:
+    """Fully qualified form of plain paths, as Spark reports file paths
+    (``file:/…``, ``s3a://…``), when every one is an existing directory;
+    ``None`` otherwise or without a file-system gateway."""
     out = []
     for path in paths:
         fs_path = _hadoop_fs(spark, path)
         if fs_path is None:
             return None
         fs, p = fs_path
+        if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+            return None
         out.append(fs.makeQualified(p).toString().rstrip("/"))
     return out
 

@@ -111,6 +111,9 @@ def test_path_stats_one_scan(spark, tree):
     got = {os.path.basename(r.path): r.recordCount
            for r in path_stats(spark, [f"{root}/t1", f"{root}/t3"]).collect()}
     assert got == {"t1": 4, "t3": 0}
+    # a file given as a path: its lines count for its directory
+    got = {os.path.basename(r.path): r.recordCount for r in path_stats(spark, [f"{root}/t1/p0"]).collect()}
+    assert got == {"t1": 3}
     # one scan node for all paths
     plan = final_plan(df)
     assert plan.count("FileScan text") == 1
