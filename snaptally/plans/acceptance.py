@@ -13,12 +13,13 @@ produce identical text (no float or timestamp formatting involved).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaptally.functions.text import path_component
+from snaptally.functions.text import path_component, text_length
 from snaptally.operators.records import IS_VALID, ERROR, TABLE_NAME, parse_records, record_size_or_zero
 from snaptally.operators.stats import (
     FILE_URI,
@@ -48,6 +49,7 @@ from snaptally.sinks.writers import (
 from snaptally.sources.json import read_json, read_parquet
 from snaptally.sources.listing import latest_snapshot, list_files, list_tables
 from snaptally.sources.text import scan_lines
+from snaptally.streaming.table_stats_stream import start_table_stats
 
 # --------------------------------------------------------------------------
 # Staged inputs (written once per session and test-data folder)
@@ -212,6 +214,15 @@ def q_file_stats_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.select(path_component(F.col(FILE_URI), -2).alias("table"), RECORD_COUNT, "fileSize")
 
 
+def q_line_size_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "pages_by_bucket", _pages_by_bucket)
+    v = F.col("value")
+    return scan_lines(spark, f"{root}/*/*").agg(
+        F.count(F.lit(1)).alias(RECORD_COUNT),
+        *[F.sum(text_length(v, u)).cast("bigint").alias(f"{u}Size") for u in ("utf16", "chars", "bytes")],
+    )
+
+
 def q_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "docs_by_lang", _docs_by("lang"))
     listing = write_parquet(list_files(spark, f"{root}/*/*"), scratch_path(spark, "file-list"))
@@ -270,6 +281,15 @@ def q_table_stats_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_stats(parse_records(scan_lines(spark, root), lenient=True, keep_record=False))
 
 
+def q_table_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "events_json", _events_json)
+    name = "table_stats_" + uuid.uuid4().hex[:12]
+    q = start_table_stats(spark, root, query_name=name, checkpoint=scratch_path(spark, "stream-ckpt"),
+                          available_now=True)
+    q.awaitTermination()
+    return spark.table(name)
+
+
 def q_table_stats_by_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "part_json", _part_json)
     stats = table_stats(parse_records(scan_lines(spark, root), keep_record=False))
@@ -335,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "path_stats": q_path_stats,
     "file_stats": q_file_stats,
     "file_stats_whole": q_file_stats_whole,
+    "line_size_units": q_line_size_units,
     "list_files": q_list_files,
     "list_tables": q_list_tables,
     "latest_snapshot": q_latest_snapshot,
@@ -344,6 +365,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_record_count": q_table_record_count,
     "table_size": q_table_size,
     "table_stats_lenient": q_table_stats_lenient,
+    "table_stats_stream": q_table_stats_stream,
     "table_stats_by_initial": q_table_stats_by_initial,
     "merge_stats": q_merge_stats,
     "stats_json_roundtrip": q_stats_json_roundtrip,
@@ -459,6 +481,12 @@ SELECT 'bucket=' || CAST(b AS VARCHAR) AS "table",
                  ELSE len(string_split(rtrim(content, chr(10)), chr(10))) END AS BIGINT) AS recordCount,
        CAST({_u16('content')} AS BIGINT) AS fileSize
 FROM f""",
+    "line_size_units": f"""
+SELECT CAST(count(*) AS BIGINT) AS recordCount,
+       CAST(sum({_u16('line')}) AS BIGINT) AS utf16Size,
+       CAST(sum(length(line)) AS BIGINT) AS charsSize,
+       CAST(sum(strlen(line)) AS BIGINT) AS bytesSize
+FROM (SELECT unnest(string_split(html, chr(10))) AS line FROM pages) t""",
     "list_files": """
 SELECT 'lang=' || lang AS "table", true AS hasFiles, CAST(sum(strlen(text) + 1) AS BIGINT) AS fileBytes
 FROM documents GROUP BY lang""",
@@ -478,6 +506,7 @@ SELECT tableName, CAST(count(*) AS BIGINT) AS recordCount FROM r GROUP BY tableN
     "table_size": _EVENT_RECORDS + """
 SELECT tableName, CAST(sum(size) AS BIGINT) AS tableSize FROM r GROUP BY tableName""",
     "table_stats_lenient": _LENIENT_STATS_SQL,
+    "table_stats_stream": _TABLE_STATS_SQL,
     "table_stats_by_initial": """
 WITH l AS (
   SELECT CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type END AS t,

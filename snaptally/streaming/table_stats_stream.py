@@ -5,6 +5,10 @@ so they apply unchanged to a streaming DataFrame: each new file is parsed once,
 and the running count and size per table live in the aggregation state (one
 row per table, whatever the number of records). A dump that grows therefore
 never has to be re-read from the start.
+
+The running result is kept by Spark's in-memory sink in complete mode, as a
+temporary view named after the query: one row per table, no Python callback.
+Publish it with an ordinary batch write (:func:`snaptally.sinks.write_stats`).
 """
 
 from __future__ import annotations
@@ -37,28 +41,29 @@ def table_stats_stream(
 def start_table_stats(
     spark: SparkSession,
     input_dir: str,
-    output_dir: str,
     *,
+    query_name: str = "table_stats",
     checkpoint: str | None = None,
     available_now: bool = False,
     processing_time: str | None = None,
     **kw,
 ) -> StreamingQuery:
-    """Run :func:`table_stats_stream` and rewrite ``output_dir`` (JSON lines)
-    with the full current statistics after every micro-batch.
+    """Run :func:`table_stats_stream`; the current statistics are readable as
+    ``spark.table(query_name)`` after every micro-batch.
 
-    The query's progress and state are kept under ``checkpoint`` (default: a
-    folder below ``spark.checkpoint.dir``), so a restarted query resumes
-    without counting any file twice. ``available_now`` processes what is there
-    and stops.
+    Progress and aggregation state are kept under ``checkpoint`` (default: a
+    folder below ``spark.checkpoint.dir``), so a restarted query resumes from
+    the files not yet counted, with the totals so far. ``available_now``
+    processes what is there and stops.
     """
-    ckpt = checkpoint or f"{shared_dir(spark)}/table-stats-stream"
-
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").json(output_dir)
-
-    w = table_stats_stream(spark, input_dir, **kw).writeStream.outputMode("complete")
-    w = w.option("checkpointLocation", ckpt).foreachBatch(publish)
+    ckpt = checkpoint or f"{shared_dir(spark)}/{query_name}-stream"
+    w = (
+        table_stats_stream(spark, input_dir, **kw)
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName(query_name)
+        .option("checkpointLocation", ckpt)
+    )
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:

@@ -1,22 +1,20 @@
-import json
-
 from conftest import write_file
 from snaptally.streaming import start_table_stats
 
 
-def _stats(spark, path):
-    return {d["tableName"]: (d["recordCount"], d["tableSize"])
-            for d in (json.loads(r.value) for r in spark.read.text(path).collect())}
+def _stats(spark, name):
+    return {r.tableName: (r.recordCount, r.tableSize) for r in spark.table(name).collect()}
 
 
 def test_stream_accumulates_across_files(spark, tmp_path):
-    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src, ckpt = str(tmp_path / "in"), str(tmp_path / "ckpt")
     write_file(f"{src}/p0", '{"~table":"t"}\nbad\n')
-    q = start_table_stats(spark, src, out, checkpoint=ckpt, available_now=True)
+    q = start_table_stats(spark, src, query_name="ts_a", checkpoint=ckpt, available_now=True)
     q.awaitTermination(120)
-    assert _stats(spark, out) == {"t": (1, 14), "unknown": (1, 0)}
-    # a new part file arrives: only it is read, the totals carry over
+    assert _stats(spark, "ts_a") == {"t": (1, 14), "unknown": (1, 0)}
+    # a new part file arrives: only it is read, the totals carry over from the state
     write_file(f"{src}/p1", '{"~table":"t","a":1}\n')
-    q = start_table_stats(spark, src, out, checkpoint=ckpt, available_now=True)
+    q = start_table_stats(spark, src, query_name="ts_b", checkpoint=ckpt, available_now=True)
     q.awaitTermination(120)
-    assert _stats(spark, out) == {"t": (2, 34), "unknown": (1, 0)}
+    assert _stats(spark, "ts_b") == {"t": (2, 34), "unknown": (1, 0)}
+    assert q.lastProgress["numInputRows"] == 1
