@@ -24,11 +24,12 @@ from snaptally.functions.text import (
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
 from snaptally.sources.listing import list_dirs, qualify_dirs, resolve_latest
-from snaptally.sources.text import FILE_PATH, scan_lines_raw_path, scan_whole
+from snaptally.sources.text import FILE_BYTES, FILE_PATH, scan_lines_raw_path, scan_whole
 
 RECORD_COUNT = "recordCount"
 TABLE_SIZE = "tableSize"
 FILE_SIZE = "fileSize"
+FILE_BYTES_OUT = "fileBytes"
 FILE_URI = "fileURI"
 PATH = "path"
 INITIAL = "initial"
@@ -56,6 +57,7 @@ def _per_file(spark: SparkSession, paths, unit: str, recursive: bool, line_sep:
     return lines.groupBy(FILE_PATH).agg(
         F.count(F.lit(1)).alias(RECORD_COUNT),
         _sum0(text_length(F.col("value"), unit)).alias("chars"),
+        F.max(FILE_BYTES).alias(FILE_BYTES),
     )
 
 
@@ -67,11 +69,12 @@ def file_stats(
     recursive: bool = False,
     whole: bool = False,
 ) -> DataFrame:
-    """Per file: ``fileURI, recordCount, fileSize``.
+    """Per file: ``fileURI, recordCount, fileSize, fileBytes``.
 
     Records are the ``\\n``-separated pieces of the file (a ``\\r`` stays in
     its record). ``fileSize`` is the length of the file in ``unit`` with line
-    breaks, counting a break after every record.
+    breaks, counting a break after every record; ``fileBytes`` is the exact
+    size of the file from the scan's own metadata (no extra read).
 
     The default reads files as splittable lines, so a large file is processed
     by many tasks; it keeps blank lines at the end of a file. ``whole=True``
@@ -85,12 +88,14 @@ def file_stats(
             F.col(FILE_PATH).alias(FILE_URI),
             F.size(java_split(F.col("value"), "\n")).cast("bigint").alias(RECORD_COUNT),
             text_length(F.col("value"), unit).alias(FILE_SIZE),
+            F.col(FILE_BYTES).alias(FILE_BYTES_OUT),
         )
     per_file = _per_file(spark, paths, unit, recursive, "\n")
     return per_file.select(
         decode_path(F.col(FILE_PATH)).alias(FILE_URI),
         F.col(RECORD_COUNT),
         (F.col("chars") + F.col(RECORD_COUNT)).alias(FILE_SIZE),
+        F.col(FILE_BYTES).alias(FILE_BYTES_OUT),
     )
 
 

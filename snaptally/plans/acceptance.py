@@ -205,13 +205,13 @@ def q_path_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "pages_by_bucket", _pages_by_bucket)
     st = file_stats(spark, f"{root}/*/*")
-    return st.select(path_component(F.col(FILE_URI), -2).alias("table"), RECORD_COUNT, "fileSize")
+    return st.select(path_component(F.col(FILE_URI), -2).alias("table"), RECORD_COUNT, "fileSize", "fileBytes")
 
 
 def q_file_stats_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "pages_by_bucket", _pages_by_bucket)
     st = file_stats(spark, f"{root}/*/*", whole=True)
-    return st.select(path_component(F.col(FILE_URI), -2).alias("table"), RECORD_COUNT, "fileSize")
+    return st.select(path_component(F.col(FILE_URI), -2).alias("table"), RECORD_COUNT, "fileSize", "fileBytes")
 
 
 def q_line_size_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -469,7 +469,8 @@ FROM {_DOC_LINES_BY.format(c='lang')} t GROUP BY lang""",
     "file_stats": f"""
 SELECT 'bucket=' || CAST(page_id % 10 AS VARCHAR) AS "table",
        CAST(sum(len(string_split(html, chr(10)))) AS BIGINT) AS recordCount,
-       CAST(sum({_u16('html')} + 1) AS BIGINT) AS fileSize
+       CAST(sum({_u16('html')} + 1) AS BIGINT) AS fileSize,
+       CAST(sum(strlen(html) + 1) AS BIGINT) AS fileBytes
 FROM pages GROUP BY page_id % 10""",
     "file_stats_whole": f"""
 WITH f AS (
@@ -479,7 +480,8 @@ SELECT 'bucket=' || CAST(b AS VARCHAR) AS "table",
        CAST(CASE WHEN content = '' THEN 1
                  WHEN rtrim(content, chr(10)) = '' THEN 0
                  ELSE len(string_split(rtrim(content, chr(10)), chr(10))) END AS BIGINT) AS recordCount,
-       CAST({_u16('content')} AS BIGINT) AS fileSize
+       CAST({_u16('content')} AS BIGINT) AS fileSize,
+       CAST(strlen(content) AS BIGINT) AS fileBytes
 FROM f""",
     "line_size_units": f"""
 SELECT CAST(count(*) AS BIGINT) AS recordCount,

@@ -11,6 +11,7 @@ from snaptally.functions.text import decode_path
 from snaptally.sources.listing import has_input_files
 
 FILE_PATH = "file_path"
+FILE_BYTES = "file_bytes"
 
 
 def _paths(paths) -> list[str]:
@@ -90,7 +91,8 @@ def scan_lines_raw_path(
     line_sep: str | None = None,
     require_files: bool = True,
 ) -> DataFrame:
-    """As :func:`scan_lines` with the still-encoded ``_metadata.file_path``.
+    """As :func:`scan_lines` with the still-encoded ``_metadata.file_path`` and
+    the file's size in bytes (``file_bytes``).
 
     The metadata value is constant within a file; grouping by it and decoding
     after the aggregation keeps the per-row work to a hash of the path.
@@ -99,7 +101,9 @@ def scan_lines_raw_path(
     df = _read_text(spark, p, recursive, line_sep)
     if require_files:
         require_input(spark, df, p, recursive)
-    return df.select("value", F.col("_metadata.file_path").alias(FILE_PATH))
+    return df.select(
+        "value", F.col("_metadata.file_path").alias(FILE_PATH), F.col("_metadata.file_size").alias(FILE_BYTES)
+    )
 
 
 def scan_whole(
@@ -109,7 +113,8 @@ def scan_whole(
     recursive: bool = False,
     require_files: bool = True,
 ) -> DataFrame:
-    """One row per file: ``file_path`` (decoded) and its whole ``value``.
+    """One row per file: ``file_path`` (decoded), its whole ``value`` and its
+    size in bytes (``file_bytes``).
 
     Each file becomes one row held in memory at once, so this suits only files
     well below the 2 GB string limit; prefer :func:`scan_lines`. Zero-byte files
@@ -119,4 +124,7 @@ def scan_whole(
     df = _read_text(spark, p, recursive, None, whole=True)
     if require_files:
         require_input(spark, df, p, recursive)
-    return df.select(decode_path(F.col("_metadata.file_path")).alias(FILE_PATH), "value")
+    return df.select(
+        decode_path(F.col("_metadata.file_path")).alias(FILE_PATH), "value",
+        F.col("_metadata.file_size").alias(FILE_BYTES),
+    )

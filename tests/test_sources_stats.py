@@ -93,6 +93,9 @@ def test_file_stats_lines_and_whole(spark, tree):
              for r in file_stats(spark, f"{root}/*/*", whole=True).collect()}
     # JVM split drops trailing empty records: "\n\n" has none
     assert whole == {"t1/p0": (2, 7), "t1/p1": (1, 2), "t2/p1": (0, 2)}
+    for mode in (False, True):
+        sizes = sorted(r.fileBytes for r in file_stats(spark, f"{root}/*/*", whole=mode).collect())
+        assert sizes == [2, 2, 7]  # exact bytes, from the scan's own metadata
 
 
 def test_scan_whole(spark, tree):
