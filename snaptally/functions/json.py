@@ -107,6 +107,37 @@ def parse_line(col, lenient: bool = False, trailing_check: bool = True) -> Parse
     return ParsedLine(first, obj, is_valid, obj.getItem(TABLE_FIELD))
 
 
+def variant_schema_to_ddl(schema: str) -> str:
+    """Turn a merged record schema (``schema_of_variant_agg``) into a Spark
+    type: ``OBJECT<…>`` becomes ``STRUCT<…>`` and an always-null ``VOID`` field
+    becomes ``STRING``; back-quoted field names are left as they are. Fields
+    whose types conflict across records are ``VARIANT`` already."""
+    out, i, n = [], 0, len(schema)
+    while i < n:
+        ch = schema[i]
+        if ch == "`":  # quoted name: copy through its closing quote (`` is an escaped quote)
+            j = i + 1
+            while j < n:
+                if schema[j] == "`" and (j + 1 >= n or schema[j + 1] != "`"):
+                    break
+                j += 2 if schema[j] == "`" else 1
+            out.append(schema[i:j + 1])
+            i = j + 1
+            continue
+        if ch.isalpha() or ch == "_":
+            j = i
+            while j < n and (schema[j].isalnum() or schema[j] == "_"):
+                j += 1
+            word = schema[i:j]
+            is_type = j >= n or schema[j] != ":"  # a bare field name is followed by ':'
+            out.append({"OBJECT": "STRUCT", "VOID": "STRING"}.get(word, word) if is_type else word)
+            i = j
+            continue
+        out.append(ch)
+        i += 1
+    return "".join(out)
+
+
 def table_key(table_raw: Column) -> Column:
     """Table name of a record: the ``~table`` value, ``unknown`` when missing,
     JSON null or the record is bad. A non-string value keeps its JSON text."""

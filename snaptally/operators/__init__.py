@@ -7,6 +7,7 @@ from snaptally.operators.records import (
     TABLE_NAME,
     parse_records,
     record_size_or_zero,
+    typed_records,
 )
 from snaptally.operators.stats import (
     FILE_SIZE,
@@ -31,7 +32,7 @@ from snaptally.operators.stats import (
 from snaptally.operators.words import COUNT, WORD, contains_counts, split_words, word_count
 
 __all__ = [
-    "ERROR", "IS_VALID", "RECORD", "TABLE_NAME", "parse_records", "record_size_or_zero",
+    "ERROR", "IS_VALID", "RECORD", "TABLE_NAME", "parse_records", "record_size_or_zero", "typed_records",
     "FILE_SIZE", "FILE_URI", "INITIAL", "MISSING", "OTHER_INITIAL", "PATH", "RECORD_COUNT",
     "TABLE_SIZE", "dataset_stats", "file_stats", "initial_of", "merge_stats", "path_stats",
     "snapshot_table_counts", "table_record_count", "table_size", "table_stats", "with_initial",

@@ -11,6 +11,7 @@ from snaptally.functions.json import (
     RECORD_SIZE_FIELD,
     parse_line,
     table_key,
+    variant_schema_to_ddl,
 )
 from snaptally.functions.text import text_length
 
@@ -86,3 +87,25 @@ def parse_records(
 def record_size_or_zero(col: str = RECORD_SIZE_FIELD):
     """Size used by the statistics: the record size, 0 for a bad line."""
     return F.coalesce(F.col(f"`{col}`"), F.lit(0).cast("bigint"))
+
+
+def typed_records(records: DataFrame, record_col: str = RECORD) -> DataFrame:
+    """The good records of :func:`parse_records` (strict mode) as typed columns.
+
+    The schema is merged by Spark over all good records in one distributed
+    pass (``schema_of_variant_agg``; only the schema string reaches the
+    driver), then every record is cast to it. Bad lines, duplicate keys
+    included, never reach the inference, so the result can always be written
+    to Parquet. A field whose type differs between records stays VARIANT.
+    Field names equal except for case raise, as Parquet columns would collide.
+    """
+    from snaptally.sources.json import check_column_names
+
+    good = records.where(F.col(IS_VALID)).select(record_col)
+    merged = good.agg(F.schema_of_variant_agg(record_col).alias("s")).first()
+    if merged is None or merged["s"] is None:
+        return good.limit(0)
+    ddl = variant_schema_to_ddl(merged["s"])
+    typed = good.select(F.try_variant_get(F.col(record_col), "$", ddl).alias("r")).select("r.*")
+    check_column_names(typed)
+    return typed

@@ -20,7 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptally.functions.text import path_component, text_length
-from snaptally.operators.records import IS_VALID, ERROR, TABLE_NAME, parse_records, record_size_or_zero
+from snaptally.operators.records import (
+    ERROR,
+    IS_VALID,
+    TABLE_NAME,
+    parse_records,
+    record_size_or_zero,
+    typed_records,
+)
 from snaptally.operators.stats import (
     FILE_URI,
     RECORD_COUNT,
@@ -333,6 +340,15 @@ def q_json_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_records_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "events_props_json", _events_props_json)
+    typed = typed_records(parse_records(scan_lines(spark, root)))
+    t = read_parquet(spark, write_parquet(typed, scratch_path(spark, "records-parquet")))
+    return t.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias(RECORD_COUNT), F.sum("k").cast("bigint").alias("k_sum")
+    )
+
+
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(_table(spark, sf_dir, "documents"), "text")
 
@@ -372,6 +388,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_report": q_text_report,
     "tee_roundtrip": q_tee_roundtrip,
     "json_to_parquet": q_json_to_parquet,
+    "records_to_parquet": q_records_to_parquet,
     "word_count": q_word_count,
     "contains_counts": q_contains_counts,
     "record_checksum": q_record_checksum,
@@ -535,6 +552,10 @@ FROM r GROUP BY is_valid, tableName""",
     "json_to_parquet": """
 SELECT event_type, CAST(count(*) AS BIGINT) AS recordCount,
        CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum
+FROM events GROUP BY event_type""",
+    "records_to_parquet": """
+SELECT event_type, CAST(count(*) AS BIGINT) AS recordCount,
+       CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum
 FROM events GROUP BY event_type""",
     "word_count": """
 SELECT word, CAST(count(*) AS BIGINT) AS count FROM (

@@ -89,3 +89,25 @@ def test_fast_mode_differs_only_on_trailing_members(cases):
 def test_lenient_fast_mode_keeps_good_lines(cases):
     fast = {r.i: r.is_valid for r in parse_records(cases, lenient=True, trailing_check=False).collect()}
     assert fast[0] and fast[10] and not fast[2]
+
+
+def test_typed_records_infers_from_good_lines_only(spark, tmp_path):
+    from snaptally.operators import typed_records
+    from snaptally.sinks import write_parquet
+
+    lines = ['{"~table":"t","a":1,"b":{"c":"x"}}', '{"a":"s"}', "bad", '{"a":1,"a":2}', '{"n":null,"h":[1,2]}']
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    typed = typed_records(parse_records(df))
+    assert sorted(typed.columns) == ["a", "b", "h", "n", "~table"]
+    assert typed.schema["a"].dataType.typeName() == "variant"  # 1 and "s": types differ
+    assert typed.schema["n"].dataType.typeName() == "string"   # only nulls seen
+    assert typed.count() == 3
+    back = spark.read.parquet(write_parquet(typed, str(tmp_path / "t")))
+    assert back.where("`~table` = 't'").select("b.c").first()[0] == "x"
+
+
+def test_variant_schema_to_ddl_keeps_quoted_names():
+    from snaptally.functions.json import variant_schema_to_ddl
+
+    got = variant_schema_to_ddl("OBJECT<OBJECT: VOID, `x``OBJECT<y`: OBJECT<VOID: VOID>, a: ARRAY<OBJECT<b: BIGINT>>>")
+    assert got == "STRUCT<OBJECT: STRING, `x``OBJECT<y`: STRUCT<VOID: STRING>, a: ARRAY<STRUCT<b: BIGINT>>>"
