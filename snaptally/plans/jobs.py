@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from snaptally.operators.records import parse_records
+from snaptally.operators.records import parse_records, typed_records
 from snaptally.operators.stats import (
     dataset_stats,
     file_stats,
@@ -123,6 +123,16 @@ def json_to_parquet_job(
     return write_parquet(read_json(spark, input_uri, schema=schema, sampling_ratio=sampling_ratio), out_path)
 
 
+def records_to_parquet_job(
+    spark: SparkSession, input_uri: str | Sequence[str], out_path: str, *, lenient: bool = False
+) -> str:
+    """JSON lines → Parquet from the good records only: bad lines (duplicate
+    keys included) are left out before the schema is inferred, so colliding
+    columns cannot arise from them."""
+    records = parse_records(scan_lines(spark, input_uri), lenient=lenient)
+    return write_parquet(typed_records(records), out_path)
+
+
 def word_count_job(
     spark: SparkSession, input_uri: str | Sequence[str], out: str, *, stamp: str | None = None
 ) -> str:
@@ -134,6 +144,6 @@ def word_count_job(
 
 
 __all__ = [
-    "dataset_stats_job", "file_stats_job", "json_to_parquet_job", "path_stats_job",
+    "dataset_stats_job", "file_stats_job", "json_to_parquet_job", "path_stats_job", "records_to_parquet_job",
     "snapshot_counts_job", "table_stats_job", "word_count_job",
 ]

@@ -7,6 +7,7 @@ from snaptally.plans.jobs import (
     file_stats_job,
     json_to_parquet_job,
     path_stats_job,
+    records_to_parquet_job,
     snapshot_counts_job,
     table_stats_job,
     word_count_job,
@@ -61,3 +62,9 @@ def test_snapshot_and_parquet_jobs(spark, tmp_path):
     assert got == {"a": 2, "b": 1}
     pq = json_to_parquet_job(spark, f"{root}/2015-01-02-00-00-00/*/*", str(tmp_path / "pq"))
     assert sorted(r.k for r in spark.read.parquet(pq).collect()) == [1, 2, 3]
+
+
+def test_records_to_parquet_job(spark, tmp_path):
+    src = write_file(str(tmp_path / "in" / "p"), '{"k":1,"s":"a"}\n{"k":2,"k":3}\nbad\n{"k":4}\n')
+    out = records_to_parquet_job(spark, src, str(tmp_path / "pq"))
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 4]
