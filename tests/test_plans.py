@@ -53,3 +53,22 @@ def test_seeded_mixture_totals(spark):
     r = table_stats(parse_records(df)).agg(F.sum("recordCount").alias("n"), F.sum("tableSize").alias("s")).first()
     assert r.n == len(lines)
     assert r.s == valid_len
+
+
+def test_hot_table_is_combined_before_the_shuffle(spark, tmp_path):
+    # one table holds a third of all records; spread over several part files
+    d = tmp_path / "skew"
+    d.mkdir()
+    n = 0
+    for part in range(6):
+        with open(d / f"part-{part}", "w") as f:
+            for i in range(3000):
+                t = "hot" if i % 3 == 0 else f"t{i % 50}"
+                f.write('{"~table":"%s","i":%d}\n' % (t, i))
+                n += 1
+    stats = table_stats(parse_records(scan_lines(spark, str(d)), keep_record=False))
+    rows = {r.tableName: r.recordCount for r in stats.collect()}
+    assert rows["hot"] == n // 3 and sum(rows.values()) == n
+    plan = _plan(stats)
+    # the exchange carries per-task partial rows, not records
+    assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")
