@@ -98,7 +98,8 @@ def parse_line(col, lenient: bool = False, trailing_check: bool = True) -> Parse
 
     first = [{_OBJ: F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS).getField("w")}]
     if trailing_check:
-        parsed_arr = F.from_json(in_array, "array<map<string,string>>", _LENIENT_OPTIONS)
+        # elements cast to an empty struct: an object is skipped over, not copied
+        parsed_arr = F.from_json(in_array, "array<struct<>>", _LENIENT_OPTIONS)
         first.append({_ARR: F.when(obj.isNotNull(), parsed_arr)})
         arr_ok = (F.size(arr) == 1) & arr.getItem(0).isNotNull()
         is_valid = F.coalesce(arr_ok & obj.isNotNull(), F.lit(False))
