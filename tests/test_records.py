@@ -111,3 +111,13 @@ def test_variant_schema_to_ddl_keeps_quoted_names():
 
     got = variant_schema_to_ddl("OBJECT<OBJECT: VOID, `x``OBJECT<y`: OBJECT<VOID: VOID>, a: ARRAY<OBJECT<b: BIGINT>>>")
     assert got == "STRUCT<OBJECT: STRING, `x``OBJECT<y`: STRUCT<VOID: STRING>, a: ARRAY<STRUCT<b: BIGINT>>>"
+
+
+def test_lenient_mode_has_no_trailing_gap(spark):
+    bad = ['{"a":1}]x', '{"a":1}] ', '{"a":1},{"b":2}', '{"a":1}}x', "{'a':1}]", '{"a":1}]}', '{"a":1}x',
+           '{"a":1} ]', '{"a":{"b":1}]}', '{"a":1},"b":2', '{"a":1},"b"', '{"a":1}}]', '{"a":1}]}]', '{"a":1}}}']
+    good = ["{'a':1}", '{"a":1}', "{a:1}", '{"a":NaN}', '{"a":1,"a":2}']
+    df = spark.createDataFrame([(x,) for x in bad + good], "value string")
+    got = {r.value: r.is_valid for r in parse_records(df, lenient=True).collect()}
+    assert [x for x in bad if got[x]] == []
+    assert [x for x in good if not got[x]] == []
