@@ -99,16 +99,46 @@ def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
 def qualify_dirs(spark: SparkSession, paths: Sequence[str]) -> list[str] | None:
     """Fully qualified form of plain paths, as Spark reports file paths
     (``file:/…``, ``s3a://…``), when every one is an existing directory;
-    ``None`` otherwise or without a file-system gateway."""
-    out = []
-    for path in paths:
-        fs_path = _hadoop_fs(spark, path)
-        if fs_path is None:
-            return None
-        fs, p = fs_path
-        if not fs.exists(p) or not fs.getFileStatus(p).isDirectory():
+    ``None`` otherwise or without a file-system gateway.
+
+    Paths are grouped by parent and each parent is listed once, so thousands
+    of table directories of one snapshot cost one listing, not a call each.
+    """
+    if not paths:
+        return []
+    if _hadoop_fs(spark, paths[0]) is None:
+        return None
+    by_parent: dict[str, list[tuple[int, object]]] = {}
+    fs_of: dict[str, object] = {}
+    for i, path in enumerate(paths):
+        fs, p = _hadoop_fs(spark, path)
+        q = fs.makeQualified(p)
+        parent = q.getParent()
+        if parent is None:  # a file-system root: no parent to list
+            if not fs.exists(q) or not fs.getFileStatus(q).isDirectory():
+                return None
+            by_parent.setdefault(q.toString(), []).append((i, None))
+            fs_of[q.toString()] = fs
+            continue
+        by_parent.setdefault(parent.toString(), []).append((i, q))
+        fs_of[parent.toString()] = fs
+    out: list[str | None] = [None] * len(paths)
+    for parent, kids in by_parent.items():
+        if kids[0][1] is None:
+            for i, _ in kids:
+                out[i] = parent.rstrip("/")
+            continue
+        fs = fs_of[parent]
+        pp = kids[0][1].getParent()
+        if not fs.exists(pp):
             return None
-        out.append(fs.makeQualified(p).toString().rstrip("/"))
+        dirs = {st.getPath().getName(): st.getPath().toString()
+                for st in fs.listStatus(pp) if st.isDirectory()}
+        for i, q in kids:
+            found = dirs.get(q.getName())
+            if found is None:
+                return None
+            out[i] = found.rstrip("/")
     return out
 
 

@@ -172,3 +172,14 @@ def test_count_plan_single_exchange_per_level(spark, tree):
     # paths are decoded once per file, after the aggregate, never in a row filter
     assert "Filter" not in plan.split("FileScan text")[0].split("HashAggregate(keys=[file_path")[-1]
     assert "UrlCodec" not in plan.split("HashAggregate(keys=[file_path")[-1]
+
+
+def test_qualify_dirs(spark, tree):
+    from snaptally.sources import qualify_dirs
+
+    snap = f"{tree}/snaps/2015-04-29-00-00-00"
+    got = qualify_dirs(spark, [f"{snap}/answer-c", f"{snap}/answer-b/", f"{tree}/root/2015"])
+    assert [g.split("/")[-1] for g in got] == ["answer-c", "answer-b", "2015"]
+    assert all(g.startswith("file:") for g in got)
+    assert qualify_dirs(spark, [f"{snap}/answer-b", f"{snap}/missing"]) is None
+    assert qualify_dirs(spark, [f"{snap}/answer-b/p.json"]) is None  # a file, not a directory
