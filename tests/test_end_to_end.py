@@ -1,0 +1,91 @@
+"""A small dump with several snapshots: every statistic must agree with the others."""
+
+import json
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from conftest import write_file
+from snaptally.operators import (
+    file_stats,
+    parse_records,
+    path_stats,
+    snapshot_table_counts,
+    table_stats,
+    word_count,
+)
+from snaptally.sources import list_tables, resolve_latest, scan_lines
+
+
+def test_dump_statistics_agree(spark, tmp_path):
+    rnd = random.Random(11)
+    root = str(tmp_path / "dump")
+    expected_lines, expected_tables = 0, Counter()
+    for snap in ("2015-05-01-00-00-00", "2015-05-02-00-00-00", "2015-05-03-00-00-00"):
+        for t in ("review", "answer", "question", "empty"):
+            for part in range(3):
+                lines = []
+                if t != "empty":
+                    for i in range(rnd.randrange(5, 40)):
+                        k = rnd.randrange(10)
+                        if k == 0:
+                            lines.append("")                       # blank
+                        elif k == 1:
+                            lines.append('{"~table":"%s","i":%d' % (t, i))  # cut
+                        elif k == 2:
+                            lines.append('{"i":%d}' % i)          # no table field
+                        else:
+                            lines.append(json.dumps({"~table": t, "i": i, "s": "é" * k}))
+                path = f"{root}/{snap}/{t}/part-{part}"
+                write_file(path, "".join(x + "\n" for x in lines))
+                if snap == "2015-05-03-00-00-00":
+                    expected_lines += len(lines)
+                    for x in lines:
+                        try:
+                            rec = json.loads(x)
+                            expected_tables[rec.get("~table", "unknown")] += 1
+                        except ValueError:
+                            expected_tables["unknown"] += 1
+
+    latest = resolve_latest(spark, root)
+    assert latest == "2015-05-03-00-00-00"
+    snap_path = f"{root}/{latest}"
+    assert [r.table for r in list_tables(spark, snap_path).collect()] == ["answer", "empty", "question", "review"]
+
+    lines = scan_lines(spark, f"{snap_path}/*/*")
+    stats = {r.tableName: (r.recordCount, r.tableSize) for r in table_stats(parse_records(lines)).collect()}
+    assert {k: v[0] for k, v in stats.items()} == dict(expected_tables)
+
+    counts = {r.table: r.recordCount for r in snapshot_table_counts(spark, root).collect()}
+    assert counts["empty"] == 0
+    assert sum(counts.values()) == expected_lines == sum(v[0] for v in stats.values())
+
+    per_dir = path_stats(spark, [r.path for r in list_tables(spark, snap_path).collect()])
+    assert sum(r.recordCount for r in per_dir.collect()) == expected_lines
+
+    per_file = file_stats(spark, f"{snap_path}/*/*").agg(F.sum("recordCount"), F.sum("fileBytes")).first()
+    assert per_file[0] == expected_lines
+    import os
+    on_disk = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(snap_path) for f in fs)
+    assert per_file[1] == on_disk
+
+
+def jvm_split(s: str) -> list[str]:
+    if s == "":
+        return [""]
+    parts = s.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_word_count_matches_counter(spark):
+    rnd = random.Random(2)
+    vocab = ["a", "b", "the", "The", "é", "x\ty", "", " "]
+    sentences = ["".join(rnd.choice(vocab) + rnd.choice(["", " ", "  "]) for _ in range(rnd.randrange(8)))
+                 for _ in range(2000)]
+    expected = Counter(w for s in sentences for w in jvm_split(s))
+    df = spark.createDataFrame([(s,) for s in sentences], "value string")
+    got = {r.word: r["count"] for r in word_count(df).collect()}
+    assert got == dict(expected)
