@@ -32,9 +32,14 @@ TABLE_FIELD = "~table"
 RECORD_SIZE_FIELD = "~recordSize"
 UNKNOWN_TABLE = "unknown"
 
-# Our own names: the checksum intrinsic and the error code of a bad line.
+# Our own names: the checksum intrinsic, the error code of a bad line and the
+# kinds of bad line.
 CHECKSUM_FIELD = "~checksum"
 ERROR_CODE = "MALFORMED_JSON"
+EMPTY_LINE = "EMPTY_LINE"            # nothing but white space
+NOT_AN_OBJECT = "NOT_AN_OBJECT"      # valid JSON, but null, an array or a scalar
+TRAILING_CONTENT = "TRAILING_CONTENT"  # an object followed by more members or brackets
+INVALID_JSON = "INVALID_JSON"        # anything else: syntax error, cut line, duplicate key, NaN
 
 _LENIENT_OPTIONS = {
     "allowSingleQuotes": "true",
@@ -59,6 +64,7 @@ class ParsedLine:
     record: Column       # the object (VARIANT strict, MAP<STRING,STRING> lenient); NULL when bad
     is_valid: Column     # BOOLEAN, never NULL
     table_raw: Column    # JSON text of the ``~table`` value, NULL when absent or JSON null
+    error_kind: Column   # why a bad line is bad (meaningful only where is_valid is false)
 
 
 _OBJ = "__snaptally_obj"
@@ -94,7 +100,13 @@ def parse_line(col, lenient: bool = False, trailing_check: bool = True) -> Parse
             is_valid = F.coalesce(is_obj, F.lit(False))
         record = F.try_variant_get(obj, "$.w", "variant")
         table_raw = F.try_variant_get(obj, '$.w["~table"]', "string")
-        return ParsedLine(first, record, is_valid, table_raw)
+        kind = (
+            F.when(v.rlike(r"^[ \t\r\n]*$"), F.lit(EMPTY_LINE))
+            .when(obj.isNull(), F.lit(INVALID_JSON))
+            .when(~is_obj, F.lit(NOT_AN_OBJECT))
+            .otherwise(F.lit(TRAILING_CONTENT))
+        )
+        return ParsedLine(first, record, is_valid, table_raw, kind)
 
     first = [{_OBJ: F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS).getField("w")}]
     if trailing_check:
@@ -105,7 +117,13 @@ def parse_line(col, lenient: bool = False, trailing_check: bool = True) -> Parse
         is_valid = F.coalesce(arr_ok & obj.isNotNull(), F.lit(False))
     else:
         is_valid = F.coalesce(obj.isNotNull(), F.lit(False))
-    return ParsedLine(first, obj, is_valid, obj.getItem(TABLE_FIELD))
+    # a lenient reader cannot tell a non-object from a syntax error
+    kind = (
+        F.when(v.rlike(r"^[ \t\r\n]*$"), F.lit(EMPTY_LINE))
+        .when(obj.isNull(), F.lit(INVALID_JSON))
+        .otherwise(F.lit(TRAILING_CONTENT))
+    )
+    return ParsedLine(first, obj, is_valid, obj.getItem(TABLE_FIELD), kind)
 
 
 def variant_schema_to_ddl(schema: str) -> str:

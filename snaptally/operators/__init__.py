@@ -2,6 +2,7 @@
 
 from snaptally.operators.records import (
     ERROR,
+    ERROR_KIND,
     IS_VALID,
     RECORD,
     TABLE_NAME,
@@ -32,7 +33,7 @@ from snaptally.operators.stats import (
 from snaptally.operators.words import COUNT, WORD, contains_counts, split_words, word_count
 
 __all__ = [
-    "ERROR", "IS_VALID", "RECORD", "TABLE_NAME", "parse_records", "record_size_or_zero", "typed_records",
+    "ERROR", "ERROR_KIND", "IS_VALID", "RECORD", "TABLE_NAME", "parse_records", "record_size_or_zero", "typed_records",
     "FILE_SIZE", "FILE_URI", "INITIAL", "MISSING", "OTHER_INITIAL", "PATH", "RECORD_COUNT",
     "TABLE_SIZE", "dataset_stats", "file_stats", "initial_of", "merge_stats", "path_stats",
     "snapshot_table_counts", "table_record_count", "table_size", "table_stats", "with_initial",

@@ -19,6 +19,7 @@ TABLE_NAME = "tableName"
 RECORD = "record"
 IS_VALID = "is_valid"
 ERROR = "error"
+ERROR_KIND = "error_kind"
 _TABLE_RAW = "__snaptally_table_raw"
 
 
@@ -43,6 +44,9 @@ def parse_records(
     ``is_valid``      the line is exactly one JSON object (blank lines, JSON
                       null, arrays, scalars, cut or trailing text are bad).
     ``error``         ``MALFORMED_JSON`` for a bad line, else NULL.
+    ``error_kind``    for a bad line, why: ``EMPTY_LINE``, ``NOT_AN_OBJECT``
+                      (strict mode), ``TRAILING_CONTENT`` or ``INVALID_JSON``;
+                      else NULL. Computed only for bad lines.
     ``tableName``     the ``~table`` field (JSON text when not a string),
                       ``unknown`` when absent, null, or the line is bad.
     ``~recordSize``   length of the line in ``unit`` for a good line, NULL for
@@ -69,6 +73,7 @@ def parse_records(
         *([F.when(p.is_valid, p.record).alias(RECORD)] if keep_record else []),
         p.is_valid.alias(IS_VALID),
         F.when(p.is_valid, p.table_raw).alias(_TABLE_RAW),
+        F.when(~p.is_valid, p.error_kind).alias(ERROR_KIND),
     )
     valid = F.col(IS_VALID)
     out = [
@@ -76,6 +81,7 @@ def parse_records(
         *([F.col(RECORD)] if keep_record else []),
         valid,
         F.when(~valid, F.lit(ERROR_CODE)).alias(ERROR),
+        F.col(ERROR_KIND),
         table_key(F.col(_TABLE_RAW)).alias(TABLE_NAME),
         F.when(valid, text_length(v, unit)).alias(RECORD_SIZE_FIELD),
     ]

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from snaptally.functions.text import path_component, text_length
 from snaptally.operators.records import (
     ERROR,
+    ERROR_KIND,
     IS_VALID,
     TABLE_NAME,
     parse_records,
@@ -264,6 +265,11 @@ def q_json_parse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.groupBy(IS_VALID, ERROR).agg(F.count(F.lit(1)).alias(RECORD_COUNT))
 
 
+def q_bad_record_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rec = _event_records(spark, sf_dir, keep_record=False)
+    return rec.groupBy(IS_VALID, ERROR_KIND).agg(F.count(F.lit(1)).alias(RECORD_COUNT))
+
+
 def q_record_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = _event_records(spark, sf_dir, keep_record=False)
     return rec.groupBy(TABLE_NAME, record_size_or_zero().alias("recordSize")).agg(
@@ -377,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_snapshot": q_latest_snapshot,
     "snapshot_table_counts": q_snapshot_table_counts,
     "json_parse_quality": q_json_parse_quality,
+    "bad_record_kinds": q_bad_record_kinds,
     "record_size": q_record_size,
     "table_record_count": q_table_record_count,
     "table_size": q_table_size,
@@ -518,6 +525,14 @@ SELECT 'tbl=' || event_type AS "table", CAST(count(*) AS BIGINT) AS recordCount
 WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY event_type""",
     "json_parse_quality": _EVENT_RECORDS + """
 SELECT is_valid, error, CAST(count(*) AS BIGINT) AS recordCount FROM r GROUP BY is_valid, error""",
+    "bad_record_kinds": _EVENT_RECORDS + """
+SELECT is_valid,
+       CASE WHEN is_valid THEN NULL
+            WHEN id % 11 = 0 THEN 'EMPTY_LINE'
+            WHEN id % 7 = 0 OR id % 13 = 0 THEN 'INVALID_JSON'
+            ELSE 'NOT_AN_OBJECT' END AS error_kind,
+       CAST(count(*) AS BIGINT) AS recordCount
+FROM l GROUP BY 1, 2""",
     "record_size": _EVENT_RECORDS + """
 SELECT tableName, size AS recordSize, CAST(count(*) AS BIGINT) AS recordCount FROM r GROUP BY tableName, size""",
     "table_record_count": _EVENT_RECORDS + """

@@ -121,3 +121,17 @@ def test_lenient_mode_has_no_trailing_gap(spark):
     got = {r.value: r.is_valid for r in parse_records(df, lenient=True).collect()}
     assert [x for x in bad if got[x]] == []
     assert [x for x in good if not got[x]] == []
+
+
+def test_error_kinds(spark):
+    cases = {
+        "": "EMPTY_LINE", "  ": "EMPTY_LINE", "\t": "EMPTY_LINE",
+        "null": "NOT_AN_OBJECT", "[1]": "NOT_AN_OBJECT", '"abc"': "NOT_AN_OBJECT", '[{"a":1}]': "NOT_AN_OBJECT",
+        '{"a":1}}': "TRAILING_CONTENT", '{"a":1},"z":1': "TRAILING_CONTENT",
+        '{"a":1': "INVALID_JSON", '{"a":1} x': "INVALID_JSON", '{"a":1,"a":2}': "INVALID_JSON",
+        '{"a":NaN}': "INVALID_JSON", '{"a":1}]': "INVALID_JSON",
+        '{"a":1}': None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "value string")
+    got = {r.value: r.error_kind for r in parse_records(df, keep_record=False).collect()}
+    assert got == cases
