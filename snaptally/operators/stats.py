@@ -23,7 +23,7 @@ from snaptally.functions.text import (
     text_length,
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
-from snaptally.sources.listing import list_dirs, qualify_dirs, resolve_latest
+from snaptally.sources.listing import escape_glob, list_dirs, qualify_dirs, resolve_latest
 from snaptally.sources.text import FILE_BYTES, FILE_PATH, scan_lines_raw_path, scan_whole
 
 RECORD_COUNT = "recordCount"
@@ -219,7 +219,7 @@ def snapshot_table_counts(
     listing = spark.createDataFrame(tables, schema)
     if not tables:
         return listing.withColumn(RECORD_COUNT, F.lit(0).cast("bigint"))
-    lines = scan_lines_raw_path(spark, [p for _, p in tables], require_files=False)
+    lines = scan_lines_raw_path(spark, [escape_glob(p) for _, p in tables], require_files=False)
     per_file = lines.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias(RECORD_COUNT))
     # The key is declared non-null: a nullable key would make the optimizer
     # infer a not-null filter from the join and push it into the scan, where

@@ -50,6 +50,12 @@ def list_files(
     return r.load(p).select("path", "length", "modificationTime")
 
 
+def escape_glob(path: str) -> str:
+    """Make a listed path literal for a reader, which would otherwise take
+    ``*?[]{}`` in a name as glob syntax (a backslash escapes them)."""
+    return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in path)
+
+
 def _hidden(name: str) -> bool:
     return name.startswith("_") or name.startswith(".")
 

@@ -183,3 +183,12 @@ def test_qualify_dirs(spark, tree):
     assert all(g.startswith("file:") for g in got)
     assert qualify_dirs(spark, [f"{snap}/answer-b", f"{snap}/missing"]) is None
     assert qualify_dirs(spark, [f"{snap}/answer-b/p.json"]) is None  # a file, not a directory
+
+
+def test_table_names_with_glob_characters(spark, tmp_path):
+    root = str(tmp_path / "g")
+    write_file(f"{root}/2015-01-01-00-00-00/t[1]/p", "a\nb\n")
+    write_file(f"{root}/2015-01-01-00-00-00/t1/p", "c\n")
+    write_file(f"{root}/2015-01-01-00-00-00/a{{b}}/p", "d\n")
+    got = {r.table: r.recordCount for r in snapshot_table_counts(spark, root).collect()}
+    assert got == {"t[1]": 2, "t1": 1, "a{b}": 1}
