@@ -15,7 +15,21 @@ from snaptally.sources.listing import (
 from snaptally.sources.text import FILE_PATH, require_input, scan_lines, scan_lines_raw_path, scan_whole
 
 __all__ = [
-    "FILE_PATH", "check_column_names", "escape_glob", "has_input_files", "latest_snapshot", "latest_snapshot_by_files", "list_dirs", "list_files", "list_tables",
-    "qualify_dirs", "read_json", "read_parquet", "require_input", "resolve_latest", "scan_lines",
-    "scan_lines_raw_path", "scan_whole",
+    "FILE_PATH",
+    "check_column_names",
+    "escape_glob",
+    "has_input_files",
+    "latest_snapshot",
+    "latest_snapshot_by_files",
+    "list_dirs",
+    "list_files",
+    "list_tables",
+    "qualify_dirs",
+    "read_json",
+    "read_parquet",
+    "require_input",
+    "resolve_latest",
+    "scan_lines",
+    "scan_lines_raw_path",
+    "scan_whole",
 ]

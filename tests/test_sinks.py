@@ -6,7 +6,7 @@ import pytest
 from conftest import final_plan
 from pyspark.sql import functions as F
 
-from snaptally.operators import dataset_stats, merge_stats, parse_records, table_stats
+from snaptally.operators import dataset_stats, merge_stats, parse_records
 from snaptally.sinks import (
     dataset_report,
     format_stat,

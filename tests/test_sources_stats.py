@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import INPUT1_LINES, final_plan, write_file
 from snaptally.operators import (
@@ -85,12 +84,13 @@ def test_no_files_raises(spark, tree):
 
 def test_file_stats_lines_and_whole(spark, tree):
     root = f"{tree}/root/2015"
-    lines = {os.path.basename(os.path.dirname(r.fileURI)) + "/" + os.path.basename(r.fileURI): (r.recordCount, r.fileSize)
-             for r in file_stats(spark, f"{root}/*/*").collect()}
+    def key(uri):
+        return os.path.basename(os.path.dirname(uri)) + "/" + os.path.basename(uri)
+
+    lines = {key(r.fileURI): (r.recordCount, r.fileSize) for r in file_stats(spark, f"{root}/*/*").collect()}
     # zero-byte t2/p0 has no line; \r stays in its record; sizes include breaks
     assert lines == {"t1/p0": (2, 7), "t1/p1": (1, 2), "t2/p1": (2, 2)}
-    whole = {os.path.basename(os.path.dirname(r.fileURI)) + "/" + os.path.basename(r.fileURI): (r.recordCount, r.fileSize)
-             for r in file_stats(spark, f"{root}/*/*", whole=True).collect()}
+    whole = {key(r.fileURI): (r.recordCount, r.fileSize) for r in file_stats(spark, f"{root}/*/*", whole=True).collect()}
     # JVM split drops trailing empty records: "\n\n" has none
     assert whole == {"t1/p0": (2, 7), "t1/p1": (1, 2), "t2/p1": (0, 2)}
     for mode in (False, True):
