@@ -34,17 +34,27 @@ def _read_text(spark: SparkSession, paths: list[str], recursive: bool, line_sep:
     )
 
 
+def _is_glob(path: str) -> bool:
+    return any(ch in path for ch in "*?[{")
+
+
 def require_input(spark: SparkSession, df: DataFrame, paths: Sequence[str], recursive: bool = False) -> DataFrame:
     """Raise when a scan matches no file at all.
 
     Spark reads a directory that holds only sub-directories, or a hidden
     path (``_x``, ``.x``), as zero rows without an error; a statistics job
-    must not report an empty table for a wrong path. The check is a few file
-    system metadata calls that stop at the first file (no job, no file list);
-    without a file-system gateway a one-line probe job is used instead.
+    must not report an empty table for a wrong path.
+
+    Plain paths are checked by a few file-system calls that stop at the first
+    file. A glob is not expanded a second time (Spark's own file index already
+    did that, and it can match millions of files): the scan is asked instead,
+    with one short job that stops at the first line; only when there is no
+    line at all is its file list consulted.
     """
-    found = has_input_files(spark, paths, recursive=recursive)
-    if found is None:
+    plain = [p for p in paths if not _is_glob(p)]
+    globs = len(plain) < len(paths)
+    found = has_input_files(spark, plain, recursive=recursive) if plain else False
+    if not found and (globs or found is None):
         found = not df.isEmpty() or bool(df.inputFiles())
     if not found:
         raise FileNotFoundError(

@@ -192,3 +192,12 @@ def test_table_names_with_glob_characters(spark, tmp_path):
     write_file(f"{root}/2015-01-01-00-00-00/a{{b}}/p", "d\n")
     got = {r.table: r.recordCount for r in snapshot_table_counts(spark, root).collect()}
     assert got == {"t[1]": 2, "t1": 1, "a{b}": 1}
+
+
+def test_glob_inputs_checked_without_second_expansion(spark, tree):
+    # snapshot directories hold only table directories: no file matched
+    with pytest.raises(FileNotFoundError):
+        scan_lines(spark, f"{tree}/snaps/2015-04-2*")
+    # a glob matching only an empty file: files exist, zero lines, no error
+    assert scan_lines(spark, f"{tree}/root/2015/t2/p0*").count() == 0
+    assert scan_lines(spark, f"{tree}/root/2015/t*/p1").count() == 3
