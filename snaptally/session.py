@@ -61,3 +61,30 @@ def _local_fallback() -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below :func:`shared_dir` for one written table."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_MB = 1 << 20
+
+
+def recommended_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Session settings for a statistics job over ``input_bytes`` of text on a
+    cluster with ``total_cores`` task slots.
+
+    Scan splits are sized for about three waves of tasks, between 128 MB and
+    1 GB each. Per-task memory stays flat whatever the split size, since the
+    statistics aggregate partially inside the task. Shuffle partitions are two
+    per slot; adaptive execution coalesces the small post-aggregate partitions
+    and splits skewed ones.
+    """
+    if input_bytes <= 0 or total_cores <= 0:
+        raise ValueError("input_bytes and total_cores must be positive")
+    split = input_bytes // (3 * total_cores)
+    split = max(128 * _MB, min(1024 * _MB, split))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.openCostInBytes": str(4 * _MB),
+        "spark.sql.shuffle.partitions": str(2 * total_cores),
+    }

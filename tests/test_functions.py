@@ -45,3 +45,13 @@ def test_java_split_other_separator(spark):
 
 def test_decode_path(spark):
     assert _one(spark, decode_path(F.col("v")), "file:/x/a%20b%25c/p+q") == "file:/x/a b%c/p+q"
+
+
+def test_recommended_conf_scales_splits():
+    from snaptally.session import recommended_conf
+
+    big = recommended_conf(100 * 10**12, 8000)  # 100 TB on 8,000 slots
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+    small = recommended_conf(10**9, 8)
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
+    assert big["spark.sql.shuffle.partitions"] == "16000"
