@@ -68,3 +68,14 @@ def test_records_to_parquet_job(spark, tmp_path):
     src = write_file(str(tmp_path / "in" / "p"), '{"k":1,"s":"a"}\n{"k":2,"k":3}\nbad\n{"k":4}\n')
     out = records_to_parquet_job(spark, src, str(tmp_path / "pq"))
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 4]
+
+
+def test_table_stats_job_options(spark, tmp_path):
+    src = write_file(str(tmp_path / "in" / "p"), "{'~table':'t','s':'\U0001F600'}\n{\"~table\":\"t\"}\n")
+    strict = {d["tableName"]: (d["recordCount"], d["tableSize"])
+              for d in _json_lines(spark, table_stats_job(spark, src, str(tmp_path / "o1"), stamp="A"))}
+    assert strict == {"unknown": (1, 0), "t": (1, 14)}
+    lenient = {d["tableName"]: (d["recordCount"], d["tableSize"])
+               for d in _json_lines(spark, table_stats_job(spark, src, str(tmp_path / "o2"), lenient=True,
+                                                           unit="bytes", stamp="B"))}
+    assert lenient == {"t": (2, 14 + 25)}  # the emoji line is 25 UTF-8 bytes
