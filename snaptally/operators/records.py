@@ -60,6 +60,10 @@ def parse_records(
     two: an object followed by ``}…`` or by extra ``,"name":value`` members is
     then taken as good (see :func:`snaptally.functions.json.parse_line`).
     """
+    added = {RECORD, IS_VALID, ERROR, ERROR_KIND, TABLE_NAME, RECORD_SIZE_FIELD, CHECKSUM_FIELD}
+    clash = sorted(added.intersection(lines.columns))
+    if clash:
+        raise ValueError(f"input already has columns {clash}; rename them before parse_records")
     v = F.col(value_col)
     p = parse_line(v, lenient=lenient, trailing_check=trailing_check)
     keep = [F.col(f"`{c}`") for c in lines.columns]

@@ -135,3 +135,11 @@ def test_error_kinds(spark):
     df = spark.createDataFrame([(k,) for k in cases], "value string")
     got = {r.value: r.error_kind for r in parse_records(df, keep_record=False).collect()}
     assert got == cases
+
+
+def test_existing_output_columns_are_refused(spark):
+    import pytest
+
+    df = spark.createDataFrame([("{}", "x")], "value string, tableName string")
+    with pytest.raises(ValueError):
+        parse_records(df)
