@@ -81,5 +81,6 @@ def parent_dir(col) -> Column:
 
 def path_component(col, index: int) -> Column:
     """Path component by 1-based position, negative counts from the end
-    (``-1`` the file name, ``-2`` its directory)."""
-    return F.element_at(F.split(as_col(col), "/"), index)
+    (``-1`` the file name, ``-2`` its directory); NULL when there is no such
+    component (no error under ANSI mode)."""
+    return F.try_element_at(F.split(as_col(col), "/"), F.lit(index))
