@@ -118,3 +118,16 @@ def test_json_duplicate_keys_filtered_first(spark, tmp_path):
     # the record check rejects the duplicate-key line, so only good lines go on
     good = parse_records(scan_lines(spark, str(src))).where(F.col("is_valid"))
     assert [r.value for r in good.collect()] == ['{"a":3}']
+
+
+def test_merge_stats_matches_dict_merge(spark):
+    import random
+
+    rnd = random.Random(9)
+    counts = {f"t{i}": rnd.randrange(1, 100) for i in rnd.sample(range(60), 35)}
+    sizes = {f"t{i}": rnd.randrange(0, 10**9) for i in rnd.sample(range(60), 35)}
+    c = spark.createDataFrame(list(counts.items()), "tableName string, recordCount long")
+    s = spark.createDataFrame(list(sizes.items()), "tableName string, tableSize long")
+    got = {r.tableName: (r.recordCount, r.tableSize) for r in merge_stats(c, s).collect()}
+    want = {k: (counts.get(k, -1), sizes.get(k, -1)) for k in set(counts) | set(sizes)}
+    assert got == want
