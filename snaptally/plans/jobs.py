@@ -22,7 +22,7 @@ from snaptally.operators.stats import (
     snapshot_table_counts,
     table_stats,
 )
-from snaptally.operators.words import word_count
+from snaptally.operators.words import contains_counts, word_count
 from snaptally.sinks.writers import (
     dataset_report,
     format_stat,
@@ -35,6 +35,7 @@ from snaptally.sinks.writers import (
     write_stats,
 )
 from snaptally.sources.json import read_json
+from snaptally.sources.listing import list_files
 from snaptally.sources.text import scan_lines
 
 
@@ -143,7 +144,31 @@ def word_count_job(
     return path
 
 
+def list_files_job(
+    spark: SparkSession, paths: str | Sequence[str], out: str, *, recursive: bool = False, stamp: str | None = None
+) -> str:
+    """The files of a path (``path, length, modificationTime``), as Parquet;
+    no file is opened."""
+    return write_parquet(list_files(spark, paths, recursive=recursive), f"{run_dir(out, 'file-list', stamp)}/files")
+
+
+def contains_counts_job(
+    spark: SparkSession,
+    input_uri: str | Sequence[str],
+    out: str,
+    *,
+    needles: Sequence[str] = ("a", "b"),
+    stamp: str | None = None,
+) -> str:
+    """Number of lines containing each needle, all counted in one pass, as JSON."""
+    counts = contains_counts(scan_lines(spark, input_uri), needles)
+    path = f"{run_dir(out, 'contains-counts', stamp)}/counts"
+    counts.write.mode("errorifexists").json(path)
+    return path
+
+
 __all__ = [
+    "contains_counts_job", "list_files_job",
     "dataset_stats_job", "file_stats_job", "json_to_parquet_job", "path_stats_job", "records_to_parquet_job",
     "snapshot_counts_job", "table_stats_job", "word_count_job",
 ]

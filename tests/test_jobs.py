@@ -3,6 +3,8 @@ import os
 
 from conftest import write_file
 from snaptally.plans.jobs import (
+    contains_counts_job,
+    list_files_job,
     dataset_stats_job,
     file_stats_job,
     json_to_parquet_job,
@@ -79,3 +81,14 @@ def test_table_stats_job_options(spark, tmp_path):
                for d in _json_lines(spark, table_stats_job(spark, src, str(tmp_path / "o2"), lenient=True,
                                                            unit="bytes", stamp="B"))}
     assert lenient == {"t": (2, 14 + 25)}  # the emoji line is 25 UTF-8 bytes
+
+
+def test_list_files_and_contains_jobs(spark, tmp_path):
+    from conftest import INPUT1_LINES
+
+    src = write_file(str(tmp_path / "in" / "input1.txt"), "\n".join(INPUT1_LINES) + "\n")
+    out = str(tmp_path / "out")
+    files = spark.read.parquet(list_files_job(spark, str(tmp_path / "in"), out, stamp="A")).collect()
+    assert [r.length for r in files] == [os.path.getsize(src)]
+    counts = _json_lines(spark, contains_counts_job(spark, src, out, stamp="B"))
+    assert counts == [{"lines_with_a": 7, "lines_with_b": 5}]
