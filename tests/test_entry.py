@@ -41,3 +41,9 @@ def test_query_matches_oracle(spark, name):
         return sorted(tuple(repr(r[i]) for i in order) for r in rows)
 
     assert canon(got_cols, [tuple(r) for r in got]) == canon(exp_cols, exp)
+
+    # no Python in the plan, and no cross join anywhere
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                 "PythonMapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, (name, node)
