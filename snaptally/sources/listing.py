@@ -78,13 +78,7 @@ def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     sorted by name. Raises when ``path`` does not exist."""
     fs_path = _hadoop_fs(spark, path)
     if fs_path is None:
-        rows = (
-            list_files(spark, f"{path.rstrip('/')}/*/*")
-            .select(path_component(parent_dir("path"), -1).alias("name"), parent_dir("path").alias("dir"))
-            .distinct()
-            .collect()
-        )
-        return sorted((r["name"], r["dir"]) for r in rows if not _hidden(r["name"]))
+        return _list_dirs_by_files(spark, path)
     fs, p = fs_path
     if not fs.exists(p):
         raise FileNotFoundError(path)
@@ -102,6 +96,28 @@ def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     return sorted(out)
 
 
+def _list_dirs_by_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Fallback of :func:`list_dirs`: the first path component below ``path``
+    of every non-empty file under it (one distributed listing)."""
+    base = path.rstrip("/")
+    if base.startswith("file://"):
+        base = base[len("file://"):]
+    files = list_files(spark, path, recursive=True)
+    rel = F.substring_index(F.col("path"), base + "/", -1)  # text after the base
+    first = F.substring_index(rel, "/", 1)
+    rows = (
+        files.where(F.instr(rel, "/") > 0)  # inside a sub-directory, not directly in path
+        .select(
+            first.alias("name"),
+            F.concat(F.expr("substring(path, 1, length(path) - length(substring_index(path, '" +
+                            base.replace("'", "''") + "/', -1)))"), first).alias("dir"),
+        )
+        .distinct()
+        .collect()
+    )
+    return sorted((r["name"], r["dir"]) for r in rows if not _hidden(r["name"]))
+
+
 def qualify_dirs(spark: SparkSession, paths: Sequence[str]) -> list[str] | None:
     """Fully qualified form of plain paths, as Spark reports file paths
     (``file:/…``, ``s3a://…``), when every one is an existing directory;

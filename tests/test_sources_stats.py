@@ -201,3 +201,21 @@ def test_glob_inputs_checked_without_second_expansion(spark, tree):
     # a glob matching only an empty file: files exist, zero lines, no error
     assert scan_lines(spark, f"{tree}/root/2015/t2/p0*").count() == 0
     assert scan_lines(spark, f"{tree}/root/2015/t*/p1").count() == 3
+
+
+def test_fallbacks_without_file_system_gateway(spark, tree, monkeypatch):
+    import snaptally.sources.listing as listing
+
+    monkeypatch.setattr(listing, "_hadoop_fs", lambda spark, path: None)
+    snaps = f"{tree}/snaps"
+    # binaryFile listings: only directories holding a non-empty file are seen
+    assert [r.table for r in list_tables(spark, f"{snaps}/2015-04-29-00-00-00").collect()] == ["answer-b", "answer-c"]
+    assert resolve_latest(spark, snaps) == "2015-04-29-00-00-00"
+    got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps).collect()}
+    assert got == {"answer-b": 2, "answer-c": 4}
+    assert listing.qualify_dirs(spark, [f"{snaps}/2015-04-29-00-00-00/answer-b"]) is None
+    assert listing.has_input_files(spark, [f"{tree}/root/2015/t1"]) is None
+    # the scan-based check takes over
+    with pytest.raises(FileNotFoundError):
+        scan_lines(spark, f"{tree}/root")
+    assert scan_lines(spark, f"{tree}/root/2015/t1").count() == 4
