@@ -219,3 +219,21 @@ def test_fallbacks_without_file_system_gateway(spark, tree, monkeypatch):
     with pytest.raises(FileNotFoundError):
         scan_lines(spark, f"{tree}/root")
     assert scan_lines(spark, f"{tree}/root/2015/t1").count() == 4
+
+
+def test_small_options(spark, tree, tmp_path):
+    from snaptally.sinks import write_parquet
+    from snaptally.sources import read_json
+
+    rows = scan_lines(spark, f"{tree}/enc/*", with_path=True).collect()
+    assert [(r.value, os.path.basename(os.path.dirname(r.file_path))) for r in rows] == [("z", "a b%c")]
+    rec = {"/".join(r.fileURI.split("/")[-2:]): r.recordCount
+           for r in file_stats(spark, f"{tree}/root/2015", recursive=True).collect()}
+    assert rec == {"t1/p0": 2, "t1/p1": 1, "t2/p1": 2, "2015/top": 1}  # t2/p0 is empty: no row
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
+    out = write_parquet(df, str(tmp_path / "pq"), partition_by=["k"])
+    assert sorted(d for d in os.listdir(out) if d.startswith("k=")) == ["k=a", "k=b"]
+    j = tmp_path / "j"
+    j.mkdir()
+    (j / "p.json").write_text("".join('{"i":%d}\n' % i for i in range(50)))
+    assert read_json(spark, str(j), sampling_ratio=0.5).count() == 50
