@@ -23,7 +23,7 @@ from snaptally.functions.text import (
     text_length,
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
-from snaptally.sources.listing import escape_glob, list_dirs, qualify_dirs, resolve_latest
+from snaptally.sources.listing import escape_glob, is_glob, list_dirs, qualify_dirs, resolve_latest
 from snaptally.sources.text import FILE_BYTES, FILE_PATH, scan_lines_raw_path, scan_whole
 
 RECORD_COUNT = "recordCount"
@@ -123,7 +123,7 @@ def path_stats(
         F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT),
         F.sum("chars").cast("bigint").alias(TABLE_SIZE),
     )
-    given = None if recursive or any(_is_glob(p) for p in plist) else qualify_dirs(spark, plist)
+    given = None if recursive or any(is_glob(p) for p in plist) else qualify_dirs(spark, plist)
     if not given:
         return per_dir
     listing = spark.createDataFrame([(g,) for g in dict.fromkeys(given)], f"{PATH} string")
@@ -135,10 +135,6 @@ def path_stats(
     )
 
 
-def _is_glob(path: str) -> bool:
-    return any(ch in path for ch in "*?[{")
-
-
 def table_record_count(records: DataFrame) -> DataFrame:
     """``tableName, recordCount`` from :func:`parse_records` output."""
     return records.groupBy(TABLE_NAME).agg(F.count(F.lit(1)).alias(RECORD_COUNT))

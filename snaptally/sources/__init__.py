@@ -4,6 +4,7 @@ from snaptally.sources.json import check_column_names, read_json, read_parquet
 from snaptally.sources.listing import (
     escape_glob,
     has_input_files,
+    is_glob,
     latest_snapshot,
     latest_snapshot_by_files,
     list_dirs,
@@ -19,6 +20,7 @@ __all__ = [
     "check_column_names",
     "escape_glob",
     "has_input_files",
+    "is_glob",
     "latest_snapshot",
     "latest_snapshot_by_files",
     "list_dirs",

@@ -50,6 +50,11 @@ def list_files(
     return r.load(p).select("path", "length", "modificationTime")
 
 
+def is_glob(path: str) -> bool:
+    """Whether a path holds glob syntax (``*?[{``) that a reader would expand."""
+    return any(ch in path for ch in "*?[{")
+
+
 def escape_glob(path: str) -> str:
     """Make a listed path literal for a reader, which would otherwise take
     ``*?[]{}`` in a name as glob syntax (a backslash escapes them)."""

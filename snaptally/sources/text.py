@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptally.functions.text import decode_path
-from snaptally.sources.listing import has_input_files
+from snaptally.sources.listing import has_input_files, is_glob
 
 FILE_PATH = "file_path"
 FILE_BYTES = "file_bytes"
@@ -34,10 +34,6 @@ def _read_text(spark: SparkSession, paths: list[str], recursive: bool, line_sep:
     )
 
 
-def _is_glob(path: str) -> bool:
-    return any(ch in path for ch in "*?[{")
-
-
 def require_input(spark: SparkSession, df: DataFrame, paths: Sequence[str], recursive: bool = False) -> DataFrame:
     """Raise when a scan matches no file at all.
 
@@ -51,7 +47,7 @@ def require_input(spark: SparkSession, df: DataFrame, paths: Sequence[str], recu
     with one short job that stops at the first line; only when there is no
     line at all is its file list consulted.
     """
-    plain = [p for p in paths if not _is_glob(p)]
+    plain = [p for p in paths if not is_glob(p)]
     globs = len(plain) < len(paths)
     found = has_input_files(spark, plain, recursive=recursive) if plain else False
     if not found and (globs or found is None):
