@@ -299,7 +299,9 @@ def q_table_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "table_stats_" + uuid.uuid4().hex[:12]
     q = start_table_stats(spark, root, query_name=name, checkpoint=scratch_path(spark, "stream-ckpt"),
                           available_now=True)
-    q.awaitTermination()
+    if not q.awaitTermination(900):  # available-now ends by itself; never wait forever
+        q.stop()
+        raise TimeoutError("streaming table statistics did not finish")
     return spark.table(name)
 
 
