@@ -67,7 +67,8 @@ def parse_records(
     v = F.col(value_col)
     p = parse_line(v, lenient=lenient, trailing_check=trailing_check)
     keep = [F.col(f"`{c}`") for c in lines.columns]
-    # Three projections: parse once, decide validity once, derive the outputs.
+    # Projections in order: the parse stages (each parse once), then validity
+    # decided once, then the outputs derived from it.
     parsed, hidden = lines, []
     for stage in p.first:
         parsed = parsed.select(*keep, *[F.col(h) for h in hidden], *[e.alias(n) for n, e in stage.items()])
@@ -109,8 +110,14 @@ def typed_records(records: DataFrame, record_col: str = RECORD) -> DataFrame:
     to Parquet. A field whose type differs between records stays VARIANT.
     Field names equal except for case raise, as Parquet columns would collide.
     """
+    from pyspark.sql.types import VariantType
+
     from snaptally.sources.json import check_column_names
 
+    if record_col not in records.columns:
+        raise ValueError(f"no {record_col!r} column: parse with keep_record=True")
+    if not isinstance(records.schema[record_col].dataType, VariantType):
+        raise ValueError("typed_records needs VARIANT records (strict mode)")
     good = records.where(F.col(IS_VALID)).select(record_col)
     merged = good.agg(F.schema_of_variant_agg(record_col).alias("s")).first()
     if merged is None or merged["s"] is None:

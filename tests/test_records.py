@@ -143,3 +143,15 @@ def test_existing_output_columns_are_refused(spark):
     df = spark.createDataFrame([("{}", "x")], "value string, tableName string")
     with pytest.raises(ValueError):
         parse_records(df)
+
+
+def test_typed_records_needs_variant_records(spark):
+    import pytest
+
+    from snaptally.operators import typed_records
+
+    df = spark.createDataFrame([('{"a":1}',)], "value string")
+    with pytest.raises(ValueError):
+        typed_records(parse_records(df, keep_record=False))
+    with pytest.raises(ValueError):
+        typed_records(parse_records(df, lenient=True))
