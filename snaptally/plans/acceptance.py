@@ -361,6 +361,11 @@ def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(_table(spark, sf_dir, "documents"), "text")
 
 
+def q_word_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "docs_text", _docs_text)
+    return word_count(scan_lines(spark, root))
+
+
 def q_contains_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "docs_text", _docs_text)
     return contains_counts(scan_lines(spark, root), ("a", "b"))
@@ -399,6 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_to_parquet": q_json_to_parquet,
     "records_to_parquet": q_records_to_parquet,
     "word_count": q_word_count,
+    "word_count_lines": q_word_count_lines,
     "contains_counts": q_contains_counts,
     "record_checksum": q_record_checksum,
 }
@@ -580,6 +586,12 @@ SELECT word, CAST(count(*) AS BIGINT) AS count FROM (
                      WHEN rtrim(text, ' ') = '' THEN CAST([] AS VARCHAR[])
                      ELSE string_split(rtrim(text, ' '), ' ') END) AS word
   FROM documents) t GROUP BY word""",
+    "word_count_lines": f"""
+SELECT word, CAST(count(*) AS BIGINT) AS count FROM (
+  SELECT unnest(CASE WHEN line = '' THEN ['']
+                     WHEN rtrim(line, ' ') = '' THEN CAST([] AS VARCHAR[])
+                     ELSE string_split(rtrim(line, ' '), ' ') END) AS word
+  FROM {_DOC_LINES} t) w GROUP BY word""",
     "contains_counts": f"""
 SELECT CAST(count(*) FILTER (WHERE contains(line, 'a')) AS BIGINT) AS lines_with_a,
        CAST(count(*) FILTER (WHERE contains(line, 'b')) AS BIGINT) AS lines_with_b
