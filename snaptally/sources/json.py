@@ -43,6 +43,8 @@ def read_json(
         raise
     check_column_names(df)
     if drop_corrupt and CORRUPT in df.columns:
+        if df.columns == [CORRUPT]:  # every line is bad: nothing is left to read
+            return spark.createDataFrame([], StructType([]))
         df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return df
 

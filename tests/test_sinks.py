@@ -131,3 +131,11 @@ def test_merge_stats_matches_dict_merge(spark):
     got = {r.tableName: (r.recordCount, r.tableSize) for r in merge_stats(c, s).collect()}
     want = {k: (counts.get(k, -1), sizes.get(k, -1)) for k in set(counts) | set(sizes)}
     assert got == want
+
+
+def test_json_all_lines_bad(spark, tmp_path):
+    src = tmp_path / "bad"
+    src.mkdir()
+    (src / "p.json").write_text("not json\n{cut\n")
+    df = read_json(spark, str(src))
+    assert df.columns == [] and df.count() == 0
