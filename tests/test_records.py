@@ -155,3 +155,10 @@ def test_typed_records_needs_variant_records(spark):
         typed_records(parse_records(df, keep_record=False))
     with pytest.raises(ValueError):
         typed_records(parse_records(df, lenient=True))
+
+
+def test_typed_records_without_good_lines(spark):
+    from snaptally.operators import typed_records
+
+    df = spark.createDataFrame([("bad",), ("",)], "value string")
+    assert typed_records(parse_records(df)).count() == 0
