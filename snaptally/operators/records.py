@@ -120,9 +120,12 @@ def typed_records(records: DataFrame, record_col: str = RECORD) -> DataFrame:
         raise ValueError("typed_records needs VARIANT records (strict mode)")
     good = records.where(F.col(IS_VALID)).select(record_col)
     merged = good.agg(F.schema_of_variant_agg(record_col).alias("s")).first()
-    if merged is None or merged["s"] is None:
-        return good.limit(0)
-    ddl = variant_schema_to_ddl(merged["s"])
+    schema = merged["s"] if merged is not None else None
+    if not schema or not schema.startswith("OBJECT"):  # no good record at all
+        from pyspark.sql.types import StructType
+
+        return records.sparkSession.createDataFrame([], StructType([]))
+    ddl = variant_schema_to_ddl(schema)
     typed = good.select(F.try_variant_get(F.col(record_col), "$", ddl).alias("r")).select("r.*")
     check_column_names(typed)
     return typed
