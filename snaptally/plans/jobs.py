@@ -130,8 +130,10 @@ def records_to_parquet_job(
     """JSON lines → Parquet from the good records only: bad lines (duplicate
     keys included) are left out before the schema is inferred, so colliding
     columns cannot arise from them."""
-    records = parse_records(scan_lines(spark, input_uri), lenient=lenient)
-    return write_parquet(typed_records(records), out_path)
+    typed = typed_records(parse_records(scan_lines(spark, input_uri), lenient=lenient))
+    if not typed.columns:
+        raise ValueError(f"no good record under {input_uri}: nothing to write")
+    return write_parquet(typed, out_path)
 
 
 def word_count_job(

@@ -92,3 +92,11 @@ def test_list_files_and_contains_jobs(spark, tmp_path):
     assert [r.length for r in files] == [os.path.getsize(src)]
     counts = _json_lines(spark, contains_counts_job(spark, src, out, stamp="B"))
     assert counts == [{"lines_with_a": 7, "lines_with_b": 5}]
+
+
+def test_records_to_parquet_job_without_good_records(spark, tmp_path):
+    import pytest
+
+    src = write_file(str(tmp_path / "in" / "p"), "bad\n\n")
+    with pytest.raises(ValueError):
+        records_to_parquet_job(spark, src, str(tmp_path / "pq"))
