@@ -124,13 +124,11 @@ def json_to_parquet_job(
     return write_parquet(read_json(spark, input_uri, schema=schema, sampling_ratio=sampling_ratio), out_path)
 
 
-def records_to_parquet_job(
-    spark: SparkSession, input_uri: str | Sequence[str], out_path: str, *, lenient: bool = False
-) -> str:
+def records_to_parquet_job(spark: SparkSession, input_uri: str | Sequence[str], out_path: str) -> str:
     """JSON lines → Parquet from the good records only: bad lines (duplicate
     keys included) are left out before the schema is inferred, so colliding
     columns cannot arise from them."""
-    typed = typed_records(parse_records(scan_lines(spark, input_uri), lenient=lenient))
+    typed = typed_records(parse_records(scan_lines(spark, input_uri)))
     if not typed.columns:
         raise ValueError(f"no good record under {input_uri}: nothing to write")
     return write_parquet(typed, out_path)
