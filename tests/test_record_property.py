@@ -88,3 +88,27 @@ def test_strict_check_matches_python_json(spark):
     assert not diffs, diffs[:10]
     n_valid = sum(got.values())
     assert 0.2 * len(lines) < n_valid < 0.8 * len(lines)  # both kinds well represented
+
+
+def test_gap_forms_match_python_json(spark):
+    """Objects with brackets, braces, commas and members appended or inserted:
+    exactly the forms a single wrapper parse would let through."""
+    tails = ["}", "]", ",", ',"z":1', ',"z":1}', ',"z":1}x', "]x", "}x", ",1]", ",{}]", ',{"a":1}', "}]", "]}",
+             ",]", ",}", " ", "\t", ":", '"', "{", "[", ']},"k":[', '"}', "null", ",null"]
+    rnd = random.Random(77)
+    lines = []
+    for _ in range(5000):
+        obj = {f"k{rnd.randrange(4)}": _value(rnd) for _ in range(rnd.randrange(3))}
+        s = json.dumps(obj, separators=rnd.choice([(",", ":"), (", ", ": ")]))
+        for _ in range(rnd.randrange(3)):
+            t = rnd.choice(tails)
+            if rnd.random() < 0.6:
+                s = s + t
+            else:
+                i = rnd.randrange(len(s) + 1)
+                s = s[:i] + t + s[i:]
+        lines.append(s.replace("\n", " "))
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, value string")
+    got = {r.i: r.is_valid for r in parse_records(df, keep_record=False).select("i", "is_valid").collect()}
+    diffs = [(lines[i], got[i]) for i in range(len(lines)) if got[i] != py_valid(lines[i])]
+    assert not diffs, diffs[:10]
