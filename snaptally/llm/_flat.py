@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20  #: texts worked on at once; a longer single text is a chunk of its own
+CHUNK_BYTES = 2 << 20  #: texts worked on at once; a longer single text is a chunk of its own
 
 _U = np.uint64
 _B = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
@@ -154,17 +154,21 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
 
 def chunks(batches, column: str, limit: int = CHUNK_BYTES):
     """Row slices of Arrow batches with at most ``limit`` bytes in the column, one row at least."""
+    yield from parts(batches, lambda batch: texts_of(batch.column(column)).lengths, limit)
+
+
+def parts(batches, weight, limit: int):
+    """Row slices of Arrow batches whose ``weight(batch)`` (a number for each row)
+    sums to at most ``limit``, one row at least."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        lengths = texts_of(batch.column(column)).lengths
         total, start = 0, 0
-        for i, n in enumerate(lengths.tolist()):
+        for i, n in enumerate(weight(batch).tolist() if batch.num_rows else []):
             if i > start and total + n > limit:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n
-        yield batch.slice(start)
+        if batch.num_rows:
+            yield batch.slice(start)
 
 
 def group_starts(keys: np.ndarray) -> np.ndarray:

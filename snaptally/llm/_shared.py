@@ -18,6 +18,20 @@ def written(df: DataFrame, *, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SEND_IDS = 2_000_000  #: rows of ids (16 MB) that a join may broadcast
+
+
+def sendable(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for broadcast if its counted rows are few
+    enough; otherwise as it is, and the join shuffles."""
+    return F.broadcast(ids) if ids.count() <= SEND_IDS else ids
+
+
+def has_repeats(df: DataFrame, key: str) -> bool:
+    """Whether a non-null key occurs twice. Reads the key column alone."""
+    return bool(df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(1).count())
+
+
 def one_row_per_id(df: DataFrame, key: str, value: str) -> DataFrame:
     """``key, value`` with one row per non-null key.
 
@@ -26,6 +40,5 @@ def one_row_per_id(df: DataFrame, key: str, value: str) -> DataFrame:
     it finds some are the values grouped.
     """
     rows = df.select(F.col(key), F.col(value)).filter(F.col(key).isNotNull())
-    repeated = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").limit(1).count()
-    return rows.groupBy(key).agg(F.min(value).alias(value)) if repeated else rows
+    return rows.groupBy(key).agg(F.min(value).alias(value)) if has_repeats(df, key) else rows
 

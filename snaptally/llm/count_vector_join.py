@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._flat import LOWER, Prefix, Texts, chunks, group_starts, mix, mix2, record, texts_of
-from ._shared import one_row_per_id, written
+from ._flat import LOWER, Prefix, Texts, chunks, group_starts, mix, mix2, parts, record, texts_of
+from ._shared import one_row_per_id, sendable, written
 
 WORDS = 4
 NUM, DEN = 85, 100  #: similarity of a link
@@ -36,7 +36,7 @@ POINT_BITS = 6  #: 64 coordinates
 SMALL = 64  #: sets below it share one level with 256 groups
 HOT_SHARE, HOT_LEAST, HOT_MOST = 1e-4, 64, 1_000_000  #: when a tile counts as hot; these order groups only
 PAGE = 256
-SEND_IDS = 2_000_000  #: ids that a semi-join may broadcast; beyond it shuffles
+VERIFY_VALUES = 1 << 19  #: shingles of the pairs compared at once
 
 
 def shingle_sets(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +167,7 @@ def _bound_rows(num: int, den: int):
                 continue
             p, q = _points(part.column("pa")), _points(part.column("pb"))
             na, nb = part.column("na").to_numpy(), part.column("nb").to_numpy()
-            ok = (num + den) * np.minimum(p, q).sum(axis=1) >= num * (na + nb)
+            ok = (num + den) * np.minimum(p, q).sum(axis=1, dtype=np.int64) >= num * (na + nb)
             yield record(schema, part.column("a").to_numpy()[ok], part.column("b").to_numpy()[ok])
 
     return run
@@ -175,7 +175,7 @@ def _bound_rows(num: int, den: int):
 
 def _points(column: pa.Array) -> np.ndarray:
     raw = texts_of(column).data
-    return np.frombuffer(raw.tobytes(), dtype="<u4").reshape(len(column), 1 << POINT_BITS).astype(np.int64)
+    return np.frombuffer(raw.tobytes(), dtype="<u4").reshape(len(column), 1 << POINT_BITS)
 
 
 def _page_pairs(num: int, den: int):
@@ -186,7 +186,7 @@ def _page_pairs(num: int, den: int):
     def near(doc, comp, n, point, i, j):
         ok = (comp[i] != comp[j]) & (num * n[j] <= den * n[i])
         i, j = i[ok], j[ok]
-        ok = (num + den) * np.minimum(point[i], point[j]).sum(axis=1) >= num * (n[i] + n[j])
+        ok = (num + den) * np.minimum(point[i], point[j]).sum(axis=1, dtype=np.int64) >= num * (n[i] + n[j])
         return doc[i[ok]], doc[j[ok]]
 
     def work(tile, doc, comp, n, point):
@@ -205,7 +205,7 @@ def _page_pairs(num: int, den: int):
             for u, (a, b) in enumerate(pages):
                 for v in range(u, len(pages)):
                     c, d = pages[v]
-                    if num * n[c] > den * n[b - 1] or (num + den) * np.minimum(top[u], top[v]).sum() < num * (n[a] + n[c]):
+                    if num * n[c] > den * n[b - 1] or (num + den) * int(np.minimum(top[u], top[v]).sum(dtype=np.int64)) < num * (n[a] + n[c]):
                         continue
                     # 256 x 256 points by slices, to keep the temporary arrays small
                     for x in range(a, b, 32):
@@ -247,10 +247,11 @@ def _sets(words: int):
 def _verified(num: int, den: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def weight(part):
+        return sum(np.diff(part.column(c).offsets.to_numpy()) for c in ("sa", "sb"))
+
     def run(batches):
-        for part in batches:
-            if not part.num_rows:
-                continue
+        for part in parts(batches, weight, VERIFY_VALUES):
             # every row's two sets sorted together: equal neighbours are the overlap
             row, value, size = [], [], []
             for c in ("sa", "sb"):
@@ -271,8 +272,7 @@ def _verified(num: int, den: int):
 def _links(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs that are links by their whole sets."""
     ids = written(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct())
-    wanted = F.broadcast(ids) if ids.count() <= SEND_IDS else ids
-    sets = written(docs.join(wanted, "doc", "left_semi").select("doc", "text").mapInArrow(_sets(words), "doc long, shingles array<long>"))
+    sets = written(docs.join(sendable(ids), "doc", "left_semi").select("doc", "text").mapInArrow(_sets(words), "doc long, shingles array<long>"))
     both = (
         pairs.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
         .join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa")), "a")

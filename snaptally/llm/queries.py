@@ -6,17 +6,23 @@ from __future__ import annotations
 from .bpe import op9_bpe
 from .count_vector_join import op4_ngram_jaccard_join
 from .language_filter import op7_language_id
+from .mixing import op3_pfair_mix
+from .personal_data import op6_personal_data
 from .projection_passes import op10_embedding_near_dedup
 from .quality import op1_quality_rules
 from .recompression import op8_substring_recompression
+from .secrets import op2_secret_forest
 from .suffix_dedup import op5_suffix_array_dedup
 
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_secret_forest,
+        op3_pfair_mix,
         op4_ngram_jaccard_join,
         op5_suffix_array_dedup,
+        op6_personal_data,
         op7_language_id,
         op8_substring_recompression,
         op9_bpe,
