@@ -89,11 +89,10 @@ def interleave(documents: DataFrame, weights: dict[str, float] | None = None, *,
     for each source (default: :func:`source_weights`); a source without one is an
     error. Rows of a source are numbered by a hash of their id, then id; equal rows in any
     order. A null source counts as ``""``; a null id is an id like any other. An empty
-    table gives an empty result. Names of added columns must not be in use.
+    table gives an empty result. Input columns named like the added ones are replaced.
     """
-    added = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_row"]
-    if clash := set(added) & set(documents.columns):
-        raise ValueError(f"columns in use: {sorted(clash)}")
+    added = {"mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_row"}
+    documents = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c.lower() not in added])
     spark = documents.sparkSession
     name = F.coalesce(F.col(source).cast("string"), F.lit(""))
     given = weights if weights is not None else source_weights(documents, source=source)
@@ -104,12 +103,13 @@ def interleave(documents: DataFrame, weights: dict[str, float] | None = None, *,
         "mix_source string, mix_index long, mix_release long, mix_deadline long, mix_slot long",
     )
     # number the rows of a source: buckets by hash, then rows within a bucket
-    keyed = documents.withColumns({"mix_source": name, "mix_hash": F.xxhash64(F.col(id), F.lit(17))})
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])  # whatever its names, nothing below clashes with them
+    keyed = documents.select(whole.alias("row"), name.alias("mix_source"), F.col(id).alias("mix_id"), F.xxhash64(F.col(id), F.lit(17)).alias("mix_hash"))
     keyed = keyed.withColumn("mix_bucket", F.pmod("mix_hash", F.lit(buckets)).cast("int"))
     sizes = keyed.groupBy("mix_source", "mix_bucket").count()
     before = F.sum("count").over(Window.partitionBy("mix_source").orderBy("mix_bucket").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select("mix_source", "mix_bucket", F.coalesce(before, F.lit(0)).alias("mix_before"))
-    inside = Window.partitionBy("mix_source", "mix_bucket").orderBy("mix_hash", id)
+    inside = Window.partitionBy("mix_source", "mix_bucket").orderBy("mix_hash", "mix_id")
     numbered = (
         keyed.withColumn("mix_inside", F.row_number().over(inside) - 1)
         .join(sizes, ["mix_source", "mix_bucket"])
@@ -126,7 +126,7 @@ def interleave(documents: DataFrame, weights: dict[str, float] | None = None, *,
     )
     shift = F.col("mix_period") * period
     return placed.select(
-        *[F.col(f"`{c}`") for c in documents.columns],
+        *[F.col(f"row.`{c}`").alias(c) for c in documents.columns],
         F.col("mix_block").cast("long").alias("mix_block"),
         *[(F.col(c) + shift).cast("long").alias(c) for c in ("mix_release", "mix_deadline", "mix_slot")],
         F.col("mix_row").cast("long").alias("mix_row"),

@@ -1,0 +1,54 @@
+"""BPE against the tokenizers library."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from snaptally.llm import _flat, bpe
+
+from .conftest import odd_documents
+
+tokenizers = pytest.importorskip("tokenizers")
+PARTS = ["a", "b", "é", "É", "Σ", "ΟΔΟΣ", "İ", "ß", "'s", "'", "'LL", " ", " ", "\n", "\t", "\x1c", "\x85", "1", "²", "٣", "漢字", "😀", "<|endoftext|>", "<|startoftext|>", "<|ENDoftext|>", "aaaa", "!!!", "́", "the", "ﬁ", "Ａ", "\x00", "​", " ", "don't", "　"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    t = tokenizers.Tokenizer.from_str(bpe.tokenizer_json())
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+def test_ids_and_texts(library):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 25))) for _ in range(4000)] + ["x" * 3000, "ab" * 4000, "", "the" * 3000]
+    vocabulary = bpe.Vocabulary(bpe.tokenizer_json())
+    ids, at = bpe.Encoder(vocabulary).encode(_flat.texts_of(pa.array(texts)))
+    text, border = vocabulary.decode(ids.astype(np.int64), at)
+    for i, x in enumerate(library.encode_batch(texts, add_special_tokens=False)):
+        assert ids[at[i] : at[i + 1]].tolist() == x.ids, repr(texts[i])
+        assert text[border[i] : border[i + 1]].tobytes().decode() == library.decode(x.ids, skip_special_tokens=False)
+
+
+def test_query_columns_and_decode(odd, none, library):
+    rows = bpe.encode(odd, with_ids=True, keep=("source",)).collect()
+    assert len(rows) == len(odd_documents())
+    expected = []
+    for d, t, _, s, _ in odd_documents():
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        expected.append((d, s, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), text))
+    key = lambda r: (r[0] is None, r[0] or 0, r[3])
+    assert sorted(((r.doc_id, r.source, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows), key=key) == sorted((e[:5] for e in expected), key=key)
+    decoded = bpe.decode(bpe.encode(odd, digest=False, with_ids=True)).collect()
+    assert sorted(r.text for r in decoded) == sorted(e[5] for e in expected)
+    assert bpe.encode(none).collect() == [] and bpe.decode(bpe.encode(none, with_ids=True)).collect() == []
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Vocabulary(bpe.tokenizer_json().replace('"Lowercase"', '"Strip"'))
