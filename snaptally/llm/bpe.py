@@ -217,15 +217,15 @@ def encode(documents: DataFrame, *, path: str | None = None, digest: bool = True
     """
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json(path))
-    rows = documents.select("doc_id", *keep, "text")
+    rows = documents.select("doc_id", *keep, F.col("text").alias("__text"))
     fields = [documents.schema[c] for c in ("doc_id", *keep)]
     out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_tokens long"] + ["ids_sha256 string", "decoded_sha256 string"] * digest + ["ids array<int>"] * with_ids)
     head = len(fields)
 
     def run(batches):
         encoder = Encoder(Vocabulary(shared.value))
-        for part in chunks(batches, "text"):
-            ids, offsets = encoder.encode(texts_of(part.column("text")))
+        for part in chunks(batches, "__text"):
+            ids, offsets = encoder.encode(texts_of(part.column("__text")))
             columns = [part.column(i) for i in range(head)]
             names = [f.name for f in fields] + ["n_tokens"]
             columns.append(pa.array(np.diff(offsets)))

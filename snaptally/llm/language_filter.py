@@ -145,13 +145,13 @@ def predict(documents: DataFrame, model: LanguageFilter | None, *, gram: int = G
     """
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    rows = documents.select(*keep, "text")
+    rows = documents.select(*keep, F.col("text").alias("__text"))
     out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1]) + "lang_pred string, score double"
 
     def run(batches):
         model = shared.value
-        for part in chunks(batches, "text"):
-            raw = part.column("text")
+        for part in chunks(batches, "__text"):
+            raw = part.column("__text")
             texts = texts_of(raw)
             text = has_letter(texts, raw)
             if model is None:
@@ -163,7 +163,7 @@ def predict(documents: DataFrame, model: LanguageFilter | None, *, gram: int = G
                 score = np.where(text, np.clip(counts[np.arange(len(n)), best] / np.maximum(n, 1), 0, 1), 0.0)
                 names = [model.languages[i] for i in best.tolist()]
             names = [x if ok and x is not None else "und" for x, ok in zip(names, text.tolist(), strict=True)]
-            columns = [part.column(c) for c in keep]
+            columns = [part.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(names, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
 
     return rows.mapInArrow(run, out)
