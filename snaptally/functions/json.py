@@ -13,8 +13,16 @@ Text that closes one wrapper early cannot close the other one, so requiring
 both leaves no gap (tests cover every case, and a property test compares with
 an independent validator). Strict mode uses
 ``try_parse_json`` (VARIANT: strict grammar, duplicate keys rejected);
-lenient mode uses ``from_json`` with single quotes, ``NaN`` and bare field
-names allowed and duplicate keys kept (last wins).
+lenient mode uses ``from_json`` with single quotes, ``NaN``, bare field
+names and raw control characters allowed; duplicate keys of the record itself
+are rejected there too.
+
+``try_parse_json`` refuses strings of 20,000,000 characters, values of 128 MiB and
+1,000 levels of nesting. A line that it refuses and that is large or deep enough for
+one of these limits is checked again: once with every string cut to its first
+characters (the strict grammar and the duplicate-key test still hold for the whole
+line), and if it is too deep for that, by ``from_json`` with raised limits (grammar
+only: duplicate keys of such a line go unnoticed). No line is bad for its size.
 """
 
 from __future__ import annotations
@@ -45,9 +53,32 @@ _LENIENT_OPTIONS = {
     "allowSingleQuotes": "true",
     "allowUnquotedFieldNames": "true",
     "allowNonNumericNumbers": "true",
+    "allowUnquotedControlChars": "true",
     "mode": "PERMISSIVE",
+    "maxStringLen": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+    "maxNestingDepth": str(2**31 - 1),
 }
 
+# the strict grammar with the parser's limits raised
+_LARGE_OPTIONS = {
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": "_corrupt",
+    "maxStringLen": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+    "maxNestingDepth": str(2**31 - 1),
+}
+
+#: Bytes and nesting from which a refused line may have met a limit of the parser.
+LARGE_BYTES = 16_000_000
+DEEP_LEVELS = 900
+_KEPT = 64  # characters that a cut string keeps
+# a JSON string literal; its first characters are group 1
+_CHAR = r'(?:[^"\\\x00-\x1F]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})'
+_STRING = f'"({_CHAR}{{0,{_KEPT}}}+){_CHAR}*+"'
+
 
 @dataclass(frozen=True)
 class ParsedLine:
@@ -69,58 +100,87 @@ class ParsedLine:
 
 _OBJ = "__snaptally_obj"
 _ARR = "__snaptally_arr"
+_CUT = "__snaptally_cut"
+_CUT_OBJ = "__snaptally_cut_obj"
+_DEEP = "__snaptally_deep"
 
 
-def parse_line(col, lenient: bool = False, trailing_check: bool = True) -> ParsedLine:
+def parse_line(col, lenient: bool = False) -> ParsedLine:
     """Build the validity test, the record and the raw table field of a line.
 
     Strict: the array wrapper is checked by ``json_array_length`` (a token
     scan that builds nothing; exactly one element), the object wrapper by one
     ``try_parse_json``; an object is recognised by a cast to an empty struct,
-    which inspects no field.
-
-    ``trailing_check=False`` skips the array wrapper (one JSON pass instead of
-    two). It then also accepts an object followed by ``}…`` or by more
-    ``,"name":value`` members; use it only where such lines cannot occur.
+    which inspects no field. A good line that VARIANT cannot hold has a NULL
+    record.
     """
     v = as_col(col)
-    in_array = F.concat(F.lit("["), v, F.lit("]"))
-    in_object = F.concat(F.lit('{"w":'), v, F.lit("}"))
+
+    def in_array(x):
+        return F.concat(F.lit("["), x, F.lit("]"))
+
+    def in_object(x):
+        return F.concat(F.lit('{"w":'), x, F.lit("}"))
+
     obj = F.col(_OBJ)
     arr = F.col(_ARR)
+    blank = v.rlike(r"^[ \t\r\n]*$")
     if not lenient:
-        # the array form is scanned only for lines whose object form parsed
-        # (a bad line then throws once inside the parser, not twice)
-        first = [{_OBJ: F.try_parse_json(in_object)}]
-        is_obj = F.try_variant_get(obj, "$.w", "struct<>").isNotNull()
-        if trailing_check:
-            first.append({_ARR: F.when(obj.isNotNull(), F.json_array_length(in_array))})
-            is_valid = F.coalesce((arr == 1) & is_obj, F.lit(False))
-        else:
-            is_valid = F.coalesce(is_obj, F.lit(False))
+        cut, cut_obj, deep = F.col(_CUT), F.col(_CUT_OBJ), F.col(_DEEP)
+        large = F.octet_length(v) >= LARGE_BYTES
+        levels = F.octet_length(v) - F.octet_length(F.translate(v, "[{", ""))
+        table_only = "w struct<`~table`:string>, _corrupt string"
+        # Each stage reads the ones before. The array form is scanned only for lines whose
+        # object form parsed (a bad line then throws once inside the parser, not twice),
+        # and the stages for large lines start with a test of the length.
+        first = [
+            {_OBJ: F.try_parse_json(in_object(v))},
+            {_CUT: F.when(obj.isNull() & large, F.regexp_replace(v, _STRING, '"$1"'))},
+            {_CUT_OBJ: F.when(cut.isNotNull(), F.try_parse_json(in_object(cut)))},
+            {_DEEP: F.when(
+                obj.isNull() & cut_obj.isNull() & (F.octet_length(v) >= DEEP_LEVELS) & (levels >= DEEP_LEVELS),
+                F.from_json(in_object(v), table_only, _LARGE_OPTIONS),
+            )},
+            {_ARR: F.when(obj.isNotNull(), F.json_array_length(in_array(v)))
+                .when(cut_obj.isNotNull(), F.json_array_length(in_array(cut)))
+                .when(deep.isNotNull(), F.size(F.from_json(in_array(v), "array<struct<>>", _LARGE_OPTIONS)))},
+        ]
+        is_obj = (
+            F.try_variant_get(obj, "$.w", "struct<>").isNotNull()
+            | F.try_variant_get(cut_obj, "$.w", "struct<>").isNotNull()
+            | F.coalesce(deep.getField("w").isNotNull() & deep.getField("_corrupt").isNull(), F.lit(False))
+        )
+        is_valid = F.coalesce((arr == 1) & is_obj, F.lit(False))
         record = F.try_variant_get(obj, "$.w", "variant")
-        table_raw = F.try_variant_get(obj, '$.w["~table"]', "string")
+        cut_table = F.try_variant_get(cut_obj, '$.w["~table"]', "string")
+        whole_table = F.from_json(v, "`~table` string", _LARGE_OPTIONS).getField("~table")
+        table_raw = (
+            F.when(obj.isNotNull(), F.try_variant_get(obj, '$.w["~table"]', "string"))
+            .when(cut_obj.isNotNull(), F.when(F.length(cut_table) < _KEPT, cut_table).when(cut_table.isNotNull(), whole_table))
+            .otherwise(deep.getField("w").getField("~table"))
+        )
         kind = (
-            F.when(v.rlike(r"^[ \t\r\n]*$"), F.lit(EMPTY_LINE))
-            .when(obj.isNull(), F.lit(INVALID_JSON))
+            F.when(blank, F.lit(EMPTY_LINE))
+            .when(obj.isNull() & cut_obj.isNull() & deep.isNull(), F.lit(INVALID_JSON))
+            .when(deep.getField("_corrupt").isNotNull(), F.lit(INVALID_JSON))
             .when(~is_obj, F.lit(NOT_AN_OBJECT))
             .otherwise(F.lit(TRAILING_CONTENT))
         )
         return ParsedLine(first, record, is_valid, table_raw, kind)
 
-    first = [{_OBJ: F.from_json(in_object, "w map<string,string>", _LENIENT_OPTIONS).getField("w")}]
-    if trailing_check:
-        # elements cast to an empty struct: an object is skipped over, not copied
-        parsed_arr = F.from_json(in_array, "array<struct<>>", _LENIENT_OPTIONS)
-        first.append({_ARR: F.when(obj.isNotNull(), parsed_arr)})
-        arr_ok = (F.size(arr) == 1) & arr.getItem(0).isNotNull()
-        is_valid = F.coalesce(arr_ok & obj.isNotNull(), F.lit(False))
-    else:
-        is_valid = F.coalesce(obj.isNotNull(), F.lit(False))
+    # elements cast to an empty struct: an object is skipped over, not copied
+    parsed_arr = F.from_json(in_array(v), "array<struct<>>", _LENIENT_OPTIONS)
+    first = [
+        {_OBJ: F.from_json(in_object(v), "w map<string,string>", _LENIENT_OPTIONS).getField("w")},
+        {_ARR: F.when(obj.isNotNull(), parsed_arr)},
+    ]
+    arr_ok = (F.size(arr) == 1) & arr.getItem(0).isNotNull()
+    one_of_each = F.size(F.array_distinct(F.map_keys(obj))) == F.size(obj)
+    is_valid = F.coalesce(arr_ok & obj.isNotNull() & one_of_each, F.lit(False))
     # a lenient reader cannot tell a non-object from a syntax error
     kind = (
-        F.when(v.rlike(r"^[ \t\r\n]*$"), F.lit(EMPTY_LINE))
-        .when(obj.isNull(), F.lit(INVALID_JSON))
+        F.when(blank, F.lit(EMPTY_LINE))
+        .when(obj.isNull() | ~one_of_each, F.lit(INVALID_JSON))
         .otherwise(F.lit(TRAILING_CONTENT))
     )
     return ParsedLine(first, obj, is_valid, obj.getItem(TABLE_FIELD), kind)
@@ -128,9 +188,11 @@ def parse_line(col, lenient: bool = False, trailing_check: bool = True) -> Parse
 
 def variant_schema_to_ddl(schema: str) -> str:
     """Turn a merged record schema (``schema_of_variant_agg``) into a Spark
-    type: ``OBJECT<…>`` becomes ``STRUCT<…>`` and an always-null ``VOID`` field
-    becomes ``STRING``; back-quoted field names are left as they are. Fields
-    whose types conflict across records are ``VARIANT`` already."""
+    type: ``OBJECT<…>`` becomes ``STRUCT<…>``, an object without any field
+    ``VARIANT`` (Parquet has no empty struct) and an always-null ``VOID`` field
+    ``STRING``; back-quoted field names are left as they are. Fields whose
+    types conflict across records are ``VARIANT`` already."""
+    schema = schema.replace("OBJECT<>", "VARIANT")
     out, i, n = [], 0, len(schema)
     while i < n:
         ch = schema[i]

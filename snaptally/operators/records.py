@@ -31,7 +31,6 @@ def parse_records(
     unit: str = "utf16",
     checksum: bool = False,
     keep_record: bool = True,
-    trailing_check: bool = True,
 ) -> DataFrame:
     """Parse each line as one JSON object and add the record's intrinsics.
 
@@ -54,18 +53,16 @@ def parse_records(
                       input, which it overrides.
     ``~checksum``     with ``checksum``: SHA-256 (hex) of the line.
 
-    A bad line never fails the job; every line yields exactly one row.
-
-    ``trailing_check=False`` trades exactness for one JSON pass instead of
-    two: an object followed by ``}…`` or by extra ``,"name":value`` members is
-    then taken as good (see :func:`snaptally.functions.json.parse_line`).
+    A bad line never fails the job; every line yields exactly one row. A good
+    line that VARIANT cannot hold (a string of 20,000,000 characters, 128 MiB,
+    1,000 levels) is counted like any other; only its ``record`` is NULL.
     """
     added = {RECORD, IS_VALID, ERROR, ERROR_KIND, TABLE_NAME, RECORD_SIZE_FIELD, CHECKSUM_FIELD}
     clash = sorted(added.intersection(lines.columns))
     if clash:
         raise ValueError(f"input already has columns {clash}; rename them before parse_records")
     v = F.col(value_col)
-    p = parse_line(v, lenient=lenient, trailing_check=trailing_check)
+    p = parse_line(v, lenient=lenient)
     keep = [F.col(f"`{c}`") for c in lines.columns]
     # Projections in order: the parse stages (each parse once), then validity
     # decided once, then the outputs derived from it.
@@ -100,32 +97,54 @@ def record_size_or_zero(col: str = RECORD_SIZE_FIELD):
     return F.coalesce(F.col(f"`{col}`"), F.lit(0).cast("bigint"))
 
 
-def typed_records(records: DataFrame, record_col: str = RECORD) -> DataFrame:
+def typed_records(records: DataFrame, record_col: str = RECORD, *, schema=None) -> DataFrame:
     """The good records of :func:`parse_records` (strict mode) as typed columns.
 
-    The schema is merged by Spark over all good records in one distributed
-    pass (``schema_of_variant_agg``; only the schema string reaches the
-    driver), then every record is cast to it. Bad lines, duplicate keys
-    included, never reach the inference, so the result can always be written
-    to Parquet. A field whose type differs between records stays VARIANT.
-    Field names equal except for case raise, as Parquet columns would collide.
+    Without ``schema`` it is merged by Spark over all good records in one
+    distributed pass (``schema_of_variant_agg``; only the schema string reaches
+    the driver), then every record is cast to it. The records are written once
+    to the shared folder for both passes, so no line is parsed twice. Give a
+    ``schema`` (type or DDL) to skip that pass; values that don't fit are NULL.
+
+    Bad lines, duplicate keys included, never reach the inference. A field
+    whose type differs between records stays VARIANT, except that whole
+    numbers beside fractions become the wider number type; an object without
+    fields is VARIANT too. A computed ``~recordSize`` column replaces a field
+    of that name and is always present. Field names equal except for case
+    raise at any level, as Parquet columns would collide. A good record that
+    VARIANT cannot hold raises when it is read, never goes missing.
     """
-    from pyspark.sql.types import VariantType
+    from pyspark.sql.types import StructType, VariantType
 
-    from snaptally.sources.json import check_column_names
+    from snaptally.session import scratch_path
+    from snaptally.sources.json import check_column_names, check_nested_names
 
     if record_col not in records.columns:
         raise ValueError(f"no {record_col!r} column: parse with keep_record=True")
     if not isinstance(records.schema[record_col].dataType, VariantType):
         raise ValueError("typed_records needs VARIANT records (strict mode)")
-    good = records.where(F.col(IS_VALID)).select(record_col)
-    merged = good.agg(F.schema_of_variant_agg(record_col).alias("s")).first()
-    schema = merged["s"] if merged is not None else None
-    if not schema or not schema.startswith("OBJECT"):  # no good record at all
-        from pyspark.sql.types import StructType
-
-        return records.sparkSession.createDataFrame([], StructType([]))
-    ddl = variant_schema_to_ddl(schema)
-    typed = good.select(F.try_variant_get(F.col(record_col), "$", ddl).alias("r")).select("r.*")
-    check_column_names(typed)
-    return typed
+    held = F.when(F.col(record_col).isNull(), F.raise_error(F.lit("a good record is too large or too deep for VARIANT")))
+    size = F.col(f"`{RECORD_SIZE_FIELD}`") if RECORD_SIZE_FIELD in records.columns else F.lit(None).cast("bigint")
+    good = records.where(F.col(IS_VALID)).select(held.otherwise(F.col(record_col)).alias(record_col), size.alias(RECORD_SIZE_FIELD))
+    if schema is None:
+        spark = records.sparkSession
+        path = scratch_path(spark, "typed-records")
+        good.write.parquet(path)
+        good = spark.read.schema(good.schema).parquet(path)
+        merged = good.agg(F.schema_of_variant_agg(record_col).alias("s")).first()["s"]
+        if not merged or not merged.startswith("OBJECT"):  # no good record at all
+            return spark.createDataFrame([], StructType([]))
+        ddl = None if merged == "OBJECT<>" else variant_schema_to_ddl(merged)
+    else:
+        ddl = schema if isinstance(schema, str) else schema.simpleString()
+        if not ddl.lower().lstrip().startswith("struct<"):
+            ddl = f"struct<{ddl}>"
+    if ddl is None:
+        return good.select(F.col(f"`{RECORD_SIZE_FIELD}`"))
+    typed = good.select(F.try_variant_get(F.col(record_col), "$", ddl).alias("r"), F.col(f"`{RECORD_SIZE_FIELD}`").alias("size"))
+    check_nested_names(typed.schema["r"].dataType)
+    names = [f.name for f in typed.schema["r"].dataType.fields if f.name != RECORD_SIZE_FIELD]
+    quoted = [n.replace("`", "``") for n in names]
+    out = typed.select(*[F.col("r").getField(n).alias(n) if "`" not in n else F.col(f"r.`{q}`").alias(n) for n, q in zip(names, quoted, strict=True)], F.col("size").alias(RECORD_SIZE_FIELD))
+    check_column_names(out)
+    return out

@@ -18,12 +18,10 @@ from snaptally.functions.json import UNKNOWN_TABLE
 from snaptally.functions.text import (
     decode_path,
     java_split,
-    parent_dir,
-    path_component,
     text_length,
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
-from snaptally.sources.listing import escape_glob, is_glob, list_dirs, qualify_dirs, resolve_latest
+from snaptally.sources.listing import LATEST_POINTER, STAMP_PATTERN, escape_glob, is_file, is_glob, list_dirs, qualify, resolve_latest
 from snaptally.sources.text import FILE_BYTES, FILE_PATH, scan_lines_raw_path, scan_whole
 
 RECORD_COUNT = "recordCount"
@@ -57,6 +55,7 @@ def _per_file(spark: SparkSession, paths, unit: str, recursive: bool, line_sep:
     return lines.groupBy(FILE_PATH).agg(
         F.count(F.lit(1)).alias(RECORD_COUNT),
         _sum0(text_length(F.col("value"), unit)).alias("chars"),
+        _sum0(F.octet_length("value")).alias("octets"),
         F.max(FILE_BYTES).alias(FILE_BYTES),
     )
 
@@ -72,9 +71,10 @@ def file_stats(
     """Per file: ``fileURI, recordCount, fileSize, fileBytes``.
 
     Records are the ``\\n``-separated pieces of the file (a ``\\r`` stays in
-    its record). ``fileSize`` is the length of the file in ``unit`` with line
-    breaks, counting a break after every record; ``fileBytes`` is the exact
-    size of the file from the scan's own metadata (no extra read).
+    its record). ``fileSize`` is the length of the file in ``unit`` with its
+    line breaks, as many as there are: the bytes of the file that are in no
+    line. That holds for uncompressed files. ``fileBytes`` is the exact size of
+    the file from the scan's own metadata (no extra read).
 
     The default reads files as splittable lines, so a large file is processed
     by many tasks; it keeps blank lines at the end of a file. ``whole=True``
@@ -94,7 +94,7 @@ def file_stats(
     return per_file.select(
         decode_path(F.col(FILE_PATH)).alias(FILE_URI),
         F.col(RECORD_COUNT),
-        (F.col("chars") + F.col(RECORD_COUNT)).alias(FILE_SIZE),
+        (F.col("chars") + F.col(FILE_BYTES) - F.col("octets")).alias(FILE_SIZE),
         F.col(FILE_BYTES).alias(FILE_BYTES_OUT),
     )
 
@@ -106,33 +106,81 @@ def path_stats(
     unit: str = "utf16",
     recursive: bool = False,
 ) -> DataFrame:
-    """Per directory holding data files: ``path, recordCount, tableSize``.
-
-    All paths are read by ONE scan (never one job per path); each line is
-    attributed to the directory of its file, which for directory inputs is the
-    path as given (in the file system's qualified form, e.g. ``file:/…``).
-    When every path is a plain directory (no glob, not recursive), each one
-    gets a row, with 0 and 0 when it holds no line. Sizes exclude line breaks,
-    as in :func:`dataset_stats`.
+    """One row per given path: ``path`` (as given), ``recordCount``,
+    ``tableSize``; 0 and 0 for a path without a line.
+
+    A path is a file, a directory or a glob, and counts every line that a scan
+    of it alone would read. All plain paths are read by ONE scan, in which a
+    file that several of them cover is read once and counted for each; every
+    glob adds its own scan to the same job. A path given twice has one row.
+    Sizes exclude line breaks, as in :func:`dataset_stats`.
     """
-    plist = [paths] if isinstance(paths, str) else list(paths)
-    per_file = _per_file(spark, plist, unit, recursive, None)
-    # non-null key: a nullable one would let a join-inferred filter reach the scan
-    directory = F.coalesce(parent_dir(decode_path(F.col(FILE_PATH))), F.lit(""))
-    per_dir = per_file.groupBy(directory.alias(PATH)).agg(
-        F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT),
-        F.sum("chars").cast("bigint").alias(TABLE_SIZE),
-    )
-    given = None if recursive or any(is_glob(p) for p in plist) else qualify_dirs(spark, plist)
-    if not given:
-        return per_dir
-    listing = spark.createDataFrame([(g,) for g in dict.fromkeys(given)], f"{PATH} string")
+    given = list(dict.fromkeys([paths] if isinstance(paths, str) else list(paths)))
+    plain = {p: _local(qualify(spark, p)) for p in given if not is_glob(p)}
     zero = F.lit(0).cast("bigint")
-    return listing.join(per_dir, PATH, "left").select(
-        PATH,
-        F.coalesce(F.col(RECORD_COUNT), zero).alias(RECORD_COUNT),
-        F.coalesce(F.col(TABLE_SIZE), zero).alias(TABLE_SIZE),
+    totals = [F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT), F.sum("chars").cast("bigint").alias(TABLE_SIZE)]
+    parts = []
+    if plain:
+        at = set(plain.values())
+        # what another path covers is not read a second time
+        top = [q for q in sorted(at) if not _covers(at, q, recursive, lambda f: is_file(spark, f))]
+        per_file = _per_file(spark, [escape_glob(q) for q in top], unit, recursive, None)
+        # non-null keys: nullable ones would let a join-inferred filter reach the scan
+        name = F.coalesce(F.regexp_replace(decode_path(F.col(FILE_PATH)), "^file:/+", "/"), F.lit(""))
+        covered = per_file.select(F.explode(_ancestors(name, recursive)).alias("at"), RECORD_COUNT, "chars").groupBy("at").agg(*totals)
+        listing = spark.createDataFrame(list(plain.items()), f"{PATH} string, at string")
+        parts.append(
+            listing.join(covered, "at", "left").select(
+                PATH, F.coalesce(F.col(RECORD_COUNT), zero).alias(RECORD_COUNT), F.coalesce(F.col(TABLE_SIZE), zero).alias(TABLE_SIZE)
+            )
+        )
+    for p in given:
+        if p not in plain:
+            stats = _per_file(spark, [p], unit, recursive, None).agg(*totals)
+            parts.append(stats.select(F.lit(p).alias(PATH), F.coalesce(RECORD_COUNT, zero).alias(RECORD_COUNT), F.coalesce(TABLE_SIZE, zero).alias(TABLE_SIZE)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _local(path: str) -> str:
+    """A path of the local file system without its scheme, any other as it is."""
+    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+
+
+def _covers(paths: set[str], path: str, recursive: bool, file) -> bool:
+    """Whether the scan of another of ``paths`` reads all of ``path``: that of a
+    directory above with ``recursive``, else that of a file's own directory, or
+    of one from which only ``name=value`` directories lead down. ``file`` says
+    whether a path is a file; it is asked only if its directory is given too."""
+    parent, _, name = path.rpartition("/")
+    if parent in paths and (recursive or "=" in name or file(path)):
+        return True
+    # from here on path is taken as a file if its parent is a name=value directory
+    at, step = parent, parent.rpartition("/")[2]
+    while "/" in at and (recursive or "=" in step):
+        at = at.rpartition("/")[0]
+        if at in paths and (recursive or "=" in name or file(path)):
+            return True
+        step = at.rpartition("/")[2]
+    return False
+
+
+def _ancestors(name, recursive: bool):
+    """A file's path and the directories whose scan reads it."""
+    parts = F.split(name, "/")
+    all_ = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    if recursive:
+        return all_
+    parent = F.regexp_extract(name, "^(.*)/[^/]*$", 1)
+    reached = F.filter(
+        all_,
+        lambda a: (a == name) | (a == parent) | (
+            parent.startswith(F.concat(a, F.lit("/"))) & F.substr(parent, F.length(a) + 1).rlike("^(/[^/=]+=[^/]*)+$")
+        ),
     )
+    return reached
 
 
 def table_record_count(records: DataFrame) -> DataFrame:
@@ -197,30 +245,38 @@ def snapshot_table_counts(
     *,
     snapshot: str | None = None,
     limit: int | None = None,
-    stamp_pattern: str | None = None,
+    pointer: str | None = LATEST_POINTER,
+    stamp_pattern: str | None = STAMP_PATTERN,
 ) -> DataFrame:
     """Line count per table of a snapshot: ``table, fileURI, recordCount``.
 
     ``snapshot`` defaults to the latest below ``root``. The tables are the
     snapshot's sub-directories (one name each reaches the driver, no file
-    list); ``limit`` keeps the first N by name and only they are read. All
-    tables are counted by ONE scan and aggregate, not a job per table, and a
-    table without any line is reported with 0.
+    list); every file below a table counts, at any depth. The whole snapshot
+    is read by ONE recursive scan of its directory; with ``limit`` only the
+    first N tables by name are read. A table without any line is reported
+    with 0.
     """
-    snap = snapshot or resolve_latest(spark, root, stamp_pattern=stamp_pattern)
-    tables = list_dirs(spark, f"{root.rstrip('/')}/{snap}")
+    snap = snapshot or resolve_latest(spark, root, pointer=pointer, stamp_pattern=stamp_pattern)
+    base = f"{root.rstrip('/')}/{snap}"
+    tables = list_dirs(spark, base)
     if limit is not None:
         tables = tables[: max(int(limit), 0)]
     schema = f"table string, {FILE_URI} string"
     listing = spark.createDataFrame(tables, schema)
     if not tables:
         return listing.withColumn(RECORD_COUNT, F.lit(0).cast("bigint"))
-    lines = scan_lines_raw_path(spark, [escape_glob(p) for _, p in tables], require_files=False)
+    read = [base] if limit is None else [p for _, p in tables]
+    lines = scan_lines_raw_path(spark, [escape_glob(p) for p in read], recursive=True, require_files=False)
     per_file = lines.groupBy(FILE_PATH).agg(F.count(F.lit(1)).alias(RECORD_COUNT))
     # The key is declared non-null: a nullable key would make the optimizer
     # infer a not-null filter from the join and push it into the scan, where
     # it would decode the path of every line instead of once per file.
-    table = F.coalesce(path_component(parent_dir(decode_path(F.col(FILE_PATH))), -1), F.lit(""))
+    # A table is the first component below the snapshot.
+    top = _local(qualify(spark, base)) + "/"
+    name = decode_path(F.col(FILE_PATH))
+    rest = F.substr(name, F.instr(name, top) + len(top))
+    table = F.coalesce(F.when(F.instr(rest, "/") > 0, F.substring_index(rest, "/", 1)), F.lit(""))
     per_table = per_file.groupBy(table.alias("table")).agg(
         F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT)
     )

@@ -55,15 +55,15 @@ from snaptally.sinks.writers import (
     write_stats,
 )
 from snaptally.sources.json import read_json, read_parquet
-from snaptally.sources.listing import latest_snapshot, list_files, list_tables
+from snaptally.sources.listing import latest_snapshot, list_dirs, list_files, list_tables
 from snaptally.sources.text import scan_lines
-from snaptally.streaming.table_stats_stream import start_table_stats
+from snaptally.streaming.table_stats_stream import current_table_stats, start_table_stats
 
 # --------------------------------------------------------------------------
 # Staged inputs (written once per session and test-data folder)
 # --------------------------------------------------------------------------
 
-_STAGED: dict[tuple[int, str, str], str] = {}
+_STAGED: dict[tuple[str, str, str], str] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +71,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str, str], None]) -> str:
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     path = _STAGED.get(key)
     if path is None:
         path = scratch_path(spark, f"stage-{name}")
@@ -111,16 +111,51 @@ def _pages_by_bucket(spark, sf_dir, path):
 
 
 def _events_snapshots(spark, sf_dir, path):
+    """A dump with plain names ``{path}/{stamp}/{table}``. Beside the latest
+    snapshot's tables lie an empty one and a nested one; beside the snapshots a
+    later one still being written, which ``_LATEST`` doesn't name, and a stray
+    directory."""
     ev = _table(spark, sf_dir, "events")
+    days = F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("-00-00-00"))
+    written = f"{path}/_written"
     (
         ev.select(
-            F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("-00-00-00")).alias("snap"),
+            days.alias("snap"),
             F.col("event_type").alias("tbl"),
             F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit("}")).alias("value"),
         )
         .write.partitionBy("snap", "tbl")
-        .text(path)
+        .text(written)
     )
+    # Spark names partition directories name=value: a dump has plain names
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    latest = ""
+    for snap, where in list_dirs(spark, written):
+        name = snap.partition("=")[2]
+        latest = max(latest, name)
+        for tbl, inner in list_dirs(spark, where):
+            fs.rename(at(inner), at(f"{where}/{tbl.partition('=')[2]}"))
+        fs.rename(at(where), at(f"{path}/{name}"))
+    lines = _table(spark, sf_dir, "nation").select((F.col("n_nationkey") % 2).cast("int").alias("half"), F.to_json(F.struct("n_name")).alias("value"))
+    lines.write.partitionBy("half").text(f"{path}/{latest}/ab-nested")
+    lines.filter("false").select("value").write.text(f"{path}/{latest}/aa-empty")
+    lines.select("value").write.text(f"{path}/2999-01-01-00-00-00/unfinished")
+    lines.select("value").write.text(f"{path}/zz-tmp/x")
+    out = fs.create(at(f"{path}/_LATEST"))
+    out.writeBytes(latest + "\n")
+    out.close()
+
+
+def _large_json(spark, sf_dir, path):
+    """JSON lines of all documents; the texts of two are repeated to above
+    21,000,000 characters, more than the JSON parser takes by default."""
+    docs = _table(spark, sf_dir, "documents")
+    plain = F.concat(F.regexp_replace("text", "[^A-Za-z0-9 ]", ""), F.lit(" "))
+    times = F.when(F.col("doc_id").isin(1, 2), (F.lit(21_000_000) / F.length(plain)).cast("int") + 1).otherwise(1)
+    line = F.concat(F.lit('{"~table":"'), "lang", F.lit('","id":'), F.col("doc_id").cast("string"), F.lit(',"text":"'), F.repeat(plain, times), F.lit('"}'))
+    _parts(spark, docs.select("doc_id", "lang", "text")).select(line.alias("value")).write.text(path)
 
 
 def _events_json(spark, sf_dir, path):
@@ -195,8 +230,9 @@ def q_dataset_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scan_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "docs_by_source", _docs_by("source"))
-    st = path_stats(spark, f"{root}/source=src*/*")
-    return st.select(_last("path"), RECORD_COUNT, TABLE_SIZE)
+    # only the sources src1, src10 to src19: a reader that ignores the glob counts more
+    st = path_stats(spark, [f"{root}/source=src1*", f"{root}/source=src[4-5]/*"])
+    return st.select(F.regexp_extract("path", "source=(.*)$", 1).alias("glob"), RECORD_COUNT, TABLE_SIZE)
 
 
 def _lang_dirs(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -206,8 +242,14 @@ def _lang_dirs(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def q_path_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = path_stats(spark, _lang_dirs(spark, sf_dir))
-    return st.select(_last("path"), RECORD_COUNT, TABLE_SIZE)
+    root = _stage(spark, sf_dir, "pages_by_bucket", _pages_by_bucket)
+    # every bucket, one of them twice, the one file of another, the whole tree and a glob
+    dirs = [r["path"] for r in list_tables(spark, root).collect()]
+    inside = [r["path"] for r in list_files(spark, f"{root}/bucket=7").collect()]
+    names = {d: d.rsplit("/", 1)[-1] for d in dirs} | {f: "file" for f in inside} | {root: "all", f"{root}/bucket=[12]": "glob"}
+    st = path_stats(spark, [*dirs, dirs[0], *inside, root, f"{root}/bucket=[12]"])
+    name = F.coalesce(*[F.when(F.col("path") == p, F.lit(n)) for p, n in names.items()])
+    return st.select(name.alias("table"), RECORD_COUNT, TABLE_SIZE)
 
 
 def q_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +278,7 @@ def q_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = write_parquet(list_files(spark, f"{root}/*/*"), scratch_path(spark, "file-list"))
     files = read_parquet(spark, listing)
     return files.groupBy(path_component(F.col("path"), -2).alias("table")).agg(
-        (F.count(F.lit(1)) > 0).alias("hasFiles"), F.sum("length").cast("bigint").alias("fileBytes")
+        F.sum("length").cast("bigint").alias("fileBytes")
     )
 
 
@@ -245,6 +287,11 @@ def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_tables(spark, root, limit=5).select("table")
 
 
+def q_list_tables_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "docs_by_source", _docs_by("source"))
+    return list_tables(spark, root).select("table")
+
+
 def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "events_snapshots", _events_snapshots)
     return latest_snapshot(spark, root)
@@ -255,6 +302,16 @@ def q_snapshot_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_table_counts(spark, root).select("table", RECORD_COUNT)
 
 
+def q_snapshot_table_counts_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "events_snapshots", _events_snapshots)
+    return snapshot_table_counts(spark, root, limit=3).select("table", RECORD_COUNT)
+
+
+def q_large_record_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _stage(spark, sf_dir, "large_json", _large_json)
+    return table_stats(parse_records(scan_lines(spark, root), keep_record=False))
+
+
 def _event_records(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     root = _stage(spark, sf_dir, "events_json", _events_json)
     return parse_records(scan_lines(spark, root), **kw)
@@ -297,12 +354,13 @@ def q_table_stats_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_table_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _stage(spark, sf_dir, "events_json", _events_json)
     name = "table_stats_" + uuid.uuid4().hex[:12]
-    q = start_table_stats(spark, root, query_name=name, checkpoint=scratch_path(spark, "stream-ckpt"),
+    out = scratch_path(spark, "stream-out")
+    q = start_table_stats(spark, root, out, query_name=name, checkpoint=scratch_path(spark, "stream-ckpt"),
                           available_now=True)
     if not q.awaitTermination(900):  # available-now ends by itself; never wait forever
         q.stop()
         raise TimeoutError("streaming table statistics did not finish")
-    return spark.table(name)
+    return current_table_stats(spark, out)
 
 
 def q_table_stats_by_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,9 +371,10 @@ def q_table_stats_by_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # tables by event type on one side, by part name on the other; "unknown" on both
     counts = table_record_count(_event_records(spark, sf_dir, keep_record=False))
-    root = _stage(spark, sf_dir, "events_props_json", _events_props_json)
-    sizes = table_size(parse_records(scan_lines(spark, root), keep_record=False))
+    roots = [_stage(spark, sf_dir, "events_props_json", _events_props_json), _stage(spark, sf_dir, "part_json", _part_json)]
+    sizes = table_size(parse_records(scan_lines(spark, roots), keep_record=False))
     return merge_stats(counts, sizes)
 
 
@@ -340,12 +399,16 @@ def q_tee_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_json_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _stage(spark, sf_dir, "events_props_json", _events_props_json)
-    out = write_parquet(read_json(spark, root), scratch_path(spark, "json-parquet"))
-    t = read_parquet(spark, out)
-    return t.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias(RECORD_COUNT), F.sum("k").cast("bigint").alias("k_sum")
-    )
+    # damaged lines, once with a schema and once with the inferred one
+    root = _stage(spark, sf_dir, "events_json", _events_json)
+    parts = []
+    for way, schema in (("given", "`~table` string, id bigint"), ("inferred", None)):
+        out = write_parquet(read_json(spark, root, schema=schema), scratch_path(spark, "json-parquet"))
+        t = read_parquet(spark, out)
+        parts.append(t.groupBy(F.lit(way).alias("way"), F.col("`~table`").alias("event_type")).agg(
+            F.count(F.lit(1)).alias(RECORD_COUNT), F.sum("id").cast("bigint").alias("id_sum")
+        ))
+    return parts[0].unionByName(parts[1])
 
 
 def q_records_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,8 +450,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_size_units": q_line_size_units,
     "list_files": q_list_files,
     "list_tables": q_list_tables,
+    "list_tables_all": q_list_tables_all,
     "latest_snapshot": q_latest_snapshot,
     "snapshot_table_counts": q_snapshot_table_counts,
+    "snapshot_table_counts_limit": q_snapshot_table_counts_limit,
+    "large_record_stats": q_large_record_stats,
     "json_parse_quality": q_json_parse_quality,
     "bad_record_kinds": q_bad_record_kinds,
     "record_size": q_record_size,
@@ -449,8 +515,13 @@ _PROPS_RECORDS = """
 p AS (
   SELECT '{"event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type || '",'
          || substr(props, 2) AS line FROM events),
+q AS (
+  SELECT CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type END AS t,
+         '{"~table":"' || CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type END
+           || '","key":' || CAST(p_partkey AS VARCHAR) || '}' AS line FROM part),
 ps AS (
-  SELECT 'unknown' AS tableName, CAST(sum(LEN16) AS BIGINT) AS tableSize FROM p)
+  SELECT tableName, CAST(sum(LEN16) AS BIGINT) AS tableSize
+  FROM (SELECT 'unknown' AS tableName, line FROM p UNION ALL SELECT t, line FROM q) u GROUP BY tableName)
 """.replace("LEN16", _u16("line"))
 
 _TABLE_STATS_SQL = _EVENT_RECORDS + """
@@ -479,6 +550,14 @@ SELECT CASE WHEN is_valid AND id % 5 <> 0 THEN event_type ELSE 'unknown' END AS
        CAST(sum(CASE WHEN is_valid THEN LEN16 ELSE 0 END) AS BIGINT) AS tableSize
 FROM l GROUP BY 1""".replace("LEN16", _u16("line"))
 
+# the tables of the latest snapshot by event type; beside them an empty one and one
+# whose lines lie in two sub-directories
+_SNAPSHOT_COUNTS_SQL = """
+SELECT event_type AS "table", CAST(count(*) AS BIGINT) AS recordCount FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY event_type
+UNION ALL SELECT 'aa-empty', CAST(0 AS BIGINT)
+UNION ALL SELECT 'ab-nested', CAST(count(*) AS BIGINT) FROM nation"""
+
 ORACLE_SQL: dict[str, str] = {
     "table_stats": _TABLE_STATS_SQL,
     "scan_line_stats": f"""
@@ -491,13 +570,16 @@ SELECT 'total data set line recordCount : ' || CAST(count(*) AS VARCHAR) FROM {_
 UNION ALL
 SELECT 'total data set byte size : ' || CAST(coalesce(sum({_u16('line')}), 0) AS VARCHAR) FROM {_DOC_LINES} t""",
     "scan_glob": f"""
-SELECT 'source=' || source AS "table", CAST(count(*) AS BIGINT) AS recordCount,
+SELECT CASE WHEN source LIKE 'src1%' THEN 'src1*' ELSE 'src[4-5]/*' END AS "glob", CAST(count(*) AS BIGINT) AS recordCount,
        CAST(sum({_u16('line')}) AS BIGINT) AS tableSize
-FROM {_DOC_LINES_BY.format(c='source')} t GROUP BY source""",
+FROM {_DOC_LINES_BY.format(c='source')} t WHERE source LIKE 'src1%' OR source IN ('src4', 'src5') GROUP BY 1""",
     "path_stats": f"""
-SELECT 'lang=' || lang AS "table", CAST(count(*) AS BIGINT) AS recordCount,
-       CAST(sum({_u16('line')}) AS BIGINT) AS tableSize
-FROM {_DOC_LINES_BY.format(c='lang')} t GROUP BY lang""",
+WITH l AS (SELECT page_id % 10 AS b, unnest(string_split(html, chr(10))) AS line FROM pages),
+n AS (SELECT b, CAST(count(*) AS BIGINT) AS c, CAST(sum({_u16('line')}) AS BIGINT) AS s FROM l GROUP BY b)
+SELECT 'bucket=' || CAST(b AS VARCHAR) AS "table", c AS recordCount, s AS tableSize FROM n
+UNION ALL SELECT 'file', c, s FROM n WHERE b = 7
+UNION ALL SELECT 'all', CAST(sum(c) AS BIGINT), CAST(sum(s) AS BIGINT) FROM n
+UNION ALL SELECT 'glob', CAST(sum(c) AS BIGINT), CAST(sum(s) AS BIGINT) FROM n WHERE b IN (1, 2)""",
     "file_stats": f"""
 SELECT 'bucket=' || CAST(page_id % 10 AS VARCHAR) AS "table",
        CAST(sum(len(string_split(html, chr(10)))) AS BIGINT) AS recordCount,
@@ -522,15 +604,24 @@ SELECT CAST(count(*) AS BIGINT) AS recordCount,
        CAST(sum(strlen(line)) AS BIGINT) AS bytesSize
 FROM (SELECT unnest(string_split(html, chr(10))) AS line FROM pages) t""",
     "list_files": """
-SELECT 'lang=' || lang AS "table", true AS hasFiles, CAST(sum(strlen(text) + 1) AS BIGINT) AS fileBytes
+SELECT 'lang=' || lang AS "table", CAST(sum(strlen(text) + 1) AS BIGINT) AS fileBytes
 FROM documents GROUP BY lang""",
     "list_tables": """
 SELECT DISTINCT 'source=' || source AS "table" FROM documents ORDER BY 1 LIMIT 5""",
+    "list_tables_all": """
+SELECT DISTINCT 'source=' || source AS "table" FROM documents""",
     "latest_snapshot": """
-SELECT 'snap=' || strftime(max(ts), '%Y-%m-%d') || '-00-00-00' AS snapshot FROM events""",
-    "snapshot_table_counts": """
-SELECT 'tbl=' || event_type AS "table", CAST(count(*) AS BIGINT) AS recordCount FROM events
-WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY event_type""",
+SELECT strftime(max(ts), '%Y-%m-%d') || '-00-00-00' AS snapshot FROM events""",
+    "snapshot_table_counts": _SNAPSHOT_COUNTS_SQL,
+    "snapshot_table_counts_limit": f"""
+SELECT * FROM ({_SNAPSHOT_COUNTS_SQL}) t ORDER BY "table" LIMIT 3""",
+    "large_record_stats": f"""
+WITH l AS (
+  SELECT '{{"~table":"' || lang || '","id":' || CAST(doc_id AS VARCHAR) || ',"text":"'
+    || repeat(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g') || ' ', CASE WHEN doc_id IN (1, 2) THEN 21000000 // (length(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g')) + 1) + 1 ELSE 1 END)
+    || '"}}' AS line, lang FROM documents)
+SELECT lang AS tableName, CAST(count(*) AS BIGINT) AS recordCount, CAST(sum(length(line)) AS BIGINT) AS tableSize
+FROM l GROUP BY lang""",
     "json_parse_quality": _EVENT_RECORDS + """
 SELECT is_valid, error, CAST(count(*) AS BIGINT) AS recordCount FROM r GROUP BY is_valid, error""",
     "bad_record_kinds": _EVENT_RECORDS + """
@@ -572,10 +663,10 @@ FROM {_DOC_LINES_BY.format(c='lang')} t GROUP BY lang""",
     "tee_roundtrip": _EVENT_RECORDS + """
 SELECT is_valid, tableName, CAST(count(*) AS BIGINT) AS recordCount, CAST(sum(size) AS BIGINT) AS tableSize
 FROM r GROUP BY is_valid, tableName""",
-    "json_to_parquet": """
-SELECT event_type, CAST(count(*) AS BIGINT) AS recordCount,
-       CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum
-FROM events GROUP BY event_type""",
+    "json_to_parquet": _EVENT_RECORDS + """,
+v AS (SELECT l.id, CASE WHEN l.id % 5 = 0 THEN NULL ELSE event_type END AS event_type FROM l WHERE is_valid),
+w AS (SELECT event_type, CAST(count(*) AS BIGINT) AS recordCount, CAST(sum(id) AS BIGINT) AS id_sum FROM v GROUP BY 1)
+SELECT 'given' AS way, * FROM w UNION ALL SELECT 'inferred' AS way, * FROM w""",
     "records_to_parquet": """
 SELECT event_type, CAST(count(*) AS BIGINT) AS recordCount,
        CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum

@@ -35,7 +35,7 @@ from snaptally.sinks.writers import (
     write_stats,
 )
 from snaptally.sources.json import read_json
-from snaptally.sources.listing import list_files
+from snaptally.sources.listing import LATEST_POINTER, STAMP_PATTERN, list_files
 from snaptally.sources.text import scan_lines
 
 
@@ -72,7 +72,7 @@ def dataset_stats_job(
 ) -> str:
     """Line count and total length of one dataset, as a three-line text report."""
     stats = dataset_stats(scan_lines(spark, input_uri), unit=unit)
-    return write_report(dataset_report(stats, input_uri), run_dir(out, "dataset-stats", stamp))
+    return write_report(dataset_report(stats, input_uri), run_dir(out, "dataset-stats", stamp), single_file=True)
 
 
 def path_stats_job(
@@ -90,10 +90,12 @@ def file_stats_job(
     *,
     unit: str = "utf16",
     whole: bool = False,
+    debug: bool = False,
     stamp: str | None = None,
 ) -> str:
-    """Records and size per file, as JSON lines."""
-    st = file_stats(spark, input_uri, unit=unit, whole=whole)
+    """Records and size per file, as JSON lines; with ``debug`` also as Parquet."""
+    stamp = stamp or run_stamp()
+    st = tee(file_stats(spark, input_uri, unit=unit, whole=whole), "files", run_dir(out, "file-stats", stamp), enabled=debug)
     return write_stats(st, out, program="file-stats", marker="stats", stamp=stamp)
 
 
@@ -104,11 +106,13 @@ def snapshot_counts_job(
     *,
     snapshot: str | None = None,
     limit: int | None = None,
+    pointer: str | None = LATEST_POINTER,
+    stamp_pattern: str | None = STAMP_PATTERN,
     stamp: str | None = None,
 ) -> str:
     """Line count per table of the latest (or given) snapshot, as JSON lines
     (``table, fileURI, recordCount``), all tables in one job."""
-    st = snapshot_table_counts(spark, root, snapshot=snapshot, limit=limit)
+    st = snapshot_table_counts(spark, root, snapshot=snapshot, limit=limit, pointer=pointer, stamp_pattern=stamp_pattern)
     return write_stats(st, out, program="snapshot-counts", marker="stats", stamp=stamp)
 
 
@@ -118,17 +122,21 @@ def json_to_parquet_job(
     out_path: str,
     *,
     schema=None,
-    sampling_ratio: float | None = None,
 ) -> str:
-    """JSON lines → Parquet with a Spark-inferred (or given) schema."""
-    return write_parquet(read_json(spark, input_uri, schema=schema, sampling_ratio=sampling_ratio), out_path)
+    """JSON lines → Parquet with a Spark-inferred (or given) schema; only good
+    lines, whichever it is."""
+    return write_parquet(read_json(spark, input_uri, schema=schema), out_path)
 
 
-def records_to_parquet_job(spark: SparkSession, input_uri: str | Sequence[str], out_path: str) -> str:
+def records_to_parquet_job(
+    spark: SparkSession, input_uri: str | Sequence[str], out_path: str, *, schema=None, debug: bool = False
+) -> str:
     """JSON lines → Parquet from the good records only: bad lines (duplicate
     keys included) are left out before the schema is inferred, so colliding
-    columns cannot arise from them."""
-    typed = typed_records(parse_records(scan_lines(spark, input_uri)))
+    columns cannot arise from them. With ``debug`` the parsed records are also
+    written, to ``{out_path}-debug/records``."""
+    records = tee(parse_records(scan_lines(spark, input_uri)), "records", f"{out_path.rstrip('/')}-debug", enabled=debug)
+    typed = typed_records(records, schema=schema)
     if not typed.columns:
         raise ValueError(f"no good record under {input_uri}: nothing to write")
     return write_parquet(typed, out_path)

@@ -37,8 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     try:
         sc = spark.sparkContext
-    except Exception:  # remote session: nothing to register with
-        return _local_fallback()
+    except Exception as e:  # a remote session: a folder of the client is not the cluster's
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from e
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")

@@ -48,10 +48,10 @@ def format_stat(stats: DataFrame, key: str = "path") -> DataFrame:
     )
 
 
-def write_report(lines: DataFrame, directory: str, *, single_file: bool = True) -> str:
-    """Write report lines as text. A report is a handful of lines (one per
-    dataset, path or table, after an aggregate), so it is written as one file
-    to keep the line order; pass ``single_file=False`` for a large result."""
+def write_report(lines: DataFrame, directory: str, *, single_file: bool = False) -> str:
+    """Write report lines as text. ``single_file`` is for the three lines of a
+    dataset report, which come from one row and keep their order; reports of
+    many paths or tables have no order and are written by many tasks."""
     df = lines.coalesce(1) if single_file else lines
     df.write.mode("errorifexists").text(directory)
     return directory

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -18,37 +18,67 @@ def read_json(
     paths: str | Sequence[str],
     *,
     schema: StructType | str | None = None,
-    sampling_ratio: float | None = None,
     drop_corrupt: bool = True,
 ) -> DataFrame:
-    """JSON lines as a typed table.
-
-    Without ``schema`` Spark runs one distributed inference pass
-    (``sampling_ratio`` reads a fraction of the lines for it); pass a schema to
-    skip that pass. Lines the reader cannot parse land in ``_corrupt_record``;
-    with ``drop_corrupt`` those rows are removed and the column dropped.
-    Column names that collide (duplicate keys, or names equal except for case)
-    raise, as Parquet cannot hold them: filter records first
-    (:func:`snaptally.operators.records.parse_records`).
+    """JSON lines as a typed table of the good lines.
+
+    A line counts only if it is exactly one JSON object
+    (:func:`snaptally.operators.records.parse_records`); all others are left
+    out, with a given schema as with an inferred one. With ``schema`` the lines
+    are read in one pass. Without it the good lines are written once to the
+    shared folder and Spark infers the schema from that copy, so bad lines
+    never add a column. Column names that collide (equal except for case)
+    raise, as Parquet cannot hold them. An input without a good line gives a
+    table without rows.
+
+    ``drop_corrupt=False`` is Spark's own JSON reader: every line gives a row,
+    lines it cannot parse in ``_corrupt_record``.
     """
-    r = spark.read.option("columnNameOfCorruptRecord", CORRUPT)
-    if sampling_ratio is not None:
-        r = r.option("samplingRatio", sampling_ratio)
     p = [paths] if isinstance(paths, str) else list(paths)
+    if not drop_corrupt:
+        return _read(spark.read.option("columnNameOfCorruptRecord", CORRUPT), p, schema)
+    from snaptally.operators.records import IS_VALID, parse_records
+    from snaptally.session import scratch_path
+    from snaptally.sources.text import scan_lines
+
+    good = parse_records(scan_lines(spark, p), keep_record=False).where(F.col(IS_VALID)).select("value")
+    limits = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "maxNestingDepth": str(2**31 - 1)}
+    if schema is not None:
+        df = good.select(F.from_json("value", schema, limits).alias("r")).select("r.*")
+        check_column_names(df)
+        return df
+    path = scratch_path(spark, "good-lines")
+    good.write.text(path)
+    if good.sparkSession.read.text(path).isEmpty():
+        return spark.createDataFrame([], StructType([]))
+    return _read(spark.read.options(**limits), [path], None)
+
+
+def _read(reader, paths: list[str], schema) -> DataFrame:
     try:
-        df = r.json(p, schema=schema)
+        df = reader.json(paths, schema=schema)
     except AnalysisException as e:  # Spark itself refuses names equal but for case
         if "COLUMN_ALREADY_EXISTS" in str(e):
             raise ValueError(f"colliding column names: {e}") from e
         raise
     check_column_names(df)
-    if drop_corrupt and CORRUPT in df.columns:
-        if df.columns == [CORRUPT]:  # every line is bad: nothing is left to read
-            return spark.createDataFrame([], StructType([]))
-        df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return df
 
 
+def check_nested_names(kind) -> None:
+    """Raise if a struct at any level has names equal except for case."""
+    if isinstance(kind, StructType):
+        names = Counter(f.name.lower() for f in kind.fields)
+        if dup := sorted(n for n, k in names.items() if k > 1):
+            raise ValueError(f"colliding column names {dup}: filter bad records before inference")
+        for f in kind.fields:
+            check_nested_names(f.dataType)
+    elif isinstance(kind, ArrayType):
+        check_nested_names(kind.elementType)
+    elif isinstance(kind, MapType):
+        check_nested_names(kind.valueType)
+
+
 def check_column_names(df: DataFrame, case_sensitive: bool = False) -> None:
     names = [c if case_sensitive else c.lower() for c in df.columns]
     dup = sorted(n for n, k in Counter(names).items() if k > 1)

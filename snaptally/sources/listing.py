@@ -16,8 +16,9 @@ and ``modificationTime`` selected; the ``content`` column is pruned, so no file
 is opened. Zero-byte files are not returned by that source.
 
 Hidden names (``_x``, ``.x``) are skipped everywhere, as Spark's file sources
-skip them; that is why a ``_LATEST`` pointer file is never read and the latest
-snapshot is the greatest directory name instead.
+skip them. Only the ``_LATEST`` pointer is opened, by the file system: it names the
+last finished snapshot. Without it the latest snapshot is the greatest directory name
+of stamp form that holds data.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaptally.functions.text import parent_dir, path_component
-
 _log = logging.getLogger(__name__)
 
+# The pointer file of a dump and the form of a snapshot's name.
+LATEST_POINTER = "_LATEST"
+STAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}-\d{2}-\d{2}-\d{2}$"
+
 
 def list_files(
     spark: SparkSession,
@@ -47,7 +50,12 @@ def list_files(
     if glob_filter:
         r = r.option("pathGlobFilter", glob_filter)
     p = [paths] if isinstance(paths, str) else list(paths)
-    return r.load(p).select("path", "length", "modificationTime")
+    df = r.load(p).select("path", "length", "modificationTime")
+    # only a directory of sub-directories reads as nothing without an error
+    plain = [x for x in p if not is_glob(x)]
+    if plain and not recursive and not glob_filter and len(plain) == len(p) and has_input_files(spark, plain) is False:
+        raise FileNotFoundError(f"no file directly in {p}; a directory holding only sub-directories needs recursive=True or a deeper glob")
+    return df
 
 
 def is_glob(path: str) -> bool:
@@ -87,20 +95,34 @@ def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     fs, p = fs_path
     if not fs.exists(p):
         raise FileNotFoundError(path)
-    out, plain = [], []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
+    out, plain = [], 0
+    for full, is_dir in _statuses(spark, fs.listStatus(p)):
+        name = full.rstrip("/").rsplit("/", 1)[-1]
         if _hidden(name):
             continue
-        if st.isDirectory():
-            out.append((name, st.getPath().toString()))
+        if is_dir:
+            out.append((name, full))
         else:
-            plain.append(name)
+            plain += 1
     if plain:
-        _log.warning("plain files beside the directories of %s are not tables: %s", path, plain[:10])
+        _log.warning("%d plain files beside the directories of %s are not tables", plain, path)
     return sorted(out)
 
 
+def _statuses(spark: SparkSession, statuses) -> list[tuple[str, bool]]:
+    """Path and whether it is a directory of each file status, in one transfer
+    from the JVM however many there are. A file system whose statuses print
+    otherwise is asked one by one."""
+    import re
+
+    text = spark.sparkContext._jvm.org.apache.commons.lang3.ArrayUtils.toString(statuses)
+    pieces = re.split(r"(?:^\{|,)\w*FileStatus\{path=(?=\w+:)", text)[1:]
+    found = [re.match(r"(.*); isDirectory=(true|false); (?:length|modification_time)=", x, re.DOTALL) for x in pieces]
+    if len(found) == len(statuses) and all(found):
+        return [(m[1], m[2] == "true") for m in found]
+    return [(st.getPath().toString(), st.isDirectory()) for st in statuses]
+
+
 def _list_dirs_by_files(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """Fallback of :func:`list_dirs`: the first path component below ``path``
     of every non-empty file under it (one distributed listing)."""
@@ -108,65 +130,35 @@ def _list_dirs_by_files(spark: SparkSession, path: str) -> list[tuple[str, str]]
     if base.startswith("file://"):
         base = base[len("file://"):]
     files = list_files(spark, path, recursive=True)
-    rel = F.substring_index(F.col("path"), base + "/", -1)  # text after the base
+    start = F.instr("path", base + "/")  # the first occurrence: a table may be named like the base
+    rel = F.expr(f"substring(path, instr(path, '{(base + '/').replace(chr(39), chr(39) * 2)}') + {len(base) + 1})")
     first = F.substring_index(rel, "/", 1)
     rows = (
-        files.where(F.instr(rel, "/") > 0)  # inside a sub-directory, not directly in path
-        .select(
-            first.alias("name"),
-            F.concat(F.expr("substring(path, 1, length(path) - length(substring_index(path, '" +
-                            base.replace("'", "''") + "/', -1)))"), first).alias("dir"),
-        )
+        files.where((start > 0) & (F.instr(rel, "/") > 0))  # inside a sub-directory, not directly in path
+        .select(first.alias("name"), F.concat(F.substring("path", 1, start + len(base)), first).alias("dir"))
         .distinct()
         .collect()
     )
     return sorted((r["name"], r["dir"]) for r in rows if not _hidden(r["name"]))
 
 
-def qualify_dirs(spark: SparkSession, paths: Sequence[str]) -> list[str] | None:
-    """Fully qualified form of plain paths, as Spark reports file paths
-    (``file:/…``, ``s3a://…``), when every one is an existing directory;
-    ``None`` otherwise or without a file-system gateway.
+def qualify(spark: SparkSession, path: str) -> str:
+    """A plain path as Spark reports file paths (``file:/…``, ``s3a://…``),
+    without asking the file system; a session without a gateway keeps the text."""
+    fs_path = _hadoop_fs(spark, path)
+    if fs_path is None:
+        return ("file:" + path[len("file://"):] if path.startswith("file:///") else path).rstrip("/")
+    fs, p = fs_path
+    return fs.makeQualified(p).toString().rstrip("/")
 
-    Paths are grouped by parent and each parent is listed once, so thousands
-    of table directories of one snapshot cost one listing, not a call each.
-    """
-    if not paths:
-        return []
-    if _hadoop_fs(spark, paths[0]) is None:
-        return None
-    by_parent: dict[str, list[tuple[int, object]]] = {}
-    fs_of: dict[str, object] = {}
-    for i, path in enumerate(paths):
-        fs, p = _hadoop_fs(spark, path)
-        q = fs.makeQualified(p)
-        parent = q.getParent()
-        if parent is None:  # a file-system root: no parent to list
-            if not fs.exists(q) or not fs.getFileStatus(q).isDirectory():
-                return None
-            by_parent.setdefault(q.toString(), []).append((i, None))
-            fs_of[q.toString()] = fs
-            continue
-        by_parent.setdefault(parent.toString(), []).append((i, q))
-        fs_of[parent.toString()] = fs
-    out: list[str | None] = [None] * len(paths)
-    for parent, kids in by_parent.items():
-        if kids[0][1] is None:
-            for i, _ in kids:
-                out[i] = parent.rstrip("/")
-            continue
-        fs = fs_of[parent]
-        pp = kids[0][1].getParent()
-        if not fs.exists(pp):
-            return None
-        dirs = {st.getPath().getName(): st.getPath().toString()
-                for st in fs.listStatus(pp) if st.isDirectory()}
-        for i, q in kids:
-            found = dirs.get(q.getName())
-            if found is None:
-                return None
-            out[i] = found.rstrip("/")
-    return out
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether a plain path is an existing file (unknown without a gateway: no)."""
+    fs_path = _hadoop_fs(spark, path)
+    if fs_path is None:
+        return False
+    fs, p = fs_path
+    return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
 
 
 def _has_data_file(spark: SparkSession, path: str) -> bool:
@@ -202,8 +194,14 @@ def has_input_files(spark: SparkSession, paths: Sequence[str], *, recursive: boo
                 if _has_file_below(fs, st.getPath()):
                     return True
             else:
-                for child in fs.listStatus(st.getPath()):
-                    if not child.isDirectory() and not _hidden(child.getPath().getName()):
+                # a few entries as a rule: stops at the first file
+                it = fs.listStatusIterator(st.getPath())
+                while it.hasNext():
+                    child = it.next()
+                    name = child.getPath().getName()
+                    if _hidden(name):
+                        continue
+                    if not child.isDirectory() or ("=" in name and _has_file_below(fs, child.getPath())):
                         return True
     return False
 
@@ -240,21 +238,47 @@ def latest_snapshot(
     spark: SparkSession,
     root: str,
     *,
-    stamp_pattern: str | None = None,
+    pointer: str | None = LATEST_POINTER,
+    stamp_pattern: str | None = STAMP_PATTERN,
 ) -> DataFrame:
-    """One row, ``snapshot STRING``: the greatest snapshot directory name below
-    ``root`` that holds at least one non-empty file (NULL when none does).
-
-    Snapshot stamps (``yyyy-MM-dd-HH-mm-ss``) sort as text. ``stamp_pattern``
-    (a regular expression) ignores other directory names.
+    """One row, ``snapshot STRING``: the latest snapshot below ``root`` (NULL
+    when there is none).
+
+    If the file ``pointer`` exists there, its first line names it, whatever
+    other directories exist: a dump still being written is not in it yet.
+    Otherwise it is the greatest directory name matching ``stamp_pattern`` (a
+    regular expression; stamps ``yyyy-MM-dd-HH-mm-ss`` sort as text) that holds at
+    least one non-empty file. ``pointer=None`` ignores the file,
+    ``stamp_pattern=None`` takes any name.
     """
-    snap = _latest_name(spark, root, stamp_pattern)
-    return spark.createDataFrame([(snap,)], "snapshot string")
+    return spark.createDataFrame([(_latest_name(spark, root, pointer, stamp_pattern),)], "snapshot string")
+
+
+def _pointed(spark: SparkSession, root: str, pointer: str) -> str | None:
+    """The first line of the pointer file; None without one."""
+    fs_path = _hadoop_fs(spark, f"{root.rstrip('/')}/{pointer}")
+    if fs_path is None:
+        return None
+    fs, p = fs_path
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    name = text.split("\n", 1)[0].strip().rstrip("/").rsplit("/", 1)[-1]
+    if not name:
+        raise ValueError(f"{root}/{pointer} names no snapshot")
+    return name
 
 
-def _latest_name(spark: SparkSession, root: str, stamp_pattern: str | None) -> str | None:
+def _latest_name(spark: SparkSession, root: str, pointer: str | None, stamp_pattern: str | None) -> str | None:
     import re
 
+    if pointer and (name := _pointed(spark, root, pointer)):
+        return name
     names = [(n, p) for n, p in list_dirs(spark, root) if not stamp_pattern or re.search(stamp_pattern, n)]
     for name, path in sorted(names, reverse=True):
         if _has_data_file(spark, path):
@@ -262,16 +286,11 @@ def _latest_name(spark: SparkSession, root: str, stamp_pattern: str | None) -> s
     return None
 
 
-def resolve_latest(spark: SparkSession, root: str, *, stamp_pattern: str | None = None) -> str:
-    """The latest snapshot name as a string."""
-    snap = _latest_name(spark, root, stamp_pattern)
+def resolve_latest(
+    spark: SparkSession, root: str, *, pointer: str | None = LATEST_POINTER, stamp_pattern: str | None = STAMP_PATTERN
+) -> str:
+    """The latest snapshot name as a string (see :func:`latest_snapshot`)."""
+    snap = _latest_name(spark, root, pointer, stamp_pattern)
     if snap is None:
         raise FileNotFoundError(f"no snapshot with data below {root}")
     return snap
-
-
-def latest_snapshot_by_files(spark: SparkSession, root: str) -> DataFrame:
-    """The same answer from a distributed listing of every file of every
-    snapshot (``binaryFile``); for sessions without a file-system gateway."""
-    files = list_files(spark, f"{root.rstrip('/')}/*/*/*")
-    return files.agg(F.max(path_component("path", -3)).alias("snapshot"))

@@ -1,27 +1,27 @@
-"""Table statistics kept up to date while part files of a dump arrive.
+"""Table statistics of a dump that grows while part files arrive.
 
-The batch operators are plain column expressions and one grouped aggregate,
-so they apply unchanged to a streaming DataFrame: each new file is parsed once,
-and the running count and size per table live in the aggregation state (one
-row per table, whatever the number of records). A dump that grows therefore
-never has to be re-read from the start.
-
-The running result is kept by Spark's in-memory sink in complete mode, as a
-temporary view named after the query: one row per table, no Python callback.
-Publish it with an ordinary batch write (:func:`snaptally.sinks.write_stats`).
+Each new file is parsed once; of every line only the table name and the size are kept,
+appended by executors through Spark's file sink (exactly once, each file of the input in
+one batch). The statistics are the ordinary aggregate over these narrow Parquet files, so
+the dump itself is never read again, no row passes the driver and no state is kept in
+memory between batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from snaptally.operators.records import parse_records
+from snaptally.functions.json import RECORD_SIZE_FIELD
+from snaptally.operators.records import TABLE_NAME, parse_records, record_size_or_zero
 from snaptally.operators.stats import table_stats
 from snaptally.session import shared_dir
 
+_SCHEMA = f"{TABLE_NAME} string, size bigint"
+
 
-def table_stats_stream(
+def record_sizes_stream(
     spark: SparkSession,
     input_dir: str,
     *,
@@ -29,18 +29,19 @@ def table_stats_stream(
     unit: str = "utf16",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming ``tableName, recordCount, tableSize`` over the files that
-    appear in ``input_dir`` (a directory or glob of JSON-lines files)."""
+    """Streaming ``tableName, size`` of every line of the files that appear in
+    ``input_dir`` (a directory or glob of JSON-lines files)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    lines = reader.load(input_dir)
-    return table_stats(parse_records(lines, lenient=lenient, unit=unit, keep_record=False))
+    records = parse_records(reader.load(input_dir), lenient=lenient, unit=unit, keep_record=False)
+    return records.select(TABLE_NAME, record_size_or_zero().alias("size"))
 
 
 def start_table_stats(
     spark: SparkSession,
     input_dir: str,
+    out: str,
     *,
     query_name: str = "table_stats",
     checkpoint: str | None = None,
@@ -48,24 +49,30 @@ def start_table_stats(
     processing_time: str | None = None,
     **kw,
 ) -> StreamingQuery:
-    """Run :func:`table_stats_stream`; the current statistics are readable as
-    ``spark.table(query_name)`` after every micro-batch.
+    """Append the lines of new files to ``out``; :func:`current_table_stats` of it
+    gives the statistics at any time.
 
-    Progress and aggregation state are kept under ``checkpoint`` (default: a
-    folder below ``spark.checkpoint.dir``), so a restarted query resumes from
-    the files not yet counted, with the totals so far. ``available_now``
-    processes what is there and stops.
+    Progress is kept under ``checkpoint`` (default: a folder below
+    ``spark.checkpoint.dir``), so a restarted query resumes from the files not
+    yet read. ``available_now`` processes what is there and stops.
     """
     ckpt = checkpoint or f"{shared_dir(spark)}/{query_name}-stream"
     w = (
-        table_stats_stream(spark, input_dir, **kw)
-        .writeStream.outputMode("complete")
-        .format("memory")
+        record_sizes_stream(spark, input_dir, **kw)
+        .writeStream.outputMode("append")
+        .format("parquet")
         .queryName(query_name)
         .option("checkpointLocation", ckpt)
+        .option("path", out)
     )
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def current_table_stats(spark: SparkSession, out: str) -> DataFrame:
+    """``tableName, recordCount, tableSize`` over all finished batches in ``out``."""
+    rows = spark.read.schema(_SCHEMA).parquet(out)
+    return table_stats(rows.select(TABLE_NAME, F.col("size").alias(RECORD_SIZE_FIELD)))

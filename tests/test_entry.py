@@ -28,7 +28,7 @@ def test_every_query_has_oracle():
 def test_query_matches_oracle(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("part", "orders", "events", "documents", "pages"):
+    for t in ("part", "orders", "events", "documents", "pages", "nation"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = entry.queries()[name](spark, SF)
     got_cols = df.columns

@@ -114,19 +114,22 @@ def test_path_stats_one_scan(spark, tree):
     got = {os.path.basename(r.path): r.recordCount
            for r in path_stats(spark, [f"{root}/t1", f"{root}/t3"]).collect()}
     assert got == {"t1": 4, "t3": 0}
-    # a file given as a path: its lines count for its directory
-    got = {os.path.basename(r.path): r.recordCount for r in path_stats(spark, [f"{root}/t1/p0"]).collect()}
-    assert got == {"t1": 3}
+    # every given path has its own row, named as given; lines that several cover are read once
+    given = [f"{root}/t1", f"{root}/t1/p0", f"{root}/t1", f"{root}/t[12]", f"{root}/t1/p1", f"{root}/t2/"]
+    rows = path_stats(spark, given).collect()
+    assert {r.path: (r.recordCount, r.tableSize) for r in rows} == {
+        given[0]: (4, 4), given[1]: (3, 3), given[3]: (6, 4), given[4]: (1, 1), given[5]: (2, 0)}
+    assert len(rows) == 5
     # one scan node for all paths
     plan = final_plan(df)
     assert plan.count("FileScan text") == 1
 
 
 def test_percent_encoded_paths(spark, tree):
-    got = {r.path for r in path_stats(spark, f"{tree}/enc/*").collect()}
-    assert [os.path.basename(p) for p in got] == ["a b%c"]
     listed = {os.path.dirname(r.path) for r in list_files(spark, f"{tree}/enc/*").collect()}
-    assert listed == got
+    assert [os.path.basename(p) for p in listed] == ["a b%c"]
+    got = {r.path: r.recordCount for r in path_stats(spark, [f"{tree}/enc/a b%c", *listed, f"{tree}/enc/*"]).collect()}
+    assert got == {p: 1 for p in [f"{tree}/enc/a b%c", *listed, f"{tree}/enc/*"]}
 
 
 def test_list_files_prunes_content(spark, tree):
@@ -138,8 +141,13 @@ def test_list_files_prunes_content(spark, tree):
 
 def test_latest_and_tables(spark, tree):
     snaps = f"{tree}/snaps"
-    assert latest_snapshot(spark, snaps).first().snapshot == "2015-04-29-00-00-00"
-    assert resolve_latest(spark, snaps, stamp_pattern=r"^\d{4}(-\d{2}){5}$") == "2015-04-29-00-00-00"
+    # the pointer names the last finished one; without it the greatest stamp with data
+    assert latest_snapshot(spark, snaps).first().snapshot == "2015-04-28-00-00-00"
+    assert resolve_latest(spark, snaps, pointer=None) == "2015-04-29-00-00-00"
+    os.makedirs(f"{snaps}/zz-tmp", exist_ok=True)
+    write_file(f"{snaps}/zz-tmp/t/p", "x\n")
+    assert latest_snapshot(spark, snaps, pointer=None).first().snapshot == "2015-04-29-00-00-00"
+    assert resolve_latest(spark, snaps, pointer=None, stamp_pattern=None) == "zz-tmp"
     t = [r.table for r in list_tables(spark, f"{snaps}/2015-04-29-00-00-00", limit=10).collect()]
     assert t == ["answer-b", "answer-c", "answer-d"]
     assert list_tables(spark, f"{snaps}/2015-04-29-00-00-00", limit=1).count() == 1
@@ -149,8 +157,10 @@ def test_latest_and_tables(spark, tree):
 def test_snapshot_table_counts(spark, tree):
     snaps = f"{tree}/snaps"
     got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps).collect()}
+    assert got == {"answer-a": 1}  # the snapshot that _LATEST names
+    got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps, pointer=None).collect()}
     assert got == {"answer-b": 2, "answer-c": 4, "answer-d": 0}
-    got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps, limit=1).collect()}
+    got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps, pointer=None, limit=1).collect()}
     assert got == {"answer-b": 2}
     got = {r.table: r.recordCount
            for r in snapshot_table_counts(spark, snaps, snapshot="2015-04-28-00-00-00").collect()}
@@ -158,14 +168,38 @@ def test_snapshot_table_counts(spark, tree):
     assert snapshot_table_counts(spark, snaps, limit=0).count() == 0
 
 
-def test_latest_by_files_agrees(spark, tree):
-    from snaptally.sources import latest_snapshot_by_files
+def test_snapshot_counts_of_nested_and_partitioned_tables(spark, tmp_path):
+    snap = f"{tmp_path}/2015-01-01-00-00-00"
+    for path, text in {"flat/p": "a\nb\n", "parts/dt=1/p": "a\n", "parts/dt=2/p": "b\nc\n", "deep/sub/er/p": "x\n", "both/p": "1\n", "both/s/p": "2\n", "none/p": ""}.items():
+        write_file(f"{snap}/{path}", text)
+    expected = {"flat": 2, "parts": 3, "deep": 1, "both": 2, "none": 0}
+    assert {r.table: r.recordCount for r in snapshot_table_counts(spark, str(tmp_path)).collect()} == expected
+    got = {r.table: r.recordCount for r in snapshot_table_counts(spark, str(tmp_path), limit=3).collect()}
+    assert got == {"both": 2, "deep": 1, "flat": 2}
 
-    assert latest_snapshot_by_files(spark, f"{tree}/snaps").first().snapshot == "2015-04-29-00-00-00"
+
+def test_many_tables_are_listed_quickly(spark, tmp_path):
+    import time
+
+    for i in range(3000):
+        os.makedirs(f"{tmp_path}/t, {i:04d} x; isDirectory=false,")
+    list_tables(spark, str(tmp_path), limit=1).count()
+    start = time.time()
+    assert list_tables(spark, str(tmp_path)).count() == 3000
+    assert time.time() - start < 10
+
+
+def test_scans_read_what_spark_reads(spark, tmp_path):
+    write_file(f"{tmp_path}/t1/dt=1/p", "a\nb\n")
+    write_file(f"{tmp_path}/t1/dt=2/p", "c\n")
+    assert scan_lines(spark, f"{tmp_path}/t1").count() == 3
+    assert [r.recordCount for r in path_stats(spark, [f"{tmp_path}/t1", f"{tmp_path}/t1/dt=2", f"{tmp_path}/t1/dt=2/p"]).orderBy("path").collect()] == [3, 1, 1]
+    with pytest.raises(FileNotFoundError):
+        list_files(spark, f"{tmp_path}")  # only sub-directories
 
 
 def test_count_plan_single_exchange_per_level(spark, tree):
-    df = snapshot_table_counts(spark, f"{tree}/snaps")
+    df = snapshot_table_counts(spark, f"{tree}/snaps", pointer=None)
     plan = final_plan(df)
     assert plan.count("FileScan text") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
@@ -174,17 +208,6 @@ def test_count_plan_single_exchange_per_level(spark, tree):
     assert "UrlCodec" not in plan.split("HashAggregate(keys=[file_path")[-1]
 
 
-def test_qualify_dirs(spark, tree):
-    from snaptally.sources import qualify_dirs
-
-    snap = f"{tree}/snaps/2015-04-29-00-00-00"
-    got = qualify_dirs(spark, [f"{snap}/answer-c", f"{snap}/answer-b/", f"{tree}/root/2015"])
-    assert [g.split("/")[-1] for g in got] == ["answer-c", "answer-b", "2015"]
-    assert all(g.startswith("file:") for g in got)
-    assert qualify_dirs(spark, [f"{snap}/answer-b", f"{snap}/missing"]) is None
-    assert qualify_dirs(spark, [f"{snap}/answer-b/p.json"]) is None  # a file, not a directory
-
-
 def test_table_names_with_glob_characters(spark, tmp_path):
     root = str(tmp_path / "g")
     write_file(f"{root}/2015-01-01-00-00-00/t[1]/p", "a\nb\n")
@@ -213,7 +236,8 @@ def test_fallbacks_without_file_system_gateway(spark, tree, monkeypatch):
     assert resolve_latest(spark, snaps) == "2015-04-29-00-00-00"
     got = {r.table: r.recordCount for r in snapshot_table_counts(spark, snaps).collect()}
     assert got == {"answer-b": 2, "answer-c": 4}
-    assert listing.qualify_dirs(spark, [f"{snaps}/2015-04-29-00-00-00/answer-b"]) is None
+    named = [f"{snaps}/2015-04-29-00-00-00/answer-b", f"file:{snaps}/2015-04-29-00-00-00/answer-c"]
+    assert {r.path: r.recordCount for r in path_stats(spark, named).collect()} == {named[0]: 2, named[1]: 4}
     assert listing.has_input_files(spark, [f"{tree}/root/2015/t1"]) is None
     # the scan-based check takes over
     with pytest.raises(FileNotFoundError):
@@ -236,4 +260,4 @@ def test_small_options(spark, tree, tmp_path):
     j = tmp_path / "j"
     j.mkdir()
     (j / "p.json").write_text("".join('{"i":%d}\n' % i for i in range(50)))
-    assert read_json(spark, str(j), sampling_ratio=0.5).count() == 50
+    assert read_json(spark, str(j)).count() == 50

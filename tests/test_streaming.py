@@ -1,20 +1,20 @@
 from conftest import write_file
-from snaptally.streaming import start_table_stats
+from snaptally.streaming import current_table_stats, start_table_stats
 
 
-def _stats(spark, name):
-    return {r.tableName: (r.recordCount, r.tableSize) for r in spark.table(name).collect()}
+def _stats(spark, out):
+    return {r.tableName: (r.recordCount, r.tableSize) for r in current_table_stats(spark, out).collect()}
 
 
 def test_stream_accumulates_across_files(spark, tmp_path):
-    src, ckpt = str(tmp_path / "in"), str(tmp_path / "ckpt")
+    src, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
     write_file(f"{src}/p0", '{"~table":"t"}\nbad\n')
-    q = start_table_stats(spark, src, query_name="ts_a", checkpoint=ckpt, available_now=True)
+    q = start_table_stats(spark, src, out, query_name="ts_a", checkpoint=ckpt, available_now=True)
     q.awaitTermination(120)
-    assert _stats(spark, "ts_a") == {"t": (1, 14), "unknown": (1, 0)}
-    # a new part file arrives: only it is read, the totals carry over from the state
+    assert _stats(spark, out) == {"t": (1, 14), "unknown": (1, 0)}
+    # a new part file arrives: only it is read
     write_file(f"{src}/p1", '{"~table":"t","a":1}\n')
-    q = start_table_stats(spark, src, query_name="ts_b", checkpoint=ckpt, available_now=True)
+    q = start_table_stats(spark, src, out, query_name="ts_b", checkpoint=ckpt, available_now=True)
     q.awaitTermination(120)
-    assert _stats(spark, "ts_b") == {"t": (2, 34), "unknown": (1, 0)}
+    assert _stats(spark, out) == {"t": (2, 34), "unknown": (1, 0)}
     assert sum(p["numInputRows"] for p in q.recentProgress) == 1
