@@ -8,10 +8,15 @@ same hash in every task, so no table of names has to be shared.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
+
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20  #: texts worked on at once; a longer single text is a chunk of its own
+CHUNK_BYTES = 1 << 20  #: texts worked on at once; a longer single text is a chunk of its own
 
 _U = np.uint64
 _B = 0x9E3779B97F4A7C15 | 1  # odd, so it has an inverse modulo 2**64
@@ -42,19 +47,28 @@ def mix2(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 
-_powers: list[np.ndarray] = []
-
-
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B**i and B**-i modulo 2**64 for i <= n, kept between calls."""
-    if not _powers or len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 16)
-        _powers[:] = []
+    """B**i and B**-i modulo 2**64 for i <= n. One table per process: functions
+    sent by value have globals of their own, and a worker gets new ones per task."""
+    held = getattr(sys, "_snaptally_powers", None)
+    if held is None or len(held[0]) <= n:
+        held = []
         for base in (_B, _B_INV):
-            out = np.full(size, base, dtype=_U)
+            out = np.full(max(n + 1, 1 << 16), base, dtype=_U)
             out[0] = 1
-            _powers.append(np.multiply.accumulate(out))
-    return _powers[0], _powers[1]
+            held.append(np.multiply.accumulate(out))
+        if n <= 8 * CHUNK_BYTES:  # a single very long text needs a larger one, but not for long
+            sys._snaptally_powers = held
+    return held[0], held[1]
+
+
+def release() -> None:
+    """Give memory of finished work back to the system: a worker process lives on
+    between tasks, and its neighbours need the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class Prefix:
@@ -160,6 +174,7 @@ def chunks(batches, column: str, limit: int = CHUNK_BYTES):
 def parts(batches, weight, limit: int):
     """Row slices of Arrow batches whose ``weight(batch)`` (a number for each row)
     sums to at most ``limit``, one row at least."""
+    release()
     for batch in batches:
         total, start = 0, 0
         for i, n in enumerate(weight(batch).tolist() if batch.num_rows else []):
@@ -169,6 +184,7 @@ def parts(batches, weight, limit: int):
             total += n
         if batch.num_rows:
             yield batch.slice(start)
+    release()
 
 
 def group_starts(keys: np.ndarray) -> np.ndarray:

@@ -334,7 +334,7 @@ def jaccard_groups(documents: DataFrame, *, words: int = WORDS, num: int = NUM,
     pairs = rows.repartition(F.col("tile")).sortWithinPartitions("tile", "n", "doc").mapInArrow(_page_pairs(num, den), "a long, b long")
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
-    groups = components(links.union(_links(pairs, docs, words, num, den)))
+    groups = components(links.union(written(_links(pairs, docs, words, num, den))))
     return (
         members.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
         .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), "copies")
