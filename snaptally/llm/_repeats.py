@@ -12,6 +12,10 @@ of its symbols) and a cell (the name of everything that its windows cover).
    by one. A bucket with more than ``hot`` open cells is dealt by window instead
    of by bucket, so it spreads over all tasks; the comparison is the same.
 
+Buckets that very many documents share are dealt by bucket and cell from the start and
+count as open. A bounded sample of documents names them; it steers where rows go and
+changes no result.
+
 Everything is sorted streams and joins on document ids; no group is gathered whole.
 """
 
@@ -30,7 +34,10 @@ from ._shared import one_row_per_id, written
 
 HOT_BUCKET = 20_000  #: open cells of a bucket from which it is dealt by window
 
-_ANCHORS = pa.schema([("bucket", pa.int64()), ("cell", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("sure", pa.bool_())])
+HOT_SAMPLE = 100_000  #: documents sampled for buckets that many documents share
+HOT_SHARE, HOT_LEAST, HOT_MOST = 1e-3, 64, 100_000
+
+_ANCHORS = pa.schema([("key", pa.int64()), ("bucket", pa.int64()), ("cell", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("sure", pa.bool_())])
 _OPEN = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("lo", pa.int64()), ("names", pa.list_(pa.int64()))])
 _SPANS = pa.schema([("doc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
 
@@ -62,11 +69,32 @@ def _union(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray,
     return doc[starts], lo[starts], (reach - lift)[ends]
 
 
-def _anchor_rows(cells_of: Callable[[Texts], Cells], width: int, within: bool):
+def _shared_buckets(docs: DataFrame, cells_of):
+    """Sorted buckets that at least one in a thousand of the sampled documents hold."""
+    k = max(1, -(-docs.count() // HOT_SAMPLE))
+
+    def run(batches):
+        schema = pa.schema([("bucket", pa.int64()), ("held", pa.int64())])
+        for part in chunks(batches, "text"):
+            c = cells_of(texts_of(part.column("text")))
+            each = np.unique(np.stack((c.bucket, c.cell)), axis=1)[0] if len(c.bucket) else c.bucket
+            bucket, held = np.unique(each, return_counts=True)
+            yield record(schema, bucket[held > 1], held[held > 1])
+
+    sample = docs.filter(F.pmod(F.xxhash64("doc"), F.lit(k)) == 0).select("doc", "text")
+    least = max(HOT_LEAST, int(HOT_SHARE * HOT_SAMPLE)) if k > 1 else HOT_LEAST
+    held = sample.mapInArrow(run, "bucket long, held long").groupBy("bucket").agg(F.sum("held").alias("held")).filter(F.col("held") >= least)
+    rows = held.orderBy(F.desc("held"), "bucket").limit(HOT_MOST).select("bucket").collect()
+    return np.sort(np.array([r["bucket"] for r in rows], dtype=np.int64).view(np.uint64))
+
+
+def _anchor_rows(cells_of: Callable[[Texts], Cells], width: int, within: bool, shared):
     """Anchors with the repeats inside a chunk settled. ``within``: an earlier
-    start in the same document counts as well."""
+    start in the same document counts as well. Rows of shared buckets carry the
+    bucket and are keyed by bucket and cell, the others by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many = shared.value
         for part in chunks(batches, "text"):
             ids = part.column("doc").to_numpy()
             c = cells_of(texts_of(part.column("text")))
@@ -84,9 +112,13 @@ def _anchor_rows(cells_of: Callable[[Texts], Cells], width: int, within: bool):
             if len(d):
                 # settled already: the key only spreads the rows
                 key = mix2(d.view(np.uint64), a.view(np.uint64))
-                yield record(_ANCHORS, key, key, d, a, b, np.ones(len(d), dtype=bool))
+                yield record(_ANCHORS, key, pa.nulls(len(d), pa.int64()), key, d, a, b, np.ones(len(d), dtype=bool))
             rest = ~sure
-            yield record(_ANCHORS, bucket[rest], cell[rest], doc[rest], lo[rest], hi[rest], np.zeros(int(rest.sum()), dtype=bool))
+            bucket, cell = bucket[rest], cell[rest]
+            spread = many[np.minimum(np.searchsorted(many, bucket), len(many) - 1)] == bucket if len(many) else np.zeros(len(bucket), dtype=bool)
+            key = bucket.copy()
+            key[spread] = mix2(bucket[spread], cell[spread])
+            yield record(_ANCHORS, key, pa.array(bucket.view(np.int64), mask=~spread), cell, doc[rest], lo[rest], hi[rest], np.zeros(len(key), dtype=bool))
 
     return run
 
@@ -173,17 +205,19 @@ def seen_earlier(docs: DataFrame, width: int, cells_of, names_of, *, within: boo
 
     ``docs`` has ``doc`` (unique, not null) and ``text``.
     """
-    anchors = docs.select("doc", "text").mapInArrow(_anchor_rows(cells_of, width, within), "bucket long, cell long, doc long, lo long, hi long, sure boolean")
-    bucket = Window.partitionBy("bucket")
-    cell = Window.partitionBy("bucket", "cell")
-    same = F.col("least_cell") == F.col("most_cell")
+    shared = docs.sparkSession.sparkContext.broadcast(_shared_buckets(docs, cells_of))
+    anchors = docs.select("doc", "text").mapInArrow(_anchor_rows(cells_of, width, within, shared), "key long, bucket long, cell long, doc long, lo long, hi long, sure boolean")
+    key = Window.partitionBy("key")
+    cell = Window.partitionBy("key", "cell")
+    spread = F.col("bucket").isNotNull()
+    open_ = (F.col("least_cell") != F.col("most_cell")) | spread
     first = F.min(F.struct("doc", "lo")).over(cell)
     anchors = (
-        anchors.withColumns({"least_cell": F.min("cell").over(bucket), "most_cell": F.max("cell").over(bucket), "held": F.count("*").over(bucket)})
+        anchors.withColumns({"least_cell": F.min("cell").over(key), "most_cell": F.max("cell").over(key), "held": F.count("*").over(key)})
         .withColumn("first", first)
         .withColumn("repeat", (F.struct("doc", "lo") > F.col("first")) if within else (F.col("doc") > F.col("first.doc")))
-        .filter(F.col("sure") | F.col("repeat") | ~same)
-        .select("bucket", "doc", "lo", F.when(F.col("sure"), F.col("hi")).when(F.col("repeat"), F.col("hi") + width).otherwise(F.col("hi")).alias("hi"), (F.col("sure") | F.col("repeat")).alias("done"), (F.col("held") > hot).alias("hot"))
+        .filter(F.col("sure") | F.col("repeat") | open_)
+        .select(F.coalesce("bucket", "key").alias("bucket"), "doc", "lo", F.when(F.col("sure"), F.col("hi")).when(F.col("repeat"), F.col("hi") + width).otherwise(F.col("hi")).alias("hi"), (F.col("sure") | F.col("repeat")).alias("done"), (spread | (F.col("held") > hot)).alias("hot"))
     )
     anchors = written(anchors)
     opened = anchors.filter(~F.col("done")).groupBy("doc").agg(F.collect_list(F.struct("bucket", "lo", "hi", "hot")).alias("opened"))

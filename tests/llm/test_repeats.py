@@ -55,9 +55,10 @@ BYTES = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 WORDS = ("n_words", "n_removed", "kept_sha256")
 
 
-@pytest.mark.parametrize("hot", [20_000, 0])
-def test_bytes_odd(odd, monkeypatch, hot):
-    # hot=0 deals every open cell by window: the same result
+@pytest.mark.parametrize(("hot", "least"), [(20_000, 64), (0, 64), (20_000, 2)])
+def test_bytes_odd(odd, monkeypatch, hot, least):
+    # hot=0 deals every open cell by window, least=2 spreads most buckets: the same result
+    monkeypatch.setattr(_repeats, "HOT_LEAST", least)
     docs = _repeats.keyed(odd)
     spans = _repeats.seen_earlier(docs, 100, suffix_dedup.byte_cells(100, 32), suffix_dedup.byte_windows(100), within=True, hot=hot)
     got = result(_repeats.with_texts(docs, spans, suffix_dedup._results(False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), BYTES)
