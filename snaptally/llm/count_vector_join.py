@@ -343,4 +343,4 @@ def jaccard_groups(documents: DataFrame, *, words: int = WORDS, num: int = NUM,
 
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Groups of all documents at a Jaccard similarity of 0.85 of 4-word shingles."""
-    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("copies")
