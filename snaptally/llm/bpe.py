@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._flat import chunks, record, texts_of
+from ._flat import chunks, record, release, texts_of
 from ._repeats import digests
 
-KNOWN_PIECES = 400_000  #: pieces that a task remembers before it starts afresh
+KNOWN_PIECES = 200_000  #: pieces that a task remembers before it starts afresh
 ROUND_SYMBOLS = 1 << 20  #: symbols merged in one flat array
 
 # the part of the pre-tokenizer's pattern that ASCII text can reach
@@ -238,6 +238,8 @@ def encode(documents: DataFrame, *, path: str | None = None, digest: bool = True
                 columns.append(pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder = None
+        release()
 
     return rows.mapInArrow(run, out)
 
