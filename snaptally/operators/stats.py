@@ -116,15 +116,17 @@ def path_stats(
     Sizes exclude line breaks, as in :func:`dataset_stats`.
     """
     given = list(dict.fromkeys([paths] if isinstance(paths, str) else list(paths)))
-    plain = {p: _local(qualify(spark, p)) for p in given if not is_glob(p)}
+    whole = {p: qualify(spark, p) for p in given if not is_glob(p)}
+    plain = {p: _local(q) for p, q in whole.items()}
+    reader = {_local(q): q for q in whole.values()}  # what Spark is asked to read keeps its scheme
     zero = F.lit(0).cast("bigint")
     totals = [F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT), F.sum("chars").cast("bigint").alias(TABLE_SIZE)]
     parts = []
     if plain:
         at = set(plain.values())
         # what another path covers is not read a second time
-        top = [q for q in sorted(at) if not _covers(at, q, recursive, lambda f: is_file(spark, f))]
-        per_file = _per_file(spark, [escape_glob(q) for q in top], unit, recursive, None)
+        top = [q for q in sorted(at) if not _covers(at, q, recursive, lambda f: is_file(spark, reader[f]))]
+        per_file = _per_file(spark, [escape_glob(reader[q]) for q in top], unit, recursive, None)
         # non-null keys: nullable ones would let a join-inferred filter reach the scan
         name = F.coalesce(F.regexp_replace(decode_path(F.col(FILE_PATH)), "^file:/+", "/"), F.lit(""))
         covered = per_file.select(F.explode(_ancestors(name, recursive)).alias("at"), RECORD_COUNT, "chars").groupBy("at").agg(*totals)
