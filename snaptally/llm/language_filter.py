@@ -143,13 +143,10 @@ def predict(documents: DataFrame, model: LanguageFilter | None, *, gram: int = G
     language of the training rows with score 0; ties go to the more frequent one.
     Rows may repeat; an empty table gives an empty result.
     """
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)
     rows = documents.select(*keep, F.col("text").alias("__text"))
     out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1]) + "lang_pred string, score double"
 
-    def run(batches):
-        model = shared.value
+    def run(batches):  # the model travels with the function, by value
         for part in chunks(batches, "__text"):
             raw = part.column("__text")
             texts = texts_of(raw)

@@ -207,18 +207,17 @@ def judge(documents: DataFrame, refs: References | None = None, *, min_chars: in
     without a reference, is compared to the nearest reference. Rows may repeat; an
     empty table gives an empty result.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(refs or learn_references(documents))
+    known = refs or learn_references(documents)  # travels with the function, by value
     rows = documents.select(*keep, F.col("lang").cast("string").alias("__lang"), F.col("text").alias("__text"))
     out = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-2])
     out += "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, word_distance double"
     names = [*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"]
 
     def run(batches):
-        refs = shared.value
         for part in chunks(batches, "__text"):
             texts = texts_of(part.column("__text"))
             c = base_counts(texts)
-            by_class, by_word = distances(texts, part.column("__lang").to_pylist(), refs)
+            by_class, by_word = distances(texts, part.column("__lang").to_pylist(), known)
             failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
             strange = ((c["word_chars"] >= min_chars) & (by_class > max_class_distance)) | ((c["n_words"] >= min_words) & (by_word > max_word_distance))
             columns = [part.column(i) for i in range(len(keep))]
