@@ -111,10 +111,9 @@ def _set_rows(words: int, num: int, den: int):
                 s = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mix(names + np.uint64(salt)))))
                 sums.append(s[ends[1:]] - s[ends[:-1]])
             cell = text.astype(np.int64) << POINT_BITS | (mix(names) >> np.uint64(64 - POINT_BITS)).astype(np.int64)
-            point = np.bincount(cell, minlength=docs << POINT_BITS).astype("<u4").tobytes()
-            width = 4 << POINT_BITS
+            point = np.bincount(cell, minlength=docs << POINT_BITS).reshape(docs, 1 << POINT_BITS)
             none = pa.nulls(docs, pa.int64())
-            yield record(schema, part.column("doc"), n, *sums, [point[i * width : (i + 1) * width] for i in range(docs)], none, none)
+            yield record(schema, part.column("doc"), n, *sums, [x.astype("u1" if x.max() < 256 else "<u4").tobytes() for x in point], none, none)
             unique = np.unique(mix2(*sums), return_index=True)[1]
             first = np.zeros(docs, dtype=bool)
             first[unique] = True
@@ -174,8 +173,16 @@ def _bound_rows(num: int, den: int):
 
 
 def _points(column: pa.Array) -> np.ndarray:
-    raw = texts_of(column).data
-    return np.frombuffer(raw.tobytes(), dtype="<u4").reshape(len(column), 1 << POINT_BITS)
+    """Coordinates, a row each: one byte per coordinate where all fit, else four."""
+    texts = texts_of(column)
+    out = np.empty((len(texts), 1 << POINT_BITS), dtype=np.uint32)
+    small = texts.lengths == 1 << POINT_BITS
+    raw = texts.data[np.repeat(small, texts.lengths)]
+    out[small] = raw.reshape(-1, 1 << POINT_BITS)
+    if not small.all():
+        raw = texts.data[np.repeat(~small, texts.lengths)]
+        out[~small] = np.frombuffer(raw.tobytes(), dtype="<u4").reshape(-1, 1 << POINT_BITS)
+    return out
 
 
 def _page_pairs(num: int, den: int):
@@ -286,7 +293,7 @@ def jaccard_groups(documents: DataFrame, *, words: int = WORDS, num: int = NUM,
     Jaccard similarity of at least ``num / den``, directly or through others.
 
     Returns ``doc_id, n_shingles, component_id`` (the least doc_id reachable by
-    links, itself included) and ``copies``, the documents with the same set.
+    links, itself included).
 
     A text with fewer words is one shingle as a whole; a null text, or one without
     words, has an empty set and is linked with nothing. A row without doc_id is
@@ -305,30 +312,34 @@ def jaccard_groups(documents: DataFrame, *, words: int = WORDS, num: int = NUM,
 
     same = ["n", "k1", "k2"]
     classes = written(sets.filter("n > 0").groupBy(*same).agg(F.min("doc").alias("rep"), F.count("*").alias("copies")))
-    members = sets.select("doc", *same).join(classes, same, "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies"))
-    points = sets.join(classes.select(F.col("rep").alias("doc"), "copies"), "doc").select("doc", "n", "copies", "point")
+    members = sets.select("doc", *same).join(classes, same, "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
+    # only copies and their representatives need a look-up; all others stand for themselves
+    copied = written(members.join(classes.filter("copies > 1").select("rep", "copies"), "rep").select("doc", "rep", "copies"))
+    points = sets.join(classes.select(F.col("rep").alias("doc")), "doc", "left_semi").select("doc", "n", "point")
 
     tiles = docs.mapInArrow(_tile_rows(words, num, den, hot), "tile long, doc long")
     tile = Window.partitionBy("tile")
     shared = tiles.withColumns({"x": F.min("doc").over(tile), "y": F.max("doc").over(tile)}).filter("x <> y").select("tile", "doc")
-    # equal sets met in different chunks become one
-    meets = written(
-        shared.join(members.select("doc", "rep", "copies"), "doc").groupBy("tile", "rep").agg(F.first("copies").alias("copies"))
-        .withColumn("others", F.count("*").over(tile)).filter("others > 1").select("tile", F.col("rep").alias("doc"), "copies")
+    # equal sets met in different chunks become one; the pivot has most copies. If the
+    # look-up is broadcast, all of this keeps the partitioning by tile.
+    one = (
+        shared.join(sendable(copied), "doc", "left")
+        .groupBy("tile", F.coalesce("rep", "doc").alias("doc")).agg(F.coalesce(F.first("copies"), F.lit(1)).alias("copies"))
     )
+    top = F.max(F.struct("copies", (-F.col("doc")).alias("less"))).over(tile)
+    meets = written(one.withColumns({"others": F.count("*").over(tile), "top": top}).filter("others > 1").select("tile", "doc", (-F.col("top.less")).alias("pivot")))
 
     def with_points(pairs: DataFrame) -> DataFrame:
         side = lambda c: points.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}"))
         return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "pa", "pb")
 
-    pivots = meets.groupBy("tile").agg(F.max(F.struct("copies", (-F.col("doc")).alias("less"))).alias("top")).select("tile", (-F.col("top.less")).alias("pivot"))
-    stars = meets.join(pivots, "tile").filter("doc <> pivot").groupBy("doc", "pivot").count()
+    stars = meets.filter("doc <> pivot").groupBy("doc", "pivot").count()
     best = stars.groupBy("doc").agg(F.max(F.struct("count", (-F.col("pivot")).alias("less"))).alias("top")).select(F.col("doc").alias("b"), (-F.col("top.less")).alias("a"))
     first = written(with_points(best).mapInArrow(_bound_rows(num, den), "a long, b long"))
     links = written(_links(first, docs, words, num, den))
 
-    groups = components(links)
-    known = meets.select("tile", "doc").join(groups.withColumnRenamed("node", "doc"), "doc", "left").select("tile", "doc", F.coalesce("component", "doc").alias("comp"))
+    groups = written(components(links).withColumnRenamed("node", "doc"))
+    known = meets.select("tile", "doc").join(sendable(groups), "doc", "left").select("tile", "doc", F.coalesce("component", "doc").alias("comp"))
     open_ = known.withColumns({"x": F.min("comp").over(tile), "y": F.max("comp").over(tile)}).filter("x <> y").select("tile", "doc", "comp")
     rows = open_.join(points.select("doc", "n", "point"), "doc").select("tile", "doc", "comp", "n", "point")
     pairs = rows.repartition(F.col("tile")).sortWithinPartitions("tile", "n", "doc").mapInArrow(_page_pairs(num, den), "a long, b long")
@@ -337,10 +348,10 @@ def jaccard_groups(documents: DataFrame, *, words: int = WORDS, num: int = NUM,
     groups = components(links.union(written(_links(pairs, docs, words, num, den))))
     return (
         members.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"), "copies")
+        .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     )
 
 
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Groups of all documents at a Jaccard similarity of 0.85 of 4-word shingles."""
-    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("copies")
+    return jaccard_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
