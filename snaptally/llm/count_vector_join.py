@@ -33,6 +33,7 @@ from ._shared import one_row_per_id, sendable, written
 WORDS = 4
 NUM, DEN = 85, 100  #: similarity of a link
 POINT_BITS = 6  #: 64 coordinates
+WIDE_BITS = 10  #: 1,024 coordinates, for pairs of long documents that 64 can't tell apart
 SMALL = 64  #: sets below it share one level with 256 groups
 HOT_SHARE, HOT_LEAST, HOT_MOST = 1e-4, 64, 1_000_000  #: when a tile counts as hot; these order groups only
 PAGE = 256
@@ -110,10 +111,8 @@ def _set_rows(words: int, num: int, den: int):
             for salt in (1, 2):
                 s = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(mix(names + np.uint64(salt)))))
                 sums.append(s[ends[1:]] - s[ends[:-1]])
-            cell = text.astype(np.int64) << POINT_BITS | (mix(names) >> np.uint64(64 - POINT_BITS)).astype(np.int64)
-            point = np.bincount(cell, minlength=docs << POINT_BITS).reshape(docs, 1 << POINT_BITS)
             none = pa.nulls(docs, pa.int64())
-            yield record(schema, part.column("doc"), n, *sums, [x.astype("u1" if x.max() < 256 else "<u4").tobytes() for x in point], none, none)
+            yield record(schema, part.column("doc"), n, *sums, _as_points(names, text, docs, POINT_BITS), none, none)
             unique = np.unique(mix2(*sums), return_index=True)[1]
             first = np.zeros(docs, dtype=bool)
             first[unique] = True
@@ -156,15 +155,13 @@ def _tile_rows(words: int, num: int, den: int, hot):
     return run
 
 
-def _bound_rows(num: int, den: int):
+def _bound_rows(num: int, den: int, bits: int = POINT_BITS):
     """Of candidate pairs with their points, those whose bound allows a link."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        for part in batches:
-            if not part.num_rows:
-                continue
-            p, q = _points(part.column("pa")), _points(part.column("pb"))
+        for part in parts(batches, lambda batch: np.full(batch.num_rows, 1 << bits), VERIFY_VALUES):
+            p, q = _points(part.column("pa"), bits), _points(part.column("pb"), bits)
             na, nb = part.column("na").to_numpy(), part.column("nb").to_numpy()
             ok = (num + den) * np.minimum(p, q).sum(axis=1, dtype=np.int64) >= num * (na + nb)
             yield record(schema, part.column("a").to_numpy()[ok], part.column("b").to_numpy()[ok])
@@ -172,16 +169,23 @@ def _bound_rows(num: int, den: int):
     return run
 
 
-def _points(column: pa.Array) -> np.ndarray:
-    """Coordinates, a row each: one byte per coordinate where all fit, else four."""
+def _as_points(names: np.ndarray, text: np.ndarray, docs: int, bits: int) -> list[bytes]:
+    """The count vector of each text: a byte per coordinate where all fit, else four."""
+    cell = text.astype(np.int64) << bits | (mix(names) >> np.uint64(64 - bits)).astype(np.int64)
+    rows = np.bincount(cell, minlength=docs << bits).reshape(docs, 1 << bits)
+    return [x.astype("u1" if x.max() < 256 else "<u4").tobytes() for x in rows]
+
+
+def _points(column: pa.Array, bits: int = POINT_BITS) -> np.ndarray:
+    """The count vectors of a column, a row each."""
     texts = texts_of(column)
-    out = np.empty((len(texts), 1 << POINT_BITS), dtype=np.uint32)
-    small = texts.lengths == 1 << POINT_BITS
+    out = np.empty((len(texts), 1 << bits), dtype=np.uint32)
+    small = texts.lengths == 1 << bits
     raw = texts.data[np.repeat(small, texts.lengths)]
-    out[small] = raw.reshape(-1, 1 << POINT_BITS)
+    out[small] = raw.reshape(-1, 1 << bits)
     if not small.all():
         raw = texts.data[np.repeat(~small, texts.lengths)]
-        out[~small] = np.frombuffer(raw.tobytes(), dtype="<u4").reshape(-1, 1 << POINT_BITS)
+        out[~small] = np.frombuffer(raw.tobytes(), dtype="<u4").reshape(-1, 1 << bits)
     return out
 
 
@@ -240,13 +244,14 @@ def _page_pairs(num: int, den: int):
 
 
 def _sets(words: int):
-    schema = pa.schema([("doc", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("point", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches):
         for part in chunks(batches, "text"):
             names, text = shingle_sets(texts_of(part.column("text")), words)
-            ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=part.num_rows))))
-            yield record(schema, part.column("doc"), pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(names.view(np.int64))))
+            n = np.bincount(text, minlength=part.num_rows)
+            ends = np.concatenate(([0], np.cumsum(n)))
+            yield record(schema, part.column("doc"), n, _as_points(names, text, part.num_rows, WIDE_BITS), pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(names.view(np.int64))))
 
     return run
 
@@ -276,12 +281,20 @@ def _verified(num: int, den: int):
     return run
 
 
+def _with_points(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs with both sides' sizes and points."""
+    side = lambda c: points.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}"))
+    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "pa", "pb")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs that are links by their whole sets."""
     ids = written(pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct())
-    sets = written(docs.join(sendable(ids), "doc", "left_semi").select("doc", "text").mapInArrow(_sets(words), "doc long, shingles array<long>"))
+    sets = written(docs.join(sendable(ids), "doc", "left_semi").select("doc", "text").mapInArrow(_sets(words), "doc long, n long, point binary, shingles array<long>"))
+    # a wide point is far smaller than a long document's set: few pairs need the sets
+    near = written(_with_points(pairs, sets).mapInArrow(_bound_rows(num, den, WIDE_BITS), "a long, b long"))
     both = (
-        pairs.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
+        near.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb")), "b")
         .join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa")), "a")
         .select("a", "b", "sa", "sb")
     )
@@ -329,13 +342,9 @@ def jaccard_groups(documents: DataFrame, *, words: int = WORDS, num: int = NUM,
     top = F.max(F.struct("copies", (-F.col("doc")).alias("less"))).over(tile)
     meets = written(one.withColumns({"others": F.count("*").over(tile), "top": top}).filter("others > 1").select("tile", "doc", (-F.col("top.less")).alias("pivot")))
 
-    def with_points(pairs: DataFrame) -> DataFrame:
-        side = lambda c: points.select(F.col("doc").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}"))
-        return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "pa", "pb")
-
     stars = meets.filter("doc <> pivot").groupBy("doc", "pivot").count()
     best = stars.groupBy("doc").agg(F.max(F.struct("count", (-F.col("pivot")).alias("less"))).alias("top")).select(F.col("doc").alias("b"), (-F.col("top.less")).alias("a"))
-    first = written(with_points(best).mapInArrow(_bound_rows(num, den), "a long, b long"))
+    first = written(_with_points(best, points).mapInArrow(_bound_rows(num, den), "a long, b long"))
     links = written(_links(first, docs, words, num, den))
 
     groups = written(components(links).withColumnRenamed("node", "doc"))
