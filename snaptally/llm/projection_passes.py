@@ -7,7 +7,8 @@ number of vectors, the threshold and the recall wanted (:func:`passes_for`).
 
 A neighbour window is a block of rows. While a block still holds a link with the
 block compared last, the comparison goes on to the block before, so dense groups
-are covered to their end. Equal vectors are one row with a count.
+are covered to their end. Windows go on over the borders of partitions
+(:func:`_across`). Equal vectors are one row with a count.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._components import components
@@ -27,8 +28,6 @@ BITS = 48
 BLOCK = 64  #: rows compared as one block; each also meets the block before
 RECALL = 0.9995
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
 
 def passes_for(rows: int, threshold: float, recall: float = RECALL, block: int = BLOCK) -> int:
     """Passes that find a pair at the threshold with the wanted probability, if
@@ -70,66 +69,126 @@ def _code_rows(passes: int, bits: int, seed: int):
     return run
 
 
+def _unit(ids, vectors):
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return ids, scaled, scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None]
+
+
+def _compare(one, two, same: bool, threshold: float):
+    """Links between two blocks, or inside one."""
+    s = one[2] @ two[2].T >= threshold - 1e-9
+    if same:
+        s = np.triu(s, 1)
+    i, j = np.nonzero(s)
+    x, y = one[1][i], two[1][j]
+    cos = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
+    ok = cos >= threshold
+    return one[0][i[ok]], two[0][j[ok]]
+
+
 def _neighbours(threshold: float, block: int):
-    """Links between neighbours in rows sorted by pass, label, dim and code."""
+    """Of rows sorted by pass, label, dim and code: links between neighbours in a
+    partition, and a row for each block with its ids. ``open`` blocks linked back to
+    the partition's first block of their group, so more may follow before it."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("pass", pa.int32()), ("label", pa.string()), ("dim", pa.int32()), ("part", pa.int32()), ("seq", pa.int64()), ("ids", pa.list_(pa.int64())), ("open", pa.bool_())])
+
+    def links(a, b):
+        none = [pa.nulls(len(a), f.type) for f in list(schema)[2:]]
+        return record(schema, np.minimum(a, b), np.maximum(a, b), *none)
 
     def run(batches):
-        group, held = None, []  # blocks (ids, vectors, units) of the group that may still link
-
-        def compare(one, two, same):
-            s = one[2] @ two[2].T >= threshold - 1e-9
-            if same:
-                s = np.triu(s, 1)
-            i, j = np.nonzero(s)
-            x, y = one[1][i], two[1][j]
-            cos = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
-            ok = cos >= threshold
-            return one[0][i[ok]], two[0][j[ok]]
+        group, held, part, seq = None, [], None, 0  # held: numbered blocks of the group that may still link
 
         def flush(ids, vectors):
-            nonlocal held
-            scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-            new = (ids, scaled, scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None])
-            found = [compare(new, new, True)]
-            keep = []
-            for old in reversed(held):
-                keep.append(old)
-                found.append(compare(new, old, False))
+            nonlocal held, seq
+            new = _unit(ids, vectors)
+            found = [_compare(new, new, True, threshold)]
+            keep, first = [], seq == 0
+            for n, old in reversed(held):
+                keep.append((n, old))
+                found.append(_compare(new, old, False, threshold))
                 if not len(found[-1][0]):
                     break
-            held = [*reversed(keep), new]
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-            return record(_PAIRS, np.minimum(a, b), np.maximum(a, b)) if len(a) else None
+                first = n == 0
+            held = [*reversed(keep), (seq, new)]
+            yield links(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            yield record(schema, *[pa.nulls(1, pa.int64())] * 2, *[[x] for x in group], [part], [seq], [ids.tolist()], [first])
+            seq += 1
 
         waiting: list[tuple] = []
 
         def rest():
             nonlocal waiting
             if waiting:
-                out = flush(np.array([i for i, _ in waiting]), np.array([v for _, v in waiting]))
+                yield from flush(np.array([i for i, _ in waiting]), np.array([v for _, v in waiting]))
                 waiting = []
-                return out
-            return None
 
         for batch in batches:
             if not batch.num_rows:
                 continue
+            part = batch.column("part")[0].as_py()
             flat, offsets = _lists(batch.column("vector"))
             ids = batch.column("class").to_numpy()
             keys = list(zip(batch.column("pass").to_pylist(), batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True))
             for i, key in enumerate(keys):
                 if key != group or len(waiting) == block:
-                    if (out := rest()) is not None:
-                        yield out
+                    yield from rest()
                     if key != group:
-                        group, held = key, []
+                        group, held, seq = key, [], 0
                 waiting.append((ids[i], flat[offsets[i] : offsets[i + 1]]))
-        if (out := rest()) is not None:
-            yield out
+        yield from rest()
 
     return run
 
 
+def _between(threshold: float):
+    """Links between the two blocks of each row, and its place if it has any."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("pass", pa.int32()), ("label", pa.string()), ("dim", pa.int32()), ("no", pa.int64())])
+
+    def side(batch, i, c, dim):
+        ids = batch.column(f"{c}_ids").slice(i, 1).flatten().to_numpy()
+        flat, _ = _lists(batch.column(f"{c}_vectors").slice(i, 1))
+        return _unit(ids, flat.reshape(-1, dim))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                dim = batch.column("dim")[i].as_py()
+                a, b = _compare(side(batch, i, "x", dim), side(batch, i, "y", dim), False, threshold)
+                if len(a):
+                    yield record(schema, np.minimum(a, b), np.maximum(a, b), *[pa.nulls(len(a), f.type) for f in list(schema)[2:]])
+                    yield record(schema, *[pa.nulls(1, pa.int64())] * 2, *[batch.column(c).slice(i, 1) for c in ("pass", "label", "dim", "no")])
+
+    return run
+
+
+def _across(blocks: DataFrame, classes: DataFrame, threshold: float) -> list[DataFrame]:
+    """Links over the borders of the partitions. Each open block is compared with
+    the last block before its partition; one that links goes on with the two blocks
+    before that, then four, as Spark rounds until none links."""
+    key = ["pass", "label", "dim"]
+    runs = blocks.groupBy(*key, "part").count()
+    before = F.sum("count").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(*key, "part", F.coalesce(before, F.lit(0)).alias("first"))
+    placed = written(blocks.join(runs, [*key, "part"]).select(*key, "ids", "open", "first", (F.col("first") + F.col("seq")).alias("no")))
+    left, width, out = placed.filter("open").select(*key, "no", (F.col("first") - 1).alias("last")).filter("last >= 0"), 1, []
+    while True:
+        left = written(left)
+        if left.isEmpty():
+            return out
+        pairs = left.select(*key, "no", F.explode(F.sequence(F.greatest(F.col("last") - (width - 1), F.lit(0)), F.col("last"))).alias("other"))
+        used = pairs.select(*key, "no").union(pairs.select(*key, "other")).distinct()
+        members = placed.select(*key, "no", F.explode("ids").alias("class")).join(used, [*key, "no"], "left_semi").join(classes.select("class", "vector"), "class")
+        whole = written(members.groupBy(*key, "no").agg(F.collect_list(F.struct("class", "vector")).alias("rows")).select(*key, "no", F.col("rows.class").alias("ids"), F.flatten("rows.vector").alias("vectors")))
+        x = whole.withColumnsRenamed({"ids": "x_ids", "vectors": "x_vectors"})
+        y = whole.withColumnsRenamed({"no": "other", "ids": "y_ids", "vectors": "y_vectors"})
+        met = pairs.join(x, [*key, "no"]).join(y, [*key, "other"]).select(*key, "no", "x_ids", "x_vectors", "y_ids", "y_vectors")
+        found = written(met.mapInArrow(_between(threshold), "a long, b long, pass int, label string, dim int, no long"))
+        out.append(found.filter("a is not null").select("a", "b"))
+        left = left.join(found.filter("a is null").select(*key, "no").distinct(), [*key, "no"], "left_semi").withColumn("last", F.col("last") - width).filter("last >= 0")
+        width *= 2
+
+
 def near_duplicates(vectors: DataFrame, *, id: str = "vec_id", vector: str = "embedding", label: str | None = "label", threshold: float = 0.98, recall: float = RECALL, block: int = BLOCK, bits: int = BITS, seed: int = 7) -> DataFrame:
     """Link vectors of equal label with cosine of at least ``threshold`` and
     group them.
@@ -158,7 +217,13 @@ def near_duplicates(vectors: DataFrame, *, id: str = "vec_id", vector: str = "em
     passes = passes_for(classes.count(), threshold, recall, block)
     codes = classes.select("class", "label", "vector").mapInArrow(_code_rows(passes, bits, seed), "pass int, code long, dim int, label string, class long, vector array<double>")
     order = ["pass", "label", "dim", "code", "class"]
-    pairs = codes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(threshold, block), "a long, b long")
+    found = written(
+        codes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+        .mapInArrow(_neighbours(threshold, block), "a long, b long, pass int, label string, dim int, part int, seq long, ids array<long>, open boolean")
+    )
+    pairs = found.filter("a is not null").select("a", "b")
+    for more in _across(found.filter("a is null").drop("a", "b"), classes, threshold):
+        pairs = pairs.union(more)
     links = written(pairs.distinct())
     groups = components(links)
     copies = classes.select(F.col("class").alias("b"), "copies")

@@ -62,3 +62,20 @@ def test_passes_grow_with_rows_and_recall():
     assert passes.passes_for(10**5, 0.98, 0.99) < passes.passes_for(10**5, 0.98, 0.9999)
     once = (1 - math.acos(0.98) / math.pi) ** (math.log2(10**6 / passes.BLOCK) + 1)
     assert 1 - (1 - once) ** passes.passes_for(10**6, 0.98) >= passes.RECALL
+
+
+def test_windows_cross_partition_borders(spark):
+    rng = np.random.default_rng(5)
+    center = rng.standard_normal(16)
+    rows = [(i, [float(x) for x in center + rng.standard_normal(16) * 1e-6], 0) for i in range(900)]
+    rows += [(2000 + i, [float(x) for x in rng.standard_normal(16)], i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = passes.near_duplicates(df, block=16).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == direct(rows, 0.98)
