@@ -2,8 +2,13 @@
 
 Each pass hashes every vector to the signs of its products with random planes,
 orders the vectors by that code and compares each with its neighbours. Vectors at
-a small angle share long prefixes of some codes. The passes needed follow from the
-number of vectors, the threshold and the recall wanted (:func:`passes_for`).
+a small angle share long prefixes of some codes. Unit vectors are centred on the mean
+of their label first, so a label that lies in a cone spreads over the codes too; links
+are verified on the vectors themselves.
+
+The first passes follow from the number of vectors, the threshold and the recall
+wanted (:func:`passes_for`). They measure on every row how many bits of its code the
+comparison covered; labels where that is too few get more passes (:func:`_more_passes`).
 
 A neighbour window is a block of rows. While a block still holds a link with the
 block compared last, the comparison goes on to the block before, so dense groups
@@ -24,9 +29,11 @@ from ._components import components
 from ._flat import record
 from ._shared import one_row_per_id, written
 
-BITS = 48
+BITS = 62
 BLOCK = 64  #: rows compared as one block; each also meets the block before
 RECALL = 0.9995
+MOST_PASSES = 4_096  #: of a label, however dense it lies
+BIN = 8  #: bins of a factor of two in the chance of a pass
 
 
 def passes_for(rows: int, threshold: float, recall: float = RECALL, block: int = BLOCK) -> int:
@@ -43,11 +50,13 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64), offsets - offsets[0]
 
 
-def _code_rows(passes: int, bits: int, seed: int):
-    schema = pa.schema([("pass", pa.int32()), ("code", pa.int64()), ("dim", pa.int32()), ("label", pa.string()), ("class", pa.int64()), ("vector", pa.list_(pa.float64()))])
+def _code_rows(bits: int, seed: int):
+    """Each row in its passes: from ``since`` of the row to ``passes``. The planes of a
+    pass don't depend on how many there are."""
+    schema = pa.schema([("pass", pa.int32()), ("code", pa.int64()), ("dim", pa.int32()), ("radius", pa.float32()), ("label", pa.string()), ("class", pa.int64()), ("vector", pa.list_(pa.float64()))])
 
     def run(batches):
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple[int, int], np.ndarray] = {}
         weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             if not batch.num_rows:
@@ -57,18 +66,59 @@ def _code_rows(passes: int, bits: int, seed: int):
             dims = np.diff(offsets)
             for dim in np.unique(dims).tolist():
                 rows = np.flatnonzero(dims == dim)
-                v = flat[offsets[rows][:, None] + np.arange(dim)]
-                if dim not in planes:
-                    planes[dim] = np.random.default_rng([seed, dim]).standard_normal((dim, passes * bits))
-                signs = (v @ planes[dim] > 0).reshape(len(rows), passes, bits)
-                codes = signs.astype(np.int64) @ weights
+                v = _unit(None, flat[offsets[rows][:, None] + np.arange(dim)])[2]
                 part = batch.take(pa.array(rows))
-                for p in range(passes):
-                    yield record(schema, np.full(len(rows), p, dtype=np.int32), codes[:, p], np.full(len(rows), dim, dtype=np.int32), part.column("label"), part.column("class"), part.column("vector"))
+                v = v - _lists(part.column("center"))[0].reshape(len(rows), dim)
+                radius = np.sqrt(np.einsum("ij,ij->i", v, v)).astype(np.float32)
+                first, last = part.column("since").to_numpy(), part.column("passes").to_numpy()
+                for p in range(int(first.min()), int(last.max())):
+                    if (dim, p) not in planes:
+                        planes[dim, p] = np.random.default_rng([seed, dim, p]).standard_normal((dim, bits))
+                    at = np.flatnonzero((first <= p) & (p < last))
+                    codes = (v[at] @ planes[dim, p] > 0).astype(np.int64) @ weights
+                    own = part.take(pa.array(at))
+                    yield record(schema, np.full(len(at), p, dtype=np.int32), codes, np.full(len(at), dim, dtype=np.int32), radius[at], own.column("label"), own.column("class"), own.column("vector"))
 
     return run
 
 
+def _center_rows(batches):
+    """Sums of the unit vectors of each label and length in a batch."""
+    schema = pa.schema([("label", pa.string()), ("dim", pa.int32()), ("n", pa.int64()), ("sums", pa.list_(pa.float64()))])
+    for batch in batches:
+        flat, offsets = _lists(batch.column("vector"))
+        dims = np.diff(offsets)
+        for dim in np.unique(dims).tolist():
+            rows = np.flatnonzero(dims == dim)
+            v = _unit(None, flat[offsets[rows][:, None] + np.arange(dim)])[2]
+            labels = batch.column("label").take(pa.array(rows)).dictionary_encode()
+            at = labels.indices.to_numpy()
+            sums = np.zeros((len(labels.dictionary), dim))
+            np.add.at(sums, at, v)
+            yield record(schema, labels.dictionary, [dim] * len(sums), np.bincount(at, minlength=len(sums)), sums.tolist())
+
+
+def _centers(classes: DataFrame) -> DataFrame:
+    """``label, dim, center``: the mean of the unit vectors."""
+    sums = classes.select("label", "vector").mapInArrow(_center_rows, "label string, dim int, n long, sums array<double>")
+    each = sums.select("label", "dim", "n", F.posexplode("sums").alias("i", "x")).groupBy("label", "dim", "i").agg((F.sum("x") / F.sum("n")).alias("x"))
+    return each.groupBy("label", "dim").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("c")).select("label", "dim", F.col("c.x").alias("center"))
+
+
+def _more_passes(measured: DataFrame, passes: int, recall: float) -> DataFrame:
+    """``label, dim, passes`` of the labels that need more than ``passes``, by the
+    chances of a pass counted over their rows: the least number, in steps of a quarter,
+    that leaves out no more than the recall allows, ``MOST_PASSES`` at most."""
+    steps = [passes]
+    while steps[-1] < MOST_PASSES:
+        steps.append(min(MOST_PASSES, steps[-1] + max(1, steps[-1] // 4)))
+    counted = measured.groupBy("label", "dim", "bin").agg(F.sum("n").alias("n"))
+    missed = F.col("n") * F.pow(1 - F.pow(F.lit(2.0), -F.col("bin") / BIN), F.col("step"))
+    fit = counted.select("*", F.explode(F.array(*map(F.lit, steps))).alias("step")).groupBy("label", "dim", "step").agg((F.sum(missed) <= (1 - recall) * F.sum("n")).alias("ok"))
+    need = fit.groupBy("label", "dim").agg(F.coalesce(F.min(F.expr("if(ok, step, null)")), F.max("step")).cast("int").alias("passes"))
+    return need.filter(F.col("passes") > passes)
+
+
 def _unit(ids, vectors):
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return ids, scaled, scaled / np.sqrt(np.einsum("ij,ij->i", scaled, scaled))[:, None]
@@ -86,11 +136,21 @@ def _compare(one, two, same: bool, threshold: float):
     return one[0][i[ok]], two[0][j[ok]]
 
 
-def _neighbours(threshold: float, block: int):
+def _neighbours(threshold: float, block: int, bits: int):
     """Of rows sorted by pass, label, dim and code: links between neighbours in a
     partition, and a row for each block with its ids. ``open`` blocks linked back to
-    the partition's first block of their group, so more may follow before it."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("pass", pa.int32()), ("label", pa.string()), ("dim", pa.int32()), ("part", pa.int32()), ("seq", pa.int64()), ("ids", pa.list_(pa.int64())), ("open", pa.bool_())])
+    the partition's first block of their group, so more may follow before it; others
+    hold the chances of their rows (:func:`_more_passes`)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("pass", pa.int32()), ("label", pa.string()), ("dim", pa.int32()), ("part", pa.int32()), ("seq", pa.int64()), ("ids", pa.list_(pa.int64())), ("open", pa.bool_()), ("bins", pa.list_(pa.int32()))])
+    apart = math.sqrt(max(0.0, 2 - 2 * threshold))
+
+    def bins(code, radius, start):
+        """Of the chance of each row that a pass compares it with a vector at the
+        threshold before it: they share all bits that its window shares."""
+        angle = 2 * np.arcsin(np.minimum(1, apart / 2 / np.maximum(radius, 1e-300)))
+        same = np.maximum(1 - angle / math.pi, 0.5)
+        needed = bits - np.frexp((code ^ start).astype(np.float64))[1] + 1
+        return np.ceil(-np.log2(same) * np.clip(needed, 1, bits) * BIN).astype(np.int32)
 
     def links(a, b):
         none = [pa.nulls(len(a), f.type) for f in list(schema)[2:]]
@@ -99,20 +159,20 @@ def _neighbours(threshold: float, block: int):
     def run(batches):
         group, held, part, seq = None, [], None, 0  # held: numbered blocks of the group that may still link
 
-        def flush(ids, vectors):
+        def flush(ids, vectors, code, radius):
             nonlocal held, seq
             new = _unit(ids, vectors)
             found = [_compare(new, new, True, threshold)]
             keep, first = [], seq == 0
-            for n, old in reversed(held):
-                keep.append((n, old))
+            for n, start, old in reversed(held):
+                keep.append((n, start, old))
                 found.append(_compare(new, old, False, threshold))
                 if not len(found[-1][0]):
                     break
                 first = n == 0
-            held = [*reversed(keep), (seq, new)]
+            held = [*reversed(keep), (seq, code[0], new)]
             yield links(*(np.concatenate(x) for x in zip(*found, strict=True)))
-            yield record(schema, *[pa.nulls(1, pa.int64())] * 2, *[[x] for x in group], [part], [seq], [ids.tolist()], [first])
+            yield record(schema, *[pa.nulls(1, pa.int64())] * 2, *[[x] for x in group], [part], [seq], [ids.tolist()], [first], [None if first else bins(code, radius, held[0][1]).tolist()])
             seq += 1
 
         waiting: list[tuple] = []
@@ -120,7 +180,7 @@ def _neighbours(threshold: float, block: int):
         def rest():
             nonlocal waiting
             if waiting:
-                yield from flush(np.array([i for i, _ in waiting]), np.array([v for _, v in waiting]))
+                yield from flush(*(np.array(x) for x in zip(*waiting, strict=True)))
                 waiting = []
 
         for batch in batches:
@@ -128,14 +188,14 @@ def _neighbours(threshold: float, block: int):
                 continue
             part = batch.column("part")[0].as_py()
             flat, offsets = _lists(batch.column("vector"))
-            ids = batch.column("class").to_numpy()
+            ids, codes, radius = (batch.column(c).to_numpy() for c in ("class", "code", "radius"))
             keys = list(zip(batch.column("pass").to_pylist(), batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True))
             for i, key in enumerate(keys):
                 if key != group or len(waiting) == block:
                     yield from rest()
                     if key != group:
                         group, held, seq = key, [], 0
-                waiting.append((ids[i], flat[offsets[i] : offsets[i + 1]]))
+                waiting.append((ids[i], flat[offsets[i] : offsets[i + 1]], codes[i], radius[i]))
         yield from rest()
 
     return run
@@ -215,15 +275,27 @@ def near_duplicates(vectors: DataFrame, *, id: str = "vec_id", vector: str = "em
         rows.filter("usable").groupBy("k1", "k2").agg(F.min("vec").alias("class"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
     )
     passes = passes_for(classes.count(), threshold, recall, block)
-    codes = classes.select("class", "label", "vector").mapInArrow(_code_rows(passes, bits, seed), "pass int, code long, dim int, label string, class long, vector array<double>")
+    centers = written(_centers(classes))
+    whole = classes.select("class", "label", "vector", F.size("vector").alias("dim")).join(centers, ["label", "dim"])
     order = ["pass", "label", "dim", "code", "class"]
-    found = written(
-        codes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-        .mapInArrow(_neighbours(threshold, block), "a long, b long, pass int, label string, dim int, part int, seq long, ids array<long>, open boolean")
-    )
-    pairs = found.filter("a is not null").select("a", "b")
-    for more in _across(found.filter("a is null").drop("a", "b"), classes, threshold):
-        pairs = pairs.union(more)
+
+    def links_of(rows):
+        codes = rows.select("class", "label", "vector", "center", "since", "passes").mapInArrow(_code_rows(bits, seed), "pass int, code long, dim int, radius float, label string, class long, vector array<double>")
+        found = written(
+            codes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+            .mapInArrow(_neighbours(threshold, block, bits), "a long, b long, pass int, label string, dim int, part int, seq long, ids array<long>, open boolean, bins array<int>")
+        )
+        blocks = found.filter("a is null").drop("a", "b")
+        measured = blocks.select("label", "dim", F.explode("bins").alias("bin")).groupBy("label", "dim", "bin").agg(F.count("*").alias("n"))
+        out = found.filter("a is not null").select("a", "b")
+        for more in _across(blocks.drop("bins"), classes, threshold):
+            out = out.union(more)
+        return out, measured
+
+    pairs, measured = links_of(whole.withColumns({"since": F.lit(0), "passes": F.lit(passes)}))
+    more = written(_more_passes(measured, passes, recall))
+    if not more.isEmpty():
+        pairs = pairs.union(links_of(whole.join(more, ["label", "dim"]).withColumn("since", F.lit(passes)))[0])
     links = written(pairs.distinct())
     groups = components(links)
     copies = classes.select(F.col("class").alias("b"), "copies")

@@ -79,3 +79,20 @@ def test_windows_cross_partition_borders(spark):
         for k, v in held.items():
             spark.conf.set(k, v)
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == direct(rows, 0.98)
+
+
+def test_links_in_a_dense_cone(spark):
+    rng = np.random.default_rng(9)
+    center = rng.standard_normal(32)
+    center /= np.linalg.norm(center)
+    away = rng.standard_normal((3000, 32))
+    cone = center + 0.33 * away / np.linalg.norm(away, axis=1)[:, None]  # about cosine 0.9 to each other
+    noise = rng.standard_normal((3000, 32))
+    twins = cone + 0.19 * noise / np.linalg.norm(noise, axis=1)[:, None]  # about 0.98 to their own
+    v = np.concatenate((cone, twins))
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    links = int((np.triu(u @ u.T, 1) >= 0.98).sum())
+    df = spark.createDataFrame([(i, x, 1) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>, label int")
+    found = sum(r.n_links for r in passes.near_duplicates(df).collect()) // 2
+    print("links", found, "of", links)
+    assert links > 1000 and found >= 0.999 * links
