@@ -5,9 +5,9 @@ is released at slot floor(i / w) and due by slot ceil((i + 1) / w). Earliest dea
 first over the released blocks keeps every source less than one block away from its
 target at any slot.
 
-Weights are whole shares of a period, so the schedule repeats: after each period every
-source has had exactly its share. One period is scheduled once (its length is a
-parameter) and sent to the tasks; each block then finds its slot by itself. Rows get
+Weights are exact fractions, so no rounding adds up however long the input is. The
+driver walks over the blocks that exist, by their sources' counted rows, and keeps the
+state at the start of each period; tasks schedule the periods from there. Rows get
 their number within a source from per-bucket counts, so no source passes through one
 task.
 """
@@ -15,13 +15,16 @@ task.
 from __future__ import annotations
 
 import heapq
+import math
 from fractions import Fraction
+from itertools import islice
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PERIOD = 4_096  #: slots of a period; weights are rounded to whole slots
+PERIOD = 4_096  #: blocks that one task schedules at once
 BLOCK_ROWS = 64
+SEND_BLOCKS = 100_000  #: rows of the schedule that a join may broadcast
 BUCKETS = 4_096  #: of each source, for numbering its rows
 MAX_SOURCES = 2_048
 
@@ -52,29 +55,82 @@ def schedule(slots: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
     """One period: ``source, block, release, deadline, slot`` with blocks counted
     from 0. Equal deadlines go to the earlier release, then by name."""
     period = sum(slots.values())
+    return list(_steps(slots, period, slots, {}, 0))
+
+
+def _steps(weights: dict[str, int], total: int, ends: dict[str, int], had: dict[str, int], slot: int, states: int = 0, kept: list | None = None):
+    """``source, block, release, deadline, slot`` from a slot on, for weights in parts
+    of ``total``, until each source has had its blocks. A slot for which no block is
+    released stays empty. Every ``states`` blocks the slot and the blocks had go to
+    ``kept``."""
+    had = {s: had.get(s, 0) for s in weights}
     released: list[tuple[int, int, str, int]] = []
-    coming = [(0, s, 0) for s in sorted(slots)]
+    coming = [(had[s] * total // weights[s], s, had[s]) for s in weights if had[s] < ends.get(s, 0)]
     heapq.heapify(coming)
-    out = []
-    for slot in range(period):
+    n = 0
+    while coming or released:
+        if not released:
+            slot = max(slot, coming[0][0])
         while coming and coming[0][0] <= slot:
             release, s, i = heapq.heappop(coming)
-            heapq.heappush(released, (-(-(i + 1) * period // slots[s]), release, s, i))
+            heapq.heappush(released, (-(-(i + 1) * total // weights[s]), release, s, i))
+        if states and n % states == 0:
+            kept.append((slot, dict(had)))
         deadline, release, s, i = heapq.heappop(released)
-        out.append((s, i, release, deadline, slot))
-        if i + 1 < slots[s]:
-            heapq.heappush(coming, ((i + 1) * period // slots[s], s, i + 1))
-    return out
+        yield s, i, release, deadline, slot
+        had[s], n, slot = i + 1, n + 1, slot + 1
+        if i + 1 < ends[s]:
+            heapq.heappush(coming, ((i + 1) * total // weights[s], s, i + 1))
+
+
+def parts_of(weights: dict[str, float]) -> tuple[dict[str, int], int]:
+    """The exact weights as whole parts, and their sum."""
+    if not weights or min(weights.values()) <= 0:
+        raise ValueError("weights must be positive")
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    whole = {s: int(x * scale) for s, x in exact.items()}
+    return whole, sum(whole.values())
+
+
+_PLAN = "mix_source string, mix_block long, mix_release long, mix_deadline long, mix_slot long"
+
+
+def _planned(spark, weights: dict[str, float], blocks: dict[str, int], period: int) -> DataFrame:
+    """The slot of every block."""
+    if not blocks:
+        return spark.createDataFrame([], _PLAN)
+    whole, total = parts_of(weights)
+    states: list = []
+    for _ in _steps(whole, total, blocks, {}, 0, period, states):
+        pass
+    names = list(whole)
+    shared = spark.sparkContext.broadcast((whole, total, blocks, names))
+    starts = [(slot, [had[s] for s in names]) for slot, had in states]
+
+    def run(start):
+        whole, total, blocks, names = shared.value
+        return islice(_steps(whole, total, blocks, dict(zip(names, start[1], strict=True)), start[0]), period)
+
+    return spark.createDataFrame(spark.sparkContext.parallelize(starts, max(1, min(len(starts), 200))).flatMap(run), _PLAN)
 
 
 def source_weights(documents: DataFrame, *, source: str = "source", power: float = 0.7, max_sources: int = MAX_SOURCES) -> dict[str, float]:
     """Target weights from the sources' own sizes, evened out: rows to ``power``.
     A null source is the source ``""``. At most ``max_sources`` may exist, since
     their names and weights pass the driver."""
-    rows = documents.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("s")).count().limit(max_sources + 1).collect()
-    if len(rows) > max_sources:
+    return _powers(_counts(documents, source, max_sources), power, max_sources)
+
+
+def _counts(documents: DataFrame, source: str, most: int) -> dict[str, int]:
+    """Rows of each source, of one more than ``most`` at most."""
+    return {r["s"]: r["count"] for r in documents.groupBy(F.coalesce(F.col(source).cast("string"), F.lit("")).alias("s")).count().limit(most + 1).collect()}
+
+
+def _powers(counts: dict[str, int], power: float = 0.7, max_sources: int = MAX_SOURCES) -> dict[str, float]:
+    if len(counts) > max_sources:
         raise ValueError(f"more than {max_sources} sources: give the weights of groups of them")
-    return {r["s"]: float(r["count"]) ** power for r in rows}
+    return {s: float(n) ** power for s, n in counts.items()}
 
 
 def interleave(documents: DataFrame, weights: dict[str, float] | None = None, *, id: str = "doc_id", source: str = "source", block_rows: int = BLOCK_ROWS, period: int = PERIOD, buckets: int = BUCKETS) -> DataFrame:
@@ -95,13 +151,15 @@ def interleave(documents: DataFrame, weights: dict[str, float] | None = None, *,
     documents = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c.lower() not in added])
     spark = documents.sparkSession
     name = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    given = weights if weights is not None else source_weights(documents, source=source)
-    period = max(period, len(given))
-    slots = shares(given, period) if given else {}
-    table = spark.createDataFrame(
-        schedule(slots) if slots else [],
-        "mix_source string, mix_index long, mix_release long, mix_deadline long, mix_slot long",
-    )
+    counts = _counts(documents, source, MAX_SOURCES if weights is None else len(weights))
+    given = weights if weights is not None else _powers(counts)
+    for s in counts:
+        if s not in given:
+            raise ValueError(f"no weight for source {s}")
+    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
+    table = _planned(spark, given, blocks, period)
+    if sum(blocks.values()) <= SEND_BLOCKS:
+        table = F.broadcast(table)
     # number the rows of a source: buckets by hash, then rows within a bucket
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])  # whatever its names, nothing below clashes with them
     keyed = documents.select(whole.alias("row"), name.alias("mix_source"), F.col(id).alias("mix_id"), F.xxhash64(F.col(id), F.lit(17)).alias("mix_hash"))
@@ -116,20 +174,10 @@ def interleave(documents: DataFrame, weights: dict[str, float] | None = None, *,
         .withColumn("mix_number", F.col("mix_before") + F.col("mix_inside"))
         .withColumns({"mix_block": F.floor(F.col("mix_number") / block_rows), "mix_row": F.col("mix_number") % block_rows})
     )
-    share = spark.createDataFrame(list(slots.items()), "mix_source string, mix_slots long")
-    unknown = F.raise_error(F.concat(F.lit("no weight for source "), F.col("mix_source")))
-    placed = (
-        numbered.join(F.broadcast(share), "mix_source", "left")
-        .withColumn("mix_slots", F.when(F.col("mix_slots").isNull(), unknown).otherwise(F.col("mix_slots")))
-        .withColumns({"mix_index": F.col("mix_block") % F.col("mix_slots"), "mix_period": F.floor(F.col("mix_block") / F.col("mix_slots"))})
-        .join(F.broadcast(table), ["mix_source", "mix_index"])
-    )
-    shift = F.col("mix_period") * period
+    placed = numbered.join(table, ["mix_source", "mix_block"])
     return placed.select(
         *[F.col(f"row.`{c}`").alias(c) for c in documents.columns],
-        F.col("mix_block").cast("long").alias("mix_block"),
-        *[(F.col(c) + shift).cast("long").alias(c) for c in ("mix_release", "mix_deadline", "mix_slot")],
-        F.col("mix_row").cast("long").alias("mix_row"),
+        *[F.col(c).cast("long").alias(c) for c in ("mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_row")],
     )
 
 

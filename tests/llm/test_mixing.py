@@ -50,3 +50,17 @@ def test_a_source_without_weight_is_an_error(spark):
         mixing.interleave(df, {"a": 1}).collect()
     with pytest.raises(ValueError):
         mixing.shares({"a": 0})
+
+
+@pytest.mark.parametrize("weights", [{"a": 1000, "b": 0.37}, {"a": 3**0.7, "b": 5**0.7, "c": 11**0.7}])
+def test_target_is_held_over_many_periods(spark, weights):
+    df = spark.range(6000).selectExpr("id as doc_id", "'a' as source")
+    for s in list(weights)[1:]:
+        df = df.union(spark.range(20_000, 26_000).selectExpr("id as doc_id", f"'{s}' as source"))
+    got = mixing.interleave(df, weights, block_rows=4, period=64, buckets=16).select("source", "mix_block", "mix_slot").distinct().collect()
+    total = sum(weights.values())
+    assert len({r.mix_slot for r in got}) == len(got) == 1500 * len(weights)
+    assert max(r.mix_slot for r in got) > 20 * 64
+    for r in got:  # before and after each block
+        w = weights[r.source] / total
+        assert abs(r.mix_block - r.mix_slot * w) < 1 + 1e-6 and abs(r.mix_block + 1 - (r.mix_slot + 1) * w) < 1 + 1e-6
