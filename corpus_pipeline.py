@@ -6,7 +6,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snaptally.llm import bpe, count_vector_join, mixing, personal_data, quality
@@ -46,9 +46,20 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.in_mix_order(docs.select(*COLUMNS))
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """The columns, and ``mix_position``: the row's number over the part files in
+    their order, whatever splits they are read in."""
+    rows = docs.select(*COLUMNS, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    part = F.regexp_extract("file", r"part-(\d+)[^/]*$", 1)
+    before = F.sum("count").over(Window.orderBy(F.length(part), part, "file").rowsBetween(Window.unboundedPreceding, -1))
+    files = rows.groupBy("file").count().select("file", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.join(F.broadcast(files), "file").select(*COLUMNS, (F.col("before") + F.col("at")).alias("mix_position"))
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, and digests of the ids and of the text that they decode to."""
-    return bpe.encode(docs, keep=("source", "lang"), with_ids=True)
+    """Token ids, and digests of the ids and of the text that they decode to, with
+    the row's ``mix_position``: its number in the order of the mix."""
+    return bpe.encode(in_file_order(docs), keep=("source", "lang", "mix_position"), with_ids=True)
 
 
 STAGES = [

@@ -68,6 +68,24 @@ def test_stages(spark, table, tmp_path):
     assert ran == {(r.doc_id, r.ids_sha256, r.decoded_sha256) for r in tokens}
 
 
+def test_tokens_follow_the_mix(spark):
+    rows = [(i, " ".join(words(i, 3 + i % 40)), "en", ["s1", "s2", "s1", "s3", None][i % 5], None) for i in range(1500)]
+    docs = corpus_pipeline.written(spark.createDataFrame(rows, DOCS).repartition(3))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.maxPartitionBytes")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        mixed = corpus_pipeline.written(corpus_pipeline.mixed_sources(spark, docs, ""))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        got = corpus_pipeline.encoded(spark, mixed, "").collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(mixed.inputFiles()) > 1
+    order = [r.doc_id for r in corpus_pipeline.mixing.interleave(docs).orderBy("mix_slot", "mix_row").collect()]
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.mix_position)] == order
+    assert sorted(r.mix_position for r in got) == list(range(1500))
+
+
 def test_empty_documents(spark, none, tmp_path):
     none.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
