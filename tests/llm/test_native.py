@@ -150,3 +150,17 @@ def test_luhn(spark, digits):
     from pyspark.sql import functions as F
 
     assert spark.range(1).select(F.expr(personal_data._luhn(f"'{digits}'"))).first()[0] == luhn(digits)
+
+
+def test_kinds_that_the_base_rules_do_not_know(spark):
+    planted = {"account_like": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"], "address_like": ["2001:db8:85a3:0:0:8a2e:370:7334", "fe80:12::8a2e:370"], "mail_like": ["jane.roe(at)host.example.com", "joe [at] mail [dot] org"]}
+    rows = [(i, f"see {v} today") for i, v in enumerate(x for group in planted.values() for x in group)]
+    wrong = ["DE89 3704 0044 0532 0130 01", "00:1a:2b:3c:4d:5e:6f:70", "12:30:45:10", "we meet (at) noon. It is"]
+    df = spark.createDataFrame(rows + [(100 + i, f"see {v} today") for i, v in enumerate(wrong)], "doc_id long, text string")
+    got = {r.doc_id: r for r in personal_data.find(df, keep=("doc_id", "text")).withColumn("clean", personal_data.redact()).collect()}
+    kinds = [k for k, group in planted.items() for _ in group]
+    for (i, text), kind in zip(rows, kinds, strict=True):
+        assert f"{kind}:4:{len(text) - 6}" in got[i].spans.split(",")
+        assert got[i].clean == f"see [{kind.upper()}] today"
+    for i in range(len(wrong)):
+        assert not any(k in got[100 + i].spans for k in planted)
