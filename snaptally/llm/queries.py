@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from .bpe import op9_bpe
 from .count_vector_join import op4_ngram_jaccard_join
+from .fill_in_middle import op13_fill_in_middle
 from .language_filter import op7_language_id
 from .mixing import op3_pfair_mix
 from .personal_data import op6_personal_data
@@ -13,6 +14,7 @@ from .quality import op1_quality_rules
 from .recompression import op8_substring_recompression
 from .secrets import op2_secret_forest
 from .suffix_dedup import op5_suffix_array_dedup
+from .token_alignment import op11_token_alignment
 
 QUERIES = {
     f.__name__: f
@@ -27,6 +29,8 @@ QUERIES = {
         op8_substring_recompression,
         op9_bpe,
         op10_embedding_near_dedup,
+        op11_token_alignment,
+        op13_fill_in_middle,
     )
 }
 
