@@ -11,50 +11,62 @@ Texts are worked on in *units*, runs of spaces with what follows up to the next
 Neither tokenizer has a token over a unit's border (checked when the vocabularies are
 read), so a task aligns each different unit once and puts texts together from units.
 
-Counts of id pairs are over the whole corpus: tasks count units, and turn them into
-pairs once; Spark adds them up. Counts then go back to the tasks: the most frequent
+Counts of id pairs are over the whole corpus. The links of each text are written with
+its row, Spark counts them, and the counts go back to the rows: the most frequent
 pairs, up to a stated number, are broadcast; the rest, if there is one, is joined.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._flat import SEPARATOR, Texts, chunks, group_starts, record, release, texts_of
+from ._flat import SEPARATOR, Texts, chunks, release, texts_of
 from ._repeats import digests
 from ._shared import written
 
-KNOWN_UNITS, KNOWN_BYTES = 150_000, 24 << 20  #: what a task remembers before it starts afresh
+TEXT_BYTES = 4 << 20  #: texts worked on at once
+KNOWN_UNITS, KNOWN_BYTES = 400_000, 32 << 20  #: what a task remembers before it starts afresh
+JOINED_BYTES = 1 << 12  #: units encoded in one call
 PAIRS_SENT = 2_000_000  #: id pairs broadcast with their counts (17 bytes each); rarer ones are joined
 
 #: the pattern that byte_bpe_50k.json splits with
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_PAIRS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # white space, as the pattern's \s
+_LONG_SPACE = re.compile(f"[{_WHITE}]{{1000,}}")
+_SPACES = tuple(c.encode() for c in map(chr, range(0x3001)) if re.match(f"[{_WHITE}]", c))
 
-
-def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Positions of all slices ``begin[i] : begin[i] + size[i]``, one after another."""
-    ends = np.cumsum(size)
-    return np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "groups_sha256", "links")
 
 
 class Bytes:
-    """A list of byte strings as one array."""
+    """Byte strings as one array and their borders in it."""
+
+    def __init__(self, data: np.ndarray, borders: np.ndarray):
+        self.size = np.diff(borders)
+        self.array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(borders) - 1, [None, pa.py_buffer(borders), pa.py_buffer(data)])
+
+    @classmethod
+    def of(cls, items: list[bytes]) -> Bytes:
+        borders = np.concatenate(([0], np.cumsum([len(x) for x in items], dtype=np.int64)))
+        return cls(np.frombuffer(b"".join(items), dtype=np.uint8), borders)
 
-    def __init__(self, items: list[bytes]):
-        self.data = np.frombuffer(b"".join(items), dtype=np.uint8)
-        self.size = np.array([len(x) for x in items], dtype=np.int64)
-        self.begin = np.cumsum(self.size) - self.size
+    @staticmethod
+    def split(column: pa.LargeBinaryArray) -> list[bytes]:
+        _, borders, data = column.buffers()
+        borders, raw = np.frombuffer(borders, dtype=np.int64, count=len(column) + 1).tolist(), data.to_pybytes()
+        return [raw[a:b] for a, b in zip(borders[:-1], borders[1:], strict=True)]
 
     def take(self, at: np.ndarray) -> np.ndarray:
         """The strings ``at``, one after another."""
-        return self.data[_spread(self.begin[at], self.size[at])]
+        data = self.array.take(pa.array(at)).buffers()[2] if len(at) else None
+        return np.frombuffer(data, dtype=np.uint8, count=int(self.size[at].sum())) if data is not None else np.zeros(0, dtype=np.uint8)
 
 
 def labels(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +98,7 @@ class Tokenizers:
         by_id = [b""] * size
         for t, i in table.items():
             by_id[i] = t
-        self.bytes_a = Bytes(by_id)
+        self.bytes_a = Bytes.of(by_id)
         pieces = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -96,64 +108,78 @@ class Tokenizers:
                 pieces.append(bytes([int(piece[1:-1], 16)]))
             else:
                 pieces.append(b"" if self.b.is_control(i) or self.b.is_unknown(i) else piece.replace("▁", " ").encode())
-        self.bytes_b = Bytes(pieces)
+        self.bytes_b = Bytes.of(pieces)
         self.space = self.b.piece_to_id("▁")
-        self.digits = Bytes([str(i).encode() + b" " for i in range(max(size, len(pieces)))])
-
-    def encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of A and where each unit's begin, and the same of B. Every unit begins
-        with a space, which B adds itself."""
-        texts = [u.decode() for u in units]
-        a = [self.a.encode_ordinary(t) for t in texts]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        b = [ids if len(t) > 1 else [self.space] for ids, t in zip(b, texts, strict=True)]  # B adds no space to nothing
-        out = []
-        for ids in (a, b):
-            size = np.array([len(x) for x in ids], dtype=np.int64)
-            out += [np.array([i for x in ids for i in x], dtype=np.int64), np.concatenate(([0], np.cumsum(size)))]
-        return tuple(out)
-
-
-def aligned(tokenizers: Tokenizers, units: list[bytes]) -> list[tuple[bool, int, int, int, bytes, bytes]]:
-    """For each unit: whether both cuttings give its bytes; tokens of A and B; groups;
-    the groups as text, each ended by ``;``; the keys of its links (A's id in the high half)."""
-    a, first_a, b, first_b = tokenizers.encode(units)
-    owner_a = np.repeat(np.arange(len(units)), np.diff(first_a))
-    owner_b = np.repeat(np.arange(len(units)), np.diff(first_b))
-    size = np.array([len(u) for u in units], dtype=np.int64)
-    width_a, width_b = tokenizers.bytes_a.size[a], tokenizers.bytes_b.size[b]
-    good = (np.bincount(owner_a, width_a, len(units)) == size) & (np.bincount(owner_b, width_b, len(units)) == size)
-    whole = Bytes(units)
-    for ids, owner, table in ((a, owner_a, tokenizers.bytes_a), (b, owner_b, tokenizers.bytes_b)):
-        here = np.flatnonzero(good)
-        differs = table.take(ids[good[owner]]) != whole.take(here)
-        good[np.repeat(here, size[here])[differs]] = False
-    keep_a, keep_b = good[owner_a], good[owner_b]
-    a, owner_a, ends_a = a[keep_a], owner_a[keep_a], np.cumsum(width_a[keep_a])
-    b, owner_b, ends_b = b[keep_b], owner_b[keep_b], np.cumsum(width_b[keep_b])
-    if not len(a):
-        return [(False, 0, 0, 0, b"", b"")] * len(units)
-    group_a, group_b = labels(ends_a, ends_b)
-    last = np.unique(group_b)  # the token of B that ends each group
-    number_a, number_b = np.searchsorted(last, group_a), np.searchsorted(last, group_b)
-    closing = np.searchsorted(ends_a, ends_b[last])  # the token of A that ends it
-    keys = a[closing] << 32 | b[last]
-    owner = owner_b[last]
-    # a group's tokens in order: those of A, then those of B
-    place_a = np.arange(len(a)) + np.searchsorted(number_b, number_a)
-    place_b = np.arange(len(b)) + np.searchsorted(number_a, number_b, side="right")
-    order = np.empty(len(a) + len(b), dtype=np.int64)
-    order[place_a], order[place_b] = a, b
-    text = tokenizers.digits.take(order)
-    ends = np.cumsum(tokenizers.digits.size[order])
-    marks = np.full(len(order), ord(","), dtype=np.uint8)
-    marks[place_a[closing]], marks[place_b[last]] = ord("|"), ord(";")
-    text[ends - 1] = marks
-    raw, raw_keys = text.tobytes(), keys.astype("<i8").tobytes()
-    n_a, n_b, n_g = (np.bincount(x, minlength=len(units)) for x in (owner_a, owner_b, owner))
-    cut = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
-    cut_keys = (np.concatenate(([0], np.cumsum(n_g))) * 8).tolist()
-    return [(g, x, y, z, raw[cut[i] : cut[i + 1]], raw_keys[cut_keys[i] : cut_keys[i + 1]]) for i, (g, x, y, z) in enumerate(zip(good.tolist(), n_a.tolist(), n_b.tolist(), n_g.tolist(), strict=True))]
+        self.digits = Bytes.of([str(i).encode() + b" " for i in range(max(size, len(pieces)))])
+
+    def _ids_a(self, text: str) -> np.ndarray:
+        # the library's pattern overflows its stack on very long white space, which is one token run up to its last character
+        out, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += [self.a.encode_ordinary(text[at : run.start()]), self.a._encode_single_piece(text[run.start() : end])]
+            at = end
+        out.append(self.a.encode_ordinary(text[at:]))
+        return np.array([i for x in out for i in x] if len(out) > 1 else out[0], dtype=np.int64)
+
+    def _ids_b(self, text: str) -> np.ndarray:
+        # B adds the first space itself, but none to nothing
+        return np.array(self.b.encode(text[1:]) if len(text) > 1 else [self.space], dtype=np.int64)
+
+    def encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B over all units that both give back byte for byte, and which
+        these are. Units of a word each are encoded joined, since no token crosses them."""
+        a, b, good = [], [], np.ones(len(units), dtype=bool)
+        todo = [(0, len(units))]
+        while todo:
+            start, end = todo.pop()
+            cut, size = start, 0
+            while cut < end and (cut == start or (size + len(units[cut]) <= JOINED_BYTES and not units[cut - 1].endswith(_SPACES))):
+                size += len(units[cut])
+                cut += 1
+            if cut < end:
+                todo.append((cut, end))
+            raw = b"".join(units[start:cut])
+            text = raw.decode()
+            ids_a, ids_b = self._ids_a(text), self._ids_b(text)
+            if self.bytes_a.take(ids_a).tobytes() == raw == self.bytes_b.take(ids_b).tobytes():
+                a.append(ids_a)
+                b.append(ids_b)
+            elif cut == start + 1:
+                good[start] = False
+            else:
+                todo += [(i, i + 1) for i in range(cut - 1, start - 1, -1)]
+        none = np.zeros(0, dtype=np.int64)
+        return np.concatenate([none, *a]), np.concatenate([none, *b]), good
+
+
+class Cut:
+    """Aligned units. ``good``: whether both cuttings give the unit's bytes; ``n_a``,
+    ``n_b``, ``n_groups``; ``text``: the groups, each ended by ``;``, up to
+    ``text_ends``; ``keys``: the links, ``n_groups`` a unit (A's id in the high half)."""
+
+    def __init__(self, tokenizers: Tokenizers, units: list[bytes]):
+        a, b, self.good = tokenizers.encode(units)
+        borders = np.cumsum(np.where(self.good, [len(u) for u in units], 0))
+        ends_a, ends_b = np.cumsum(tokenizers.bytes_a.size[a]), np.cumsum(tokenizers.bytes_b.size[b])
+        owner_a, owner_b = np.searchsorted(borders, ends_a), np.searchsorted(borders, ends_b)
+        group_a, group_b = labels(ends_a, ends_b)
+        last = np.flatnonzero(group_b == np.arange(len(b)))  # the token of B that ends each group
+        number_a, number_b = np.searchsorted(last, group_a), np.searchsorted(last, group_b)
+        closing = np.searchsorted(ends_a, ends_b[last])  # the token of A that ends it
+        self.keys = a[closing] << 32 | b[last]
+        # a group's tokens in order: those of A, then those of B
+        place_a = np.arange(len(a)) + np.searchsorted(number_b, number_a)
+        place_b = np.arange(len(b)) + np.searchsorted(number_a, number_b, side="right")
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[place_a], order[place_b] = a, b
+        self.text = tokenizers.digits.take(order).copy()
+        ends = np.cumsum(tokenizers.digits.size[order])
+        marks = np.full(len(order), ord(","), dtype=np.uint8)
+        marks[place_a[closing]], marks[place_b[last]] = ord("|"), ord(";")
+        self.text[ends - 1] = marks
+        self.n_a, self.n_b, self.n_groups = (np.bincount(x, minlength=len(units)) for x in (owner_a, owner_b, owner_b[last]))
+        self.text_ends = np.concatenate(([0], ends))[np.cumsum(self.n_a + self.n_b)]
 
 
 def spaced(texts: Texts) -> Texts:
@@ -179,34 +205,52 @@ def unit_borders(texts: Texts) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+class Growing:
+    """An array that rows are added to."""
+
+    def __init__(self, dtype):
+        self.room, self.n = np.zeros(1024, dtype=dtype), 0
+
+    def add(self, rows: np.ndarray) -> None:
+        if self.n + len(rows) > len(self.room):
+            room = np.zeros(max(2 * len(self.room), self.n + len(rows)), dtype=self.room.dtype)
+            room[: self.n] = self.room[: self.n]
+            self.room = room
+        self.room[self.n : self.n + len(rows)] = rows
+        self.n += len(rows)
+
+    @property
+    def rows(self) -> np.ndarray:
+        return self.room[: self.n]
+
+
 class Aligner:
     """The units that a task has met, and texts put together from them."""
 
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.known: list[tuple] = []
-        self.uses = np.zeros(0, dtype=np.int64)
         self.held = 0
+        self.good, self.text = Growing(bool), Growing(np.uint8)
+        self.n_a, self.n_b, self.n_groups, self.keys = (Growing(np.int64) for _ in range(4))
+        self.text_at, self.keys_at = Growing(np.int64), Growing(np.int64)  # borders of units
+        self.text_at.add(np.zeros(1, dtype=np.int64))
+        self.keys_at.add(np.zeros(1, dtype=np.int64))
 
     def full(self) -> bool:
-        return len(self.known) > KNOWN_UNITS or self.held > KNOWN_BYTES
-
-    def flush(self) -> pa.RecordBatch | None:
-        """The pairs of all units counted since the last call, by their uses."""
-        used = np.flatnonzero(self.uses)
-        rows = [self.known[i] for i in used.tolist()]
-        keys = np.frombuffer(b"".join(r[5] for r in rows), dtype="<i8")
-        n = np.repeat(self.uses[used], [r[3] for r in rows])
-        self._forget()
-        if not len(keys):
-            return None
-        order = np.argsort(keys, kind="stable")
-        starts = group_starts(keys[order])
-        return record(_PAIRS, keys[order][starts], np.add.reduceat(n[order], starts))
+        return len(self.place) > KNOWN_UNITS or self.held > KNOWN_BYTES
+
+    def _learn(self, units: list[bytes]) -> None:
+        self.place.update(zip(units, range(len(self.place), len(self.place) + len(units)), strict=True))
+        cut = Cut(self.tokenizers, units)
+        self.text_at.add(self.text.n + cut.text_ends)
+        self.keys_at.add(8 * (self.keys.n + np.cumsum(cut.n_groups)))
+        for c in ("good", "n_a", "n_b", "n_groups", "text", "keys"):
+            getattr(self, c).add(getattr(cut, c))
+        self.held += sum(map(len, units)) + len(cut.text) + 8 * len(cut.keys)
 
     def look(self, texts: Texts) -> Look:
         """The units of a chunk of texts; new ones are aligned."""
@@ -214,72 +258,62 @@ class Aligner:
         borders = unit_borders(texts)
         first = np.searchsorted(borders, texts.offsets)
         if len(borders) < 2:
-            return Look([], np.zeros(0, dtype=np.int64), first * 0, np.zeros(0, dtype=np.int64))
+            return Look(self, np.zeros(0, dtype=np.int64), first * 0)
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(borders) - 1, [None, pa.py_buffer(borders.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(texts.data))])
         coded = column.dictionary_encode()
-        units = coded.dictionary.to_pylist()
+        units = Bytes.split(coded.dictionary)
         new = [u for u in units if u not in self.place]
         if new:
-            for u, row in zip(new, aligned(self.tokenizers, new), strict=True):
-                self.place[u] = len(self.known)
-                self.known.append(row)
-                self.held += len(u) + len(row[4]) + len(row[5])
-            self.uses = np.concatenate((self.uses, np.zeros(len(new), dtype=np.int64)))
-        ids = np.array([self.place[u] for u in units], dtype=np.int64)
-        return Look([self.known[i] for i in ids.tolist()], coded.indices.to_numpy().astype(np.int64), first, ids)
+            self._learn(new)
+        place = np.array(list(map(self.place.__getitem__, units)), dtype=np.int64)
+        return Look(self, place[coded.indices.to_numpy()], first)
 
 
 class Look:
-    """``rows``: the chunk's different units; ``at``: the row of every unit; those of
-    text i are ``first[i]:first[i+1]``; ``ids``: the rows' places in the task's memory."""
+    """``at``: the place of every unit of a chunk in the task's memory; those of text
+    i are ``first[i]:first[i+1]``."""
 
-    def __init__(self, rows: list[tuple], at: np.ndarray, first: np.ndarray, ids: np.ndarray):
-        self.rows, self.at, self.first, self.ids = rows, at, first, ids
-        self.groups = np.array([r[3] for r in rows], dtype=np.int64)
-        bad = self._sums(np.array([not r[0] for r in rows], dtype=np.int64))
-        self.text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        self.valid = bad == 0
+    def __init__(self, aligner: Aligner, at: np.ndarray, first: np.ndarray):
+        self.aligner, self.at, self.first = aligner, at, first
+        self.valid = self._sums(~aligner.good.rows) == 0
+        self.live = np.repeat(self.valid, np.diff(first))  # units of texts with tokens
 
     def _sums(self, value: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0], np.cumsum(value[self.at]))) if len(self.at) else np.zeros(1, dtype=np.int64)
+        total = np.concatenate(([0], np.cumsum(value[self.at], dtype=np.int64)))
         return total[self.first[1:]] - total[self.first[:-1]]
 
     def sums(self, value: np.ndarray) -> np.ndarray:
         """A value of units added up over each text; 0 for texts without tokens."""
         return np.where(self.valid, self._sums(value), 0)
 
-    def uses(self) -> np.ndarray:
-        """How often each row occurs in texts with tokens."""
-        return np.bincount(self.at[self.valid[self.text]], minlength=len(self.rows))
-
     def forms(self) -> tuple[np.ndarray, np.ndarray]:
         """The groups of every text as bytes, and where each text's begin."""
-        units = Bytes([r[4] for r in self.rows])
-        live = self.valid[self.text]
-        out = units.take(self.at[live]) if len(self.rows) else np.zeros(0, dtype=np.uint8)
+        units = Bytes(self.aligner.text.rows, self.aligner.text_at.rows)
+        out = units.take(self.at[self.live])
         size = self.sums(units.size)
         ends = np.concatenate(([0], np.cumsum(size)))
         keep = np.ones(len(out), dtype=bool)
         keep[ends[1:][size > 0] - 1] = False  # the last group's mark
         return out[keep], ends - np.concatenate(([0], np.cumsum(size > 0)))
 
-    def keys(self) -> np.ndarray:
-        return np.frombuffer(b"".join(r[5] for r in self.rows), dtype="<i8")
+    def links(self) -> np.ndarray:
+        """The keys of all texts' links in order, ``n_groups`` a text."""
+        return Bytes(self.aligner.keys.rows.view(np.uint8), self.aligner.keys_at.rows).take(self.at[self.live]).view(np.int64)
 
 
-class Counts:
-    """Sorted keys of pairs with their counts; a key that isn't there is unknown."""
-
-    def __init__(self, key: np.ndarray, n: np.ndarray, best: np.ndarray):
-        self.key, self.n, self.best = key, n, best
-
-    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Count and whether it's the best of its B id (0 if unknown), and whether known."""
-        if not len(self.key):
-            return np.zeros(len(key), dtype=np.int64), np.zeros(len(key), dtype=np.int64), np.zeros(len(key), dtype=bool)
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        known = self.key[at] == key
-        return np.where(known, self.n[at], 0), np.where(known & self.best[at], 1, 0), known
+def find(table: tuple[np.ndarray, np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each key its count, 1 if it's the best of its B id, and 1 if the table (sorted
+    keys, counts, best) doesn't have it."""
+    key, n, best = table
+    if not len(key) or not len(keys):
+        none = np.zeros(len(keys), dtype=np.int64)
+        return none, none, none + 1
+    order = np.argsort(keys)  # sorted keys are found without leaps through the table
+    at = np.empty(len(keys), dtype=np.int64)
+    at[order] = np.searchsorted(key, keys[order])
+    at = np.minimum(at, len(key) - 1)
+    known = key[at] == keys
+    return np.where(known, n[at], 0), (known & best[at]).astype(np.int64), (~known).astype(np.int64)
 
 
 def vocabularies(ranks: str | None = None, model: str | None = None) -> tuple[bytes, bytes]:
@@ -296,30 +330,51 @@ def vocabularies(ranks: str | None = None, model: str | None = None) -> tuple[by
     return tuple(out)
 
 
-def _counted(documents: DataFrame, shared, text: str) -> DataFrame:
+def groups(documents: DataFrame, *, id: str = "doc_id", text: str = "text", ranks: str | None = None, model: str | None = None, texts: bool = True, digest: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The part of :func:`align` that needs one document alone: its columns without
+    ``n_best`` and ``count_sum``, and ``links``, the id pairs of the links in order
+    (A's id in the high half). One pass, no shuffle."""
+    keep = tuple(c for c in keep if c not in RESULTS and c != id)
+    shared = documents.sparkSession.sparkContext.broadcast(vocabularies(ranks, model))
+    rows = documents.select(F.col(f"`{id}`").cast("long").alias("__id"), *[f"`{c}`" for c in keep], F.col(f"`{text}`").alias("__text"))
+    kept = [documents.select(f"`{c}`").schema[0] for c in keep]
+    names = [id, *keep, "n_a", "n_b", "n_groups", "n_links"] + ["groups"] * texts + ["groups_sha256"] * digest + ["links"]
+    schema = ", ".join([f"`{id}` long"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["n_a long, n_b long, n_groups long, n_links long"] + ["groups string"] * texts + ["groups_sha256 string"] * digest + ["links array<long>"])
+
     def run(batches):
         aligner = Aligner(Tokenizers(*shared.value))
-        for part in chunks(batches, "__text"):
+        for part in chunks(batches, "__text", TEXT_BYTES):
+            if aligner.full():
+                aligner.forget()
             look = aligner.look(texts_of(part.column("__text")))
-            aligner.uses[look.ids] += look.uses()
-            if aligner.full() and (out := aligner.flush()) is not None:
-                yield out
-        if (out := aligner.flush()) is not None:
-            yield out
+            n_groups = look.sums(aligner.n_groups.rows)
+            columns = [part.column(i) for i in range(1 + len(keep))]
+            columns += [pa.array(x) for x in (look.sums(aligner.n_a.rows), look.sums(aligner.n_b.rows), n_groups, n_groups)]
+            data, ends = look.forms()
+            if texts:
+                raw = data.tobytes()
+                columns.append(pa.array([raw[a:b].decode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string()))
+            if digest:
+                columns.append(pa.array([d if v else "" for d, v in zip(digests(data, ends), (n_groups > 0).tolist(), strict=True)], pa.string()))
+            borders = np.concatenate(([0], np.cumsum(n_groups)))
+            columns.append(pa.ListArray.from_arrays(borders.astype(np.int32), pa.array(look.links())))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
         aligner = None
         release()
 
-    rows = documents.select(F.col(f"`{text}`").alias("__text"))
-    return rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, schema)
 
 
-def pair_counts(documents: DataFrame, *, text: str = "text", ranks: str | None = None, model: str | None = None) -> DataFrame:
-    """Every id pair that is linked anywhere in the corpus: ``a_id``, ``b_id``, ``count``
-    (its links) and ``best`` (no pair of this B id has more). Written once to the
-    shared folder. Null and empty texts, and those that a tokenizer doesn't give back
-    byte for byte, have no links; rows that repeat count as often as they're there."""
-    shared = documents.sparkSession.sparkContext.broadcast(vocabularies(ranks, model))
-    counts = written(_counted(documents, shared, text)).select(F.shiftright("key", 32).cast("int").alias("a_id"), F.expr("cast(key & 4294967295 as int)").alias("b_id"), F.col("n").alias("count"))
+_KEY = "shiftleft(cast(a_id as long), 32) + b_id as key"
+
+
+def pair_counts(found: DataFrame) -> DataFrame:
+    """Every id pair that :func:`groups` links anywhere: ``a_id``, ``b_id``, ``count`` (its
+    links) and ``best`` (no pair of this B id has more). Rows that repeat count as often
+    as they're there. A hot pair is one partial row a task; the counts are written once
+    to the shared folder."""
+    counts = written(found.select(F.explode("links").alias("key")).groupBy("key").agg(F.count("*").alias("count")))
+    counts = counts.select(F.shiftright("key", 32).cast("int").alias("a_id"), F.expr("cast(key & 4294967295 as int)").alias("b_id"), "count")
     most = counts.groupBy("b_id").agg(F.max("count").alias("most"))  # a row for an id of B at most
     return counts.join(F.broadcast(most), "b_id").select("a_id", "b_id", "count", (F.col("count") == F.col("most")).alias("best"))
 
@@ -339,77 +394,53 @@ def _frequent(pairs: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None
     return pairs.filter(power >= least), pairs.filter(power < least)
 
 
-RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "groups_sha256")
-
-
-def align(documents: DataFrame, *, id: str = "doc_id", text: str = "text", ranks: str | None = None, model: str | None = None, groups: bool = True, digest: bool = False, keep: tuple[str, ...] = (), pairs_sent: int = PAIRS_SENT) -> DataFrame:
+def align(documents: DataFrame, *, id: str = "doc_id", texts: bool = True, digest: bool = False, keep: tuple[str, ...] = (), pairs_sent: int = PAIRS_SENT, **options) -> DataFrame:
     """Every whole text cut by both tokenizers and aligned.
 
     Returns a row for each row: the id (as long), the columns named in ``keep``, tokens
     ``n_a`` and ``n_b``, ``n_groups``, ``n_links`` (pairs of tokens that end together),
     ``n_best`` (links whose pair has the most links of its B id in the corpus, ties
-    included), ``count_sum`` (of the links' corpus counts), with ``groups`` the groups
+    included), ``count_sum`` (of the links' corpus counts), with ``texts`` the ``groups``
     as ``a1,a2|b1;a3|b2,b3``, and with ``digest`` their SHA-256 (``''`` without tokens).
 
     A null or empty text, and one that a tokenizer doesn't give back byte for byte, has
     zeros and ``''``. Rows that repeat are counted and returned each; null ids stay. A kept
     column named like a result is left out. An empty table gives an empty result. Pairs
     beyond ``pairs_sent`` are joined instead of broadcast, with the same result.
+    ``options`` go to :func:`groups`, whose rows are written once to the shared folder.
     """
     spark = documents.sparkSession
-    keep = tuple(c for c in keep if c not in RESULTS and c != id)
-    shared = spark.sparkContext.broadcast(vocabularies(ranks, model))
-    counts = written(pair_counts(documents, text=text, ranks=ranks, model=model))
-    frequent, rest = _frequent(counts, pairs_sent)
-    table = frequent.select((F.shiftleft(F.col("a_id").cast("long"), 32) + F.col("b_id")).alias("key"), "count", "best").toArrow()
+    found = written(groups(documents, id=id, texts=texts, digest=digest, keep=keep, **options))
+    frequent, rest = _frequent(written(pair_counts(found)), pairs_sent)
+    table = frequent.selectExpr(_KEY, "count", "best").toArrow()
     key, n, best = (table.column(i).to_numpy() for i in range(3))
     order = np.argsort(key)
     sent = spark.sparkContext.broadcast((key[order], n[order], best[order]))
     with_rest = rest is not None
-
-    rows = documents.select(F.col(f"`{id}`").cast("long").alias("__id"), *[f"`{c}`" for c in keep], F.col(f"`{text}`").alias("__text"))
-    kept = [documents.select(f"`{c}`").schema[0] for c in keep]
-    names = [id, *keep, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"] + ["groups"] * groups + ["groups_sha256"] * digest
-    schema = ", ".join([f"`{id}` long"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{c} long" for c in names[1 + len(keep) :][:6]] + ["groups string"] * groups + ["groups_sha256 string"] * digest + ["__rest array<long>"] * with_rest)
+    head = [c for c in found.columns if c != "links"]
 
     def run(batches):
-        aligner, found = Aligner(Tokenizers(*shared.value)), Counts(*sent.value)
-        for part in chunks(batches, "__text"):
-            if aligner.full():
-                aligner._forget()
-            look = aligner.look(texts_of(part.column("__text")))
-            keys = look.keys()
-            count, most, known = found.find(keys)
-            row = np.repeat(np.arange(len(look.rows)), look.groups)
-            of_unit = [np.bincount(row, x, len(look.rows)).astype(np.int64) for x in (count, most)]
-            n_groups = look.sums(look.groups)
-            columns = [part.column(i) for i in range(1 + len(keep))]
-            columns += [pa.array(look.sums(np.array([r[i] for r in look.rows], dtype=np.int64))) for i in (1, 2)]
-            columns += [pa.array(n_groups), pa.array(n_groups), pa.array(look.sums(of_unit[1])), pa.array(look.sums(of_unit[0]))]
-            data, ends = look.forms()
-            if groups:
-                raw = data.tobytes()
-                columns.append(pa.array([raw[a:b].decode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.string()))
-            if digest:
-                columns.append(pa.array([d if v else "" for d, v in zip(digests(data, ends), (n_groups > 0).tolist(), strict=True)], pa.string()))
-            if with_rest:  # the links whose counts aren't here, of each text
-                size = np.bincount(row, ~known, len(look.rows)).astype(np.int64)
-                begin = np.cumsum(size) - size
-                live = look.at[look.valid[look.text]]
-                flat = keys[~known][_spread(begin[live], size[live])]
-                borders = np.concatenate(([0], np.cumsum(look.sums(size))))
-                columns.append(pa.ListArray.from_arrays(borders.astype(np.int32), pa.array(flat)))
-            yield pa.RecordBatch.from_arrays(columns, names=names + ["__rest"] * with_rest)
-        aligner = None
+        for part in batches:
+            links = part.column("links")
+            flat, borders = links.flatten().to_numpy(zero_copy_only=False), links.offsets.to_numpy().astype(np.int64)
+            borders -= borders[0]
+            count, most, unknown = find(sent.value, flat)
+            sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[borders]) for x in (most, count, unknown)]
+            columns = [part.column(c) for c in head] + [pa.array(x) for x in sums[:2]]
+            if with_rest:
+                columns.append(pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sums[2]))).astype(np.int32), pa.array(flat[unknown > 0])))
+            yield pa.RecordBatch.from_arrays(columns, names=[*head, "n_best", "count_sum"] + ["__rest"] * with_rest)
         release()
 
-    out = rows.mapInArrow(run, schema)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema if f.name != "links"] + ["n_best long, count_sum long"] + ["__rest array<long>"] * with_rest)
+    out = found.mapInArrow(run, schema)
+    last = [c for c in ("groups", "groups_sha256") if c in head]
+    names = [c for c in head if c not in last] + ["n_best", "count_sum", *last]
     if not with_rest:
-        return out
+        return out.select(*[f"`{c}`" for c in names])
     out = written(out.withColumn("__row", F.monotonically_increasing_id()))
     links = out.select("__row", F.explode("__rest").alias("key")).groupBy("__row", "key").agg(F.count("*").alias("times"))
-    rest = rest.select((F.shiftleft(F.col("a_id").cast("long"), 32) + F.col("b_id")).alias("key"), "count", "best")
-    more = links.join(rest, "key").groupBy("__row").agg(F.sum(F.col("times") * F.col("count")).alias("__sum"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("__best"))
+    more = links.join(rest.selectExpr(_KEY, "count", "best"), "key").groupBy("__row").agg(F.sum(F.col("times") * F.col("count")).alias("__sum"), F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("__best"))
     added = {"n_best": "__best", "count_sum": "__sum"}
     return out.join(more, "__row", "left").select(*[(F.col(c) + F.coalesce(F.col(added[c]), F.lit(0))).alias(c) if c in added else F.col(f"`{c}`") for c in names])
 
@@ -417,4 +448,4 @@ def align(documents: DataFrame, *, id: str = "doc_id", text: str = "text", ranks
 def op11_token_alignment(spark, sf_dir: str) -> DataFrame:
     """Tokens, groups, links and their corpus counts of all documents."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return align(documents, groups=False, digest=True)
+    return align(documents, texts=False, digest=True)

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from snaptally.llm.bpe import byte_chars
-from snaptally.llm.token_alignment import Aligner, Tokenizers, align, labels, pair_counts, vocabularies
+from snaptally.llm.token_alignment import Aligner, Tokenizers, align, groups, labels, pair_counts, vocabularies
 
 from .conftest import DOCS
 
@@ -23,7 +23,7 @@ SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 ODD = [
     "a ▁ b", "x▁y", "  x  y", "a　 b", "tab\t x\r y {\r z", "\x00 nul \x00", "<|endoftext|> <s> </s> <unk> <0x41>", "  two  spaces   three ", "é é ﬁ Å", "😀 👩‍👩‍👧 汉字かな",
-    "x" * 3000, "don't we'll I'm  it's", "\n\n\n a\n\n b", "ab\u0085 c  d  e", " ", "\t", "12345 678,90 -- !!!", "한글 텍스트 ภาษาไทย العربية",
+    "x" * 3000, "a" + " \n" * 900 + "b c" + "\n" * 2000, "\t" * 5000 + "x", "é" + "　" * 1500 + "é  y", "don't we'll I'm  it's", "\n\n\n a\n\n b", "ab\u0085 c  d  e", " ", "\t", "12345 678,90 -- !!!", "한글 텍스트 ภาษาไทย العربية",
 ]
 
 
@@ -92,7 +92,7 @@ def test_direct(spark, odd, direct, sent):
 
 def test_pair_counts(spark, odd, direct):
     _, counts = direct.rows([(r.doc_id, r.text) for r in odd.collect()])
-    got = {(r.a_id, r.b_id): (r["count"], r.best) for r in pair_counts(odd).collect()}
+    got = {(r.a_id, r.b_id): (r["count"], r.best) for r in pair_counts(groups(odd)).collect()}
     assert {k: n for k, (n, _) in got.items()} == dict(counts)
     assert all(best == (n == max(m for (_, y), m in counts.items() if y == k[1])) for k, (n, best) in got.items())
 
