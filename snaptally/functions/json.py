@@ -19,10 +19,11 @@ are rejected there too.
 
 ``try_parse_json`` refuses strings of 20,000,000 characters, values of 128 MiB and
 1,000 levels of nesting. A line that it refuses and that is large or deep enough for
-one of these limits is checked again: once with every string cut to its first
-characters (the strict grammar and the duplicate-key test still hold for the whole
-line), and if it is too deep for that, by ``from_json`` with raised limits (grammar
-only: duplicate keys of such a line go unnoticed). No line is bad for its size.
+one of these limits is *peeled* (:func:`peeled`): long strings and keys become
+digests of their whole content, then the innermost objects and arrays are parsed, each by
+itself, and replaced by a number, level by level, until nothing is left to replace. Every
+object is so tested for syntax and for duplicate keys, as in a small line, and what
+remains of the line goes through the two wrappers. No line is bad for its size.
 """
 
 from __future__ import annotations
@@ -65,7 +66,6 @@ _LARGE_OPTIONS = {
     "allowSingleQuotes": "false",
     "allowNonNumericNumbers": "false",
     "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": "_corrupt",
     "maxStringLen": str(2**31 - 1),
     "maxNumLen": str(2**31 - 1),
     "maxNestingDepth": str(2**31 - 1),
@@ -74,10 +74,46 @@ _LARGE_OPTIONS = {
 #: Bytes and nesting from which a refused line may have met a limit of the parser.
 LARGE_BYTES = 16_000_000
 DEEP_LEVELS = 900
-_KEPT = 64  # characters that a cut string keeps
-# a JSON string literal; its first characters are group 1
-_CHAR = r'(?:[^"\\\x00-\x1F]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})'
-_STRING = f'"({_CHAR}{{0,{_KEPT}}}+){_CHAR}*+"'
+LONG_STRING = 64  #: characters between quotes from which a string of such a line becomes a digest
+PEELED = "-7777777"  #: stands for an object or array that was parsed by itself
+# a JSON string literal, and a container that holds no other one
+_STRING = r'"(?:[^"\\\x00-\x1F]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"'
+_INNERMOST = r'[\[{](?:[^\[\]{}"]++|' + _STRING + r")*+[\]}]"
+
+
+def _digested(v: Column) -> Column:
+    """The text with every long string literal as a literal of its content's digest, so
+    that equal strings (however they're escaped) stay equal and different ones different."""
+    def short(x):
+        content = F.when(F.contains(x, F.lit("\\")), F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>", _LARGE_OPTIONS).getItem(0)).otherwise(x.substr(F.lit(2), F.length(x) - 2))
+        return F.when(F.length(x) <= LONG_STRING, x).otherwise(F.concat(F.lit('"'), F.sha2(content, 256), F.lit('"')))
+
+    between, literals = F.split(v, _STRING, -1), F.regexp_extract_all(v, F.lit(_STRING), F.lit(0))
+    return F.array_join(F.zip_with(between, literals, lambda gap, x: F.concat(gap, F.coalesce(short(x), F.lit("")))), "")
+
+
+def peeled(v: Column) -> Column:
+    """What remains of a line when its containers, from the innermost on, are parsed by
+    themselves and replaced by ``PEELED``; NULL if one of them is bad. Work is the
+    length of what remains, once a level."""
+    def is_good(x):  # a container of scalars; its own size may still be beyond VARIANT
+        names = F.map_keys(F.from_json(x, "map<string,string>", _LARGE_OPTIONS))
+        large = F.when(F.startswith(x, F.lit("{")), F.size(names) == F.size(F.array_distinct(names))).otherwise(F.from_json(x, "array<string>", _LARGE_OPTIONS).isNotNull())
+        return F.try_parse_json(x).isNotNull() | ((F.octet_length(x) >= LARGE_BYTES) & F.coalesce(large, F.lit(False)))
+
+    def state(text, found):
+        good = F.forall(found, is_good)
+        rest = F.when(good, F.regexp_replace(text, _INNERMOST, PEELED))
+        return F.struct(rest.alias("text"), (good & (F.size(found) > 0)).alias("more"))
+
+    def level(acc, _):
+        # the list of containers is bound once, then tested and replaced
+        step = F.transform(F.array(F.regexp_extract_all(acc["text"], F.lit(_INNERMOST), F.lit(0))), lambda found: state(acc["text"], found))
+        return F.when(acc["more"], step.getItem(0)).otherwise(acc)
+
+    levels = F.octet_length(v) - F.octet_length(F.translate(v, "[{", ""))
+    start = F.struct(_digested(v).alias("text"), (levels > 0).alias("more"))
+    return F.aggregate(F.sequence(F.lit(0), levels), start, level, lambda acc: acc["text"])
 
 
 @dataclass(frozen=True)
@@ -100,9 +136,7 @@ class ParsedLine:
 
 _OBJ = "__snaptally_obj"
 _ARR = "__snaptally_arr"
-_CUT = "__snaptally_cut"
-_CUT_OBJ = "__snaptally_cut_obj"
-_DEEP = "__snaptally_deep"
+_REST = "__snaptally_rest"
 
 
 def parse_line(col, lenient: bool = False) -> ParsedLine:
@@ -126,44 +160,31 @@ def parse_line(col, lenient: bool = False) -> ParsedLine:
     arr = F.col(_ARR)
     blank = v.rlike(r"^[ \t\r\n]*$")
     if not lenient:
-        cut, cut_obj, deep = F.col(_CUT), F.col(_CUT_OBJ), F.col(_DEEP)
-        large = F.octet_length(v) >= LARGE_BYTES
+        rest = F.col(_REST)
         levels = F.octet_length(v) - F.octet_length(F.translate(v, "[{", ""))
-        table_only = "w struct<`~table`:string>, _corrupt string"
-        # Each stage reads the ones before. The array form is scanned only for lines whose
-        # object form parsed (a bad line then throws once inside the parser, not twice),
-        # and the stages for large lines start with a test of the length.
+        refused = (F.octet_length(v) >= DEEP_LEVELS) & ((F.octet_length(v) >= LARGE_BYTES) | (levels >= DEEP_LEVELS))
+        # The array form is scanned only for lines whose object form parsed (a bad line then
+        # throws once inside the parser, not twice); only refused lines beyond a limit are peeled.
         first = [
             {_OBJ: F.try_parse_json(in_object(v))},
-            {_CUT: F.when(obj.isNull() & large, F.regexp_replace(v, _STRING, '"$1"'))},
-            {_CUT_OBJ: F.when(cut.isNotNull(), F.try_parse_json(in_object(cut)))},
-            {_DEEP: F.when(
-                obj.isNull() & cut_obj.isNull() & (F.octet_length(v) >= DEEP_LEVELS) & (levels >= DEEP_LEVELS),
-                F.from_json(in_object(v), table_only, _LARGE_OPTIONS),
-            )},
-            {_ARR: F.when(obj.isNotNull(), F.json_array_length(in_array(v)))
-                .when(cut_obj.isNotNull(), F.json_array_length(in_array(cut)))
-                .when(deep.isNotNull(), F.size(F.from_json(in_array(v), "array<struct<>>", _LARGE_OPTIONS)))},
+            {
+                _ARR: F.when(obj.isNotNull(), F.json_array_length(in_array(v))),
+                _REST: F.when(obj.isNull() & refused, peeled(v)),
+            },
         ]
-        is_obj = (
-            F.try_variant_get(obj, "$.w", "struct<>").isNotNull()
-            | F.try_variant_get(cut_obj, "$.w", "struct<>").isNotNull()
-            | F.coalesce(deep.getField("w").isNotNull() & deep.getField("_corrupt").isNull(), F.lit(False))
-        )
-        is_valid = F.coalesce((arr == 1) & is_obj, F.lit(False))
+        is_obj = F.try_variant_get(obj, "$.w", "struct<>").isNotNull()
+        # what is left of a large line is short; an object is a peeled container that begins with a brace
+        rest_parsed = F.try_parse_json(in_object(rest))
+        rest_is_obj = F.coalesce(F.try_variant_get(rest_parsed, "$.w", "string") == PEELED, F.lit(False)) & v.rlike(r"^[ \t\r\n]*\{")
+        rest_valid = rest_is_obj & (F.json_array_length(in_array(rest)) == 1)
+        is_valid = F.coalesce(F.when(rest.isNotNull(), rest_valid).otherwise((arr == 1) & is_obj), F.lit(False))
         record = F.try_variant_get(obj, "$.w", "variant")
-        cut_table = F.try_variant_get(cut_obj, '$.w["~table"]', "string")
-        whole_table = F.from_json(v, "`~table` string", _LARGE_OPTIONS).getField("~table")
-        table_raw = (
-            F.when(obj.isNotNull(), F.try_variant_get(obj, '$.w["~table"]', "string"))
-            .when(cut_obj.isNotNull(), F.when(F.length(cut_table) < _KEPT, cut_table).when(cut_table.isNotNull(), whole_table))
-            .otherwise(deep.getField("w").getField("~table"))
-        )
+        whole_table = F.from_json(v, f"`{TABLE_FIELD}` variant", _LARGE_OPTIONS).getField(TABLE_FIELD)
+        table_raw = F.when(obj.isNotNull(), F.try_variant_get(obj, f'$.w["{TABLE_FIELD}"]', "string")).otherwise(F.try_variant_get(whole_table, "$", "string"))
         kind = (
             F.when(blank, F.lit(EMPTY_LINE))
-            .when(obj.isNull() & cut_obj.isNull() & deep.isNull(), F.lit(INVALID_JSON))
-            .when(deep.getField("_corrupt").isNotNull(), F.lit(INVALID_JSON))
-            .when(~is_obj, F.lit(NOT_AN_OBJECT))
+            .when(obj.isNull() & (rest.isNull() | rest_parsed.isNull()), F.lit(INVALID_JSON))
+            .when(F.when(rest.isNotNull(), ~rest_is_obj).otherwise(~is_obj), F.lit(NOT_AN_OBJECT))
             .otherwise(F.lit(TRAILING_CONTENT))
         )
         return ParsedLine(first, record, is_valid, table_raw, kind)

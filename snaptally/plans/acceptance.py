@@ -149,12 +149,20 @@ def _events_snapshots(spark, sf_dir, path):
 
 
 def _large_json(spark, sf_dir, path):
-    """JSON lines of all documents; the texts of two are repeated to above
-    21,000,000 characters, more than the JSON parser takes by default."""
+    """JSON lines of all documents, their texts escaped. Documents 1 and 2 are repeated
+    above 21,000,000 characters, more than the JSON parser takes; 3 and 4 also have two
+    keys that differ, or don't, after 64 characters; 5 and 6 are nested 1,200 deep, 6 with
+    a key twice at the bottom."""
     docs = _table(spark, sf_dir, "documents")
-    plain = F.concat(F.regexp_replace("text", "[^A-Za-z0-9 ]", ""), F.lit(" "))
-    times = F.when(F.col("doc_id").isin(1, 2), (F.lit(21_000_000) / F.length(plain)).cast("int") + 1).otherwise(1)
-    line = F.concat(F.lit('{"~table":"'), "lang", F.lit('","id":'), F.col("doc_id").cast("string"), F.lit(',"text":"'), F.repeat(plain, times), F.lit('"}'))
+    i = F.col("doc_id")
+    safe = F.regexp_replace("text", r"[\x00-\x1F]", " ")
+    safe = F.concat(F.replace(F.replace(safe, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit(" "))
+    times = F.when(i.isin(1, 2, 3, 4), (F.lit(21_000_000) / F.length(safe)).cast("int") + 1).otherwise(1)
+    key = F.repeat(F.lit("k"), 70)
+    keys = F.when(i.isin(3, 4), F.concat(F.lit(',"'), key, F.lit('a":1,"'), key, F.when(i == 3, "b").otherwise("a"), F.lit('":2'))).otherwise("")
+    twice = F.when(i == 6, ',"q":2').otherwise("")
+    deep = F.when(i.isin(5, 6), F.concat(F.lit(',"deep":'), F.repeat(F.lit('{"a":['), 600), F.lit('{"q":1'), twice, F.lit("}"), F.repeat(F.lit("]}"), 600))).otherwise("")
+    line = F.concat(F.lit('{"~table":"'), "lang", F.lit('","id":'), i.cast("string"), keys, deep, F.lit(',"text":"'), F.repeat(safe, times), F.lit('"}'))
     _parts(spark, docs.select("doc_id", "lang", "text")).select(line.alias("value")).write.text(path)
 
 
@@ -616,12 +624,16 @@ SELECT strftime(max(ts), '%Y-%m-%d') || '-00-00-00' AS snapshot FROM events""",
     "snapshot_table_counts_limit": f"""
 SELECT * FROM ({_SNAPSHOT_COUNTS_SQL}) t ORDER BY "table" LIMIT 3""",
     "large_record_stats": f"""
-WITH l AS (
-  SELECT '{{"~table":"' || lang || '","id":' || CAST(doc_id AS VARCHAR) || ',"text":"'
-    || repeat(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g') || ' ', CASE WHEN doc_id IN (1, 2) THEN 21000000 // (length(regexp_replace(text, '[^A-Za-z0-9 ]', '', 'g')) + 1) + 1 ELSE 1 END)
-    || '"}}' AS line, lang FROM documents)
-SELECT lang AS tableName, CAST(count(*) AS BIGINT) AS recordCount, CAST(sum(length(line)) AS BIGINT) AS tableSize
-FROM l GROUP BY lang""",
+WITH s AS (
+  SELECT doc_id AS i, lang, replace(replace(regexp_replace(text, '[\x00-\x1F]', ' ', 'g'), chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || ' ' AS t FROM documents),
+l AS (
+  SELECT i, lang, '{{"~table":"' || lang || '","id":' || CAST(i AS VARCHAR)
+    || CASE WHEN i IN (3, 4) THEN ',"' || repeat('k', 70) || 'a":1,"' || repeat('k', 70) || CASE WHEN i = 3 THEN 'b' ELSE 'a' END || '":2' ELSE '' END
+    || CASE WHEN i IN (5, 6) THEN ',"deep":' || repeat('{{"a":[', 600) || '{{"q":1' || CASE WHEN i = 6 THEN ',"q":2' ELSE '' END || '}}' || repeat(']}}', 600) ELSE '' END
+    || ',"text":"' || repeat(t, CASE WHEN i IN (1, 2, 3, 4) THEN 21000000 // length(t) + 1 ELSE 1 END) || '"}}' AS line FROM s),
+r AS (SELECT CASE WHEN i IN (4, 6) THEN 'unknown' ELSE lang END AS tableName, CASE WHEN i IN (4, 6) THEN 0 ELSE {_u16('line')} END AS size FROM l)
+SELECT tableName, CAST(count(*) AS BIGINT) AS recordCount, CAST(sum(size) AS BIGINT) AS tableSize
+FROM r GROUP BY tableName""",
     "json_parse_quality": _EVENT_RECORDS + """
 SELECT is_valid, error, CAST(count(*) AS BIGINT) AS recordCount FROM r GROUP BY is_valid, error""",
     "bad_record_kinds": _EVENT_RECORDS + """

@@ -82,6 +82,8 @@ def large_lines():
     """Records beyond the parser's default limits, good and damaged, with their table."""
     text = "x" * 25_000_000
     deep = '[' * 1200 + ']' * 1200
+    key = "k" * 70
+    nested = '{"a":' * 1200 + '[1,{}]' + "}" * 1200
     return {
         f'{{"~table":"t1","a":"{text}"}}': "t1",
         f'{{"a":"{text}","~table":"{"n" * 90}"}}': "n" * 90,
@@ -96,6 +98,17 @@ def large_lines():
         f'{{"~table":"d","a":{deep}}}': "d",
         f'{{"~table":"d","a":{deep[:-1]}}}': None,
         f'{{"~table":"d","a":{deep}}}}}': None,
+        # keys are compared whole, however they're escaped and wherever they are
+        f'{{"~table":"k","{key}1":1,"{key}2":"{text}"}}': "k",
+        f'{{"~table":"k","{key}1":1,"{key}1":"{text}"}}': None,
+        f'{{"~table":"k","{key}1":1,"{key}\\u0031":"{text}"}}': None,
+        f'{{"~table":{{"x": 1.50}},"a":"{text}"}}': '{"x":1.5}',
+        f'{{"~table":"d","a":1,"a":{deep}}}': None,
+        f'{{"~table":"d","a":{"[" * 1200}{{"q":1,"q":2}}{"]" * 1200}}}': None,
+        f'{{"~table":"d","a":{nested}}}': "d",
+        f'{{"~table":"d","a":{nested[:-1]}]}}': None,
+        f'{{"~table":"d","a":{nested}}},"b":1': None,
+        '{"~table":"w",' + ",".join(f'"c{i}":[{i},{{"a":{i}}}]' for i in range(700_000)) + "}": "w",
     }
 
 
@@ -111,6 +124,17 @@ def test_no_record_is_bad_for_its_size_or_depth(spark, tmp_path):
         assert (r.is_valid, r.tableName, r.size) == ((True, table, len(line)) if table else (False, "unknown", None)), line[:40] + line[-40:]
 
 
+def test_kinds_of_bad_large_lines(spark):
+    text, deep = "x" * 21_000_000, "[" * 1200 + "]" * 1200
+    cases = {
+        f'{{"a":"{text}"}}}}': "TRAILING_CONTENT", f'{{"a":"{text}"}} x': "INVALID_JSON", f'[{{"a":"{text}"}}]': "NOT_AN_OBJECT", f'"{text}"': "NOT_AN_OBJECT",
+        f'{{"a":"{text}\x01"}}': "INVALID_JSON", f'{{"a":{deep}}},"k":1': "TRAILING_CONTENT", f"[{deep}]": "NOT_AN_OBJECT", f'{{"a":{deep}': "INVALID_JSON", f'{{"a":-7777777,"b":{deep}}}': None,
+    }
+    for line, kind in cases.items():
+        r = parse_records(spark.createDataFrame([(line,)], "value string"), keep_record=False).select("is_valid", "error_kind").first()
+        assert tuple(r) == (kind is None, kind), line[:30] + line[-30:]
+
+
 def test_one_field_of_140_megabytes(spark):
     df = spark.range(1).selectExpr("concat('{\"~table\":\"big\",\"a\":\"', repeat('abcdefghij', 14000000), '\"}') as value")
     r = parse_records(df, keep_record=False).selectExpr("is_valid", "tableName", "`~recordSize` as n").first()
