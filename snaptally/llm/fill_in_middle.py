@@ -129,7 +129,7 @@ def fill_in_middle(documents: DataFrame, *, id: str = "doc_id", text: str = "tex
     result is left out. An empty table gives an empty result; one pass, no shuffle.
     """
     keep = tuple(c for c in keep if c not in RESULTS and c != id)
-    rows = documents.select(F.col(f"`{id}`").cast("long").alias("__id"), *[f"`{c}`" for c in keep], F.col(f"`{text}`").alias("__text"))
+    rows = documents.select(F.col(f"`{id}`").cast("long").alias("__id"), *[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("__text"))
     kept = [documents.select(f"`{c}`").schema[0] for c in keep]
     names = [id, *keep, "n", "form", "prefix_chars", "middle_chars"] + ["output"] * outputs + ["output_sha256", "restored_sha256"] * digests
     schema = ", ".join([f"`{id}` long"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["n long, form string, prefix_chars long, middle_chars long"] + ["output string"] * outputs + ["output_sha256 string, restored_sha256 string"] * digests)

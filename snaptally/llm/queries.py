@@ -8,6 +8,7 @@ from .count_vector_join import op4_ngram_jaccard_join
 from .fill_in_middle import op13_fill_in_middle
 from .language_filter import op7_language_id
 from .mixing import op3_pfair_mix
+from .page_wrappers import op12_html_extraction
 from .personal_data import op6_personal_data
 from .projection_passes import op10_embedding_near_dedup
 from .quality import op1_quality_rules
@@ -30,6 +31,7 @@ QUERIES = {
         op9_bpe,
         op10_embedding_near_dedup,
         op11_token_alignment,
+        op12_html_extraction,
         op13_fill_in_middle,
     )
 }
