@@ -9,8 +9,11 @@ to the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +24,7 @@ from snaptally.functions.text import (
     text_length,
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
-from snaptally.sources.listing import LATEST_POINTER, STAMP_PATTERN, escape_glob, is_file, is_glob, list_dirs, qualify, resolve_latest
+from snaptally.sources.listing import LATEST_POINTER, STAMP_PATTERN, escape_glob, expand_glob, glob_regex, is_file, is_glob, list_dirs, qualify, resolve_latest
 from snaptally.sources.text import FILE_BYTES, FILE_PATH, scan_lines_raw_path, scan_whole
 
 RECORD_COUNT = "recordCount"
@@ -48,10 +51,12 @@ def dataset_stats(lines: DataFrame, value_col: str = "value", *, unit: str = "ut
     )
 
 
-def _per_file(spark: SparkSession, paths, unit: str, recursive: bool, line_sep: str | None) -> DataFrame:
+def _per_file(spark: SparkSession, paths, unit: str, recursive: bool, line_sep: str | None, keep=None) -> DataFrame:
     # Grouped by the raw (encoded) path: it is constant within a file, so the
     # per-row cost is a hash; decoding happens once per file afterwards.
     lines = scan_lines_raw_path(spark, paths, recursive=recursive, line_sep=line_sep)
+    if keep is not None:  # of file paths alone, so Spark leaves whole files out when it plans the scan
+        lines = lines.where(keep)
     return lines.groupBy(FILE_PATH).agg(
         F.count(F.lit(1)).alias(RECORD_COUNT),
         _sum0(text_length(F.col("value"), unit)).alias("chars"),
@@ -110,40 +115,65 @@ def path_stats(
     ``tableSize``; 0 and 0 for a path without a line.
 
     A path is a file, a directory or a glob, and counts every line that a scan
-    of it alone would read. All plain paths are read by ONE scan, in which a
-    file that several of them cover is read once and counted for each; every
-    glob adds its own scan to the same job. A path given twice has one row.
-    Sizes exclude line breaks, as in :func:`dataset_stats`.
+    of it alone would read. All paths are read by ONE scan, in which a file that
+    several of them cover is read once and counted for each: globs are expanded to
+    the paths they match, as the reader would, and each file's row (not each line) is
+    matched with them. A path given twice has one row. Raises if no path at all has a
+    file, or a glob matches nothing. Sizes exclude line breaks, as in :func:`dataset_stats`.
     """
     given = list(dict.fromkeys([paths] if isinstance(paths, str) else list(paths)))
-    whole = {p: qualify(spark, p) for p in given if not is_glob(p)}
-    plain = {p: _local(q) for p, q in whole.items()}
-    reader = {_local(q): q for q in whole.values()}  # what Spark is asked to read keeps its scheme
+    globs = {p: expand_glob(spark, p) for p in given if is_glob(p)}
+    if any(found is None for found in globs.values()):  # no file system to ask: a scan for each glob
+        alone = [_glob_alone(spark, p, unit, recursive) for p in globs]
+        rest = [p for p in given if p not in globs]
+        return reduce(DataFrame.unionByName, ([path_stats(spark, rest, unit=unit, recursive=recursive)] if rest else []) + alone)
+    for p, found in globs.items():
+        if not found:
+            raise FileNotFoundError(f"nothing matches {p}")
+    plain = {p: _local(qualify(spark, p)) for p in given if p not in globs}
+    reader = {_local(q): q for q in [qualify(spark, p) for p in plain]}  # what Spark is asked to read keeps its scheme
+    files = set()
+    for found in globs.values():
+        for path, is_dir in found:
+            reader.setdefault(_local(path), path)
+            if not is_dir:
+                files.add(_local(path))
+    at = set(reader)
+    # what another path covers is not read a second time
+    top = [q for q in sorted(at) if not _covers(at, q, recursive, lambda f: f in files or is_file(spark, reader[f]))]
+    # non-null keys: nullable ones would let a join-inferred filter reach the scan
+    name = F.coalesce(F.regexp_replace(decode_path(F.col(FILE_PATH)), "^file:/+", "/"), F.lit(""))
+    plain_name = r"(?!\.|_[^/=]*(?:/|$))[^/]+"
+    below = f"(/{plain_name})*" if recursive else f"(/(?!\\.)[^/=]+=[^/]*)*(/{plain_name})?"
+    roots = [escape_glob(reader[q]) for q in top]
+    try:
+        per_file = _per_file(spark, roots, unit, recursive, None)
+    except PySparkException as e:
+        if recursive or e.getCondition() != "CONFLICTING_DIRECTORY_STRUCTURES":
+            raise
+        # name=value directories beside plain ones: Spark can't read them as one table, so
+        # everything below is listed, and files that no path reaches are left out
+        per_file = _per_file(spark, roots, unit, True, None, name.rlike(f"^(?:{'|'.join(map(re.escape, top))}){below}$"))
+    matched = [F.when(name.rlike(f"^{glob_regex(_local(qualify(spark, p)))}{below}$"), F.lit(_GLOB + p)) for p in globs]
+    keys = F.concat(_ancestors(name, recursive), F.array_compact(F.array(*matched))) if matched else _ancestors(name, recursive)
+    covered = per_file.select(F.explode(keys).alias("at"), RECORD_COUNT, "chars").groupBy("at").agg(
+        F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT), F.sum("chars").cast("bigint").alias(TABLE_SIZE)
+    )
+    listing = spark.createDataFrame([(p, plain.get(p, _GLOB + p)) for p in given], f"{PATH} string, at string")
     zero = F.lit(0).cast("bigint")
-    totals = [F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT), F.sum("chars").cast("bigint").alias(TABLE_SIZE)]
-    parts = []
-    if plain:
-        at = set(plain.values())
-        # what another path covers is not read a second time
-        top = [q for q in sorted(at) if not _covers(at, q, recursive, lambda f: is_file(spark, reader[f]))]
-        per_file = _per_file(spark, [escape_glob(reader[q]) for q in top], unit, recursive, None)
-        # non-null keys: nullable ones would let a join-inferred filter reach the scan
-        name = F.coalesce(F.regexp_replace(decode_path(F.col(FILE_PATH)), "^file:/+", "/"), F.lit(""))
-        covered = per_file.select(F.explode(_ancestors(name, recursive)).alias("at"), RECORD_COUNT, "chars").groupBy("at").agg(*totals)
-        listing = spark.createDataFrame(list(plain.items()), f"{PATH} string, at string")
-        parts.append(
-            listing.join(covered, "at", "left").select(
-                PATH, F.coalesce(F.col(RECORD_COUNT), zero).alias(RECORD_COUNT), F.coalesce(F.col(TABLE_SIZE), zero).alias(TABLE_SIZE)
-            )
-        )
-    for p in given:
-        if p not in plain:
-            stats = _per_file(spark, [p], unit, recursive, None).agg(*totals)
-            parts.append(stats.select(F.lit(p).alias(PATH), F.coalesce(RECORD_COUNT, zero).alias(RECORD_COUNT), F.coalesce(TABLE_SIZE, zero).alias(TABLE_SIZE)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return listing.join(covered, "at", "left").select(
+        PATH, F.coalesce(F.col(RECORD_COUNT), zero).alias(RECORD_COUNT), F.coalesce(F.col(TABLE_SIZE), zero).alias(TABLE_SIZE)
+    )
+
+
+_GLOB = "glob:"  # before a glob's key; the other keys are absolute paths or have a scheme
+
+
+def _glob_alone(spark: SparkSession, glob: str, unit: str, recursive: bool) -> DataFrame:
+    """The row of one glob by a scan of its own."""
+    return _per_file(spark, [glob], unit, recursive, None).select(
+        F.lit(glob).alias(PATH), RECORD_COUNT, "chars"
+    ).groupBy(PATH).agg(F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT), F.sum("chars").cast("bigint").alias(TABLE_SIZE))
 
 
 def _local(path: str) -> str:
@@ -157,11 +187,13 @@ def _covers(paths: set[str], path: str, recursive: bool, file) -> bool:
     of one from which only ``name=value`` directories lead down. ``file`` says
     whether a path is a file; it is asked only if its directory is given too."""
     parent, _, name = path.rpartition("/")
+    if re.match(_HIDDEN_STEP, "/" + name):  # a reader passes it by
+        return False
     if parent in paths and (recursive or "=" in name or file(path)):
         return True
     # from here on path is taken as a file if its parent is a name=value directory
     at, step = parent, parent.rpartition("/")[2]
-    while "/" in at and (recursive or "=" in step):
+    while "/" in at and (recursive or "=" in step) and not re.match(_HIDDEN_STEP, "/" + step):
         at = at.rpartition("/")[0]
         if at in paths and (recursive or "=" in name or file(path)):
             return True
@@ -169,10 +201,14 @@ def _covers(paths: set[str], path: str, recursive: bool, file) -> bool:
     return False
 
 
+_HIDDEN_STEP = r"/(\.|_[^/=]*(/|$))"  # a name below a given path that a reader passes by
+
+
 def _ancestors(name, recursive: bool):
     """A file's path and the directories whose scan reads it."""
     parts = F.split(name, "/")
     all_ = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    all_ = F.filter(all_, lambda a: ~F.substr(name, F.length(a) + 1).rlike(_HIDDEN_STEP))
     if recursive:
         return all_
     parent = F.regexp_extract(name, "^(.*)/[^/]*$", 1)

@@ -69,6 +69,57 @@ def escape_glob(path: str) -> str:
     return "".join("\\" + ch if ch in "*?[]{}\\" else ch for ch in path)
 
 
+def glob_regex(glob: str) -> str:
+    """The regular expression of the whole paths that a reader's glob matches: ``*`` and ``?``
+    within a name, ``[a-c]``, ``[^a]`` or ``[!a]``, ``{a,b}`` (also across names and nested),
+    and a backslash before a literal character."""
+    import re
+
+    out, depth, i = [], 0, 0
+    while i < len(glob):
+        ch = glob[i]
+        if ch == "\\" and i + 1 < len(glob):
+            i += 1
+            out.append(re.escape(glob[i]))
+        elif ch == "*":
+            out.append("[^/]*")
+        elif ch == "?":
+            out.append("[^/]")
+        elif ch == "[" and "]" in glob[i + 1 :]:
+            end = glob.index("]", i + 1)
+            inside = glob[i + 1 : end]
+            negated = inside[:1] in ("^", "!")
+            members = re.sub(r"([\[\]\\&^])", r"\\\1", inside[negated:])
+            out.append(f"[^/{members}]" if negated else f"[{members}]")
+            i = end
+        elif ch == "{":
+            depth += 1
+            out.append("(?:")
+        elif ch == "}" and depth:
+            depth -= 1
+            out.append(")")
+        elif ch == "," and depth:
+            out.append("|")
+        else:
+            out.append(re.escape(ch))
+        i += 1
+    return "".join(out)
+
+
+def expand_glob(spark: SparkSession, glob: str) -> list[tuple[str, bool]] | None:
+    """The paths that a glob matches, qualified, and whether each is a directory (also
+    hidden ones, which a reader takes if they're matched). One transfer however many
+    there are; None without a gateway."""
+    fs_path = _hadoop_fs(spark, glob)
+    if fs_path is None:
+        return None
+    fs, p = fs_path
+    found = fs.globStatus(p)
+    if found is None or not len(found):
+        return []
+    return sorted({(path.rstrip("/"), is_dir) for path, is_dir in _statuses(spark, found)})
+
+
 def _hidden(name: str) -> bool:
     return name.startswith("_") or name.startswith(".")
 

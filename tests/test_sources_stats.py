@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 
 from conftest import INPUT1_LINES, final_plan, write_file
 from snaptally.operators import (
@@ -208,6 +209,47 @@ def test_count_plan_single_exchange_per_level(spark, tree):
     assert "UrlCodec" not in plan.split("HashAggregate(keys=[file_path")[-1]
 
 
+GLOBS = ["*", "a*", "?", "[ab]*", "[!a]*", "[^a]?", "{a,b}1", "{a1,b1/x=1}", "a1/*", "*/x=*", "{a{1,2},c[0-9]}", "*/x=1/p?", "a\\*1", "b1/{p0,x=[12]/p1}", "+.1"]
+
+
+@pytest.mark.parametrize("recursive", [False, True])
+def test_many_globs_one_scan(spark, tmp_path, recursive):
+    """Each glob counts what a scan of it alone counts; all are read by one scan."""
+    root = str(tmp_path / "g g")
+    for i, name in enumerate(["a1/p0", "a1/p1", "a2/p0", "a*1/p0", "ab/p0", "b1/p0", "b1/x=1/p0", "b1/x=2/p1", "c1/p0", "c1/d/p0", "+.1/p0", "e", "_h/p0", "b1/_t/p0", "c1/.z/p"]):
+        write_file(f"{root}/{name}", "line\n" * (2**i))
+    globs = [f"{root}/{g}" for g in GLOBS] + [f"file:{root}/a*"]
+    paths = [*globs, f"{root}/b1", f"{root}/a1/p0", root]
+    df = path_stats(spark, paths, recursive=recursive)
+    got = {r.path: (r.recordCount, r.tableSize) for r in df.collect()}
+    assert list(got) and set(got) == set(paths)
+    alone = 0
+    for p in [*globs, root]:
+        try:
+            n = scan_lines(spark, p, recursive=recursive).count()
+        except PySparkException as e:  # name=value directories beside others: no scan of its own can read it
+            assert e.getCondition() == "CONFLICTING_DIRECTORY_STRUCTURES" and not recursive
+        else:
+            alone += 1
+            assert got[p] == (n, 4 * n), p
+    assert alone >= 8
+    assert got[f"{root}/*"][0] == (8191 if recursive else 8191 - 2**9)
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan text") == 1 and plan.count("Exchange hashpartitioning") <= 3
+    with pytest.raises(FileNotFoundError):
+        path_stats(spark, [f"{root}/a1", f"{root}/nothing*"])
+
+
+def test_fifty_globs_have_one_scan_and_two_exchanges(spark, tmp_path):
+    for i in range(50):
+        write_file(str(tmp_path / "t" / f"table{i:02d}" / "p"), "x\n" * (i + 1))
+    paths = [f"{tmp_path}/t/*{i:02d}/*" for i in range(50)]
+    df = path_stats(spark, paths)
+    assert {r.path: r.recordCount for r in df.collect()} == {p: i + 1 for i, p in enumerate(paths)}
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan text") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_table_names_with_glob_characters(spark, tmp_path):
     root = str(tmp_path / "g")
     write_file(f"{root}/2015-01-01-00-00-00/t[1]/p", "a\nb\n")
