@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snaptally.functions.json import UNKNOWN_TABLE
@@ -25,7 +25,7 @@ from snaptally.functions.text import (
 )
 from snaptally.operators.records import TABLE_NAME, record_size_or_zero
 from snaptally.sources.listing import LATEST_POINTER, STAMP_PATTERN, escape_glob, expand_glob, glob_regex, is_file, is_glob, list_dirs, qualify, resolve_latest
-from snaptally.sources.text import FILE_BYTES, FILE_PATH, scan_lines_raw_path, scan_whole
+from snaptally.sources.text import FILE_BYTES, FILE_PATH, SPLIT_START, scan_lines_raw_path, scan_splits, scan_whole
 
 RECORD_COUNT = "recordCount"
 TABLE_SIZE = "tableSize"
@@ -81,20 +81,15 @@ def file_stats(
     line. That holds for uncompressed files. ``fileBytes`` is the exact size of
     the file from the scan's own metadata (no extra read).
 
-    The default reads files as splittable lines, so a large file is processed
-    by many tasks; it keeps blank lines at the end of a file. ``whole=True``
-    reads each file as one value (memory bound by the largest file) and
-    applies JVM ``split("\\n")`` rules: trailing empty records are dropped and
-    ``fileSize`` is the exact length of the content.
+    Files are read as splittable lines, so a large file is processed by many
+    tasks. The default keeps blank lines at the end of a file; ``whole=True``
+    applies the JVM's ``split("\\n")`` rules to the file as one value: trailing
+    empty records are dropped. Only compressed files, which can't be split anyway,
+    are then read as one value each, for their exact length. A file without any
+    line (no byte, or a byte order mark alone) has no row.
     """
     if whole:
-        files = scan_whole(spark, paths, recursive=recursive)
-        return files.select(
-            F.col(FILE_PATH).alias(FILE_URI),
-            F.size(java_split(F.col("value"), "\n")).cast("bigint").alias(RECORD_COUNT),
-            text_length(F.col("value"), unit).alias(FILE_SIZE),
-            F.col(FILE_BYTES).alias(FILE_BYTES_OUT),
-        )
+        return _whole_files(spark, paths, unit, recursive)
     per_file = _per_file(spark, paths, unit, recursive, "\n")
     return per_file.select(
         decode_path(F.col(FILE_PATH)).alias(FILE_URI),
@@ -104,6 +99,55 @@ def file_stats(
     )
 
 
+#: names of files that the reader decompresses
+_COMPRESSED = "gz,bz2,deflate,snappy,lz4,zst"
+
+
+def _whole_files(spark: SparkSession, paths, unit: str, recursive: bool) -> DataFrame:
+    """``file_stats`` by the rules for whole files, from the lines of its splits.
+
+    A split's summary is its lines, its length, and how many empty lines it ends
+    with. Summaries of a file are merged in the order of their splits: the empty
+    lines at the end are those of the last split with text, and all lines after it.
+    """
+    packed = "*.{" + _COMPRESSED + "}"
+    lines = scan_splits(spark, paths, recursive=recursive)
+    full = F.octet_length("value") > 0
+    # a split's lines have consecutive numbers
+    numbered = lines.withColumn("at", F.monotonically_increasing_id()).where(~F.col(FILE_PATH).rlike(r"\.(?:" + _COMPRESSED.replace(",", "|") + ")$"))
+    splits = numbered.groupBy(FILE_PATH, SPLIT_START).agg(
+        F.count(F.lit(1)).alias("lines"),
+        _sum0(text_length(F.col("value"), unit)).alias("chars"),
+        _sum0(F.octet_length("value")).alias("octets"),
+        F.max(FILE_BYTES).alias(FILE_BYTES),
+        (F.max("at") - F.max(F.when(full, F.col("at")))).alias("empty"),  # NULL without text
+    )
+    last = F.max(F.when(F.col("empty").isNotNull(), F.col(SPLIT_START))).over(Window.partitionBy(FILE_PATH))
+    files = splits.withColumn("last", last).groupBy(FILE_PATH).agg(
+        F.sum("lines").alias("lines"),
+        F.sum("chars").alias("chars"),
+        F.sum("octets").alias("octets"),
+        F.max(FILE_BYTES).alias(FILE_BYTES),
+        F.sum(F.when(F.col(SPLIT_START) > F.col("last"), F.col("lines")).when(F.col(SPLIT_START) == F.col("last"), F.col("empty"))).alias("empty"),
+    )
+    outside = F.col(FILE_BYTES) - F.col("octets")  # bytes of line breaks, and of a byte order mark, which is in no line
+    mark = outside - F.col("lines") >= 2
+    mark_units = 3 if unit == "bytes" else 1
+    records = F.coalesce(F.col("lines") - F.col("empty"), F.when(mark, 1).otherwise(0))
+    whole = scan_whole(spark, paths, recursive=recursive, require_files=False, name_glob=packed)
+    return files.select(
+        decode_path(F.col(FILE_PATH)).alias(FILE_URI),
+        records.cast("bigint").alias(RECORD_COUNT),
+        (F.col("chars") + outside - F.when(mark, 3 - mark_units).otherwise(0)).cast("bigint").alias(FILE_SIZE),
+        F.col(FILE_BYTES).alias(FILE_BYTES_OUT),
+    ).unionByName(whole.select(
+        F.col(FILE_PATH).alias(FILE_URI),
+        F.size(java_split(F.col("value"), "\n")).cast("bigint").alias(RECORD_COUNT),
+        text_length(F.col("value"), unit).alias(FILE_SIZE),
+        F.col(FILE_BYTES).alias(FILE_BYTES_OUT),
+    ))
+
+
 def path_stats(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -12,6 +12,7 @@ from snaptally.sources.listing import has_input_files, is_glob
 
 FILE_PATH = "file_path"
 FILE_BYTES = "file_bytes"
+SPLIT_START = "split_start"
 
 
 def _paths(paths) -> list[str]:
@@ -24,12 +25,13 @@ def _paths(paths) -> list[str]:
 
 
 def _read_text(spark: SparkSession, paths: list[str], recursive: bool, line_sep: str | None,
-               whole: bool = False) -> DataFrame:
+               whole: bool = False, name_glob: str | None = None) -> DataFrame:
     # options go through text()'s own arguments: it sets wholetext explicitly
     return spark.read.text(
         paths,
         wholetext=whole,
         lineSep=line_sep,
+        pathGlobFilter=name_glob,
         recursiveFileLookup=True if recursive else None,
     )
 
@@ -112,22 +114,35 @@ def scan_lines_raw_path(
     )
 
 
+def scan_splits(spark: SparkSession, paths: str | Sequence[str], *, recursive: bool = False, require_files: bool = True) -> DataFrame:
+    """As :func:`scan_lines_raw_path` with ``\\n`` breaks, and ``split_start``: the
+    byte of the file where the line's split begins. A split's lines come in order."""
+    p = _paths(paths)
+    df = _read_text(spark, p, recursive, "\n")
+    if require_files:
+        require_input(spark, df, p, recursive)
+    return df.select(
+        "value", F.col("_metadata.file_path").alias(FILE_PATH), F.col("_metadata.file_size").alias(FILE_BYTES), F.col("_metadata.file_block_start").alias(SPLIT_START)
+    )
+
+
 def scan_whole(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
     recursive: bool = False,
     require_files: bool = True,
+    name_glob: str | None = None,
 ) -> DataFrame:
     """One row per file: ``file_path`` (decoded), its whole ``value`` and its
     size in bytes (``file_bytes``).
 
     Each file becomes one row held in memory at once, so this suits only files
     well below the 2 GB string limit; prefer :func:`scan_lines`. Zero-byte files
-    yield no row.
+    yield no row. ``name_glob`` keeps files whose name it matches.
     """
     p = _paths(paths)
-    df = _read_text(spark, p, recursive, None, whole=True)
+    df = _read_text(spark, p, recursive, None, whole=True, name_glob=name_glob)
     if require_files:
         require_input(spark, df, p, recursive)
     return df.select(

@@ -209,6 +209,42 @@ def test_count_plan_single_exchange_per_level(spark, tree):
     assert "UrlCodec" not in plan.split("HashAggregate(keys=[file_path")[-1]
 
 
+WHOLE = ["", "\n", "\n\n\n", "a", "a\n", "a\n\n", "\na", "\n\na\n\n", "a\n\n\nb\n\n\n", "\r\n\r\n", "é😀\n漢\n\n", " \n \n\n", "\ufeffa\nb\n", "\ufeff\n\n",
+         "x" * 500 + "\n" * 700, "\n" * 700 + "y\n" + "\n" * 300, "ab\n" * 400, ("ab\n" * 100 + "\n" * 100) * 3, "\n" * 1000]
+
+
+@pytest.mark.parametrize("unit", ["utf16", "chars", "bytes"])
+@pytest.mark.parametrize("split", ["64", "1000", "128m"])
+def test_whole_file_rules_on_split_files(spark, tmp_path, unit, split):
+    """Files read by many tasks count as one value each by the JVM's split."""
+    import gzip
+
+    for i, text in enumerate(WHOLE):
+        write_file(f"{tmp_path}/w/f{i:02d}.txt", text.encode())
+        write_file(f"{tmp_path}/w/f{i:02d}.gz", gzip.compress(text.encode()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = file_stats(spark, f"{tmp_path}/w", unit=unit, whole=True)
+        got = {os.path.basename(r.fileURI): (r.recordCount, r.fileSize) for r in df.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {}
+    for i, text in enumerate(WHOLE):
+        records = text.split("\n")
+        while len(records) > 1 and not records[-1]:
+            records.pop()
+        n = 0 if records == [""] and text else len(records)
+        size = len(text.encode()) if unit == "bytes" else len(text) if unit == "chars" else len(text.encode("utf-16-be")) // 2
+        want |= {f"f{i:02d}.{e}": (n, size) for e in ("txt", "gz") if text}
+    for name in want:
+        if name.endswith(".txt"):
+            assert got[name] == want[name], (name, WHOLE[int(name[1:3])][:20])
+    assert {k: v for k, v in got.items() if v[1]} == want
+
+
 GLOBS = ["*", "a*", "?", "[ab]*", "[!a]*", "[^a]?", "{a,b}1", "{a1,b1/x=1}", "a1/*", "*/x=*", "{a{1,2},c[0-9]}", "*/x=1/p?", "a\\*1", "b1/{p0,x=[12]/p1}", "+.1"]
 
 
