@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._flat import SEPARATOR, Texts, chunks, release, texts_of
+from ._flat import SEPARATOR, Texts, chunks, parts, release, texts_of
 from ._repeats import digests
 from ._shared import written
 
-TEXT_BYTES = 4 << 20  #: texts worked on at once
-KNOWN_UNITS, KNOWN_BYTES = 400_000, 32 << 20  #: what a task remembers before it starts afresh
+TEXT_BYTES = 1 << 20  #: texts worked on at once
+KNOWN_UNITS, KNOWN_BYTES = 200_000, 16 << 20  #: what a task remembers before it starts afresh
+FOUND_LINKS = 1 << 18  #: links looked up at once
 JOINED_BYTES = 1 << 12  #: units encoded in one call
 PAIRS_SENT = 2_000_000  #: id pairs broadcast with their counts (17 bytes each); rarer ones are joined
 
@@ -336,12 +337,12 @@ def groups(documents: DataFrame, *, id: str = "doc_id", text: str = "text", rank
     (A's id in the high half). One pass, no shuffle."""
     keep = tuple(c for c in keep if c not in RESULTS and c != id)
     shared = documents.sparkSession.sparkContext.broadcast(vocabularies(ranks, model))
-    rows = documents.select(F.col(f"`{id}`").cast("long").alias("__id"), *[f"`{c}`" for c in keep], F.col(f"`{text}`").alias("__text"))
+    rows = documents.select(F.col(f"`{id}`").cast("long").alias("__id"), *[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").alias("__text"))
     kept = [documents.select(f"`{c}`").schema[0] for c in keep]
     names = [id, *keep, "n_a", "n_b", "n_groups", "n_links"] + ["groups"] * texts + ["groups_sha256"] * digest + ["links"]
     schema = ", ".join([f"`{id}` long"] + [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["n_a long, n_b long, n_groups long, n_links long"] + ["groups string"] * texts + ["groups_sha256 string"] * digest + ["links array<long>"])
 
-    def run(batches):
+    def work(batches):
         aligner = Aligner(Tokenizers(*shared.value))
         for part in chunks(batches, "__text", TEXT_BYTES):
             if aligner.full():
@@ -359,8 +360,10 @@ def groups(documents: DataFrame, *, id: str = "doc_id", text: str = "text", rank
             borders = np.concatenate(([0], np.cumsum(n_groups)))
             columns.append(pa.ListArray.from_arrays(borders.astype(np.int32), pa.array(look.links())))
             yield pa.RecordBatch.from_arrays(columns, names=names)
-        aligner = None
-        release()
+
+    def run(batches):
+        yield from work(batches)
+        release()  # now that nothing of the task is held any more
 
     return rows.mapInArrow(run, schema)
 
@@ -419,8 +422,8 @@ def align(documents: DataFrame, *, id: str = "doc_id", texts: bool = True, diges
     with_rest = rest is not None
     head = [c for c in found.columns if c != "links"]
 
-    def run(batches):
-        for part in batches:
+    def work(batches):
+        for part in parts(batches, lambda b: np.diff(b.column("links").offsets.to_numpy()), FOUND_LINKS):
             links = part.column("links")
             flat, borders = links.flatten().to_numpy(zero_copy_only=False), links.offsets.to_numpy().astype(np.int64)
             borders -= borders[0]
@@ -430,6 +433,9 @@ def align(documents: DataFrame, *, id: str = "doc_id", texts: bool = True, diges
             if with_rest:
                 columns.append(pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sums[2]))).astype(np.int32), pa.array(flat[unknown > 0])))
             yield pa.RecordBatch.from_arrays(columns, names=[*head, "n_best", "count_sum"] + ["__rest"] * with_rest)
+
+    def run(batches):
+        yield from work(batches)
         release()
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema if f.name != "links"] + ["n_best long, count_sum long"] + ["__rest array<long>"] * with_rest)
