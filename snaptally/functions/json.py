@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DecimalType, DoubleType, NullType, StringType, StructField, StructType, VariantType
 
 from snaptally.functions._cols import as_col
 
@@ -213,7 +214,38 @@ def variant_schema_to_ddl(schema: str) -> str:
     ``VARIANT`` (Parquet has no empty struct) and an always-null ``VOID`` field
     ``STRING``; back-quoted field names are left as they are. Fields whose
     types conflict across records are ``VARIANT`` already."""
-    schema = schema.replace("OBJECT<>", "VARIANT")
+    return _with_types(schema.replace("OBJECT<>", "VARIANT"), {"OBJECT": "STRUCT", "VOID": "STRING"})
+
+
+def variant_schema_to_type(schema: str) -> tuple[StructType, bool]:
+    """The type that Spark's JSON reader infers for the records of a merged schema, and
+    whether some field's types conflict (it is a string then). Fractions are doubles, always-null
+    values strings, and fields that are only ever empty objects are left out."""
+    conflict = False
+
+    def of(kind):
+        nonlocal conflict
+        if isinstance(kind, VariantType):
+            conflict = True
+            return StringType()
+        if isinstance(kind, NullType):
+            return StringType()
+        if isinstance(kind, DecimalType):
+            return kind if kind.scale == 0 else DoubleType()
+        if isinstance(kind, ArrayType):
+            element = of(kind.elementType)
+            return ArrayType(element) if element is not None else None
+        if isinstance(kind, StructType):
+            fields = [StructField(f.name, t) for f in kind.fields if (t := of(f.dataType)) is not None]
+            return StructType(fields) if fields else None
+        return kind
+
+    fields = _with_types(schema, {"OBJECT": "STRUCT"})
+    return of(StructType.fromDDL(f"r {fields}").fields[0].dataType) or StructType([]), conflict
+
+
+def _with_types(schema: str, words: dict[str, str]) -> str:
+    """The schema text with type names replaced; field names stay."""
     out, i, n = [], 0, len(schema)
     while i < n:
         ch = schema[i]
@@ -232,7 +264,7 @@ def variant_schema_to_ddl(schema: str) -> str:
                 j += 1
             word = schema[i:j]
             is_type = j >= n or schema[j] != ":"  # a bare field name is followed by ':'
-            out.append({"OBJECT": "STRUCT", "VOID": "STRING"}.get(word, word) if is_type else word)
+            out.append(words.get(word, word) if is_type else word)
             i = j
             continue
         out.append(ch)

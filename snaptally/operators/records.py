@@ -97,26 +97,44 @@ def record_size_or_zero(col: str = RECORD_SIZE_FIELD):
     return F.coalesce(F.col(f"`{col}`"), F.lit(0).cast("bigint"))
 
 
+def written_with_schema(good: DataFrame, record_col: str = RECORD) -> tuple[DataFrame, str | None, int, int]:
+    """Write records once to the shared folder as Parquet and observe, in the same pass, the
+    merged schema, how many there are and how many VARIANT could not hold.
+
+    Returns the written copy with these three."""
+    from pyspark.sql import Observation
+
+    from snaptally.session import scratch_path
+
+    spark = good.sparkSession
+    path = scratch_path(spark, "records")
+    seen = Observation()
+    record = F.col(record_col)
+    counts = [F.schema_of_variant_agg(record).alias("schema"), F.count(F.lit(1)).alias("n"), F.count_if(record.isNull()).alias("unheld")]
+    good.observe(seen, *counts).write.parquet(path)
+    got = seen.get
+    return spark.read.schema(good.schema).parquet(path), got["schema"], got["n"], got["unheld"]
+
+
 def typed_records(records: DataFrame, record_col: str = RECORD, *, schema=None) -> DataFrame:
     """The good records of :func:`parse_records` (strict mode) as typed columns.
 
     Without ``schema`` it is merged by Spark over all good records in one
     distributed pass (``schema_of_variant_agg``; only the schema string reaches
-    the driver), then every record is cast to it. The records are written once
-    to the shared folder for both passes, so no line is parsed twice. Give a
-    ``schema`` (type or DDL) to skip that pass; values that don't fit are NULL.
+    the driver): the one that parses them and writes them once to the shared
+    folder, from where every record is cast to it. Give a ``schema`` (type or DDL) to
+    skip that copy; values that don't fit are NULL.
 
     Bad lines, duplicate keys included, never reach the inference. A field
     whose type differs between records stays VARIANT, except that whole
     numbers beside fractions become the wider number type; an object without
     fields is VARIANT too. A computed ``~recordSize`` column replaces a field
-    of that name and is always present. Field names equal except for case
+    of that name and is always present, as does ``~checksum`` if the records have one. Field names equal except for case
     raise at any level, as Parquet columns would collide. A good record that
     VARIANT cannot hold raises when it is read, never goes missing.
     """
     from pyspark.sql.types import StructType, VariantType
 
-    from snaptally.session import scratch_path
     from snaptally.sources.json import check_column_names, check_nested_names
 
     if record_col not in records.columns:
@@ -125,13 +143,11 @@ def typed_records(records: DataFrame, record_col: str = RECORD, *, schema=None)
         raise ValueError("typed_records needs VARIANT records (strict mode)")
     held = F.when(F.col(record_col).isNull(), F.raise_error(F.lit("a good record is too large or too deep for VARIANT")))
     size = F.col(f"`{RECORD_SIZE_FIELD}`") if RECORD_SIZE_FIELD in records.columns else F.lit(None).cast("bigint")
-    good = records.where(F.col(IS_VALID)).select(held.otherwise(F.col(record_col)).alias(record_col), size.alias(RECORD_SIZE_FIELD))
+    extra = {RECORD_SIZE_FIELD: size} | ({CHECKSUM_FIELD: F.col(f"`{CHECKSUM_FIELD}`")} if CHECKSUM_FIELD in records.columns else {})
+    good = records.where(F.col(IS_VALID)).select(held.otherwise(F.col(record_col)).alias(record_col), *[c.alias(n) for n, c in extra.items()])
     if schema is None:
         spark = records.sparkSession
-        path = scratch_path(spark, "typed-records")
-        good.write.parquet(path)
-        good = spark.read.schema(good.schema).parquet(path)
-        merged = good.agg(F.schema_of_variant_agg(record_col).alias("s")).first()["s"]
+        good, merged, _, _ = written_with_schema(good, record_col)
         if not merged or not merged.startswith("OBJECT"):  # no good record at all
             return spark.createDataFrame([], StructType([]))
         ddl = None if merged == "OBJECT<>" else variant_schema_to_ddl(merged)
@@ -140,11 +156,11 @@ def typed_records(records: DataFrame, record_col: str = RECORD, *, schema=None)
         if not ddl.lower().lstrip().startswith("struct<"):
             ddl = f"struct<{ddl}>"
     if ddl is None:
-        return good.select(F.col(f"`{RECORD_SIZE_FIELD}`"))
-    typed = good.select(F.try_variant_get(F.col(record_col), "$", ddl).alias("r"), F.col(f"`{RECORD_SIZE_FIELD}`").alias("size"))
+        return good.select(*[F.col(f"`{n}`") for n in extra])
+    typed = good.select(F.try_variant_get(F.col(record_col), "$", ddl).alias("r"), *[F.col(f"`{n}`").alias(f"x{i}") for i, n in enumerate(extra)])
     check_nested_names(typed.schema["r"].dataType)
-    names = [f.name for f in typed.schema["r"].dataType.fields if f.name != RECORD_SIZE_FIELD]
+    names = [f.name for f in typed.schema["r"].dataType.fields if f.name not in extra]
     quoted = [n.replace("`", "``") for n in names]
-    out = typed.select(*[F.col("r").getField(n).alias(n) if "`" not in n else F.col(f"r.`{q}`").alias(n) for n, q in zip(names, quoted, strict=True)], F.col("size").alias(RECORD_SIZE_FIELD))
+    out = typed.select(*[F.col("r").getField(n).alias(n) if "`" not in n else F.col(f"r.`{q}`").alias(n) for n, q in zip(names, quoted, strict=True)], *[F.col(f"x{i}").alias(n) for i, n in enumerate(extra)])
     check_column_names(out)
     return out

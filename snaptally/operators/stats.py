@@ -17,7 +17,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snaptally.functions.json import UNKNOWN_TABLE
+from snaptally.functions.json import CHECKSUM_FIELD, UNKNOWN_TABLE
 from snaptally.functions.text import (
     decode_path,
     java_split,
@@ -283,6 +283,63 @@ def table_stats(records: DataFrame) -> DataFrame:
     )
 
 
+_LANES = 4  #: pieces of a checksum, of 60 bits each
+
+
+def table_checksum(records: DataFrame) -> DataFrame:
+    """One checksum a table over all its lines, whatever their order and files:
+    ``tableName, recordCount, checksumSum, checksumXor`` (hex, 60 hex digits each).
+
+    Every line's SHA-256 (the ``~checksum`` of :func:`parse_records`) gives four numbers of
+    60 bits; each is added up, modulo 2**60, and combined by exclusive or. Both are
+    associative, so tasks combine their lines before the shuffle, and results of parts
+    can be merged (:func:`merge_checksums`). Equal lines count as often as they occur.
+    """
+    if CHECKSUM_FIELD not in records.columns:
+        raise ValueError("no checksums: parse with checksum=True")
+    digest = F.col(f"`{CHECKSUM_FIELD}`")
+    lanes = [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("bigint") for i in range(_LANES)]
+    sums = records.select(TABLE_NAME, *[x.alias(f"l{i}") for i, x in enumerate(lanes)]).groupBy(TABLE_NAME).agg(
+        F.count(F.lit(1)).alias(RECORD_COUNT),
+        *[F.sum(F.col(f"l{i}").cast("decimal(38,0)")).alias(f"sum{i}") for i in range(_LANES)],
+        *[F.bit_xor(f"l{i}").alias(f"xor{i}") for i in range(_LANES)],
+    )
+    return sums.select(TABLE_NAME, RECORD_COUNT, *_joined_lanes())
+
+
+def merge_checksums(parts: DataFrame) -> DataFrame:
+    """The checksums of tables from :func:`table_checksum` rows of their parts."""
+    def lane(name, i):
+        return F.conv(F.substring(f"checksum{name}", 1 + 15 * i, 15), 16, 10)
+
+    merged = parts.groupBy(TABLE_NAME).agg(
+        F.sum(RECORD_COUNT).cast("bigint").alias(RECORD_COUNT),
+        *[F.sum(lane("Sum", i).cast("decimal(38,0)")).alias(f"sum{i}") for i in range(_LANES)],
+        *[F.bit_xor(lane("Xor", i).cast("bigint")).alias(f"xor{i}") for i in range(_LANES)],
+    )
+    return merged.select(TABLE_NAME, RECORD_COUNT, *_joined_lanes())
+
+
+def _joined_lanes():
+    def hexed(x):
+        return F.lower(F.lpad(F.hex(x.cast("bigint")), 15, "0"))
+
+    return (
+        F.concat(*[hexed(F.col(f"sum{i}") % F.lit(2**60).cast("decimal(38,0)")) for i in range(_LANES)]).alias("checksumSum"),
+        F.concat(*[hexed(F.col(f"xor{i}")) for i in range(_LANES)]).alias("checksumXor"),
+    )
+
+
+def changed_tables(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Tables of two snapshots whose checksums differ: ``tableName, change`` (``added``,
+    ``removed`` or ``changed``). Both are one row a table."""
+    names = [RECORD_COUNT, "checksumSum", "checksumXor"]
+    o = old.select(TABLE_NAME, F.struct(*names).alias("o"))
+    n = new.select(TABLE_NAME, F.struct(*names).alias("n"))
+    change = F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed")
+    return o.join(n, TABLE_NAME, "full_outer").select(TABLE_NAME, change.alias("change")).where("change is not null")
+
+
 def merge_stats(
     counts: DataFrame,
     sizes: DataFrame,
@@ -369,7 +426,7 @@ def snapshot_table_counts(
 
 __all__ = [
     "INITIAL", "MISSING", "OTHER_INITIAL", "RECORD_COUNT", "TABLE_SIZE", "FILE_SIZE", "FILE_URI",
-    "PATH", "UNKNOWN_TABLE", "dataset_stats", "file_stats", "initial_of", "merge_stats",
+    "PATH", "UNKNOWN_TABLE", "changed_tables", "dataset_stats", "merge_checksums", "table_checksum", "file_stats", "initial_of", "merge_stats",
     "path_stats", "snapshot_table_counts", "table_record_count", "table_size", "table_stats",
     "with_initial",
 ]

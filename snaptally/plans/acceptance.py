@@ -38,6 +38,7 @@ from snaptally.operators.stats import (
     merge_stats,
     path_stats,
     snapshot_table_counts,
+    table_checksum,
     table_record_count,
     table_size,
     table_stats,
@@ -45,9 +46,11 @@ from snaptally.operators.stats import (
 from snaptally.operators.words import contains_counts, word_count
 from snaptally.session import scratch_path
 from snaptally.sinks.writers import (
+    Stage,
     dataset_report,
     format_stat,
     read_stats,
+    stage_counts,
     tee,
     write_by_initial,
     write_parquet,
@@ -447,6 +450,19 @@ def q_record_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rec.select(TABLE_NAME, IS_VALID, F.col("`~checksum`").alias("checksum"))
 
 
+def q_table_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_checksum(_event_records(spark, sf_dir, keep_record=False, checksum=True))
+
+
+def q_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the stages of one job, observed while it writes its result."""
+    root = _stage(spark, sf_dir, "events_json", _events_json)
+    lines = Stage(scan_lines(spark, root), "lines", size=text_length("value"))
+    records = Stage(parse_records(lines.frame, keep_record=False), "records", valid=F.col(IS_VALID).cast("long"), size=record_size_or_zero())
+    write_stats(table_stats(records.frame), scratch_path(spark, "stats-out"), program="table-stats")
+    return stage_counts(spark, [lines, records])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_stats": q_table_stats,
     "scan_line_stats": q_scan_line_stats,
@@ -481,6 +497,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_lines": q_word_count_lines,
     "contains_counts": q_contains_counts,
     "record_checksum": q_record_checksum,
+    "table_checksum": q_table_checksum,
+    "stage_counts": q_stage_counts,
 }
 
 # --------------------------------------------------------------------------
@@ -701,4 +719,15 @@ SELECT CAST(count(*) FILTER (WHERE contains(line, 'a')) AS BIGINT) AS lines_with
 FROM {_DOC_LINES} t""",
     "record_checksum": _EVENT_RECORDS + """
 SELECT tableName, is_valid, sha256(line) AS checksum FROM r""",
+    "table_checksum": _EVENT_RECORDS + """,
+d AS (SELECT tableName, unnest([1, 2, 3, 4]) AS lane, sha256(line) AS h FROM r),
+n AS (SELECT tableName, lane, CAST('0x' || substr(h, 15 * lane - 14, 15) AS BIGINT) AS x FROM d),
+g AS (SELECT tableName, lane, count(*) AS c, CAST(sum(x) % 1152921504606846976 AS BIGINT) AS s, bit_xor(x) AS b FROM n GROUP BY tableName, lane)
+SELECT tableName, CAST(max(c) AS BIGINT) AS recordCount, string_agg(format('{:015x}', s), '' ORDER BY lane) AS checksumSum,
+       string_agg(format('{:015x}', b), '' ORDER BY lane) AS checksumXor
+FROM g GROUP BY tableName""",
+    "stage_counts": _EVENT_RECORDS + """,
+t AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(LEN16) AS BIGINT) AS chars, CAST(count(*) FILTER (WHERE is_valid) AS BIGINT) AS valid, CAST(sum(size) AS BIGINT) AS size FROM r)
+SELECT 'lines' AS stage, 'rows' AS metric, n AS value FROM t UNION ALL SELECT 'lines', 'size', chars FROM t
+UNION ALL SELECT 'records', 'rows', n FROM t UNION ALL SELECT 'records', 'valid', valid FROM t UNION ALL SELECT 'records', 'size', size FROM t""".replace("LEN16", _u16("line")),
 }

@@ -13,21 +13,26 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from snaptally.operators.records import parse_records, typed_records
+from snaptally.functions.text import text_length
+from snaptally.operators.records import IS_VALID, parse_records, record_size_or_zero, typed_records
 from snaptally.operators.stats import (
     dataset_stats,
     file_stats,
     path_stats,
     snapshot_table_counts,
+    table_checksum,
     table_stats,
 )
 from snaptally.operators.words import contains_counts, word_count
 from snaptally.sinks.writers import (
+    Stage,
     dataset_report,
     format_stat,
     run_dir,
     run_stamp,
+    stage_counts,
     tee,
     write_by_initial,
     write_parquet,
@@ -48,6 +53,7 @@ def table_stats_job(
     unit: str = "utf16",
     by_initial: bool = False,
     debug: bool = False,
+    counts: bool = False,
     stamp: str | None = None,
 ) -> str:
     """Per-table record count and size of JSON-lines files, keyed by each
@@ -55,16 +61,42 @@ def table_stats_job(
 
     One scan, one parse per line, one aggregate, one write. ``by_initial``
     writes the result split by the first letter of the table name instead of
-    as one set of files.
+    as one set of files. ``counts`` also writes how many lines and records passed and
+    how large they were (``stage-counts``), counted in the same pass.
     """
     stamp = stamp or run_stamp()
     rd = run_dir(out, "table-stats", stamp)
     lines = tee(scan_lines(spark, input_uri), "lines", rd, enabled=debug)
+    stages = []
+
+    def counted(df, marker, **totals):
+        if counts:
+            stages.append(Stage(df, marker, **totals))
+        return stages[-1].frame if counts else df
+
+    lines = counted(lines, "lines", size=text_length(F.col("value"), unit))
     records = tee(parse_records(lines, lenient=lenient, unit=unit, keep_record=debug), "records", rd, enabled=debug)
+    records = counted(records, "records", valid=F.col(IS_VALID).cast("long"), size=record_size_or_zero())
     stats = table_stats(records)
     if by_initial:
-        return write_by_initial(stats, f"{rd}/stats-by-initial")
-    return write_stats(stats, out, program="table-stats", marker="stats", stamp=stamp)
+        written = write_by_initial(stats, f"{rd}/stats-by-initial")
+    else:
+        written = write_stats(stats, out, program="table-stats", marker="stats", stamp=stamp)
+    if counts:
+        stage_counts(spark, stages).coalesce(1).write.json(f"{rd}/stage-counts")
+    return written
+
+
+def table_checksum_job(
+    spark: SparkSession, input_uri: str | Sequence[str], out: str, *, lenient: bool = False, stamp: str | None = None
+) -> str:
+    """One checksum a table over all its lines, as JSON lines (``tableName,
+    recordCount, checksumSum, checksumXor``): two snapshots with equal ones hold the same
+    lines (:func:`snaptally.operators.changed_tables`)."""
+    records = parse_records(scan_lines(spark, input_uri), lenient=lenient, keep_record=False, checksum=True)
+    path = f"{run_dir(out, 'table-checksum', stamp)}/checksums"
+    table_checksum(records).write.mode("errorifexists").json(path)
+    return path
 
 
 def dataset_stats_job(
@@ -129,13 +161,14 @@ def json_to_parquet_job(
 
 
 def records_to_parquet_job(
-    spark: SparkSession, input_uri: str | Sequence[str], out_path: str, *, schema=None, debug: bool = False
+    spark: SparkSession, input_uri: str | Sequence[str], out_path: str, *, schema=None, checksum: bool = False, debug: bool = False
 ) -> str:
     """JSON lines → Parquet from the good records only: bad lines (duplicate
     keys included) are left out before the schema is inferred, so colliding
-    columns cannot arise from them. With ``debug`` the parsed records are also
-    written, to ``{out_path}-debug/records``."""
-    records = tee(parse_records(scan_lines(spark, input_uri)), "records", f"{out_path.rstrip('/')}-debug", enabled=debug)
+    columns cannot arise from them. With ``checksum`` every record keeps its
+    ``~checksum``. With ``debug`` the parsed records are also written, to
+    ``{out_path}-debug/records``."""
+    records = tee(parse_records(scan_lines(spark, input_uri), checksum=checksum), "records", f"{out_path.rstrip('/')}-debug", enabled=debug)
     typed = typed_records(records, schema=schema)
     if not typed.columns:
         raise ValueError(f"no good record under {input_uri}: nothing to write")
@@ -178,5 +211,5 @@ def contains_counts_job(
 __all__ = [
     "contains_counts_job", "list_files_job",
     "dataset_stats_job", "file_stats_job", "json_to_parquet_job", "path_stats_job", "records_to_parquet_job",
-    "snapshot_counts_job", "table_stats_job", "word_count_job",
+    "snapshot_counts_job", "table_checksum_job", "table_stats_job", "word_count_job",
 ]

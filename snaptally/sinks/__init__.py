@@ -5,11 +5,13 @@ from snaptally.sinks.writers import (
     REPORT_LINES,
     REPORT_SIZE,
     STAT_FORMAT,
+    Stage,
     dataset_report,
     format_stat,
     read_stats,
     run_dir,
     run_stamp,
+    stage_counts,
     tee,
     write_by_initial,
     write_parquet,
@@ -18,7 +20,7 @@ from snaptally.sinks.writers import (
 )
 
 __all__ = [
-    "REPORT_INPUT", "REPORT_LINES", "REPORT_SIZE", "STAT_FORMAT", "dataset_report",
-    "format_stat", "read_stats", "run_dir", "run_stamp", "tee", "write_by_initial",
+    "REPORT_INPUT", "REPORT_LINES", "REPORT_SIZE", "STAT_FORMAT", "Stage", "dataset_report",
+    "format_stat", "read_stats", "run_dir", "run_stamp", "stage_counts", "tee", "write_by_initial",
     "write_parquet", "write_report", "write_stats",
 ]

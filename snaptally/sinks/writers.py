@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snaptally.operators.stats import INITIAL, RECORD_COUNT, TABLE_SIZE, with_initial
@@ -109,6 +110,28 @@ def write_by_initial(stats: DataFrame, path: str, *, key: str = "tableName", fmt
     return path
 
 
+class Stage:
+    """Counts of an intermediate stage, taken while the job that it's part of runs.
+
+    ``frame`` is the stage's rows, unchanged; use it in place of the input. After an action
+    over it, :meth:`counts` gives ``rows`` and the totals asked for, without a
+    write, a read or a job of their own. Rows of every action are the rows of one."""
+
+    def __init__(self, df: DataFrame, marker: str, **totals: Column):
+        self.marker, self._seen = marker, Observation(f"{marker}-{uuid.uuid4().hex[:12]}")
+        self.frame = df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(n) for n, c in totals.items()])
+
+    def counts(self) -> dict[str, int]:
+        """Waits for the first action over ``frame``."""
+        return {"stage": self.marker, **self._seen.get}
+
+
+def stage_counts(spark: SparkSession, stages: Sequence[Stage]) -> DataFrame:
+    """``stage, metric, value`` of stages whose job has run: a few rows."""
+    rows = [(c["stage"], name, int(value)) for c in (s.counts() for s in stages) for name, value in c.items() if name != "stage"]
+    return spark.createDataFrame(rows, "stage string, metric string, value bigint")
+
+
 def tee(
     df: DataFrame,
     marker: str,

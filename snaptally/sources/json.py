@@ -25,11 +25,14 @@ def read_json(
     A line counts only if it is exactly one JSON object
     (:func:`snaptally.operators.records.parse_records`); all others are left
     out, with a given schema as with an inferred one. With ``schema`` the lines
-    are read in one pass. Without it the good lines are written once to the
-    shared folder and Spark infers the schema from that copy, so bad lines
-    never add a column. Column names that collide (equal except for case)
-    raise, as Parquet cannot hold them. An input without a good line gives a
-    table without rows.
+    are read in one pass. Without it every line is parsed once: the records are
+    written to the shared folder, their merged schema is observed in the same
+    pass, and the table is read from that copy. Its types are those that Spark's
+    JSON reader infers; bad lines never add a column. Where a field's types
+    conflict between records (a string of the values' JSON text then), or a record is
+    too large for VARIANT, the lines are parsed a second time. Column names that
+    collide (equal except for case) raise, as Parquet cannot hold them. An input
+    without a good line gives a table without rows.
 
     ``drop_corrupt=False`` is Spark's own JSON reader: every line gives a row,
     lines it cannot parse in ``_corrupt_record``.
@@ -37,21 +40,33 @@ def read_json(
     p = [paths] if isinstance(paths, str) else list(paths)
     if not drop_corrupt:
         return _read(spark.read.option("columnNameOfCorruptRecord", CORRUPT), p, schema)
-    from snaptally.operators.records import IS_VALID, parse_records
+    from snaptally.functions.json import variant_schema_to_type
+    from snaptally.operators.records import IS_VALID, RECORD, parse_records, written_with_schema
     from snaptally.session import scratch_path
     from snaptally.sources.text import scan_lines
 
-    good = parse_records(scan_lines(spark, p), keep_record=False).where(F.col(IS_VALID)).select("value")
-    limits = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "maxNestingDepth": str(2**31 - 1)}
+    lines = scan_lines(spark, p)
     if schema is not None:
-        df = good.select(F.from_json("value", schema, limits).alias("r")).select("r.*")
+        good = parse_records(lines, keep_record=False).where(F.col(IS_VALID))
+        df = good.select(F.from_json("value", schema, _LIMITS).alias("r")).select("r.*")
         check_column_names(df)
         return df
-    path = scratch_path(spark, "good-lines")
-    good.write.text(path)
-    if good.sparkSession.read.text(path).isEmpty():
+    records, merged, n, unheld = written_with_schema(parse_records(lines).where(F.col(IS_VALID)).select(RECORD))
+    if not n:
         return spark.createDataFrame([], StructType([]))
-    return _read(spark.read.options(**limits), [path], None)
+    kind, conflict = variant_schema_to_type(merged) if merged else (None, True)
+    if kind is not None:
+        check_nested_names(kind)
+    if conflict or unheld:  # Spark's reader over a copy of the good lines; it infers only what VARIANT couldn't hold
+        path = scratch_path(spark, "good-lines")
+        parse_records(lines, keep_record=False).where(F.col(IS_VALID)).select("value").write.text(path)
+        return _read(spark.read.options(**_LIMITS), [path], None if unheld else kind)
+    if not kind.fields:  # nothing but empty objects: rows without columns
+        return records.select()
+    return records.select(F.try_variant_get(RECORD, "$", f"struct<{kind.toDDL()}>").alias("r")).select("r.*")
+
+
+_LIMITS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "maxNestingDepth": str(2**31 - 1)}
 
 
 def _read(reader, paths: list[str], schema) -> DataFrame:

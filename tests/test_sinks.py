@@ -142,3 +142,79 @@ def test_json_all_lines_bad(spark, tmp_path):
     (src / "p.json").write_text("not json\n{cut\n")
     df = read_json(spark, str(src))
     assert df.columns == [] and df.count() == 0
+
+
+def test_table_checksums_are_free_of_order_and_mergeable(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from snaptally.operators import changed_tables, merge_checksums, parse_records, table_checksum
+
+    lines = [f'{{"~table":"t{i % 3}","i":{i}}}' for i in range(300)] + ["bad", "bad", '{"~table":"t0","i":0}']
+    df = parse_records(spark.createDataFrame([(x,) for x in lines], "value string"), keep_record=False, checksum=True)
+    one = {r.tableName: tuple(r) for r in table_checksum(df.repartition(7)).collect()}
+    assert one == {r.tableName: tuple(r) for r in table_checksum(df.orderBy(F.desc("value"))).collect()}
+    import hashlib
+
+    sums, xors = [0] * 4, [0] * 4
+    for x in (x for x in lines if '"t0"' in x):
+        h = hashlib.sha256(x.encode()).hexdigest()
+        for k in range(4):
+            v = int(h[15 * k : 15 * k + 15], 16)
+            sums[k], xors[k] = (sums[k] + v) % 2**60, xors[k] ^ v
+    assert one["t0"] == ("t0", 101, "".join(f"{x:015x}" for x in sums), "".join(f"{x:015x}" for x in xors))
+    halves = table_checksum(df.where("hash(value) % 2 = 0")).unionByName(table_checksum(df.where("hash(value) % 2 <> 0")))
+    assert {r.tableName: tuple(r) for r in merge_checksums(halves).collect()} == one
+    other = parse_records(spark.createDataFrame([(x.replace("299", "298"),) for x in lines if "bad" not in x] + [('{"~table":"new"}',)], "value string"), checksum=True)
+    assert {tuple(r) for r in changed_tables(table_checksum(df), table_checksum(other)).collect()} == {("t2", "changed"), ("unknown", "removed"), ("new", "added")}
+    assert table_checksum(df.limit(0)).collect() == []
+    import pytest
+
+    with pytest.raises(ValueError):
+        table_checksum(df.drop("~checksum"))
+
+
+def test_records_to_parquet_keeps_checksums(spark, tmp_path):
+    import hashlib
+
+    from snaptally.plans.jobs import records_to_parquet_job, table_checksum_job
+
+    lines = ['{"a":1}', "bad", '{"a":2,"~checksum":"mine"}']
+    (tmp_path / "in").write_text("\n".join(lines) + "\n")
+    out = records_to_parquet_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), checksum=True)
+    got = {r.a: r["~checksum"] for r in spark.read.parquet(out).collect()}
+    assert got == {i: hashlib.sha256(lines[k].encode()).hexdigest() for i, k in ((1, 0), (2, 2))}
+    sums = spark.read.json(table_checksum_job(spark, str(tmp_path / "in"), str(tmp_path / "sums"))).collect()
+    assert [(r.tableName, r.recordCount, len(r.checksumSum)) for r in sums] == [("unknown", 3, 60)]
+
+
+def test_stage_counts_need_no_pass_of_their_own(spark, tmp_path):
+    from snaptally.plans.jobs import table_stats_job
+
+    (tmp_path / "in").write_text('{"~table":"t"}\nbad\n\n{"b":2}\n')
+    out = table_stats_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), counts=True)
+    got = {(r.stage, r.metric): r.value for r in spark.read.json(out.replace("/stats", "/stage-counts")).collect()}
+    assert got == {("lines", "rows"): 4, ("lines", "size"): 24, ("records", "rows"): 4, ("records", "valid"): 2, ("records", "size"): 21}
+    assert {r.tableName: r.recordCount for r in spark.read.json(out).collect()} == {"t": 1, "unknown": 3}
+
+
+def test_json_table_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Types as Spark infers them, from good lines alone, in one parse and one text scan."""
+    import snaptally.operators.records as records
+    from snaptally.sources import read_json
+
+    lines = ['{"a":1,"b":{"c":1.5,"d":null},"e":[1,2.5],"s p":1,"x`y":2,"q.r":3}', '{"a":2,"b":{"c":1},"f":{},"g":[],"h":12345678901234567890}',
+             '{"a":9.25,"i":1e3,"j":[{"k":1},{"k":null,"l":true}],"m":"2020-01-01"}', '{"n":{"o":{}},"p":[[1],[]],"q":[null],"A1":1}', "bad", '{"zz":1,"zz":2}', "[1]"]
+    mixed = ['{"a":1,"b":[1]}', '{"a":"x","b":["y"]}', '{"a":{"z":1,"c":1.50}}']
+    calls = []
+    real = records.parse_records
+    monkeypatch.setattr(records, "parse_records", lambda *a, **k: calls.append(1) or real(*a, **k))
+    for name, text, parses in (("plain", lines, 1), ("mixed", mixed, 2)):
+        (tmp_path / name).write_text("\n".join(text) + "\n")
+        good = [x for x in text if x.startswith("{") and "zz" not in x]
+        (tmp_path / f"{name}-good").write_text("\n".join(good) + "\n")
+        calls.clear()
+        got, want = read_json(spark, str(tmp_path / name)), spark.read.json(str(tmp_path / f"{name}-good"))
+        assert got.schema == want.schema
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert len(calls) == parses and ("FileScan json" in plan) == (parses == 2) and "FileScan text" not in plan
