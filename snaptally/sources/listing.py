@@ -26,6 +26,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,12 +53,20 @@ def list_files(
     p = [paths] if isinstance(paths, str) else list(paths)
     df = r.load(p).select("path", "length", "modificationTime")
     # only a directory of sub-directories reads as nothing without an error
-    plain = [x for x in p if not is_glob(x)]
-    if plain and not recursive and not glob_filter and len(plain) == len(p) and has_input_files(spark, plain) is False:
+    if not recursive and not glob_filter and not any(map(is_glob, p)) and not file_count(df):
         raise FileNotFoundError(f"no file directly in {p}; a directory holding only sub-directories needs recursive=True or a deeper glob")
     return df
 
 
+def file_count(df: DataFrame) -> int:
+    """Files that the scan of a reader's frame lists, empty ones included. Spark's file index
+    has listed them already; only their number leaves it (a remote session gets the names)."""
+    try:
+        return len(df._jdf.inputFiles())
+    except AttributeError:  # remote (Connect) session
+        return len(df.inputFiles())
+
+
 def is_glob(path: str) -> bool:
     """Whether a path holds glob syntax (``*?[{``) that a reader would expand."""
     return any(ch in path for ch in "*?[{")
@@ -137,6 +146,11 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
+def has_file_system(spark: SparkSession) -> bool:
+    """Whether the session can ask its file system directly (a remote session can't)."""
+    return _hadoop_fs(spark, "/") is not None
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """Immediate, non-hidden sub-directories of ``path`` as (name, qualified path),
     sorted by name. Raises when ``path`` does not exist."""
@@ -222,39 +236,21 @@ def _has_data_file(spark: SparkSession, path: str) -> bool:
     return _has_file_below(fs, p, min_len=1)
 
 
-def has_input_files(spark: SparkSession, paths: Sequence[str], *, recursive: bool = False) -> bool | None:
+def has_input_files(spark: SparkSession, paths: Sequence[str], *, recursive: bool = False) -> bool:
     """Whether a scan of ``paths`` (files, directories or globs) would find any
-    non-hidden file, answered with a few metadata calls that stop at the first
-    file found; ``None`` when the session has no file-system gateway.
+    non-hidden file. Spark lists the tree level by level, in parallel jobs where a level
+    has many directories; the number of driver calls doesn't grow with it.
 
     A matched directory counts through the files directly inside it (at any
     depth with ``recursive``), as in Spark's file sources.
     """
-    for path in paths:
-        fs_path = _hadoop_fs(spark, path)
-        if fs_path is None:
-            return None
-        fs, p = fs_path
-        matches = fs.globStatus(p) or []
-        for st in matches:
-            if _hidden(st.getPath().getName()):
-                continue
-            if not st.isDirectory():
-                return True
-            if recursive:
-                if _has_file_below(fs, st.getPath()):
-                    return True
-            else:
-                # a few entries as a rule: stops at the first file
-                it = fs.listStatusIterator(st.getPath())
-                while it.hasNext():
-                    child = it.next()
-                    name = child.getPath().getName()
-                    if _hidden(name):
-                        continue
-                    if not child.isDirectory() or ("=" in name and _has_file_below(fs, child.getPath())):
-                        return True
-    return False
+    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+    try:
+        return file_count(reader.text(list(paths))) > 0
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def _has_file_below(fs, path, min_len: int = 0) -> bool:

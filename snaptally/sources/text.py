@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptally.functions.text import decode_path
-from snaptally.sources.listing import has_input_files, is_glob
+from snaptally.sources.listing import file_count
 
 FILE_PATH = "file_path"
 FILE_BYTES = "file_bytes"
@@ -43,17 +43,10 @@ def require_input(spark: SparkSession, df: DataFrame, paths: Sequence[str], recu
     path (``_x``, ``.x``), as zero rows without an error; a statistics job
     must not report an empty table for a wrong path.
 
-    Plain paths are checked by a few file-system calls that stop at the first
-    file. A glob is not expanded a second time (Spark's own file index already
-    did that, and it can match millions of files): the scan is asked instead,
-    with one short job that stops at the first line; only when there is no
-    line at all is its file list consulted.
+    The scan's own file index answers, which Spark has listed already (in parallel
+    jobs where there are many directories): one call, whatever the tree.
     """
-    plain = [p for p in paths if not is_glob(p)]
-    globs = len(plain) < len(paths)
-    found = has_input_files(spark, plain, recursive=recursive) if plain else False
-    if not found and (globs or found is None):
-        found = not df.isEmpty() or bool(df.inputFiles())
+    found = file_count(df) > 0
     if not found:
         raise FileNotFoundError(
             f"no data file under {list(paths)}; a directory holding only sub-directories "

@@ -304,6 +304,30 @@ def test_glob_inputs_checked_without_second_expansion(spark, tree):
     assert scan_lines(spark, f"{tree}/root/2015/t*/p1").count() == 3
 
 
+def test_listing_a_large_tree_takes_few_driver_calls(spark, tmp_path, monkeypatch):
+    """Thousands of empty directories: Spark lists them; the gateway is asked a handful of times."""
+    from snaptally.sources import listing
+
+    for i in range(2000):
+        os.makedirs(f"{tmp_path}/e/d{i % 20}/s{i}")
+    calls = []
+    client = type(spark.sparkContext._gateway._gateway_client)
+    real = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda self, *a, **k: calls.append(1) or real(self, *a, **k))
+    counts = []
+    for path in ("e/d0/s0", "e/d0/s0", "e/d1", "e"):  # 1 directory (the first time loads classes), 101 and 2,021
+        calls.clear()
+        assert listing.has_input_files(spark, [f"{tmp_path}/{path}"], recursive=True) is False
+        counts.append(len(calls))
+    assert max(counts[2:]) <= counts[1] + 20
+    write_file(f"{tmp_path}/e/d3/s3/p", b"")
+    assert listing.has_input_files(spark, [f"{tmp_path}/e"], recursive=True) is True
+    assert listing.has_input_files(spark, [f"{tmp_path}/e"]) is False
+    assert listing.has_input_files(spark, [f"{tmp_path}/nothing"]) is False
+    with pytest.raises(FileNotFoundError):
+        scan_lines(spark, f"{tmp_path}/e/d4", recursive=True)
+
+
 def test_fallbacks_without_file_system_gateway(spark, tree, monkeypatch):
     import snaptally.sources.listing as listing
 
@@ -316,7 +340,7 @@ def test_fallbacks_without_file_system_gateway(spark, tree, monkeypatch):
     assert got == {"answer-b": 2, "answer-c": 4}
     named = [f"{snaps}/2015-04-29-00-00-00/answer-b", f"file:{snaps}/2015-04-29-00-00-00/answer-c"]
     assert {r.path: r.recordCount for r in path_stats(spark, named).collect()} == {named[0]: 2, named[1]: 4}
-    assert listing.has_input_files(spark, [f"{tree}/root/2015/t1"]) is None
+    assert listing.has_input_files(spark, [f"{tree}/root/2015/t1"]) is True
     # the scan-based check takes over
     with pytest.raises(FileNotFoundError):
         scan_lines(spark, f"{tree}/root")
