@@ -53,7 +53,7 @@ def list_files(
     p = [paths] if isinstance(paths, str) else list(paths)
     df = r.load(p).select("path", "length", "modificationTime")
     # only a directory of sub-directories reads as nothing without an error
-    if not recursive and not glob_filter and not any(map(is_glob, p)) and not file_count(df):
+    if not glob_filter and not any(map(is_glob, p)) and not reads_files(spark, df, p, recursive):
         raise FileNotFoundError(f"no file directly in {p}; a directory holding only sub-directories needs recursive=True or a deeper glob")
     return df
 
@@ -67,6 +67,27 @@ def file_count(df: DataFrame) -> int:
         return len(df.inputFiles())
 
 
+def reads_files(spark: SparkSession, df: DataFrame, paths: Sequence[str], recursive: bool = False) -> bool:
+    """Whether a reader's frame over ``paths`` lists any file that belongs to them: files
+    of plain sub-directories don't, though Spark would read ``name=value`` ones below them."""
+    if not file_count(df):
+        return False
+    return recursive or any(map(is_glob, paths)) or not all(_only_directories(spark, p) for p in paths)
+
+
+def _only_directories(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a directory whose visible entries are directories that aren't
+    ``name=value`` ones. A few calls, however many there are."""
+    fs_path = _hadoop_fs(spark, path)
+    if fs_path is None:
+        return False
+    fs, p = fs_path
+    if not fs.getFileStatus(p).isDirectory():
+        return False
+    entries = [(name.rstrip("/").rsplit("/", 1)[-1], is_dir) for name, is_dir in _statuses(spark, fs.listStatus(p))]
+    return all(is_dir and "=" not in name for name, is_dir in entries if not _hidden(name))
+
+
 def is_glob(path: str) -> bool:
     """Whether a path holds glob syntax (``*?[{``) that a reader would expand."""
     return any(ch in path for ch in "*?[{")
@@ -246,7 +267,7 @@ def has_input_files(spark: SparkSession, paths: Sequence[str], *, recursive: boo
     """
     reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
     try:
-        return file_count(reader.text(list(paths))) > 0
+        return reads_files(spark, reader.text(list(paths)), list(paths), recursive)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return False

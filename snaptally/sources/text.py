@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptally.functions.text import decode_path
-from snaptally.sources.listing import file_count
+from snaptally.sources.listing import reads_files
 
 FILE_PATH = "file_path"
 FILE_BYTES = "file_bytes"
@@ -46,7 +46,7 @@ def require_input(spark: SparkSession, df: DataFrame, paths: Sequence[str], recu
     The scan's own file index answers, which Spark has listed already (in parallel
     jobs where there are many directories): one call, whatever the tree.
     """
-    found = file_count(df) > 0
+    found = reads_files(spark, df, list(paths), recursive)
     if not found:
         raise FileNotFoundError(
             f"no data file under {list(paths)}; a directory holding only sub-directories "
