@@ -14,9 +14,11 @@ third of all documents hold isn't a meeting place. The order changes no result.
 1. Equal sets are one class; the rest works on one document of each.
 2. In each tile the document with most copies is the pivot. Each document is
    verified against the pivot that it meets most often; components follow.
-3. In tiles that still hold several components, points of different components are
-   compared page by page, and the pairs within the bound are verified. What is left
-   out is connected already or can't be linked, so the components are exact.
+3. Tiles that still hold several components go on with wide points. Tiles with the same
+   members are one, so a pair of documents is compared once, not once in each of the many
+   groups that it shares. Points of different components are compared page by page, and
+   the pairs within the bound are verified. What is left out is connected already or can't
+   be linked, so the components are exact.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from ._shared import one_row_per_id, sendable, written
 WORDS = 4
 NUM, DEN = 85, 100  #: similarity of a link
 POINT_BITS = 6  #: 64 coordinates
-WIDE_BITS = 10  #: 1,024 coordinates, for pairs of long documents that 64 can't tell apart
+WIDE_BITS = 10  #: 1,024 coordinates, for the documents of open tiles and for pairs to verify
 SMALL = 64  #: sets below it share one level with 256 groups
 HOT_SHARE, HOT_LEAST, HOT_MOST = 1e-4, 64, 1_000_000  #: when a tile counts as hot; these order groups only
 PAGE = 256
@@ -177,10 +179,12 @@ def _as_points(names: np.ndarray, text: np.ndarray, docs: int, bits: int) -> lis
 
 
 def _points(column: pa.Array, bits: int = POINT_BITS) -> np.ndarray:
-    """The count vectors of a column, a row each."""
+    """The count vectors of a column, a row each; in bytes if all fit."""
     texts = texts_of(column)
-    out = np.empty((len(texts), 1 << bits), dtype=np.uint32)
     small = texts.lengths == 1 << bits
+    if small.all():
+        return texts.data.reshape(-1, 1 << bits)
+    out = np.empty((len(texts), 1 << bits), dtype=np.uint32)
     raw = texts.data[np.repeat(small, texts.lengths)]
     out[small] = raw.reshape(-1, 1 << bits)
     if not small.all():
@@ -229,7 +233,7 @@ def _page_pairs(num: int, den: int):
         for part in batches:
             if not part.num_rows:
                 continue
-            new = [part.column(c).to_numpy() for c in ("tile", "doc", "comp", "n")] + [_points(part.column("point"))]
+            new = [part.column(c).to_numpy() for c in ("tile", "doc", "comp", "n")] + [_points(part.column("point"), WIDE_BITS)]
             held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
             cut = int(np.searchsorted(held[0], held[0][-1]))  # the last tile may go on
             if cut:
@@ -243,6 +247,18 @@ def _page_pairs(num: int, den: int):
     return run
 
 
+def _wide_rows(words: int):
+    """The size and wide point of each document."""
+    schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("point", pa.binary())])
+
+    def run(batches):
+        for part in chunks(batches, "text"):
+            names, text = shingle_sets(texts_of(part.column("text")), words)
+            yield record(schema, part.column("doc"), np.bincount(text, minlength=part.num_rows), _as_points(names, text, part.num_rows, WIDE_BITS))
+
+    return run
+
+
 def _sets(words: int):
     schema = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("point", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
@@ -349,11 +365,15 @@ def jaccard_groups(documents: DataFrame, *, words: int = WORDS, num: int = NUM,
 
     groups = written(components(links).withColumnRenamed("node", "doc"))
     known = meets.select("tile", "doc").join(sendable(groups), "doc", "left").select("tile", "doc", F.coalesce("component", "doc").alias("comp"))
-    open_ = known.withColumns({"x": F.min("comp").over(tile), "y": F.max("comp").over(tile)}).filter("x <> y").select("tile", "doc", "comp")
-    rows = open_.join(points.select("doc", "n", "point"), "doc").select("tile", "doc", "comp", "n", "point")
-    pairs = rows.repartition(F.col("tile")).sortWithinPartitions("tile", "n", "doc").mapInArrow(_page_pairs(num, den), "a long, b long")
+    # a tile's name is now the hash of its members: tiles of the same ones fall together
+    whole = {"x": F.min("comp").over(tile), "y": F.max("comp").over(tile), "members": F.expr("bit_xor(xxhash64(doc))").over(tile)}
+    open_ = written(known.withColumns(whole).filter("x <> y").select(F.col("members").alias("tile"), "doc", "comp").distinct())
+    ids = written(open_.select("doc").distinct())
+    wide = written(docs.join(sendable(ids), "doc", "left_semi").select("doc", "text").mapInArrow(_wide_rows(words), "doc long, n long, point binary"))
+    rows = open_.join(wide, "doc").select("tile", "doc", "comp", "n", "point")
+    pairs = written(rows.repartition(F.col("tile")).sortWithinPartitions("tile", "n", "doc").mapInArrow(_page_pairs(num, den), "a long, b long").distinct())
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = written(pairs.distinct().join(tested, ["a", "b"], "left_anti"))
+    pairs = written(pairs.join(tested, ["a", "b"], "left_anti"))
     groups = components(links.union(written(_links(pairs, docs, words, num, den))))
     return (
         members.join(groups.withColumnRenamed("node", "rep"), "rep", "left")

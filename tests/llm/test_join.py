@@ -92,3 +92,35 @@ def test_components(spark):
     rows = components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
     assert {r.node: r.component for r in rows} == expected and len(rows) == len(expected)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_copies_near_their_original_and_far_from_each_other(spark):
+    """Copies at 0.87 to the original and 0.76 to each other, and documents that share a
+    long passage: all links are found, and few pairs go on to be verified."""
+    original = words(90, 400)
+    texts = {}
+    for i in range(60):
+        w = list(original)
+        for k in range(5):  # five edits, each in a place of its own
+            w[(i * 5 + k) * 400 // 300] = f"edit{i}x{k}"
+        texts[10 + i] = " ".join(w)
+    texts[500] = " ".join(original)  # not the least id
+    shared = words(91, 300)
+    for i in range(60):
+        texts[600 + i] = " ".join(words(700 + i, 240) + shared)
+    want = direct(texts, 4, 85, 100)
+    assert len({want[10 + i][1] for i in range(60)}) == 1 and len({want[600 + i][1] for i in range(60)}) == 60
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    seen = []
+    real = join._links
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return real(pairs, *rest)
+
+    join._links = counted
+    try:
+        assert got(join.jaccard_groups(df)) == want
+    finally:
+        join._links = real
+    assert sum(seen) <= 2 * len(texts)
