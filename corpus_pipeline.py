@@ -16,7 +16,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the divergence from their language accept."""
+    """Documents that the base rules and the divergence from their language accept. A null
+    or empty text has no words and goes; rows that repeat are judged each."""
     return quality.judge(docs, keep=COLUMNS).filter("kept").select(*COLUMNS)
 
 
@@ -35,30 +36,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by ``[KIND]``, and ``n_chars`` counted anew."""
+    """Personal data replaced by ``[KIND]``, and ``n_chars`` counted anew. A null text stays
+    null with its ``n_chars``; every row stays, rows that repeat each."""
     found = personal_data.find(docs, keep=COLUMNS)
     return found.withColumn("text", personal_data.redact()).withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars")).select(*COLUMNS)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix: the part files hold successive
-    slots, each file sorted. Every document stays exactly once."""
+    slots, each file sorted. Every row stays exactly once; a null source is one source."""
     return mixing.in_mix_order(docs.select(*COLUMNS))
 
 
 def in_file_order(docs: DataFrame) -> DataFrame:
     """The columns, and ``mix_position``: the row's number over the part files in
-    their order, whatever splits they are read in."""
+    their order, whatever splits they are read in. The one ordered list is a row for
+    each part file."""
     rows = docs.select(*COLUMNS, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
     part = F.regexp_extract("file", r"part-(\d+)[^/]*$", 1)
     before = F.sum("count").over(Window.orderBy(F.length(part), part, "file").rowsBetween(Window.unboundedPreceding, -1))
-    files = rows.groupBy("file").count().select("file", F.coalesce(before, F.lit(0)).alias("before"))
-    return rows.join(F.broadcast(files), "file").select(*COLUMNS, (F.col("before") + F.col("at")).alias("mix_position"))
+    files = written(rows.groupBy("file").count().select("file", F.coalesce(before, F.lit(0)).alias("before")))
+    return rows.join(sendable(files), "file").select(*COLUMNS, (F.col("before") + F.col("at")).alias("mix_position"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and digests of the ids and of the text that they decode to, with
-    the row's ``mix_position``: its number in the order of the mix."""
+    the row's ``mix_position``: its number in the order of the mix. A null or empty text
+    has no tokens; every row stays."""
     return bpe.encode(in_file_order(docs), keep=("source", "lang", "mix_position"), with_ids=True)
 
 
