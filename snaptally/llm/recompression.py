@@ -9,7 +9,8 @@ What happens to a symbol depends on its neighbours only, so a round disturbs a
 bounded number of words at each edge of a repeated passage (:func:`margin`). The
 symbols further inside are the same in every occurrence. Each window of 50 words
 is filed under one of these inner symbols, the one with the least name; windows are
-then compared in full (:mod:`_repeats`).
+then compared by the 64-bit hash of all their words (:mod:`_repeats`). The two rounds run
+inside a task, as no table of names has to be shared.
 """
 
 from __future__ import annotations

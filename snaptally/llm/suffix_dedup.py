@@ -1,13 +1,14 @@
-"""Exact removal of repeated byte strings by bucket-pointer refinement.
-
-Every byte position has a bucket: the name of the q bytes that start there. A
-suffix order refined only as far as ``length`` bytes tells which strings repeat, so
-the refinement works on bucket names of later offsets (p, p+q, p+2q, ...), which
-were computed once and are used again for every cell and every window.
-
-Only one position in about (length - q) / 2 has to be sorted globally: the
-position with the least bucket in each window of ``length`` bytes. Equal strings
-choose the same position. See :mod:`_repeats` for the distributed part.
+"""Exact removal of repeated byte strings by anchors; this takes the place of
+bucket-pointer refinement.
+
+Every byte position has a bucket: the hash of the q bytes that start there. In each
+window of ``length`` bytes the position with the least bucket is its anchor, so equal
+strings choose the same position, one in about (length - q) / 2. Anchors are dealt by
+bucket; what the windows of an anchor cover has one chained hash of the buckets at
+p, p+q, p+2q, ..., and where those differ, windows of ``length`` bytes are compared by
+their hashes. Nothing is sorted on the bucket ids of later offsets: that would shuffle
+every position in every round, where anchors are one in 35. See :mod:`_repeats` for the
+distributed part.
 """
 
 from __future__ import annotations
