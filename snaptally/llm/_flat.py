@@ -71,6 +71,16 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def trimmed(work):
+    """A task's generator that gives memory back when nothing of it is held any more."""
+
+    def run(batches):
+        yield from work(batches)
+        release()
+
+    return run
+
+
 class Prefix:
     """Hashes of any span of a sequence of 64-bit values in constant time each.
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._components import components
-from ._flat import LOWER, Prefix, Texts, chunks, group_starts, mix, mix2, parts, record, texts_of
+from ._flat import LOWER, Prefix, Texts, chunks, group_starts, mix, mix2, parts, record, texts_of, trimmed
 from ._shared import one_row_per_id, sendable, written
 
 WORDS = 4
@@ -39,6 +39,7 @@ WIDE_BITS = 10  #: 1,024 coordinates, for the documents of open tiles and for pa
 SMALL = 64  #: sets below it share one level with 256 groups
 HOT_SHARE, HOT_LEAST, HOT_MOST = 1e-4, 64, 1_000_000  #: when a tile counts as hot; these order groups only
 PAGE = 256
+PAIRS = 4096  #: pairs of points compared at once
 VERIFY_VALUES = 1 << 19  #: shingles of the pairs compared at once
 
 
@@ -124,7 +125,7 @@ def _set_rows(words: int, num: int, den: int):
             none = pa.nulls(len(token), pa.int64())
             yield record(schema, none, none, none, none, pa.nulls(len(token), pa.binary()), token, held)
 
-    return run
+    return trimmed(run)
 
 
 def _tile_rows(words: int, num: int, den: int, hot):
@@ -154,7 +155,7 @@ def _tile_rows(words: int, num: int, den: int, hot):
                 keep = rank <= apart[own]
                 yield record(schema, token[keep], ids[own[keep]])
 
-    return run
+    return trimmed(run)
 
 
 def _bound_rows(num: int, den: int, bits: int = POINT_BITS):
@@ -168,7 +169,7 @@ def _bound_rows(num: int, den: int, bits: int = POINT_BITS):
             ok = (num + den) * np.minimum(p, q).sum(axis=1, dtype=np.int64) >= num * (na + nb)
             yield record(schema, part.column("a").to_numpy()[ok], part.column("b").to_numpy()[ok])
 
-    return run
+    return trimmed(run)
 
 
 def _as_points(names: np.ndarray, text: np.ndarray, docs: int, bits: int) -> list[bytes]:
@@ -213,7 +214,8 @@ def _page_pairs(num: int, den: int):
             i = np.flatnonzero(small & (left > step))
             if not len(i):
                 break
-            yield near(doc, comp, n, point, i, i + step)
+            for x in range(0, len(i), PAIRS):
+                yield near(doc, comp, n, point, i[x : x + PAIRS], i[x : x + PAIRS] + step)
         for s, m in zip(start[size > 16].tolist(), size[size > 16].tolist(), strict=True):
             pages = [(x, min(x + PAGE, s + m)) for x in range(s, s + m, PAGE)]
             top = [point[a:b].max(axis=0) for a, b in pages]
@@ -223,8 +225,8 @@ def _page_pairs(num: int, den: int):
                     if num * n[c] > den * n[b - 1] or (num + den) * int(np.minimum(top[u], top[v]).sum(dtype=np.int64)) < num * (n[a] + n[c]):
                         continue
                     # 256 x 256 points by slices, to keep the temporary arrays small
-                    for x in range(a, b, 32):
-                        i, j = np.meshgrid(np.arange(x, min(x + 32, b)), np.arange(c, d), indexing="ij")
+                    for x in range(a, b, PAIRS // PAGE):
+                        i, j = np.meshgrid(np.arange(x, min(x + PAIRS // PAGE, b)), np.arange(c, d), indexing="ij")
                         keep = i < j
                         yield near(doc, comp, n, point, i[keep], j[keep])
 
@@ -244,7 +246,7 @@ def _page_pairs(num: int, den: int):
             for a, b in work(*held):
                 yield record(schema, np.minimum(a, b), np.maximum(a, b))
 
-    return run
+    return trimmed(run)
 
 
 def _wide_rows(words: int):
@@ -256,7 +258,7 @@ def _wide_rows(words: int):
             names, text = shingle_sets(texts_of(part.column("text")), words)
             yield record(schema, part.column("doc"), np.bincount(text, minlength=part.num_rows), _as_points(names, text, part.num_rows, WIDE_BITS))
 
-    return run
+    return trimmed(run)
 
 
 def _sets(words: int):
@@ -269,7 +271,7 @@ def _sets(words: int):
             ends = np.concatenate(([0], np.cumsum(n)))
             yield record(schema, part.column("doc"), n, _as_points(names, text, part.num_rows, WIDE_BITS), pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(names.view(np.int64))))
 
-    return run
+    return trimmed(run)
 
 
 def _verified(num: int, den: int):
@@ -294,7 +296,7 @@ def _verified(num: int, den: int):
             ok = den * both >= num * (size[0] + size[1] - both)
             yield record(schema, part.column("a").to_numpy()[ok], part.column("b").to_numpy()[ok])
 
-    return run
+    return trimmed(run)
 
 
 def _with_points(pairs: DataFrame, points: DataFrame) -> DataFrame:
