@@ -89,10 +89,30 @@ SELECT vec_id, CAST((SELECT count(*) FROM link WHERE a = vec_id) AS BIGINT) AS n
        CAST(component_id AS BIGINT) AS component_id, vec_id = component_id AS kept
 FROM c"""
 
+_OP13 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'), []) AS u,
+         sha256('42:' || CAST(doc_id AS VARCHAR)) AS h
+  FROM documents),
+r AS (SELECT *, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS d, len(u) AS n FROM t),
+c AS (SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b FROM r),
+f AS (
+  SELECT doc_id, n, text,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 50 THEN 'plain'
+              WHEN d[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(list_slice(u, 1, a), '') AS p, array_to_string(list_slice(u, a + 1, b), '') AS m, array_to_string(list_slice(u, b + 1, n), '') AS s
+  FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+FROM f"""
+
 #: Where SQL can express the whole result in reasonable time: 100-byte windows of op5 took
 #: DuckDB more than 100 s at sf0.01. The others are tested against direct versions.
 ORACLE_SQL: dict[str, str] = {
     "op4_ngram_jaccard_join": _OP4,
     "op8_substring_recompression": _OP8,
     "op10_embedding_near_dedup": _OP10,
+    "op13_fill_in_middle": _OP13,
 }

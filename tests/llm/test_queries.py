@@ -28,7 +28,7 @@ def run(spark, prefix):
     return entry.queries()[name](spark, SF)
 
 
-@pytest.mark.parametrize("prefix", ["op4_", "op8_", "op10_"])
+@pytest.mark.parametrize("prefix", ["op4_", "op8_", "op10_", "op13_"])
 def test_against_duckdb(spark, prefix):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
