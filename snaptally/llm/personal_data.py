@@ -15,6 +15,8 @@ become one SQL expression over the array of proposals; scoring needs no shuffle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +77,8 @@ _OWN_RULE = {
 FEATURES = ("generator", "length", "digits", "letters", "separators", "groups", "luhn", "distinct", "ends_word", "after_mark", "cue", "hexish")
 _CUE = "(?i)(mail|phone|tel|call|fax|card|visa|pay|ip|host|addr|contact|account|iban|ssn|id)[^a-z]{0,3}$"
 
-TRAIN_ROWS = 20_000  #: candidates that the trees and thresholds are fitted on at most
+TASK_ROWS = 200_000  #: different candidates that one task of the fit holds
+MOST_VALUES = 1024  #: more than any feature has values, by the bounds in the patterns
 PRECISION = 0.95
 
 
@@ -145,31 +148,36 @@ def _with_candidates(docs: DataFrame) -> DataFrame:
     return found.withColumn("candidates", F.expr(scored)).drop("__all")
 
 
-def fit(candidates: DataFrame, *, rows: int = TRAIN_ROWS, precision: float = PRECISION, seed: int = 11) -> tuple[str, list[float]] | None:
+def fit(candidates: DataFrame, *, precision: float = PRECISION, seed: int = 11) -> tuple[str, list[float]] | None:
     """The trees as an SQL expression on a struct ``x``, and the threshold of
     each generator; None if there are no candidates of both labels.
 
-    ``candidates`` holds the features and ``confirmed``. At most ``rows`` of them, the
-    least by a hash of their features, are used: four of five for the trees, the rest
-    for the thresholds. A threshold is the least score from which on all score bands of
-    its generator hold the wanted precision (with one failure added to each band);
-    above 1 if no band does.
+    ``candidates`` holds the features and ``confirmed``. All are used: four of five, by
+    a hash of their features, for the trees, the rest for the thresholds. Candidates of
+    equal features and label are one row weighted by their count. A threshold is the
+    least score from which on all score bands of its generator hold the wanted
+    precision (with one failure added to each band); above 1 if no band does.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    order = F.xxhash64("id", "s", *FEATURES)
-    sample = written(candidates.withColumn("h", order).orderBy("h", "id", "s", "e").limit(rows).coalesce(1).withColumn("label", F.col("confirmed").cast("double")))
-    train = sample.filter("pmod(h, 5) < 4")
+    fold = F.pmod(F.xxhash64("id", "s", *FEATURES), F.lit(5))
+    counted = written(candidates.groupBy("g", *FEATURES, F.col("confirmed").cast("double").alias("label"), (fold == 4).alias("apart")).agg(F.count("*").alias("weight")))
+    train = counted.filter("not apart")
+    n = train.count()
     if train.select("label").distinct().count() < 2:
         return None
-    shaped = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(train).select("features", "label")
-    model = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=seed).fit(shaped)
+    # sums in a fixed order as long as the rows fit one task
+    spread = train.repartition(-(-n // TASK_ROWS), *FEATURES).sortWithinPartitions(*FEATURES, "label")
+    shaped = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(spread).select("features", "label", "weight")
+    # the library looks for splits in maxBins ** 2 rows: all of them
+    bins = max(MOST_VALUES, math.isqrt(n) + 1)
+    model = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, maxBins=bins, weightCol="weight", seed=seed).fit(shaped)
     score = boosted_probability(model, list(FEATURES), "x")
     bands = (
-        sample.filter("pmod(h, 5) = 4").select("g", "label", F.expr(f"transform(array(struct({', '.join(FEATURES)})), x -> {score})[0]").alias("p"))
+        counted.filter("apart").select("g", "label", "weight", F.expr(f"transform(array(struct({', '.join(FEATURES)})), x -> {score})[0]").alias("p"))
         .withColumn("band", F.floor(F.least(F.col("p"), F.lit(0.999)) * 20))
-        .groupBy("g", "band").agg(F.sum("label").alias("yes"), F.count("*").alias("all")).collect()
+        .groupBy("g", "band").agg(F.sum(F.col("label") * F.col("weight")).alias("yes"), F.sum("weight").alias("all")).collect()
     )
     limits = [2.0] * len(GENERATORS)
     for g in range(len(GENERATORS)):
@@ -180,7 +188,7 @@ def fit(candidates: DataFrame, *, rows: int = TRAIN_ROWS, precision: float = PRE
     return score, limits
 
 
-def find(documents: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), rows: int = TRAIN_ROWS, precision: float = PRECISION) -> DataFrame:
+def find(documents: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), precision: float = PRECISION) -> DataFrame:
     """The columns named in ``keep``, then ``n_email, n_ip, n_card, n_phone``,
     ``base_sha256``, ``spans`` (``kind:start:end``, code points, by start, then kind)
     and ``found`` (the same as an array of ``s, k, e``) of every whole ``text``.
@@ -192,7 +200,7 @@ def find(documents: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), rows: int
     docs = documents.select(*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)], F.coalesce(F.col("text"), F.lit("")).alias("__text"))
     held = written(_with_candidates(_with_base(docs)).drop("__text", "__digit"))
     each = held.select(F.col("k_0").alias("id"), F.explode("candidates").alias("c")).select("id", "c.*").filter("confirmed or not unknown")
-    fitted = fit(each, rows=rows, precision=precision)
+    fitted = fit(each, precision=precision)
     if fitted is None:
         added = F.expr("cast(array() as array<struct<s:int,k:int,e:int>>)")
     else:

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from snaptally.llm import personal_data, secrets
 
@@ -105,6 +106,18 @@ def test_added_spans_stand_like_confirmed_ones(spark):
         assert all(f.k == 4 + list(personal_data.GENERATORS).index("mail_like") for f in extra)
 
 
+def test_trees_and_thresholds_use_every_candidate(spark):
+    """A generator with 150 of 60,150 candidates, all confirmed: the fifth kept apart is enough for 0.95, a third of it (a sample of 20,000) is not."""
+    rare = F.col("id") >= 60_000
+    values = {"generator": F.when(rare, 3.0).otherwise(0.0), "length": F.when(rare, 20.0).otherwise(F.col("id") % 2 + 8.0)}
+    rows = spark.range(60_150).select("id", F.lit(0).alias("s"), F.lit(9).alias("e"), F.when(rare, 3).otherwise(0).alias("g"), *[values.get(f, F.lit(0.0)).alias(f) for f in personal_data.FEATURES], (rare | (F.col("id") % 2 == 0)).alias("confirmed"))
+    apart = rows.filter(F.pmod(F.xxhash64("id", "s", *personal_data.FEATURES), F.lit(5)) == 4).filter(rare).count()
+    assert apart / (apart + 1) >= personal_data.PRECISION
+    limits = personal_data.fit(rows)[1]
+    assert limits[0] < 1 and limits[3] < 1
+    assert limits[1] == limits[2] == 2.0  # no candidates
+
+
 def test_odd_and_empty(odd, none):
     assert personal_data.find(odd).count() == len(odd_documents())
     assert personal_data.find(none).collect() == []
