@@ -17,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._flat import chunks, record, release, texts_of
+from ._flat import chunks, record, texts_of, trimmed
 from ._repeats import digests
 
 KNOWN_PIECES = 200_000  #: pieces that a task remembers before it starts afresh
-ROUND_SYMBOLS = 1 << 20  #: symbols merged in one flat array
+ROUND_SYMBOLS = 1 << 17  #: symbols merged in one flat array
+TEXT_BYTES = 1 << 18  #: texts encoded at once; a longer single text is encoded alone
 
 # the part of the pre-tokenizer's pattern that ASCII text can reach
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
@@ -63,9 +64,18 @@ class Vocabulary:
         shown = [(names[i] + " ").encode() if i in names else b"" for i in range(size)]
         self.shown = np.frombuffer(b"".join(shown), dtype=np.uint8)
         self.shown_at = np.concatenate(([0], np.cumsum([len(x) for x in shown])))
-        self.text = text
+        # what text beyond ASCII needs of the library: the rules without the vocabulary
+        bare = {"added_tokens": [], "post_processor": None, "model": {**model, "vocab": {}, "merges": []}}
+        self.rules = json.dumps({**spec, **bare})
         self._library = None
 
+    @classmethod
+    def from_tables(cls, tables: dict) -> Vocabulary:
+        """A vocabulary of another one's ``vars()``: a task needs no file and parses none."""
+        out = cls.__new__(cls)
+        vars(out).update(tables)
+        return out
+
     def pretokens(self, piece: bytes) -> list[bytes | int]:
         """Words of a piece without white space, as bytes; special tokens as ids."""
         if piece.isascii():
@@ -85,7 +95,7 @@ class Vocabulary:
         if self._library is None:
             from tokenizers import Tokenizer
 
-            self._library = Tokenizer.from_str(self.text)
+            self._library = Tokenizer.from_str(self.rules)
         words = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
         return [bytes(self.byte_of[c] for c in w) for w, _ in words]
 
@@ -163,35 +173,43 @@ class Vocabulary:
 
 
 class Encoder:
-    """A vocabulary with the pieces that a task has met."""
+    """A vocabulary with the pieces that a task has met: their sorted names, and where
+    the ids of each lie in one flat array."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.place: dict[int, int] = {}
-        self.ids: list[bytes] = []
+        self.forget()
+
+    def forget(self) -> None:
+        self.names = np.zeros(0, dtype=np.uint64)
+        self.begin = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's ids begin."""
         words = texts.words()
         names, first, inverse = np.unique(words.hashes(texts.data), return_index=True, return_inverse=True)
-        if len(self.place) > KNOWN_PIECES:
-            self.place, self.ids = {}, []
-        keys = names.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.place]
-        if new:
+        if len(self.names) > KNOWN_PIECES:
+            self.forget()
+        at = np.searchsorted(self.names, names)
+        new = np.ones(len(names), dtype=bool)
+        old = np.flatnonzero(at < len(self.names))
+        new[old] = self.names[at[old]] != names[old]
+        if new.any():
             raw = texts.data.tobytes()
-            at = first[new]
-            pieces = [raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
-            for i, x in zip(new, self.vocabulary.encode_pieces(pieces), strict=True):
-                self.place[keys[i]] = len(self.ids)
-                self.ids.append(x)
-        own = [self.ids[self.place[k]] for k in keys]
-        n = np.array([len(x) // 4 for x in own], dtype=np.int64)
-        flat = np.frombuffer(b"".join(own), dtype="<u4")
-        begin = np.cumsum(n) - n
-        size = n[inverse]
+            here = first[new]
+            pieces = [raw[a:b] for a, b in zip(words.starts[here].tolist(), words.ends[here].tolist(), strict=True)]
+            found = self.vocabulary.encode_pieces(pieces)
+            n = np.array([len(x) // 4 for x in found], dtype=np.int64)
+            self.names = np.insert(self.names, at[new], names[new])
+            self.begin = np.insert(self.begin, at[new], len(self.ids) + np.cumsum(n) - n)
+            self.size = np.insert(self.size, at[new], n)
+            self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(found), dtype="<u4")))
+            at += np.cumsum(new) - new  # places move by the new ones before them
+        begin, size = self.begin[at][inverse], self.size[at][inverse]
         ends = np.concatenate(([0], np.cumsum(size)))
-        ids = flat[np.repeat(begin[inverse] - ends[:-1], size) + np.arange(ends[-1])]
+        ids = self.ids[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
         return ids, ends[words.first]
 
 
@@ -211,20 +229,20 @@ def encode(documents: DataFrame, *, path: str | None = None, digest: bool = True
     Returns a row for each row: ``doc_id``, the columns named in ``keep``,
     ``n_tokens``, with ``digest`` ``ids_sha256`` and ``decoded_sha256`` (hex, of the
     ids as little-endian unsigned 32-bit integers and of the decoded text in UTF-8),
-    and with ``with_ids`` the ``ids``. The vocabulary (a few MB) is sent to the
-    tasks. A null or empty text has no tokens; rows may repeat; an empty table
+    and with ``with_ids`` the ``ids``. The vocabulary's tables (a few MB) are sent
+    to the tasks. A null or empty text has no tokens; rows may repeat; an empty table
     gives an empty result; other columns are ignored.
     """
     spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(tokenizer_json(path))
+    shared = spark.sparkContext.broadcast(vars(Vocabulary(tokenizer_json(path))))
     rows = documents.select("doc_id", *keep, F.col("text").alias("__text"))
     fields = [documents.schema[c] for c in ("doc_id", *keep)]
     out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["n_tokens long"] + ["ids_sha256 string", "decoded_sha256 string"] * digest + ["ids array<int>"] * with_ids)
     head = len(fields)
 
     def run(batches):
-        encoder = Encoder(Vocabulary(shared.value))
-        for part in chunks(batches, "__text"):
+        encoder = Encoder(Vocabulary.from_tables(shared.value))
+        for part in chunks(batches, "__text", TEXT_BYTES):
             ids, offsets = encoder.encode(texts_of(part.column("__text")))
             columns = [part.column(i) for i in range(head)]
             names = [f.name for f in fields] + ["n_tokens"]
@@ -238,19 +256,17 @@ def encode(documents: DataFrame, *, path: str | None = None, digest: bool = True
                 columns.append(pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids.astype(np.int32))))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
-        encoder = None
-        release()
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(trimmed(run), out)
 
 
 def decode(tokens: DataFrame, *, path: str | None = None) -> DataFrame:
     """The text of each row's ``ids``: ``doc_id, text``; null ids give a null text."""
-    shared = tokens.sparkSession.sparkContext.broadcast(tokenizer_json(path))
+    shared = tokens.sparkSession.sparkContext.broadcast(vars(Vocabulary(tokenizer_json(path))))
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
     def run(batches):
-        vocabulary = Vocabulary(shared.value)
+        vocabulary = Vocabulary.from_tables(shared.value)
         for part in batches:
             if not part.num_rows:
                 continue

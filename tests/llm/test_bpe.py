@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -52,3 +53,32 @@ def test_query_columns_and_decode(odd, none, library):
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         bpe.Vocabulary(bpe.tokenizer_json().replace('"Lowercase"', '"Strip"'))
+
+
+def test_pieces_met_before_keep_their_ids(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 60)
+    rng = random.Random(3)
+    encoder = bpe.Encoder(bpe.Vocabulary.from_tables(vars(bpe.Vocabulary(bpe.tokenizer_json()))))
+    for size in [0, 1, 5, 0, *[rng.randint(1, 30) for _ in range(60)]]:
+        texts = [" ".join("".join(rng.choices(PARTS, k=2)) for _ in range(rng.randint(0, 6))) for _ in range(size)]
+        ids, at = encoder.encode(_flat.texts_of(pa.array(texts, pa.string())))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_memory_of_a_task():
+    """Known pieces take a few dozen bytes each, texts are encoded in small parts, and
+    a task parses no vocabulary: two workers and the executor's JVM share its room."""
+    texts = [" ".join(f"{i}{c}{j}" for j in range(100, 400)) for i, c in enumerate("abcdefgh" * 25, 1000)]
+    batch = pa.record_batch({"text": pa.array(texts)})
+    tables = vars(bpe.Vocabulary(bpe.tokenizer_json()))
+    _flat.powers(_flat.CHUNK_BYTES)  # of the process, not of a task
+    tracemalloc.start()
+    try:
+        encoder = bpe.Encoder(bpe.Vocabulary.from_tables(tables))
+        for part in _flat.chunks([batch], "text", bpe.TEXT_BYTES):
+            encoder.encode(_flat.texts_of(part.column("text")))
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(encoder.names) == 60_000
+    assert held < 64 * 60_000 and peak < 32 << 20, (held, peak)
